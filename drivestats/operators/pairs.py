@@ -2,8 +2,7 @@
 
 This is the operator behind trip distance and speed events: every sample is
 paired with its predecessor in ``order`` inside its group (trip bucket), a
-measure is evaluated per pair, and the measures are summed per group, together
-with any other aggregates the caller wants from the same pass.
+measure is evaluated per pair, and the measures are summed per group.
 
 Two physical strategies, identical results:
 
@@ -13,12 +12,14 @@ Two physical strategies, identical results:
     repeated counter) is cut into many contiguous slices on many tasks. Each
     sorted slice is scanned once by a vectorised Arrow helper that adds the
     predecessor's values and marks the first/last row of every group in the
-    slice. Pair measures and all aggregates run as Catalyst expressions with
-    map-side partial aggregation. A group spanning slices loses only the pair
-    across each slice edge; those are restored in the same aggregate from a
-    ``collect_list`` of edge rows, which holds at most two rows per slice, so
-    its size is bounded by twice the shuffle partition count whatever the data.
-    One shuffle of the rows (the range exchange), no group in one task.
+    slice. Pair measures run as Catalyst expressions and are summed per
+    (group, slice) together with the group's first and last values in that
+    slice (plain declarative aggregates, hash-aggregated map-side). A group
+    spanning slices loses only the pair across each slice edge; a window over
+    the per-slice rows, ordered by slice, restores it. That window holds one
+    row per slice of a group, so its size is bounded by the shuffle partition
+    count whatever the data. One shuffle of the sample rows (the range
+    exchange); everything after it moves per-slice rows only.
 
 ``window``
     ``lag`` over ``Window.partitionBy(keys).orderBy(order)``: one hash shuffle
@@ -60,10 +61,9 @@ def ordered_pair_sums(
     order: Sequence[str],
     carry: Sequence[str],
     measures: Sequence[Measure],
-    extra_aggs: Sequence[Column] = (),
     strategy: str = "sorted",
 ) -> DataFrame:
-    """One row per group: ``keys``, ``extra_aggs`` and one column per measure.
+    """One row per group: ``keys`` and one column per measure.
 
     ``order`` is ascending with nulls first; ties on the whole order key carry
     identical values (``carry`` is part of it), so tie order cannot change any
@@ -75,14 +75,14 @@ def ordered_pair_sums(
     if missing:
         raise ValueError(f"carried columns must be part of the order key: {missing}")
     if strategy == "window":
-        return _by_window(df, keys, order, carry, measures, extra_aggs)
+        return _by_window(df, keys, order, carry, measures)
     if strategy == "sorted":
-        return _by_sorted_slices(df, keys, order, carry, measures, extra_aggs)
+        return _by_sorted_slices(df, keys, order, carry, measures)
     raise ValueError(f"unknown strategy {strategy!r}; expected one of {STRATEGIES}")
 
 
-def _finish(agg: DataFrame, keys: list[str], extra_names: list[str], measures: Sequence[Measure], boundary) -> DataFrame:
-    out = [F.col(k) for k in keys] + [F.col(n) for n in extra_names]
+def _finish(agg: DataFrame, keys: list[str], measures: Sequence[Measure], boundary) -> DataFrame:
+    out = [F.col(k) for k in keys]
     for m in measures:
         total = F.coalesce(F.col(f"_rows_{m.name}"), _zero(m))
         if boundary is not None:
@@ -91,15 +91,14 @@ def _finish(agg: DataFrame, keys: list[str], extra_names: list[str], measures: S
     return agg.select(*out)
 
 
-def _by_window(df, keys, order, carry, measures, extra_aggs) -> DataFrame:
+def _by_window(df, keys, order, carry, measures) -> DataFrame:
     w = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_first() for c in order])
     rows = df.select("*", *[F.lag(c).over(w).alias(f"prev_{c}") for c in carry])
-    agg = rows.groupBy(*keys).agg(*extra_aggs, *_row_measures(measures, carry))
-    extra_names = [c for c in agg.columns if c not in keys and not c.startswith("_rows_")]
-    return _finish(agg, keys, extra_names, measures, None)
+    agg = rows.groupBy(*keys).agg(*_row_measures(measures, carry))
+    return _finish(agg, keys, measures, None)
 
 
-def _by_sorted_slices(df, keys, order, carry, measures, extra_aggs) -> DataFrame:
+def _by_sorted_slices(df, keys, order, carry, measures) -> DataFrame:
     sort_key = [F.col(c).asc_nulls_first() for c in keys + order]
     ranged = (
         df.repartitionByRange(*sort_key)
@@ -115,36 +114,25 @@ def _by_sorted_slices(df, keys, order, carry, measures, extra_aggs) -> DataFrame
     )
     rows = ranged.mapInArrow(_slice_scan.slice_neighbours(keys, carry), out_schema)
 
-    # Edge rows: first and last row of each group in each slice. Sorted by
-    # (slice, first-before-last) the predecessor of a slice's first row is the
-    # entry just before it, i.e. the previous slice's last row.
-    edge = F.when(
-        F.col("_first") | F.col("_last"),
-        F.struct(
-            F.col("_slice").alias("slice"),
-            F.when(F.col("_first"), 0).otherwise(1).alias("ord"),
-            *[F.col(c).alias(c) for c in carry],
-            F.col("_first").alias("first"),
-        ),
+    # One row per (group, slice): in-slice pair sums plus the values of the
+    # group's first and last row in that slice. Exactly one row of each
+    # (group, slice) is flagged first and one last, so max(when(...)) picks it.
+    per_slice = rows.groupBy(*keys, "_slice").agg(
+        *_row_measures(measures, carry),
+        *[F.max(F.when(F.col("_first"), F.col(c))).alias(f"_head_{c}") for c in carry],
+        *[F.max(F.when(F.col("_last"), F.col(c))).alias(f"_tail_{c}") for c in carry],
     )
-    agg = rows.groupBy(*keys).agg(
-        *extra_aggs, *_row_measures(measures, carry), F.collect_list(edge).alias("_edges")
+    # A group's slices are consecutive in the range order: the pair lost at a
+    # slice edge is (previous slice's tail, this slice's head). The window
+    # holds one row per slice of a group, at most the partition count.
+    w = Window.partitionBy(*keys).orderBy("_slice")
+    stitched = per_slice.select(
+        "*", *[F.lag(f"_tail_{c}").over(w).alias(f"_ptail_{c}") for c in carry]
     )
-    extra_names = [c for c in agg.columns if c not in keys and not c.startswith("_rows_") and c != "_edges"]
-
-    edges = F.array_sort(F.col("_edges"))
-    n = F.size(edges) - 1
-    pairs = F.filter(
-        F.zip_with(F.slice(edges, 1, n), F.slice(edges, 2, n), lambda a, b: F.struct(a.alias("a"), b.alias("b"))),
-        lambda p: p["b"]["first"],
+    prev = {c: F.col(f"_ptail_{c}") for c in carry}
+    head = {c: F.col(f"_head_{c}") for c in carry}
+    out = stitched.groupBy(*keys).agg(
+        *[F.sum(f"_rows_{m.name}").alias(f"_rows_{m.name}") for m in measures],
+        *[F.sum(m.fn(prev, head)).alias(f"_edge_{m.name}") for m in measures],
     )
-
-    def boundary(m: Measure) -> Column:
-        def add(acc: Column, p: Column) -> Column:
-            prev = {c: p["a"][c] for c in carry}
-            cur = {c: p["b"][c] for c in carry}
-            return acc + F.coalesce(m.fn(prev, cur), _zero(m))
-
-        return F.aggregate(pairs, _zero(m), add)
-
-    return _finish(agg, keys, extra_names, measures, boundary)
+    return _finish(out, keys, measures, lambda m: F.coalesce(F.col(f"_edge_{m.name}"), _zero(m)))

@@ -105,27 +105,43 @@ def trip_metrics(
     thresholds: EventThresholds = DEFAULT_THRESHOLDS,
     strategy: str = "sorted",
 ) -> DataFrame:
-    """Everything known about each trip bucket, from one pass over the samples.
+    """Everything known about each trip bucket.
 
     Columns: trip keys, then (activity) ``user_count``, ``vehicle_count``,
     ``total_driving_time`` (sample count), ``size_of_latitude``, then
     ``distance_m`` and ``total_distance`` (metres rounded per bucket, P8), then
     the four ``total_*_count`` event columns.
+
+    Activity (distinct counts) and motion (ordered pairs) need different
+    shuffles, so they are computed side by side and merged with a union and a
+    per-bucket aggregate instead of a join: the merge moves one row per bucket
+    and side, is partial-aggregated, and keeps null trip ids (monthly) grouped
+    like any other key, which an equi-join would drop.
     """
     if with_events is None:
         with_events = grain.with_events
+    keys = list(grain.trip_keys)
+    parts: list[DataFrame] = []
+    if with_activity:
+        parts.append(trip_activity(positions, grain))
     measures = _measures(with_distance, with_events, thresholds)
-    extra: Sequence[Column] = activity_aggs() if with_activity else ()
-    out = ordered_pair_sums(
-        _pair_input(positions, grain),
-        keys=grain.trip_keys,
-        order=SAMPLE_ORDER,
-        carry=CARRIED,
-        measures=measures,
-        extra_aggs=extra,
-        strategy=strategy,
-    )
-    return _rename(out)
+    if measures:
+        motion = ordered_pair_sums(
+            _pair_input(positions, grain),
+            keys=keys,
+            order=SAMPLE_ORDER,
+            carry=CARRIED,
+            measures=measures,
+            strategy=strategy,
+        )
+        parts.append(_rename(motion))
+    if not parts:
+        raise ValueError("nothing to compute")
+    if len(parts) == 1:
+        return parts[0]
+    merged = parts[0].unionByName(parts[1], allowMissingColumns=True)
+    cols = [c for c in parts[0].columns if c not in keys] + [c for c in parts[1].columns if c not in keys]
+    return merged.groupBy(*keys).agg(*[F.max(c).alias(c) for c in cols])
 
 
 def trip_distance(positions: DataFrame, grain: Grain, strategy: str = "sorted") -> DataFrame:
