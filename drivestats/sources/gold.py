@@ -7,7 +7,6 @@ import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from drivestats.functions.timeparts import partition_after
 
@@ -29,20 +28,24 @@ def table_name(database: str | None, table: str) -> str:
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether ``path`` exists and holds something, via the Hadoop FileSystem API."""
+    """Whether ``path`` holds data, via the Hadoop FileSystem API (works on any store).
+
+    Hidden and marker entries (``_SUCCESS``, ``.crc``, ``_temporary``) do not
+    count: a folder holding only those is an empty table (full load, Q22).
+    """
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)
     fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if not fs.exists(hpath):
         return False
-    return len(fs.listStatus(hpath)) > 0
+    return any(not st.getPath().getName().startswith(("_", ".")) for st in fs.listStatus(hpath))
 
 
 def target_exists(spark: SparkSession, path: str, database: str | None = None, table: str | None = None) -> bool:
     """S7: the catalog entry (when a table name is given) and the data both exist."""
     catalog_ok = True
     if table:
-        catalog_ok = spark.catalog.tableExists(table, database) if database else spark.catalog.tableExists(table)
+        catalog_ok = spark.catalog.tableExists(f"{database}.{table}" if database else table)
     return catalog_ok and path_exists(spark, path)
 
 
@@ -60,13 +63,16 @@ def write_stats(
 ) -> None:
     """S3: partitioned Parquet; overwrite on a full load, append on an incremental one.
 
-    Output rows are one per time bucket, so clustering them by the partition
-    columns first writes one file per partition instead of one per task and
-    partition. ``dynamic_overwrite`` replaces only the partitions present in
+    Output rows are one per time bucket, so hash-clustering them by the
+    partition columns writes exactly one file per partition. The partition
+    count is given explicitly: the data is tiny and adaptive coalescing would
+    otherwise hand every partition directory (thousands on a full load) to a
+    single task. ``dynamic_overwrite`` replaces only the partitions present in
     ``df`` (for re-processing a partition that was already published).
     """
     mode = "overwrite" if (load_type == FULL_LOAD or dynamic_overwrite) else "append"
-    writer = df.repartition(*parts).write.mode(mode).partitionBy(*parts)
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    writer = df.repartition(n, *parts).write.mode(mode).partitionBy(*parts)
     if dynamic_overwrite:
         writer = writer.option("partitionOverwriteMode", "dynamic")
     writer.parquet(path)
@@ -117,7 +123,3 @@ def register_table(
 
 def read_table(spark: SparkSession, database: str | None, table: str) -> DataFrame:
     return spark.table(f"{database}.{table}" if database else table)
-
-
-def empty_like(df: DataFrame) -> DataFrame:
-    return df.where(F.lit(False))
