@@ -55,6 +55,20 @@ def _row_measures(measures: Sequence[Measure], carry: Sequence[str]) -> list[Col
     return [F.sum(m.fn(prev, cur)).alias(f"_rows_{m.name}") for m in measures]
 
 
+def shuffle_for_pairs(df: DataFrame, keys: Sequence[str], order: Sequence[str], strategy: str = "sorted") -> DataFrame:
+    """The one shuffle of the rows that ``ordered_pair_sums`` performs.
+
+    Exposed so that other aggregates over the same rows can be planned on the
+    same exchange: identical exchange subtrees are computed once (exchange
+    reuse), so the source is scanned and shuffled once for all of them.
+    """
+    if strategy == "sorted":
+        return df.repartitionByRange(*[F.col(c).asc_nulls_first() for c in [*keys, *order]])
+    if strategy == "window":
+        return df.repartition(*keys)
+    raise ValueError(f"unknown strategy {strategy!r}; expected one of {STRATEGIES}")
+
+
 def ordered_pair_sums(
     df: DataFrame,
     keys: Sequence[str],
@@ -62,8 +76,15 @@ def ordered_pair_sums(
     carry: Sequence[str],
     measures: Sequence[Measure],
     strategy: str = "sorted",
+    companions: Sequence[Column] = (),
 ) -> DataFrame:
-    """One row per group: ``keys`` and one column per measure.
+    """One row per group: ``keys``, the ``companions`` and one column per measure.
+
+    ``companions`` are ordinary aggregates over the same groups (distinct
+    counts, row counts). They are computed from the same single shuffle of the
+    rows: in the window strategy inside the aggregate after the window, in the
+    sorted strategy as a second aggregate over the reused range exchange,
+    merged per group with a union (which keeps null keys as groups).
 
     ``order`` is ascending with nulls first; ties on the whole order key carry
     identical values (``carry`` is part of it), so tie order cannot change any
@@ -74,15 +95,20 @@ def ordered_pair_sums(
     missing = [c for c in carry if c not in order]
     if missing:
         raise ValueError(f"carried columns must be part of the order key: {missing}")
+    shuffled = shuffle_for_pairs(df, keys, order, strategy)
     if strategy == "window":
-        return _by_window(df, keys, order, carry, measures)
-    if strategy == "sorted":
-        return _by_sorted_slices(df, keys, order, carry, measures)
-    raise ValueError(f"unknown strategy {strategy!r}; expected one of {STRATEGIES}")
-
-
-def _finish(agg: DataFrame, keys: list[str], measures: Sequence[Measure], boundary) -> DataFrame:
-    out = [F.col(k) for k in keys]
+        return _by_window(shuffled, keys, order, carry, measures, companions)
+    out = _by_sorted_slices(shuffled, keys, order, carry, measures)
+    if not companions:
+        return out
+    side = shuffled.groupBy(*keys).agg(*companions)
+    merged = side.unionByName(out, allowMissingColumns=True)
+    cols = [c for c in side.columns if c not in keys] + [m.name for m in measures]
+    return merged.groupBy(*keys).agg(*[F.max(c).alias(c) for c in cols])
+
+
+def _finish(agg: DataFrame, keys: list[str], measures: Sequence[Measure], boundary, extra=()) -> DataFrame:
+    out = [F.col(k) for k in keys] + [F.col(c) for c in extra]
     for m in measures:
         total = F.coalesce(F.col(f"_rows_{m.name}"), _zero(m))
         if boundary is not None:
@@ -91,20 +117,20 @@ def _finish(agg: DataFrame, keys: list[str], measures: Sequence[Measure], bounda
     return agg.select(*out)
 
 
-def _by_window(df, keys, order, carry, measures) -> DataFrame:
+def _by_window(shuffled, keys, order, carry, measures, companions) -> DataFrame:
+    # Rows are already hash-partitioned by the keys: the window adds only a
+    # sort, and the aggregate after it (distinct counts included) needs no
+    # further exchange.
     w = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_first() for c in order])
-    rows = df.select("*", *[F.lag(c).over(w).alias(f"prev_{c}") for c in carry])
-    agg = rows.groupBy(*keys).agg(*_row_measures(measures, carry))
-    return _finish(agg, keys, measures, None)
+    rows = shuffled.select("*", *[F.lag(c).over(w).alias(f"prev_{c}") for c in carry])
+    agg = rows.groupBy(*keys).agg(*companions, *_row_measures(measures, carry))
+    extra = [c for c in agg.columns if c not in keys and not c.startswith("_rows_")]
+    return _finish(agg, keys, measures, None, extra)
 
 
-def _by_sorted_slices(df, keys, order, carry, measures) -> DataFrame:
+def _by_sorted_slices(shuffled, keys, order, carry, measures) -> DataFrame:
     sort_key = [F.col(c).asc_nulls_first() for c in keys + order]
-    ranged = (
-        df.repartitionByRange(*sort_key)
-        .sortWithinPartitions(*sort_key)
-        .withColumn("_slice", F.spark_partition_id())
-    )
+    ranged = shuffled.sortWithinPartitions(*sort_key).withColumn("_slice", F.spark_partition_id())
     fields = list(ranged.schema.fields)
     by_name = {f.name: f for f in fields}
     out_schema = StructType(

@@ -4,7 +4,7 @@ A trip bucket is one trip inside one time bucket (``Grain.trip_keys``). The
 reference collects each bucket's samples into arrays and runs Python over them
 (a UDF for distance, a driver-side loop for events). Here samples stay rows:
 the pair measures run through ``ordered_pair_sums`` and the counts are plain
-aggregates, all in one aggregation pass with map-side partial aggregation.
+aggregates planned on the same shuffle, with map-side partial aggregation.
 """
 
 from __future__ import annotations
@@ -112,36 +112,26 @@ def trip_metrics(
     ``distance_m`` and ``total_distance`` (metres rounded per bucket, P8), then
     the four ``total_*_count`` event columns.
 
-    Activity (distinct counts) and motion (ordered pairs) need different
-    shuffles, so they are computed side by side and merged with a union and a
-    per-bucket aggregate instead of a join: the merge moves one row per bucket
-    and side, is partial-aggregated, and keeps null trip ids (monthly) grouped
-    like any other key, which an equi-join would drop.
+    Activity (distinct counts) and motion (ordered pairs) come from one scan
+    and one shuffle of the samples (see ``ordered_pair_sums`` companions).
     """
     if with_events is None:
         with_events = grain.with_events
-    keys = list(grain.trip_keys)
-    parts: list[DataFrame] = []
-    if with_activity:
-        parts.append(trip_activity(positions, grain))
     measures = _measures(with_distance, with_events, thresholds)
-    if measures:
-        motion = ordered_pair_sums(
-            _pair_input(positions, grain),
-            keys=keys,
-            order=SAMPLE_ORDER,
-            carry=CARRIED,
-            measures=measures,
-            strategy=strategy,
-        )
-        parts.append(_rename(motion))
-    if not parts:
-        raise ValueError("nothing to compute")
-    if len(parts) == 1:
-        return parts[0]
-    merged = parts[0].unionByName(parts[1], allowMissingColumns=True)
-    cols = [c for c in parts[0].columns if c not in keys] + [c for c in parts[1].columns if c not in keys]
-    return merged.groupBy(*keys).agg(*[F.max(c).alias(c) for c in cols])
+    if not measures:
+        if not with_activity:
+            raise ValueError("nothing to compute")
+        return trip_activity(positions, grain)
+    out = ordered_pair_sums(
+        _pair_input(positions, grain),
+        keys=grain.trip_keys,
+        order=SAMPLE_ORDER,
+        carry=CARRIED,
+        measures=measures,
+        strategy=strategy,
+        companions=activity_aggs() if with_activity else (),
+    )
+    return _rename(out)
 
 
 def trip_distance(positions: DataFrame, grain: Grain, strategy: str = "sorted") -> DataFrame:

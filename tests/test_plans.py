@@ -22,9 +22,13 @@ def plan(df) -> str:
 def test_sorted_stats_plan(spark, sf_dir, grain):
     src = positions_e if grain is HOURLY else positions_l
     p = plan(build_stats(src(spark, sf_dir), grain))
-    # Exactly one range exchange (the only shuffle of sample rows for motion),
-    # one Arrow pass, no row-at-a-time Python, no global sort, no join.
-    assert p.count("rangepartitioning") == 1
+    # One scan and one range exchange of the sample rows, shared (reused) by
+    # the activity and motion aggregates; one Arrow pass; no row-at-a-time
+    # Python, no global sort, no join.
+    lines = p.splitlines()
+    assert sum("Exchange rangepartitioning" in x and "ReusedExchange" not in x for x in lines) == 1
+    assert sum("ReusedExchange" in x for x in lines) == 1
+    assert sum("FileScan" in x for x in lines) == 1
     assert p.count("MapInArrow") == 1
     assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p
     assert "SortMergeJoin" not in p and "BroadcastHashJoin" not in p and "CartesianProduct" not in p
@@ -36,6 +40,7 @@ def test_window_strategy_has_no_python(spark, sf_dir):
     p = plan(build_stats(positions_e(spark, sf_dir), HOURLY, strategy="window"))
     assert "MapInArrow" not in p and "BatchEvalPython" not in p
     assert "rangepartitioning" not in p
+    assert sum("FileScan" in x for x in p.splitlines()) == 1
 
 
 def test_scan_is_pruned(spark, sf_dir):
