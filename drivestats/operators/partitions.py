@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -23,6 +24,22 @@ def latest_partition(df: DataFrame, parts: Sequence[str]) -> DataFrame:
     return top.select(*[F.col(f"p.{c}").alias(c) for c in parts]).withColumn("watermark", partition_start(parts))
 
 
+def latest_partition_sql(df: DataFrame, parts: Sequence[str], view: str | None = None) -> DataFrame:
+    """A4 through the SQL API (S4): the same query over a temporary view.
+
+    For callers that keep watermark logic in SQL text. ``view`` defaults to a
+    fresh name so concurrent jobs in one session do not collide.
+    """
+    parts = list(parts)
+    view = view or f"gold_partitions_{uuid.uuid4().hex[:12]}"
+    df.select(*parts).createOrReplaceTempView(view)
+    cols = ", ".join(f"`{c}`" for c in parts)
+    top = df.sparkSession.sql(
+        f"SELECT p.* FROM (SELECT max(struct({cols})) AS p FROM `{view}`) WHERE p IS NOT NULL"
+    )
+    return top.withColumn("watermark", partition_start(parts))
+
+
 def latest_partition_time(df: DataFrame, parts: Sequence[str]) -> dt.datetime | None:
     """The watermark as a Python datetime, or None for an empty table (Q22).
 

@@ -156,3 +156,15 @@ def test_output_schemas(spark):
 def test_timestamp_input_accepted(spark):
     p = pos(spark, samples("a", 1, "2024-01-05 10:00:00", 3)).withColumn("ts", F.to_timestamp("ts"))
     assert build_stats(p, HOURLY).collect()[0]["trip_count"] == 1
+
+
+def test_latest_partition_dataframe_and_sql_agree(spark):
+    from drivestats.operators.partitions import latest_partition, latest_partition_sql, latest_partition_time
+
+    rows = samples("a", 1, "2024-01-31 23:59:58", 3) + samples("b", 2, "2023-12-31 10:00:00", 2)
+    stats = build_stats(pos(spark, rows), HOURLY)
+    a = latest_partition(stats, HOURLY.output_parts).collect()
+    b = latest_partition_sql(stats, HOURLY.output_parts).collect()
+    assert a == b and (a[0]["year"], a[0]["month"], a[0]["day"], a[0]["hour"]) == (2024, 2, 1, 0)
+    assert latest_partition_time(stats, HOURLY.output_parts) == dt.datetime(2024, 2, 1, 0)
+    assert latest_partition_time(stats.where(F.lit(False)), HOURLY.output_parts) is None
