@@ -23,8 +23,14 @@ Two physical strategies, identical results:
 
 ``window``
     ``lag`` over ``Window.partitionBy(keys).orderBy(order)``: one hash shuffle
-    and no Python, but a whole group is sorted in one task. Kept for data whose
-    groups are known to be bounded and as an independent check in tests.
+    and no Python, but a whole group is sorted in one task, so it is only safe
+    when every group is known to be bounded.
+
+``auto`` (what the plans use)
+    Measure first, then plan: one partial-aggregated job finds the largest
+    group (a single row reaches the driver). If it is within
+    ``max_group_rows`` the window plan is used, otherwise the sorted one. This
+    is the skew counterpart of a size-checked broadcast.
 """
 
 from __future__ import annotations
@@ -42,7 +48,11 @@ from drivestats.operators import _slice_scan
 # Executors get the helper by value: no need to ship the package to run it.
 cloudpickle.register_pickle_by_value(_slice_scan)
 
-STRATEGIES = ("sorted", "window")
+STRATEGIES = ("auto", "sorted", "window")
+
+# Largest group the window strategy may sort in one task. Above it the sorted
+# strategy splits the group over many tasks.
+DEFAULT_MAX_GROUP_ROWS = 10_000_000
 
 
 def _zero(m: Measure) -> Column:
@@ -55,6 +65,17 @@ def _row_measures(measures: Sequence[Measure], carry: Sequence[str]) -> list[Col
     return [F.sum(m.fn(prev, cur)).alias(f"_rows_{m.name}") for m in measures]
 
 
+def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
+    """Row count of the biggest group: a partial-aggregated count, one row back."""
+    row = df.groupBy(*keys).count().agg(F.max("count").alias("m")).first()
+    return int(row["m"] or 0) if row is not None else 0
+
+
+def choose_strategy(df: DataFrame, keys: Sequence[str], max_group_rows: int = DEFAULT_MAX_GROUP_ROWS) -> str:
+    """``window`` when every group fits one task comfortably, else ``sorted``."""
+    return "window" if largest_group(df, keys) <= max_group_rows else "sorted"
+
+
 def shuffle_for_pairs(df: DataFrame, keys: Sequence[str], order: Sequence[str], strategy: str = "sorted") -> DataFrame:
     """The one shuffle of the rows that ``ordered_pair_sums`` performs.
 
@@ -75,8 +96,9 @@ def ordered_pair_sums(
     order: Sequence[str],
     carry: Sequence[str],
     measures: Sequence[Measure],
-    strategy: str = "sorted",
+    strategy: str = "auto",
     companions: Sequence[Column] = (),
+    max_group_rows: int = DEFAULT_MAX_GROUP_ROWS,
 ) -> DataFrame:
     """One row per group: ``keys``, the ``companions`` and one column per measure.
 
@@ -95,6 +117,8 @@ def ordered_pair_sums(
     missing = [c for c in carry if c not in order]
     if missing:
         raise ValueError(f"carried columns must be part of the order key: {missing}")
+    if strategy == "auto":
+        strategy = choose_strategy(df, keys, max_group_rows)
     shuffled = shuffle_for_pairs(df, keys, order, strategy)
     if strategy == "window":
         return _by_window(shuffled, keys, order, carry, measures, companions)

@@ -23,7 +23,7 @@ from drivestats.functions.motion import (
     event_measures,
     speed_2dp,
 )
-from drivestats.operators.pairs import ordered_pair_sums
+from drivestats.operators.pairs import DEFAULT_MAX_GROUP_ROWS, ordered_pair_sums
 from drivestats.plans.grains import Grain
 
 # Order of samples inside a trip bucket. ``ct`` (the sample counter) leads, as
@@ -103,7 +103,8 @@ def trip_metrics(
     with_distance: bool = True,
     with_events: bool | None = None,
     thresholds: EventThresholds = DEFAULT_THRESHOLDS,
-    strategy: str = "sorted",
+    strategy: str = "auto",
+    max_group_rows: int = DEFAULT_MAX_GROUP_ROWS,
 ) -> DataFrame:
     """Everything known about each trip bucket.
 
@@ -130,11 +131,12 @@ def trip_metrics(
         measures=measures,
         strategy=strategy,
         companions=activity_aggs() if with_activity else (),
+        max_group_rows=max_group_rows,
     )
     return _rename(out)
 
 
-def trip_distance(positions: DataFrame, grain: Grain, strategy: str = "sorted") -> DataFrame:
+def trip_distance(positions: DataFrame, grain: Grain, strategy: str = "auto") -> DataFrame:
     """U1 + P8: trip keys and ``total_distance`` (long metres)."""
     out = trip_metrics(positions, grain, with_activity=False, with_events=False, strategy=strategy)
     return out.select(*grain.trip_keys, "total_distance")
@@ -144,7 +146,7 @@ def trip_driving_events(
     positions: DataFrame,
     grain: Grain,
     thresholds: EventThresholds = DEFAULT_THRESHOLDS,
-    strategy: str = "sorted",
+    strategy: str = "auto",
 ) -> DataFrame:
     """U2: trip keys and the four event counts."""
     out = trip_metrics(

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from drivestats.functions.motion import DEFAULT_THRESHOLDS, EventThresholds
 from drivestats.functions.timeparts import partition_after
+from drivestats.operators.pairs import DEFAULT_MAX_GROUP_ROWS
 from drivestats.operators.partitions import latest_partition_time
 from drivestats.plans.grains import Grain, grain as as_grain
 from drivestats.plans.stats import build_stats
@@ -46,8 +47,9 @@ def run(
     table: str | None = None,
     sample_seconds: float = 1.0,
     thresholds: EventThresholds = DEFAULT_THRESHOLDS,
-    strategy: str = "sorted",
+    strategy: str = "auto",
     reprocess_latest: bool = False,
+    max_group_rows: int = DEFAULT_MAX_GROUP_ROWS,
 ) -> RunResult:
     """Refresh the ``grain`` table at ``target_path`` from positions at ``source``.
 
@@ -83,7 +85,10 @@ def run(
         log.info("no new source data for %s after %s", g.name, watermark)
         return RunResult(g.name, load_type, watermark, wrote=False)
 
-    stats = build_stats(positions, g, sample_seconds=sample_seconds, thresholds=thresholds, strategy=strategy)
+    stats = build_stats(
+        positions, g, sample_seconds=sample_seconds, thresholds=thresholds, strategy=strategy,
+        max_group_rows=max_group_rows,
+    )
     gold.write_stats(stats, target_path, g.output_parts, load_type, dynamic_overwrite=reprocess_latest and watermark is not None)
 
     added = gold.new_partitions(spark, target_path, g.output_parts, read_from) if load_type == gold.INCREMENTAL else []

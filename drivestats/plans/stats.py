@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from drivestats.functions.motion import DEFAULT_THRESHOLDS, EventThresholds
+from drivestats.operators.pairs import DEFAULT_MAX_GROUP_ROWS
 from drivestats.operators.rollup import rollup_stats
 from drivestats.operators.trips import trip_metrics
 from drivestats.plans.grains import Grain, grain as as_grain
@@ -16,17 +17,20 @@ def build_stats(
     grain: str | Grain,
     sample_seconds: float = 1.0,
     thresholds: EventThresholds = DEFAULT_THRESHOLDS,
-    strategy: str = "sorted",
+    strategy: str = "auto",
     normalized: bool = False,
+    max_group_rows: int = DEFAULT_MAX_GROUP_ROWS,
 ) -> DataFrame:
     """Hourly / daily / monthly statistics from raw (or normalised) positions.
 
-    One lazy plan: normalise, trip-bucket pass (one range shuffle of samples,
-    partial aggregation), rollup (shuffle of trip-bucket rows only), shaping.
+    One lazy plan: normalise, trip-bucket pass (one scan and one shuffle of the
+    samples, partial aggregation), rollup (shuffle of trip-bucket rows only),
+    shaping. With ``strategy="auto"`` one small job first measures the largest
+    trip bucket to pick the window or the range-sliced plan.
     Each table is built from positions, never from a finer table: trip buckets
     are not additive across time buckets.
     """
     g = as_grain(grain)
     pos = positions if normalized else normalize(positions)
-    trips = trip_metrics(pos, g, thresholds=thresholds, strategy=strategy)
+    trips = trip_metrics(pos, g, thresholds=thresholds, strategy=strategy, max_group_rows=max_group_rows)
     return rollup_stats(trips, g, sample_seconds=sample_seconds)

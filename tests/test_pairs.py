@@ -102,6 +102,16 @@ def test_random_inputs_match_model(spark, rows):
     _check(spark, rows)
 
 
+def test_auto_strategy_choice(spark):
+    from drivestats.operators.pairs import choose_strategy, largest_group
+
+    df = spark.createDataFrame([("a", i, 35.0, 139.0, 1.0) for i in range(5)] + [("b", 1, 35.0, 139.0, 1.0)], SCHEMA)
+    assert largest_group(df, KEYS) == 5
+    assert choose_strategy(df, KEYS, max_group_rows=5) == "window"
+    assert choose_strategy(df, KEYS, max_group_rows=4) == "sorted"
+    assert largest_group(df.where(F.lit(False)), KEYS) == 0
+
+
 def test_unknown_strategy(spark):
     df = spark.createDataFrame([("a", 1, 35.0, 139.0, 1.0)], SCHEMA)
     with pytest.raises(ValueError):

@@ -21,7 +21,7 @@ def plan(df) -> str:
 @pytest.mark.parametrize("grain", [HOURLY, DAILY, MONTHLY])
 def test_sorted_stats_plan(spark, sf_dir, grain):
     src = positions_e if grain is HOURLY else positions_l
-    p = plan(build_stats(src(spark, sf_dir), grain))
+    p = plan(build_stats(src(spark, sf_dir), grain, strategy="sorted"))
     # One scan and one range exchange of the sample rows, shared (reused) by
     # the activity and motion aggregates; one Arrow pass; no row-at-a-time
     # Python, no global sort, no join.
@@ -44,9 +44,22 @@ def test_window_strategy_has_no_python(spark, sf_dir):
 
 
 def test_scan_is_pruned(spark, sf_dir):
-    df = build_stats(positions_l(spark, sf_dir), DAILY)
-    schemas = re.findall(r"ReadSchema: struct<([^>]*)>", df._jdf.queryExecution().executedPlan().toString())
-    assert schemas
-    for s in schemas:
-        cols = {c.split(":")[0] for c in s.split(",")}
-        assert "l_extendedprice" not in cols and "l_returnflag" not in cols and "l_comment" not in cols
+    for strategy in ("window", "sorted"):
+        df = build_stats(positions_l(spark, sf_dir), DAILY, strategy=strategy)
+        scans = re.findall(r"FileScan parquet \[([^\]]*)\]", plan(df))
+        assert scans
+        for s in scans:
+            cols = {c.split("#")[0] for c in s.split(",")}
+            assert cols == {
+                "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_discount", "l_tax", "l_shipdate",
+            }
+
+
+def test_auto_picks_window_for_bounded_buckets(spark, sf_dir):
+    p = plan(build_stats(positions_e(spark, sf_dir), HOURLY))
+    assert "MapInArrow" not in p and "rangepartitioning" not in p
+
+
+def test_auto_picks_sorted_above_threshold(spark, sf_dir):
+    p = plan(build_stats(positions_e(spark, sf_dir), HOURLY, max_group_rows=2))
+    assert "MapInArrow" in p
