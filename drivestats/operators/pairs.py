@@ -28,14 +28,19 @@ Two physical strategies, identical results:
 
 ``auto`` (what the plans use)
     Measure first, then plan: one partial-aggregated job finds the largest
-    group (a single row reaches the driver). If it is within
-    ``max_group_rows`` the window plan is used, otherwise the sorted one. This
-    is the skew counterpart of a size-checked broadcast.
+    group and the total row count (a single row reaches the driver). If the
+    largest group is within ``max_group_rows`` the window plan is used,
+    otherwise the sorted one: the skew counterpart of a size-checked
+    broadcast. The same numbers size the shuffle: about ``rows_per_task`` rows
+    per partition, so slices and tasks grow with the data instead of with a
+    fixed setting (below the session's partition count, adaptive coalescing
+    keeps sizing it).
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
@@ -53,6 +58,14 @@ STRATEGIES = ("auto", "sorted", "window")
 # Largest group the window strategy may sort in one task. Above it the sorted
 # strategy splits the group over many tasks.
 DEFAULT_MAX_GROUP_ROWS = 10_000_000
+# Target rows per task of the pair shuffle (a few hundred MB of sample rows).
+DEFAULT_ROWS_PER_TASK = 4_000_000
+
+
+@dataclass(frozen=True)
+class PairPlan:
+    strategy: str
+    partitions: int | None  # None: the session's shuffle partitions, adaptively coalesced
 
 
 def _zero(m: Measure) -> Column:
@@ -65,28 +78,55 @@ def _row_measures(measures: Sequence[Measure], carry: Sequence[str]) -> list[Col
     return [F.sum(m.fn(prev, cur)).alias(f"_rows_{m.name}") for m in measures]
 
 
+def group_sizes(df: DataFrame, keys: Sequence[str]) -> tuple[int, int]:
+    """(rows in the biggest group, total rows): partial-aggregated counts, one row back."""
+    row = df.groupBy(*keys).count().agg(F.max("count").alias("m"), F.sum("count").alias("n")).first()
+    if row is None or row["n"] is None:
+        return 0, 0
+    return int(row["m"]), int(row["n"])
+
+
 def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
-    """Row count of the biggest group: a partial-aggregated count, one row back."""
-    row = df.groupBy(*keys).count().agg(F.max("count").alias("m")).first()
-    return int(row["m"] or 0) if row is not None else 0
+    return group_sizes(df, keys)[0]
+
+
+def plan_pairs(
+    df: DataFrame,
+    keys: Sequence[str],
+    max_group_rows: int = DEFAULT_MAX_GROUP_ROWS,
+    rows_per_task: int = DEFAULT_ROWS_PER_TASK,
+) -> PairPlan:
+    """Strategy and shuffle width from the measured group sizes."""
+    biggest, total = group_sizes(df, keys)
+    strategy = "window" if biggest <= max_group_rows else "sorted"
+    needed = -(-total // max(1, rows_per_task))
+    default = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return PairPlan(strategy, needed if needed > default else None)
 
 
 def choose_strategy(df: DataFrame, keys: Sequence[str], max_group_rows: int = DEFAULT_MAX_GROUP_ROWS) -> str:
     """``window`` when every group fits one task comfortably, else ``sorted``."""
-    return "window" if largest_group(df, keys) <= max_group_rows else "sorted"
+    return plan_pairs(df, keys, max_group_rows).strategy
 
 
-def shuffle_for_pairs(df: DataFrame, keys: Sequence[str], order: Sequence[str], strategy: str = "sorted") -> DataFrame:
+def shuffle_for_pairs(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    strategy: str = "sorted",
+    partitions: int | None = None,
+) -> DataFrame:
     """The one shuffle of the rows that ``ordered_pair_sums`` performs.
 
     Exposed so that other aggregates over the same rows can be planned on the
     same exchange: identical exchange subtrees are computed once (exchange
     reuse), so the source is scanned and shuffled once for all of them.
     """
+    width = [partitions] if partitions else []
     if strategy == "sorted":
-        return df.repartitionByRange(*[F.col(c).asc_nulls_first() for c in [*keys, *order]])
+        return df.repartitionByRange(*width, *[F.col(c).asc_nulls_first() for c in [*keys, *order]])
     if strategy == "window":
-        return df.repartition(*keys)
+        return df.repartition(*width, *keys)
     raise ValueError(f"unknown strategy {strategy!r}; expected one of {STRATEGIES}")
 
 
@@ -99,6 +139,7 @@ def ordered_pair_sums(
     strategy: str = "auto",
     companions: Sequence[Column] = (),
     max_group_rows: int = DEFAULT_MAX_GROUP_ROWS,
+    rows_per_task: int = DEFAULT_ROWS_PER_TASK,
 ) -> DataFrame:
     """One row per group: ``keys``, the ``companions`` and one column per measure.
 
@@ -117,9 +158,11 @@ def ordered_pair_sums(
     missing = [c for c in carry if c not in order]
     if missing:
         raise ValueError(f"carried columns must be part of the order key: {missing}")
+    partitions = None
     if strategy == "auto":
-        strategy = choose_strategy(df, keys, max_group_rows)
-    shuffled = shuffle_for_pairs(df, keys, order, strategy)
+        chosen = plan_pairs(df, keys, max_group_rows, rows_per_task)
+        strategy, partitions = chosen.strategy, chosen.partitions
+    shuffled = shuffle_for_pairs(df, keys, order, strategy, partitions)
     if strategy == "window":
         return _by_window(shuffled, keys, order, carry, measures, companions)
     out = _by_sorted_slices(shuffled, keys, order, carry, measures)

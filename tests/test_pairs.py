@@ -112,6 +112,25 @@ def test_auto_strategy_choice(spark):
     assert largest_group(df.where(F.lit(False)), KEYS) == 0
 
 
+def test_auto_sizes_the_shuffle_from_the_data(spark):
+    from drivestats.operators.pairs import plan_pairs
+
+    rows = [("hot", i, 35.0, 139.0 + i * 1e-4, float(i % 50)) for i in range(3000)]
+    rows += [(f"c{j}", 1, 35.0, 139.0, 1.0) for j in range(30)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    small = plan_pairs(df, KEYS, max_group_rows=10_000, rows_per_task=1_000_000)
+    assert small.strategy == "window" and small.partitions is None
+    wide = plan_pairs(df, KEYS, max_group_rows=1_000, rows_per_task=100)
+    assert wide.strategy == "sorted" and wide.partitions == 31
+    out = ordered_pair_sums(df, KEYS, ORDER, CARRIED, MEASURES, strategy="auto", max_group_rows=1_000, rows_per_task=100)
+    dicts = [dict(zip(["g", "ct", "latitude", "longitude", "s"], r)) for r in rows]
+    want = pair_sums(dicts, KEYS, ORDER)
+    got = {(r["g"],): r for r in out.collect()}
+    for g, w in want.items():
+        for k, v in w.items():
+            assert got[g][k] == pytest.approx(v, rel=1e-9, abs=1e-6)
+
+
 def test_unknown_strategy(spark):
     df = spark.createDataFrame([("a", 1, 35.0, 139.0, 1.0)], SCHEMA)
     with pytest.raises(ValueError):
