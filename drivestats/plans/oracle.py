@@ -227,6 +227,8 @@ JOIN ({trip_sql(norm_e_null, hourly_keep_null, activity=False, distance=False, e
         "daily_stats": daily_l,
         "monthly_stats": monthly_l,
         "monthly_stats_calendar": stats_sql(l, MONTHLY_CALENDAR),
+        "hourly_stats_sliced": hourly_e,
+        "daily_stats_sliced": daily_l,
         "daily_stats_minutes": stats_sql(l, DAILY, sample_seconds=60.0),
         "partition_paths_hourly": partition_paths_sql(hourly_e, HOURLY.output_parts),
         "partition_paths_daily": partition_paths_sql(daily_e, DAILY.output_parts),

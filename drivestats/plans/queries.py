@@ -110,6 +110,10 @@ def registry() -> dict[str, Query]:
         "daily_stats": daily_stats,
         "monthly_stats": monthly_stats,
         "monthly_stats_calendar": monthly_stats_calendar,
+        # The same statistics forced onto the range-sliced (hot-bucket) plan,
+        # so the oracle check covers the path ``auto`` takes under skew.
+        "hourly_stats_sliced": lambda s, d: build_stats(e(s, d), HOURLY, strategy="sorted"),
+        "daily_stats_sliced": lambda s, d: build_stats(l(s, d), DAILY, strategy="sorted"),
         "daily_stats_minutes": daily_stats_minutes,
         "partition_paths_hourly": lambda s, d: partition_paths(hourly_stats(s, d), HOURLY.output_parts),
         "partition_paths_daily": lambda s, d: partition_paths(build_stats(e(s, d), DAILY), DAILY.output_parts),
