@@ -36,22 +36,18 @@ def rollup_stats(trips: DataFrame, grain: Grain, sample_seconds: float = 1.0) ->
         aggs += [F.sum(c).alias(c) for c in EVENT_TOTALS]
     out = trips.groupBy(*keys).agg(*aggs)
 
-    parts = {}
+    cols = {c: F.col(c) for c in out.columns}
     if "date" in keys:
-        parts = {"year": F.year("date"), "month": F.month("date"), "day": F.dayofmonth("date")}
-    derived = {p: e for p, e in parts.items() if p not in keys and p in grain.output_cols}
-    if derived:
-        out = out.withColumns(derived)
-
-    ratios = {"avg_distance": F.try_divide(F.col("total_distance"), F.col("trip_count"))}
+        for p, e in {"year": F.year("date"), "month": F.month("date"), "day": F.dayofmonth("date")}.items():
+            if p not in keys and p in grain.output_cols:
+                cols[p] = e
+    trip_count = F.col("trip_count")
+    cols["avg_distance"] = F.try_divide(F.col("total_distance"), trip_count).cast("double")
     if grain.with_events:
-        ratios["avg_driving_time"] = F.try_divide(F.col("total_driving_time"), F.col("trip_count"))
+        cols["avg_driving_time"] = F.try_divide(F.col("total_driving_time"), trip_count).cast("double")
         for total, avg in zip(EVENT_TOTALS, EVENT_AVGS):
-            ratios[avg] = F.try_divide(F.col(total), F.col("trip_count"))
-    out = out.withColumns({k: v.cast("double") for k, v in ratios.items()})
-
-    if grain.year_month == "unpadded":
-        out = out.withColumn("year_month", year_month_unpadded(F.col("year"), F.col("month")))
-    elif grain.year_month == "padded":
-        out = out.withColumn("year_month", year_month_padded(F.col("year"), F.col("month")))
-    return out.select(*grain.output_cols)
+            cols[avg] = F.try_divide(F.col(total), trip_count).cast("double")
+    if grain.year_month:
+        shape = year_month_unpadded if grain.year_month == "unpadded" else year_month_padded
+        cols["year_month"] = shape(cols["year"], cols["month"])
+    return out.select(*[cols[c].alias(c) for c in grain.output_cols])

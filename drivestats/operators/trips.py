@@ -88,12 +88,12 @@ def _measures(with_distance: bool, with_events: bool, thresholds: EventThreshold
 
 
 def _rename(df: DataFrame) -> DataFrame:
-    if "distance_m" in df.columns:
-        df = df.withColumn("total_distance", F.round("distance_m").cast("long"))
-    for src, dst in EVENT_COLUMNS.items():
-        if src in df.columns:
-            df = df.withColumnRenamed(src, dst)
-    return df
+    cols = []
+    for c in df.columns:
+        cols.append(F.col(c).alias(EVENT_COLUMNS.get(c, c)))
+        if c == "distance_m":
+            cols.append(F.round("distance_m").cast("long").alias("total_distance"))
+    return df.select(*cols)
 
 
 def trip_metrics(
@@ -164,8 +164,4 @@ def join_trip_events(trips: DataFrame, events: DataFrame, keys: Sequence[str]) -
     aggregates hash-partitioned on the same keys, so no extra exchange is
     planned for the sort-merge join.
     """
-    keys = list(keys)
-    ev_cols = [c for c in events.columns if c not in keys]
-    return trips.join(events.select(*keys, *ev_cols), on=keys, how="inner").select(
-        *[trips[c] if c not in keys else F.col(c) for c in trips.columns], *ev_cols
-    )
+    return trips.join(events, on=list(keys), how="inner")

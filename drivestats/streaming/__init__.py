@@ -1,0 +1,7 @@
+"""No streaming operators.
+
+The reference is batch only: every read is a batch read, every write a batch
+write, and its "watermark" is the newest published partition (a batch
+high-water mark), implemented in ``drivestats.operators.partitions`` and
+``drivestats.plans.job``. This package is intentionally empty.
+"""
