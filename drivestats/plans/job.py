@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from drivestats.functions.motion import DEFAULT_THRESHOLDS, EventThresholds
 from drivestats.functions.timeparts import partition_after
 from drivestats.operators.pairs import DEFAULT_MAX_GROUP_ROWS
-from drivestats.operators.partitions import latest_partition_time
+from drivestats.operators.partitions import latest_partition, latest_partition_time
 from drivestats.plans.grains import Grain, grain as as_grain
 from drivestats.plans.stats import build_stats
 from drivestats.sources import gold
@@ -83,7 +83,13 @@ def run(
 
     if positions.isEmpty():
         log.info("no new source data for %s after %s", g.name, watermark)
-        return RunResult(g.name, load_type, watermark, wrote=False)
+        name = None
+        if table and watermark is not None:
+            newest = latest_partition(gold.read_gold(spark, target_path), g.output_parts).first().asDict()
+            if gold.ensure_registered(spark, target_path, database, table, g.output_parts, newest):
+                log.warning("catalog for %s lacked published partitions; re-registered", table)
+            name = gold.table_name(database, table)
+        return RunResult(g.name, load_type, watermark, wrote=False, table=name)
 
     stats = build_stats(
         positions, g, sample_seconds=sample_seconds, thresholds=thresholds, strategy=strategy,

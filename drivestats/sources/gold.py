@@ -121,5 +121,25 @@ def register_table(
     return name
 
 
+def ensure_registered(
+    spark: SparkSession, path: str, database: str | None, table: str, parts: Sequence[str], newest: dict
+) -> bool:
+    """Repair after a run that wrote data but died before registering it.
+
+    If the catalog lacks the newest published partition, re-discover all
+    partitions (idempotent). Returns whether a repair was needed.
+    """
+    qualified = f"{database}.{table}" if database else table
+    if not spark.catalog.tableExists(qualified):
+        register_table(spark, path, database, table, parts, FULL_LOAD)
+        return True
+    spec = ", ".join(f"{_ident(c)}={int(newest[c])}" for c in parts)
+    if spark.sql(f"SHOW PARTITIONS {table_name(database, table)} PARTITION ({spec})").isEmpty():
+        spark.catalog.recoverPartitions(qualified)
+        spark.catalog.refreshTable(qualified)
+        return True
+    return False
+
+
 def read_table(spark: SparkSession, database: str | None, table: str) -> DataFrame:
     return spark.table(f"{database}.{table}" if database else table)

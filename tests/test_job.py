@@ -110,3 +110,28 @@ def test_incremental_filter_prunes_partitions(spark, silver):
     src = spark.read.parquet(silver)
     want = src.where(F.make_timestamp_ntz("year", "month", "day", "hour", F.lit(0), F.lit(0)) > F.lit(dt.datetime(2024, 1, 15, 11)).cast("timestamp_ntz"))
     assert df.count() == want.count()
+
+
+def test_catalog_repaired_after_unregistered_write(spark, silver):
+    """A run that wrote but died before registering is repaired by the next (no-op) run."""
+    target = work_path(spark, "t_repair")
+    src = spark.read.parquet(silver)
+    history = src.where(~partition_after(DAILY.source_parts, dt.datetime(2024, 1, 20)))
+    run(spark, DAILY, "FULL_LOAD", history, target, database="ds_test", table="daily_repair")
+    # Simulate the crash: publish the rest without touching the catalog.
+    run(spark, DAILY, "INCREMENTAL", silver, target)
+    assert spark.table("ds_test.daily_repair").count() < 30
+    res = run(spark, DAILY, "INCREMENTAL", silver, target, database="ds_test", table="daily_repair")
+    assert not res.wrote
+    assert spark.table("ds_test.daily_repair").count() == 30
+
+
+@pytest.mark.parametrize("strategy", ["sorted", "auto"])
+def test_history_plus_incremental_equals_full_sliced(spark, silver, strategy):
+    target = work_path(spark, f"t_inc_sliced_{strategy}")
+    src = spark.read.parquet(silver)
+    history = src.where(~partition_after(HOURLY.source_parts, dt.datetime(2024, 1, 9, 13)))
+    kw = {"strategy": strategy, "max_group_rows": 5} if strategy == "auto" else {"strategy": strategy}
+    run(spark, HOURLY, "FULL_LOAD", history, target, **kw)
+    run(spark, HOURLY, "INCREMENTAL", silver, target, **kw)
+    same_rows(gold.read_gold(spark, target), build_stats(src, HOURLY, strategy="window"))

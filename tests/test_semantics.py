@@ -168,3 +168,14 @@ def test_latest_partition_dataframe_and_sql_agree(spark):
     assert a == b and (a[0]["year"], a[0]["month"], a[0]["day"], a[0]["hour"]) == (2024, 2, 1, 0)
     assert latest_partition_time(stats, HOURLY.output_parts) == dt.datetime(2024, 2, 1, 0)
     assert latest_partition_time(stats.where(F.lit(False)), HOURLY.output_parts) is None
+
+
+def test_hot_trip_bucket_auto_switches_and_matches(spark, sf_dir):
+    """Every user's samples under one trip id per day: auto must take the sliced plan."""
+    from drivestats.sources.fixtures import positions_e
+
+    hot = positions_e(spark, sf_dir).withColumn("trip_id", F.concat(F.lit("fleet-"), F.to_date("ts").cast("string")))
+    got = build_stats(hot, DAILY, max_group_rows=10)
+    want = build_stats(hot, DAILY, strategy="window")
+    cols = sorted(got.columns)
+    assert sorted(map(tuple, got.select(*cols).collect())) == sorted(map(tuple, want.select(*cols).collect()))
