@@ -37,11 +37,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     On a cluster this is set by the cluster; it is only filled in here when
     unset (tests, local runs).
     """
-    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    d = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
+        # Only for local runs: a cluster names a shared folder in its config.
         d = os.path.join(tempfile.gettempdir(), "drivestats-checkpoints")
-        spark.conf.set("spark.checkpoint.dir", d)
         spark.sparkContext.setCheckpointDir(d)
+        d = spark.sparkContext.getCheckpointDir() or d
     return d
 
 

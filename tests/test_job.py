@@ -88,7 +88,7 @@ def test_catalog_registration_full_then_incremental(spark, silver):
     src = spark.read.parquet(silver)
     history = src.where(~partition_after(DAILY.source_parts, dt.datetime(2024, 1, 20)))
     run(spark, DAILY, "FULL_LOAD", history, target, database="ds_test", table="daily_stat")
-    assert spark.catalog.tableExists("daily_stat", "ds_test")
+    assert spark.catalog.tableExists("ds_test.daily_stat")
     n_hist = spark.table("ds_test.daily_stat").count()
     res = run(spark, DAILY, "INCREMENTAL", silver, target, database="ds_test", table="daily_stat")
     assert res.load_type == "INCREMENTAL"
