@@ -15,7 +15,7 @@ from drivestats.operators.partitions import latest_partition, latest_partition_t
 from drivestats.plans.grains import Grain, grain as as_grain
 from drivestats.plans.stats import build_stats
 from drivestats.sources import gold
-from drivestats.sources.positions import check_positions
+from drivestats.sources.positions import check_positions, read_positions
 
 log = logging.getLogger("drivestats")
 
@@ -74,7 +74,7 @@ def run(
         if watermark is None:
             load_type = gold.FULL_LOAD
 
-    positions = check_positions(spark.read.parquet(source) if isinstance(source, str) else source)
+    positions = read_positions(spark, source) if isinstance(source, str) else check_positions(source)
     read_from = watermark
     if watermark is not None and reprocess_latest:
         read_from = watermark - dt.timedelta(microseconds=1)

@@ -135,3 +135,15 @@ def test_history_plus_incremental_equals_full_sliced(spark, silver, strategy):
     run(spark, HOURLY, "FULL_LOAD", history, target, **kw)
     run(spark, HOURLY, "INCREMENTAL", silver, target, **kw)
     same_rows(gold.read_gold(spark, target), build_stats(src, HOURLY, strategy="window"))
+
+
+def test_command_line_entry(spark, silver):
+    from drivestats.__main__ import main
+
+    target = work_path(spark, "t_cli")
+    out = main(["monthly", "INCREMENTAL", "--source", silver, "--target", target], spark=spark)
+    assert out["load_type"] == "FULL_LOAD" and out["wrote"]
+    again = main(["monthly", "INCREMENTAL", "--source", silver, "--target", target], spark=spark)
+    assert again["load_type"] == "INCREMENTAL" and not again["wrote"]
+    with pytest.raises(ValueError):
+        main(["monthly", "NIGHTLY", "--source", silver, "--target", target], spark=spark)
