@@ -39,7 +39,7 @@ Two physical strategies, identical results:
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark import cloudpickle
@@ -137,17 +137,27 @@ def ordered_pair_sums(
     carry: Sequence[str],
     measures: Sequence[Measure],
     strategy: str = "auto",
-    companions: Sequence[Column] = (),
+    counts: Mapping[str, str] | None = None,
+    distinct_counts: Mapping[str, str] | None = None,
     max_group_rows: int = DEFAULT_MAX_GROUP_ROWS,
     rows_per_task: int = DEFAULT_ROWS_PER_TASK,
 ) -> DataFrame:
-    """One row per group: ``keys``, the ``companions`` and one column per measure.
-
-    ``companions`` are ordinary aggregates over the same groups (distinct
-    counts, row counts). They are computed from the same single shuffle of the
-    rows: in the window strategy inside the aggregate after the window, in the
-    sorted strategy as a second aggregate over the reused range exchange,
-    merged per group with a union (which keeps null keys as groups).
+    """One row per group: ``keys``, one column per measure, and the companions.
+
+    ``counts`` / ``distinct_counts`` map an output name to a column whose
+    non-null values (distinct values) are counted per group, from the same
+    single shuffle of the rows:
+
+    * window strategy: the rows are already hash-partitioned by the keys, so
+      the first occurrence of each value is flagged by a window partitioned by
+      (keys, value), which costs a local sort and no exchange, and everything
+      is summed in the one aggregate after the lag window. (Several distinct
+      aggregates in one ``agg`` would go through Expand, which forgets the
+      partitioning and adds two exchanges.)
+    * sorted strategy: one companion aggregate over the reused range exchange
+      (Expand + map-side partial aggregation keyed by the distinct value, so a
+      hot group is split by value before its reduced exchanges), merged with
+      the pair sums by a union, which keeps null keys as groups.
 
     ``order`` is ascending with nulls first; ties on the whole order key carry
     identical values (``carry`` is part of it), so tie order cannot change any
@@ -155,44 +165,59 @@ def ordered_pair_sums(
     Groups with no pair get 0.
     """
     keys, order, carry = list(keys), list(order), list(carry)
+    counts, distinct_counts = dict(counts or {}), dict(distinct_counts or {})
     missing = [c for c in carry if c not in order]
     if missing:
         raise ValueError(f"carried columns must be part of the order key: {missing}")
+    if strategy not in STRATEGIES:
+        raise ValueError(f"unknown strategy {strategy!r}; expected one of {STRATEGIES}")
     partitions = None
     if strategy == "auto":
         chosen = plan_pairs(df, keys, max_group_rows, rows_per_task)
         strategy, partitions = chosen.strategy, chosen.partitions
     shuffled = shuffle_for_pairs(df, keys, order, strategy, partitions)
     if strategy == "window":
-        return _by_window(shuffled, keys, order, carry, measures, companions)
+        return _by_window(shuffled, keys, order, carry, measures, counts, distinct_counts)
     out = _by_sorted_slices(shuffled, keys, order, carry, measures)
-    if not companions:
+    if not counts and not distinct_counts:
         return out
-    side = shuffled.groupBy(*keys).agg(*companions)
-    merged = side.unionByName(out, allowMissingColumns=True)
-    cols = [c for c in side.columns if c not in keys] + [m.name for m in measures]
+    side = shuffled.groupBy(*keys).agg(
+        *[F.count_distinct(c).alias(n) for n, c in distinct_counts.items()],
+        *[F.count(c).alias(n) for n, c in counts.items()],
+    )
+    merged = out.unionByName(side, allowMissingColumns=True)
+    cols = [m.name for m in measures] + list(distinct_counts) + list(counts)
     return merged.groupBy(*keys).agg(*[F.max(c).alias(c) for c in cols])
 
 
-def _finish(agg: DataFrame, keys: list[str], measures: Sequence[Measure], boundary, extra=()) -> DataFrame:
-    out = [F.col(k) for k in keys] + [F.col(c) for c in extra]
+def _measure_totals(measures: Sequence[Measure], boundary=None) -> list[Column]:
+    """Final measure columns: in-slice (or in-group) sums plus restored edge pairs."""
+    out = []
     for m in measures:
         total = F.coalesce(F.col(f"_rows_{m.name}"), _zero(m))
         if boundary is not None:
             total = total + boundary(m)
         out.append(total.cast(m.dtype).alias(m.name))
-    return agg.select(*out)
+    return out
 
 
-def _by_window(shuffled, keys, order, carry, measures, companions) -> DataFrame:
-    # Rows are already hash-partitioned by the keys: the window adds only a
-    # sort, and the aggregate after it (distinct counts included) needs no
-    # further exchange.
+def _by_window(shuffled, keys, order, carry, measures, counts, distinct_counts) -> DataFrame:
+    # Rows are already hash-partitioned by the keys: every window below and
+    # the aggregate after them add local sorts only, no exchange.
     w = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_first() for c in order])
     rows = shuffled.select("*", *[F.lag(c).over(w).alias(f"prev_{c}") for c in carry])
-    agg = rows.groupBy(*keys).agg(*companions, *_row_measures(measures, carry))
-    extra = [c for c in agg.columns if c not in keys and not c.startswith("_rows_")]
-    return _finish(agg, keys, measures, None, extra)
+    flags = []
+    for name, c in distinct_counts.items():
+        first = F.row_number().over(Window.partitionBy(*keys, c).orderBy(c)) == 1
+        flags.append(F.when(first & F.col(c).isNotNull(), 1).otherwise(0).alias(f"_first_{name}"))
+    if flags:
+        rows = rows.select("*", *flags)
+    agg = rows.groupBy(*keys).agg(
+        *_row_measures(measures, carry),
+        *[F.sum(f"_first_{n}").cast("long").alias(n) for n in distinct_counts],
+        *[F.count(c).alias(n) for n, c in counts.items()],
+    )
+    return agg.select(*keys, *_measure_totals(measures), *distinct_counts, *counts)
 
 
 def _by_sorted_slices(shuffled, keys, order, carry, measures) -> DataFrame:
@@ -228,4 +253,4 @@ def _by_sorted_slices(shuffled, keys, order, carry, measures) -> DataFrame:
         *[F.sum(f"_rows_{m.name}").alias(f"_rows_{m.name}") for m in measures],
         *[F.sum(m.fn(prev, head)).alias(f"_edge_{m.name}") for m in measures],
     )
-    return _finish(out, keys, measures, lambda m: F.coalesce(F.col(f"_edge_{m.name}"), _zero(m)))
+    return out.select(*keys, *_measure_totals(measures, lambda m: F.coalesce(F.col(f"_edge_{m.name}"), _zero(m))))

@@ -52,12 +52,14 @@ def bucket_samples(positions: DataFrame, grain: Grain) -> DataFrame:
     return positions.where(cond)
 
 
+# Activity per trip bucket: output name -> counted column.
+ACTIVITY_DISTINCT = {"user_count": "user_id", "vehicle_count": "vehicle_id"}
+ACTIVITY_COUNTS = {"total_driving_time": "ct", "size_of_latitude": "latitude"}
+
+
 def activity_aggs() -> list[Column]:
-    return [
-        F.count_distinct("user_id").alias("user_count"),
-        F.count_distinct("vehicle_id").alias("vehicle_count"),
-        F.count("ct").alias("total_driving_time"),
-        F.count("latitude").alias("size_of_latitude"),
+    return [F.count_distinct(c).alias(n) for n, c in ACTIVITY_DISTINCT.items()] + [
+        F.count(c).alias(n) for n, c in ACTIVITY_COUNTS.items()
     ]
 
 
@@ -114,7 +116,7 @@ def trip_metrics(
     the four ``total_*_count`` event columns.
 
     Activity (distinct counts) and motion (ordered pairs) come from one scan
-    and one shuffle of the samples (see ``ordered_pair_sums`` companions).
+    and one shuffle of the samples (see ``ordered_pair_sums`` counts).
     """
     if with_events is None:
         with_events = grain.with_events
@@ -130,7 +132,8 @@ def trip_metrics(
         carry=CARRIED,
         measures=measures,
         strategy=strategy,
-        companions=activity_aggs() if with_activity else (),
+        counts=ACTIVITY_COUNTS if with_activity else None,
+        distinct_counts=ACTIVITY_DISTINCT if with_activity else None,
         max_group_rows=max_group_rows,
     )
     return _rename(out)

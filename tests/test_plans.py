@@ -40,7 +40,13 @@ def test_window_strategy_has_no_python(spark, sf_dir):
     p = plan(build_stats(positions_e(spark, sf_dir), HOURLY, strategy="window"))
     assert "MapInArrow" not in p and "BatchEvalPython" not in p
     assert "rangepartitioning" not in p
-    assert sum("FileScan" in x for x in p.splitlines()) == 1
+    lines = p.splitlines()
+    assert sum("FileScan" in x for x in lines) == 1
+    # One shuffle of the samples (by trip bucket) and one of trip-bucket rows
+    # (rollup); the distinct counts use local windows, not Expand.
+    exchanges = [x for x in lines if "Exchange hashpartitioning" in x]
+    assert len(exchanges) == 2, exchanges
+    assert "Expand" not in p
 
 
 def test_scan_is_pruned(spark, sf_dir):
