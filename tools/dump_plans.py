@@ -18,7 +18,7 @@ from drivestats.sources.fixtures import positions_e  # noqa: E402
 
 
 def final_plan(df) -> str:
-    df.write.format("noop").mode("overwrite").save()
+    df.collect()  # run this DataFrame's own execution so the adaptive plan is final
     text = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     text = re.sub(r"#\d+L?", "", text)  # expression ids
     return "\n".join(line[:160] for line in text.splitlines())
