@@ -4,9 +4,9 @@ This is the operator behind trip distance and speed events: every sample is
 paired with its predecessor in ``order`` inside its group (trip bucket), a
 measure is evaluated per pair, and the measures are summed per group.
 
-Two physical strategies, identical results:
+Two physical plans with identical results, and a rule to choose between them:
 
-``sorted`` (default, skew-safe)
+``sorted`` (skew-safe)
     ``repartitionByRange(keys + order)`` samples the full sort key, so a hot
     group (one trip bucket holding a third of all rows, a default trip id, a
     repeated counter) is cut into many contiguous slices on many tasks. Each
@@ -22,11 +22,11 @@ Two physical strategies, identical results:
     exchange); everything after it moves per-slice rows only.
 
 ``window``
-    ``lag`` over ``Window.partitionBy(keys).orderBy(order)``: one hash shuffle
-    and no Python, but a whole group is sorted in one task, so it is only safe
-    when every group is known to be bounded.
+    ``lag`` over ``Window.partitionBy(keys).orderBy(order)`` on rows
+    hash-partitioned by the keys: one shuffle and no Python, but a whole group
+    is sorted in one task, so it is only safe when every group is bounded.
 
-``auto`` (what the plans use)
+``auto`` (default; what the plans use)
     Measure first, then plan: one partial-aggregated job finds the largest
     group and the total row count (a single row reaches the driver). If the
     largest group is within ``max_group_rows`` the window plan is used,
