@@ -32,9 +32,9 @@ Two physical plans with identical results, and a rule to choose between them:
     largest group is within ``max_group_rows`` the window plan is used,
     otherwise the sorted one: the skew counterpart of a size-checked
     broadcast. The same numbers size the shuffle: about ``rows_per_task`` rows
-    per partition, so slices and tasks grow with the data instead of with a
-    fixed setting (below the session's partition count, adaptive coalescing
-    keeps sizing it).
+    per partition (at most ``DEFAULT_MAX_PARTITIONS`` partitions), so slices
+    and tasks grow with the data instead of with a fixed setting (below the
+    session's partition count, adaptive coalescing keeps sizing it).
 """
 
 from __future__ import annotations
@@ -60,6 +60,9 @@ STRATEGIES = ("auto", "sorted", "window")
 DEFAULT_MAX_GROUP_ROWS = 10_000_000
 # Target rows per task of the pair shuffle (a few hundred MB of sample rows).
 DEFAULT_ROWS_PER_TASK = 4_000_000
+# Upper bound on the pair shuffle's width: past it, tasks grow instead of the
+# number of shuffle blocks (map tasks x partitions).
+DEFAULT_MAX_PARTITIONS = 100_000
 
 
 @dataclass(frozen=True)
@@ -99,7 +102,7 @@ def plan_pairs(
     """Strategy and shuffle width from the measured group sizes."""
     biggest, total = group_sizes(df, keys)
     strategy = "window" if biggest <= max_group_rows else "sorted"
-    needed = -(-total // max(1, rows_per_task))
+    needed = min(-(-total // max(1, rows_per_task)), DEFAULT_MAX_PARTITIONS)
     default = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return PairPlan(strategy, needed if needed > default else None)
 
