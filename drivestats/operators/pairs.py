@@ -65,6 +65,17 @@ DEFAULT_ROWS_PER_TASK = 4_000_000
 DEFAULT_MAX_PARTITIONS = 100_000
 
 
+# Session settings that override the defaults above (cluster tuning without code).
+CONF_MAX_GROUP_ROWS = "spark.drivestats.maxGroupRows"
+CONF_ROWS_PER_TASK = "spark.drivestats.rowsPerTask"
+CONF_MAX_PARTITIONS = "spark.drivestats.maxPartitions"
+
+
+def _conf_int(df: DataFrame, key: str, default: int) -> int:
+    value = df.sparkSession.conf.get(key, None)
+    return int(value) if value else default
+
+
 @dataclass(frozen=True)
 class PairPlan:
     strategy: str
@@ -96,18 +107,27 @@ def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
 def plan_pairs(
     df: DataFrame,
     keys: Sequence[str],
-    max_group_rows: int = DEFAULT_MAX_GROUP_ROWS,
-    rows_per_task: int = DEFAULT_ROWS_PER_TASK,
+    max_group_rows: int | None = None,
+    rows_per_task: int | None = None,
 ) -> PairPlan:
-    """Strategy and shuffle width from the measured group sizes."""
+    """Strategy and shuffle width from the measured group sizes.
+
+    Limits not given here come from the session (``spark.drivestats.*``), then
+    from the module defaults.
+    """
+    if max_group_rows is None:
+        max_group_rows = _conf_int(df, CONF_MAX_GROUP_ROWS, DEFAULT_MAX_GROUP_ROWS)
+    if rows_per_task is None:
+        rows_per_task = _conf_int(df, CONF_ROWS_PER_TASK, DEFAULT_ROWS_PER_TASK)
+    max_partitions = _conf_int(df, CONF_MAX_PARTITIONS, DEFAULT_MAX_PARTITIONS)
     biggest, total = group_sizes(df, keys)
     strategy = "window" if biggest <= max_group_rows else "sorted"
-    needed = min(-(-total // max(1, rows_per_task)), DEFAULT_MAX_PARTITIONS)
+    needed = min(-(-total // max(1, rows_per_task)), max_partitions)
     default = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return PairPlan(strategy, needed if needed > default else None)
 
 
-def choose_strategy(df: DataFrame, keys: Sequence[str], max_group_rows: int = DEFAULT_MAX_GROUP_ROWS) -> str:
+def choose_strategy(df: DataFrame, keys: Sequence[str], max_group_rows: int | None = None) -> str:
     """``window`` when every group fits one task comfortably, else ``sorted``."""
     return plan_pairs(df, keys, max_group_rows).strategy
 
@@ -142,8 +162,8 @@ def ordered_pair_sums(
     strategy: str = "auto",
     counts: Mapping[str, str] | None = None,
     distinct_counts: Mapping[str, str] | None = None,
-    max_group_rows: int = DEFAULT_MAX_GROUP_ROWS,
-    rows_per_task: int = DEFAULT_ROWS_PER_TASK,
+    max_group_rows: int | None = None,
+    rows_per_task: int | None = None,
 ) -> DataFrame:
     """One row per group: ``keys``, one column per measure, and the companions.
 

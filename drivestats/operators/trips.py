@@ -23,7 +23,7 @@ from drivestats.functions.motion import (
     event_measures,
     speed_2dp,
 )
-from drivestats.operators.pairs import DEFAULT_MAX_GROUP_ROWS, ordered_pair_sums
+from drivestats.operators.pairs import ordered_pair_sums
 from drivestats.plans.grains import Grain
 
 # Order of samples inside a trip bucket. ``ct`` (the sample counter) leads, as
@@ -106,7 +106,7 @@ def trip_metrics(
     with_events: bool | None = None,
     thresholds: EventThresholds = DEFAULT_THRESHOLDS,
     strategy: str = "auto",
-    max_group_rows: int = DEFAULT_MAX_GROUP_ROWS,
+    max_group_rows: int | None = None,
 ) -> DataFrame:
     """Everything known about each trip bucket.
 

@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame, SparkSession
 
 from drivestats.functions.motion import DEFAULT_THRESHOLDS, EventThresholds
 from drivestats.functions.timeparts import partition_after
-from drivestats.operators.pairs import DEFAULT_MAX_GROUP_ROWS
 from drivestats.operators.partitions import latest_partition, latest_partition_time
 from drivestats.plans.grains import Grain, grain as as_grain
 from drivestats.plans.stats import build_stats
@@ -49,7 +48,7 @@ def run(
     thresholds: EventThresholds = DEFAULT_THRESHOLDS,
     strategy: str = "auto",
     reprocess_latest: bool = False,
-    max_group_rows: int = DEFAULT_MAX_GROUP_ROWS,
+    max_group_rows: int | None = None,
 ) -> RunResult:
     """Refresh the ``grain`` table at ``target_path`` from positions at ``source``.
 

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from drivestats.functions.motion import DEFAULT_THRESHOLDS, EventThresholds
-from drivestats.operators.pairs import DEFAULT_MAX_GROUP_ROWS
 from drivestats.operators.rollup import rollup_stats
 from drivestats.operators.trips import trip_metrics
 from drivestats.plans.grains import Grain, grain as as_grain
@@ -19,7 +18,7 @@ def build_stats(
     thresholds: EventThresholds = DEFAULT_THRESHOLDS,
     strategy: str = "auto",
     normalized: bool = False,
-    max_group_rows: int = DEFAULT_MAX_GROUP_ROWS,
+    max_group_rows: int | None = None,
 ) -> DataFrame:
     """Hourly / daily / monthly statistics from raw (or normalised) positions.
 

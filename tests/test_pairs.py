@@ -131,6 +131,18 @@ def test_auto_sizes_the_shuffle_from_the_data(spark):
             assert got[g][k] == pytest.approx(v, rel=1e-9, abs=1e-6)
 
 
+def test_limits_from_session_conf(spark):
+    from drivestats.operators.pairs import CONF_MAX_GROUP_ROWS, plan_pairs
+
+    df = spark.createDataFrame([("a", i, 35.0, 139.0, 1.0) for i in range(5)], SCHEMA)
+    spark.conf.set(CONF_MAX_GROUP_ROWS, "3")
+    try:
+        assert plan_pairs(df, KEYS).strategy == "sorted"
+    finally:
+        spark.conf.unset(CONF_MAX_GROUP_ROWS)
+    assert plan_pairs(df, KEYS).strategy == "window"
+
+
 def test_unknown_strategy(spark):
     df = spark.createDataFrame([("a", 1, 35.0, 139.0, 1.0)], SCHEMA)
     with pytest.raises(ValueError):
