@@ -63,6 +63,16 @@ def activity_aggs() -> list[Column]:
     ]
 
 
+_DATE_PARTS = {"year": F.year, "month": F.month, "day": F.dayofmonth}
+
+
+def with_bucket_keys(df: DataFrame, grain: Grain) -> DataFrame:
+    """Add back the key parts derived from ``date``; trip keys first."""
+    derived = {k: _DATE_PARTS[k](F.col("date")).alias(k) for k in grain.derived_keys}
+    rest = [c for c in df.columns if c not in grain.trip_keys]
+    return df.select(*[derived.get(k, F.col(k)) for k in grain.trip_keys], *rest)
+
+
 def trip_activity(positions: DataFrame, grain: Grain) -> DataFrame:
     """A1 without arrays: distinct users and vehicles, sample and point counts.
 
@@ -70,13 +80,14 @@ def trip_activity(positions: DataFrame, grain: Grain) -> DataFrame:
     distinct value first, so a hot bucket is split by user / vehicle and
     pre-aggregated before any shuffle.
     """
-    keys = list(grain.trip_keys)
-    return bucket_samples(positions, grain).groupBy(*keys).agg(*activity_aggs())
+    keys = list(grain.bucket_keys)
+    return with_bucket_keys(bucket_samples(positions, grain).groupBy(*keys).agg(*activity_aggs()), grain)
 
 
 def _pair_input(positions: DataFrame, grain: Grain) -> DataFrame:
+    # Only the non-derivable key parts travel through the sample shuffle.
     return bucket_samples(positions, grain).select(
-        *grain.trip_keys, "user_id", "vehicle_id", "ct", "ts", "latitude", "longitude", speed_2dp(F.col("sp")).alias("s")
+        *grain.bucket_keys, "user_id", "vehicle_id", "ct", "ts", "latitude", "longitude", speed_2dp(F.col("sp")).alias("s")
     )
 
 
@@ -127,7 +138,7 @@ def trip_metrics(
         return trip_activity(positions, grain)
     out = ordered_pair_sums(
         _pair_input(positions, grain),
-        keys=grain.trip_keys,
+        keys=grain.bucket_keys,
         order=SAMPLE_ORDER,
         carry=CARRIED,
         measures=measures,
@@ -136,7 +147,7 @@ def trip_metrics(
         distinct_counts=ACTIVITY_DISTINCT if with_activity else None,
         max_group_rows=max_group_rows,
     )
-    return _rename(out)
+    return with_bucket_keys(_rename(out), grain)
 
 
 def trip_distance(positions: DataFrame, grain: Grain, strategy: str = "auto") -> DataFrame:

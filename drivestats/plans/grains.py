@@ -32,6 +32,18 @@ class Grain:
     def trip_keys(self) -> tuple[str, ...]:
         return (*self.time_keys, "trip_id")
 
+    @property
+    def derived_keys(self) -> tuple[str, ...]:
+        """Time keys that are functions of ``date`` (day, month next to date)."""
+        if "date" not in self.time_keys:
+            return ()
+        return tuple(k for k in self.time_keys if k in ("year", "month", "day"))
+
+    @property
+    def bucket_keys(self) -> tuple[str, ...]:
+        """The trip-bucket key as shuffled: derivable parts are added back after aggregation."""
+        return tuple(k for k in self.trip_keys if k not in self.derived_keys)
+
 
 HOURLY = Grain(
     name="hourly",
