@@ -110,6 +110,16 @@ FROM (
 GROUP BY {keys}"""
 
 
+def traces_sql(norm: str, g: Grain) -> str:
+    keys = ", ".join(g.trip_keys)
+    return f"""SELECT {keys},
+       CAST(row_number() OVER (PARTITION BY {keys}
+            ORDER BY ct ASC NULLS FIRST, ts ASC NULLS FIRST, latitude ASC NULLS FIRST,
+                     longitude ASC NULLS FIRST, sp ASC NULLS FIRST) AS BIGINT) AS seq,
+       ct, ts, latitude, longitude, sp
+FROM ({norm}) WHERE {_key_filter(g)}"""
+
+
 def _avg(total: str) -> str:
     return f"CASE WHEN trip_count = 0 THEN NULL ELSE CAST({total} AS DOUBLE) / CAST(trip_count AS DOUBLE) END"
 
@@ -223,6 +233,7 @@ JOIN ({trip_sql(norm_e_null, hourly_keep_null, activity=False, distance=False, e
         "trip_driving_events_hourly": trip_sql(norm_e, HOURLY, activity=False, distance=False, events=True),
         "trip_driving_events_daily": trip_sql(norm_l, DAILY, activity=False, distance=False, events=True),
         "trip_events_joined": joined,
+        "trip_traces_daily": traces_sql(norm_l, DAILY),
         "hourly_stats": hourly_e,
         "daily_stats": daily_l,
         "monthly_stats": monthly_l,

@@ -14,6 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from drivestats.functions.timeparts import partition_after
+from drivestats.operators.traces import trace_points
 from drivestats.operators.partitions import latest_partition, new_data_by_month, partition_paths
 from drivestats.operators.trips import join_trip_events, trip_activity, trip_distance, trip_driving_events
 from drivestats.plans import oracle
@@ -106,6 +107,7 @@ def registry() -> dict[str, Query]:
         "trip_driving_events_hourly": lambda s, d: trip_driving_events(normalize(e(s, d)), HOURLY),
         "trip_driving_events_daily": lambda s, d: trip_driving_events(normalize(l(s, d)), DAILY),
         "trip_events_joined": trip_events_joined,
+        "trip_traces_daily": lambda s, d: trace_points(normalize(l(s, d)), DAILY),
         "hourly_stats": hourly_stats,
         "daily_stats": daily_stats,
         "monthly_stats": monthly_stats,

@@ -202,3 +202,28 @@ def test_bucket_grain_properties(spark, sf_dir):
     # A trip-day splits into one bucket per hour it touches; distance across hour edges is lost.
     assert hourly[0] >= daily[0] and hourly[1] <= daily[1]
     assert hourly[2] >= 1 and daily[2] >= 1
+
+
+@pytest.mark.parametrize("grain", [DAILY, MONTHLY])
+def test_trace_points_sliced_equals_window(spark, sf_dir, grain):
+    """Row-form traces: the hot-bucket plan (forced into many slices) numbers samples exactly as the window."""
+    from drivestats.operators.traces import trace_points
+    from drivestats.sources.fixtures import positions_l
+
+    p = normalize(positions_l(spark, sf_dir)).withColumn(
+        "trip_id", F.when(F.col("ct") % 5 != 0, F.col("trip_id"))  # some null trips for the monthly grain
+    )
+    old = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        a = trace_points(p, grain, strategy="window")
+        b = trace_points(p, grain, max_group_rows=1)
+        key = lambda r: tuple((x is None, str(x)) for x in r)
+        ra, rb = sorted(map(tuple, a.collect()), key=key), sorted(map(tuple, b.collect()), key=key)
+        assert ra == rb and len(ra) > 0
+        sizes = b.groupBy(*grain.trip_keys).agg(F.max("seq").alias("m"), F.count("*").alias("n"))
+        assert sizes.where("m != n").count() == 0  # seq runs 1..size without gaps
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
