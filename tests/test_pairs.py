@@ -147,3 +147,28 @@ def test_unknown_strategy(spark):
     df = spark.createDataFrame([("a", 1, 35.0, 139.0, 1.0)], SCHEMA)
     with pytest.raises(ValueError):
         ordered_pair_sums(df, KEYS, ORDER, CARRIED, MEASURES, strategy="nope")
+
+
+def test_arrow_helper_runs_without_the_package(tmp_path):
+    """Executors need no copy of drivestats: the helper is pickled by value."""
+    import subprocess
+    import sys
+
+    from pyspark import cloudpickle
+
+    from drivestats.operators import _slice_scan
+
+    blob = tmp_path / "helper.pkl"
+    blob.write_bytes(cloudpickle.dumps(_slice_scan.slice_neighbours(["g"], ["x"])))
+    code = (
+        "import sys, pickle, pyarrow as pa\n"
+        "sys.path = [p for p in sys.path if p not in ('', '.') and 'repo' not in p]\n"
+        "try:\n    import drivestats\n    raise SystemExit('package visible')\nexcept ImportError:\n    pass\n"
+        f"f = pickle.load(open({str(blob)!r}, 'rb'))\n"
+        "b = pa.RecordBatch.from_arrays([pa.array(['a', 'a', 'b']), pa.array([1.0, 2.0, 3.0])], names=['g', 'x'])\n"
+        "out = list(f(iter([b])))[0].to_pydict()\n"
+        "assert out['prev_x'] == [None, 1.0, None] and out['_last'] == [False, True, True], out\n"
+    )
+    env = {k: v for k, v in __import__("os").environ.items() if k != "PYTHONPATH"}
+    res = subprocess.run([sys.executable, "-c", code], cwd=str(tmp_path), env=env, capture_output=True, text=True, timeout=120)
+    assert res.returncode == 0, res.stderr + res.stdout
