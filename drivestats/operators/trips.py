@@ -174,8 +174,9 @@ def join_trip_events(trips: DataFrame, events: DataFrame, keys: Sequence[str]) -
     """J1: inner equi-join of trip buckets with their event counts.
 
     Both sides are keyed by the bucket, so the join is 1:1 and a null key on
-    either side drops the row (SQL equality). Both inputs come out of
-    aggregates hash-partitioned on the same keys, so no extra exchange is
-    planned for the sort-merge join.
+    either side drops the row (SQL equality). Both sides grow with the number
+    of buckets, so the join is pinned to sort-merge (never a broadcast); both
+    come out of aggregates hash-partitioned on the same keys, so no exchange
+    is added for it.
     """
-    return trips.join(events, on=list(keys), how="inner")
+    return trips.join(events.hint("merge"), on=list(keys), how="inner")

@@ -69,3 +69,15 @@ def test_auto_picks_window_for_bounded_buckets(spark, sf_dir):
 def test_auto_picks_sorted_above_threshold(spark, sf_dir):
     p = plan(build_stats(positions_e(spark, sf_dir), HOURLY, max_group_rows=2))
     assert "MapInArrow" in p
+
+
+def test_joins_never_broadcast_growing_sides(spark, sf_dir):
+    from drivestats.operators.traces import trace_points
+    from drivestats.plans.queries import registry
+    from drivestats.sources.positions import normalize
+
+    p = plan(registry()["trip_events_joined"](spark, sf_dir))
+    assert "SortMergeJoin" in p and "Broadcast" not in p
+    t = plan(trace_points(normalize(positions_l(spark, sf_dir)), DAILY, strategy="sorted"))
+    assert "SortMergeJoin" in t and "Broadcast" not in t
+    assert sum("ReusedExchange" in x for x in t.splitlines()) == 1  # one range exchange feeds both sides
