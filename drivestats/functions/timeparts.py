@@ -11,15 +11,24 @@ from pyspark.sql.types import DataType, StringType, TimestampNTZType, TimestampT
 
 # Fixed value: the text layout of string timestamps in the positions table.
 TS_FORMAT = "yyyy-MM-dd HH:mm:ss"
+# The same layout with variable-width fields: it also accepts unpadded values
+# ("2024-1-5 3:07:09"), as a lenient parser does, but rejects impossible dates
+# instead of rolling them over.
+TS_PARSE_FORMAT = "yyyy-M-d H:m:s"
 
 PARTITION_PARTS = ("year", "month", "day", "hour")
 
 
 def normalized_ts(col: str, dtype: DataType) -> Column:
-    """``ts`` as ``timestamp_ntz``; unparseable strings become null (not an error)."""
+    """``ts`` as ``timestamp_ntz``; unparseable strings become null (not an error).
+
+    Strings are parsed in the session time zone and cast back in the same zone,
+    which keeps the wall-clock value; the library pins the session to UTC, so
+    no daylight-saving gap can shift it.
+    """
     c = F.col(col)
     if isinstance(dtype, StringType):
-        return F.try_to_timestamp(c, F.lit(TS_FORMAT)).cast(TimestampNTZType())
+        return F.try_to_timestamp(c, F.lit(TS_PARSE_FORMAT)).cast(TimestampNTZType())
     if isinstance(dtype, (TimestampType, TimestampNTZType)):
         return c.cast(TimestampNTZType())
     raise TypeError(f"unsupported type for {col}: {dtype.simpleString()}")

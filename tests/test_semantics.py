@@ -227,3 +227,13 @@ def test_trace_points_sliced_equals_window(spark, sf_dir, grain):
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
+
+
+def test_string_timestamps_padded_or_not(spark):
+    rows = [
+        ("a", 1, 1, "2024-01-05 03:07:09", 35.0, 139.0, 1, 10.0),
+        ("a", 1, 1, "2024-1-5 3:7:10", 35.1, 139.0, 2, 10.0),
+        ("a", 1, 1, "2024-13-01 00:00:00", 35.2, 139.0, 3, 10.0),  # impossible: null, not rolled over
+    ]
+    n = normalize(pos(spark, rows)).orderBy("ct").select("date", "hour").collect()
+    assert [tuple(r) for r in n] == [(dt.date(2024, 1, 5), 3), (dt.date(2024, 1, 5), 3), (None, None)]
