@@ -228,13 +228,11 @@ def _by_window(shuffled, keys, order, carry, measures, counts, distinct_counts)
     # Rows are already hash-partitioned by the keys: every window below and
     # the aggregate after them add local sorts only, no exchange.
     w = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_first() for c in order])
-    rows = shuffled.select("*", *[F.lag(c).over(w).alias(f"prev_{c}") for c in carry])
     flags = []
     for name, c in distinct_counts.items():
         first = F.row_number().over(Window.partitionBy(*keys, c).orderBy(c)) == 1
         flags.append(F.when(first & F.col(c).isNotNull(), 1).otherwise(0).alias(f"_first_{name}"))
-    if flags:
-        rows = rows.select("*", *flags)
+    rows = shuffled.select("*", *[F.lag(c).over(w).alias(f"prev_{c}") for c in carry], *flags)
     agg = rows.groupBy(*keys).agg(
         *_row_measures(measures, carry),
         *[F.sum(f"_first_{n}").cast("long").alias(n) for n in distinct_counts],

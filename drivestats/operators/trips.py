@@ -66,10 +66,11 @@ def activity_aggs() -> list[Column]:
 _DATE_PARTS = {"year": F.year, "month": F.month, "day": F.dayofmonth}
 
 
-def with_bucket_keys(df: DataFrame, grain: Grain) -> DataFrame:
-    """Add back the key parts derived from ``date``; trip keys first."""
+def with_bucket_keys(df: DataFrame, grain: Grain, rest: list[Column] | None = None) -> DataFrame:
+    """Add back the key parts derived from ``date``; trip keys first, then ``rest``."""
     derived = {k: _DATE_PARTS[k](F.col("date")).alias(k) for k in grain.derived_keys}
-    rest = [c for c in df.columns if c not in grain.trip_keys]
+    if rest is None:
+        rest = [F.col(c) for c in df.columns if c not in grain.trip_keys]
     return df.select(*[derived.get(k, F.col(k)) for k in grain.trip_keys], *rest)
 
 
@@ -100,13 +101,14 @@ def _measures(with_distance: bool, with_events: bool, thresholds: EventThreshold
     return out
 
 
-def _rename(df: DataFrame) -> DataFrame:
+def _renamed(columns: list[str]) -> list[Column]:
+    """Measure columns under their table names; distance also rounded per bucket (P8)."""
     cols = []
-    for c in df.columns:
+    for c in columns:
         cols.append(F.col(c).alias(EVENT_COLUMNS.get(c, c)))
         if c == "distance_m":
             cols.append(F.round("distance_m").cast("long").alias("total_distance"))
-    return df.select(*cols)
+    return cols
 
 
 def trip_metrics(
@@ -147,7 +149,8 @@ def trip_metrics(
         distinct_counts=ACTIVITY_DISTINCT if with_activity else None,
         max_group_rows=max_group_rows,
     )
-    return with_bucket_keys(_rename(out), grain)
+    rest = _renamed([c for c in out.columns if c not in grain.bucket_keys])
+    return with_bucket_keys(out, grain, rest)
 
 
 def trip_distance(positions: DataFrame, grain: Grain, strategy: str = "auto") -> DataFrame:
