@@ -16,6 +16,11 @@ LOAD_TYPES = (FULL_LOAD, INCREMENTAL)
 
 _IDENT = re.compile(r"^[A-Za-z_][A-Za-z0-9_]*$")
 
+# Upper bound on write tasks: the output is one row per time bucket, so more
+# tasks than this would mostly be empty (a five-year hourly full load has
+# about 44k partition directories, some 40 per task at this width).
+MAX_WRITE_TASKS = 1024
+
 
 def _ident(name: str) -> str:
     if not _IDENT.match(name):
@@ -71,7 +76,7 @@ def write_stats(
     ``df`` (for re-processing a partition that was already published).
     """
     mode = "overwrite" if (load_type == FULL_LOAD or dynamic_overwrite) else "append"
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = min(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), MAX_WRITE_TASKS)
     writer = df.repartition(n, *parts).write.mode(mode).partitionBy(*parts)
     if dynamic_overwrite:
         writer = writer.option("partitionOverwriteMode", "dynamic")
