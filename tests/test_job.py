@@ -147,3 +147,13 @@ def test_command_line_entry(spark, silver):
     assert again["load_type"] == "INCREMENTAL" and not again["wrote"]
     with pytest.raises(ValueError):
         main(["monthly", "NIGHTLY", "--source", silver, "--target", target], spark=spark)
+
+
+def test_incremental_filter_pushed_to_flat_parquet(spark, sf_dir):
+    """Without Hive partitions, the partition-tuple predicate still reaches the scan as pushed filters."""
+    flat = work_path(spark, "silver_flat")
+    positions_e(spark, sf_dir).write.parquet(flat)
+    df = spark.read.parquet(flat).where(partition_after(HOURLY.source_parts, dt.datetime(2024, 1, 15, 11)))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    pushed = plan.split("PushedFilters: [")[1]  # the plan string truncates long filter lists
+    assert "Or(GreaterThan(year,2024),And(EqualTo(year,2024),Or(GreaterThan(month,1)" in pushed
