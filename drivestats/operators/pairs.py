@@ -171,12 +171,15 @@ def ordered_pair_sums(
     non-null values (distinct values) are counted per group, from the same
     single shuffle of the rows:
 
-    * window strategy: the rows are already hash-partitioned by the keys, so
-      the first occurrence of each value is flagged by a window partitioned by
-      (keys, value), which costs a local sort and no exchange, and everything
-      is summed in the one aggregate after the lag window. (Several distinct
-      aggregates in one ``agg`` would go through Expand, which forgets the
-      partitioning and adds two exchanges.)
+    * window strategy: the rows are already hash-partitioned by the keys, and
+      everything is computed in the one aggregate after the lag window with no
+      further exchange. The first distinct count is a plain
+      ``count(DISTINCT)``: a single distinct aggregate is planned as hash
+      aggregation keyed by (keys, value), which the partitioning satisfies.
+      Each further one is a sum of first-occurrence flags from a window
+      partitioned by (keys, value) (a local sort). Several distinct aggregates
+      in one ``agg`` would go through Expand, which forgets the partitioning
+      and adds two exchanges.
     * sorted strategy: one companion aggregate over the reused range exchange
       (Expand + map-side partial aggregation keyed by the distinct value, so a
       hot group is split by value before its reduced exchanges), merged with
@@ -228,14 +231,17 @@ def _by_window(shuffled, keys, order, carry, measures, counts, distinct_counts)
     # Rows are already hash-partitioned by the keys: every window below and
     # the aggregate after them add local sorts only, no exchange.
     w = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_first() for c in order])
+    hashed = list(distinct_counts.items())[:1]
+    flagged = list(distinct_counts.items())[1:]
     flags = []
-    for name, c in distinct_counts.items():
+    for name, c in flagged:
         first = F.row_number().over(Window.partitionBy(*keys, c).orderBy(c)) == 1
         flags.append(F.when(first & F.col(c).isNotNull(), 1).otherwise(0).alias(f"_first_{name}"))
     rows = shuffled.select("*", *[F.lag(c).over(w).alias(f"prev_{c}") for c in carry], *flags)
     agg = rows.groupBy(*keys).agg(
         *_row_measures(measures, carry),
-        *[F.sum(f"_first_{n}").cast("long").alias(n) for n in distinct_counts],
+        *[F.count_distinct(c).alias(n) for n, c in hashed],
+        *[F.sum(f"_first_{n}").cast("long").alias(n) for n, _ in flagged],
         *[F.count(c).alias(n) for n, c in counts.items()],
     )
     return agg.select(*keys, *_measure_totals(measures), *distinct_counts, *counts)
