@@ -237,3 +237,17 @@ def test_string_timestamps_padded_or_not(spark):
     ]
     n = normalize(pos(spark, rows)).orderBy("ct").select("date", "hour").collect()
     assert [tuple(r) for r in n] == [(dt.date(2024, 1, 5), 3), (dt.date(2024, 1, 5), 3), (None, None)]
+
+
+def test_has_new_data_and_partition_paths(spark):
+    from drivestats.operators.partitions import has_new_data, new_data_by_month, partition_paths
+
+    rows = samples("a", 1, "2024-01-31 23:00:00", 2) + samples("b", 2, "2024-02-01 05:00:00", 2)
+    p = pos(spark, rows)
+    assert has_new_data(p, None, HOURLY.source_parts)
+    assert has_new_data(p, dt.datetime(2024, 2, 1, 4), HOURLY.source_parts)
+    assert not has_new_data(p, dt.datetime(2024, 2, 1, 5), HOURLY.source_parts)  # strictly after
+    months = {(r["year"], r["month"]): r["has_new_data"] for r in new_data_by_month(p).collect()}
+    assert months == {(2024, 1): True, (2024, 2): False}
+    paths = {r["path"] for r in partition_paths(build_stats(p, HOURLY), HOURLY.output_parts).collect()}
+    assert paths == {"year=2024/month=1/day=31/hour=23/", "year=2024/month=2/day=1/hour=5/"}
