@@ -26,11 +26,13 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from drivestats.llm.common import hash_fraction, id_remainder, map_arrow, text_chunks
+from drivestats.llm.common import hash_fraction, id_remainder, map_arrow, text_chunks, written
 from drivestats.llm.ngrams import letter_codes, ngram_buckets, ngram_spans, spread
 
 BITS, ORDERS = 18, (3, 4, 5)
-MAX_TEXTS, FEATURES, MIN_TEXTS = 8000, 4096, 4
+MAX_TEXTS, FEATURES = 8000, 4096
+#: What an n-gram has to reach in the likelihood ratio to be a feature: chance alone hardly gets there.
+MIN_RATIO = 20.0
 CHUNK_CHARS = 300_000
 THRESHOLD = 0.3
 
@@ -140,6 +142,8 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column, *, max_texts: int
     if n > max_texts:
         own = own.where(hash_fraction([F.col("doc_id").cast(labels.schema["doc_id"].dataType)], max_texts / n))
     sample = own.join(marked.distinct(), own["doc_id"] == marked["label_id"]).select("toxic", F.coalesce("text", F.lit("")).alias("text"))
+    # Copies of a text with the same label teach no more than one.
+    sample = written(sample.dropDuplicates(["toxic", "text"]), "toxicity_sample")
     counts = map_arrow(sample, _text_counts, "bucket long, toxic long, other long").groupBy("bucket").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other")).toPandas()
     totals = counts[counts["bucket"] == -1]
     n_p, n_q = float(totals["toxic"].sum()), float(totals["other"].sum())
@@ -147,9 +151,11 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column, *, max_texts: int
         share = n_p / (n_p + n_q) if n_p + n_q else 0.5
         share = min(max(share, 1e-6), 1 - 1e-6)
         return ToxicityModel(np.zeros(1 << BITS, np.float32), float(np.log(share / (1 - share))))
-    counts = counts[(counts["bucket"] >= 0) & (counts["toxic"] + counts["other"] >= MIN_TEXTS)]
+    counts = counts[counts["bucket"] >= 0]
     p, q, bucket = counts["toxic"].to_numpy(float), counts["other"].to_numpy(float), counts["bucket"].to_numpy()
-    best = np.lexsort((bucket, -_likelihood_ratio(p, q, n_p, n_q)))[:FEATURES]
+    telling = _likelihood_ratio(p, q, n_p, n_q)
+    best = np.lexsort((bucket, -telling))[:FEATURES]
+    best = best[telling[best] >= MIN_RATIO]
     ratio = np.log((p[best] + 1) / (p.sum() + 1)) - np.log((q[best] + 1) / (q.sum() + 1))
     index = np.full(1 << BITS, -1, np.int32)
     index[bucket[best]] = np.arange(len(best))
