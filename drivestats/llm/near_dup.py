@@ -8,11 +8,16 @@ agree on a sketch only if they share these k-mers in the same order, which
 makes agreement sensitive to edit distance rather than to the set of k-mers.
 
 Texts with the same words form one node. Nodes that share a sketch are
-compared with a leader of the bucket, never all with each other. Leaders then
-leave and the others go on with next ones, by pairs of shared sketches from
-the second round on, until no bucket holds nodes of different classes that
-have not met a leader; there is no cap on rounds, buckets or partners. Classes
-are the connected components of the links.
+compared with a leader of the bucket, never all with each other; first in the
+buckets of a few sketches, which brings most copies into one class, then in
+those buckets that still hold several classes. The leader is of the largest
+class there, the node that linked with most of what it met so far. What is left
+goes by pairs of shared sketches: there one node stands for its class, and
+classes meet until none has another left in its bucket. There is no cap on
+rounds, buckets or partners. Classes are the connected components of the
+links. A text that is near to one member of a large class but to none of
+those that stood for it in the shared buckets stays apart: comparing it with
+every member would grow with the square of the class (figures in the README).
 
 A link is a similarity of at least ``threshold``: of the k-mers of both
 texts, the share that a longest common subsequence aligns, matched / (a + b -
@@ -38,8 +43,14 @@ from pyspark.sql import functions as F
 from drivestats.llm.common import map_arrow, text_chunks, written
 from drivestats.llm.textvec import U, kgrams, mix64, word_hashes
 
-K, KEEP, SKETCHES, THRESHOLD = 5, 4, 24, 0.8
-#: Leaders a bucket and round, from the second round on.
+K, KEEP, SKETCHES, THRESHOLD = 5, 6, 40, 0.8
+#: Sketches of the first round: enough to bring most copies into one class before the others are looked at.
+FIRST = 6
+#: Sketches on which nodes have to agree to be compared: two texts at the threshold agree on about ten of forty.
+AGREED = 4
+#: Rounds with leaders of large classes go on while this share of their comparisons link.
+WORTHWHILE = 0.05
+#: Leaders a bucket and round, in the rounds by pairs of sketches.
 LEADERS = 16
 CHUNK_CHARS = 500_000
 MEMBERS = "doc_id long, digest binary, sketch array<bigint>"
@@ -61,10 +72,18 @@ def occurrence_labelled(h: np.ndarray) -> np.ndarray:
 
 
 def order_minhash(labelled: np.ndarray, seeds: np.ndarray, keep: int) -> np.ndarray:
-    """One hash per seed: that of the ``keep`` smallest labelled k-mers, in text order."""
-    keep = min(keep, len(labelled))
-    ranked = mix64(labelled[None, :] ^ seeds[:, None])
-    least = np.argpartition(ranked, keep - 1, axis=1)[:, :keep] if keep < len(labelled) else np.broadcast_to(np.arange(keep), (len(seeds), keep))
+    """One hash per (odd) seed: that of the ``keep`` smallest labelled k-mers, in text order."""
+    keep, n = min(keep, len(labelled)), len(labelled)
+    ranked = labelled[None, :] * seeds[:, None]
+    # Only what is small enough can be among the smallest; all of it where too little is.
+    likely = ranked <= U(min(2**64 - 1, 2**64 // n * (3 * keep + 6)))
+    row, place = np.nonzero(likely)
+    if len(row) and np.bincount(row, minlength=len(seeds)).min() >= keep:
+        order = np.lexsort((ranked[row, place], row))
+        first = np.searchsorted(row, np.arange(len(seeds)))
+        least = place[order][first[:, None] + np.arange(keep)]
+    else:
+        least = np.argsort(ranked, axis=1, kind="stable")[:, :keep]
     chosen = labelled[np.sort(least, axis=1)]
     out = mix64(seeds + U(keep))
     for j in range(keep):
@@ -80,7 +99,7 @@ def _digest(words: np.ndarray) -> bytes:
 
 def _member_rows(k: int, keep: int, sketches: int):
     def make(batches):
-        seeds = mix64(np.arange(1, sketches + 1, dtype=U) * U(0x9E3779B97F4A7C15))
+        seeds = mix64(np.arange(1, sketches + 1, dtype=U) * U(0x9E3779B97F4A7C15)) | U(1)
         for b in batches:
             doc_ids, texts = b.column(0).to_pylist(), [t or "" for t in b.column(1).to_pylist()]
             for first, chunk in text_chunks(texts, CHUNK_CHARS):
@@ -163,7 +182,7 @@ def _same_digest(batches):
         for first, chunk in text_chunks(texts, CHUNK_CHARS):
             h, bounds = word_hashes(chunk)
             same += [_digest(h[a:z]) == d for a, z, d in zip(bounds[:-1].tolist(), bounds[1:].tolist(), b.column(2).to_pylist()[first:])]
-        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], ["node", "text"]).filter(pa.array(same, pa.bool_()))
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(3)], ["node", "text", "sketch"]).filter(pa.array(same, pa.bool_()))
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -189,41 +208,71 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def _links(buckets: DataFrame, sketch: DataFrame, texts: DataFrame, k: int, threshold: float) -> DataFrame | None:
-    """(node, leader) of verified links; buckets: (bucket, node)."""
-    links = roots = None
-    texts = texts.select("node", "text")
-    leaders = 1
-    while True:
+    """(node, leader) of verified links; buckets: (bucket, node, band); texts: (node, text, sketch)."""
+    links = roots = history = None
+    other = texts.select(F.col("node").alias("leader"), F.col("text").alias("other"), F.col("sketch").alias("other_sketch"))
+    agreed = F.size(F.filter(F.zip_with("sketch", "other_sketch", lambda a, b: a == b), lambda e: e)) >= AGREED
+    everything = buckets.select("bucket", "node")
+
+    def rooted(buckets: DataFrame) -> DataFrame:
         if roots is None:
-            named = buckets.withColumn("root", F.col("node"))
+            return buckets.withColumn("root", F.col("node"))
+        return buckets.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+
+    def classes_of(named: DataFrame) -> DataFrame:
+        """The classes in each bucket that holds more than one, with their size there and the node that stands for them.
+
+        That is the node with the best share of links in what it was compared
+        with so far (the text that others were copied from, in a group of
+        copies), by a hash of bucket and node among equals.
+        """
+        if history is not None:
+            met = history.select("node", "linked").union(history.select(F.col("leader"), "linked"))
+            named = named.join(met.groupBy("node").agg((F.sum("linked") / (F.count("*") + 3)).alias("score")), "node", "left")
         else:
-            named = buckets.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        # Buckets that hold more than one class. Leaders are of the smallest classes there, so that a large class needs no round a node.
-        classes = named.groupBy("bucket", "root").agg(F.count("*").alias("n"), F.min("node").alias("leader"))
-        mixed = classes.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
-        slot = F.pmod(F.xxhash64("leader"), F.lit(leaders))
-        led = classes.join(mixed, "bucket").groupBy("bucket", slot).agg(F.min(F.struct("n", "leader", "root")).alias("of"))
-        led = written(led.select("bucket", "of.leader", F.col("of.root").alias("own")), "leaders")
-        if led.isEmpty():
-            return links
+            named = named.withColumn("score", F.lit(0.0))
+        best = F.max(F.struct(F.coalesce("score", F.lit(0.0)).alias("score"), F.xxhash64("bucket", "node").alias("h"), "node"))
+        classes = named.groupBy("bucket", "root").agg(F.count("*").alias("n"), best.alias("best")).select("bucket", "root", "n", F.col("best.score").alias("score"), F.col("best.node").alias("leader"))
+        mixed = classes.groupBy("bucket").agg(F.count("*").alias("classes")).where("classes > 1").select("bucket")
+        return classes.join(mixed, "bucket")
+
+    def compare(named: DataFrame, led: DataFrame) -> float:
+        """Compares nodes with the leaders of their bucket that are of another class; the share that links."""
+        nonlocal links, roots, history
         pairs = named.join(led, "bucket").where("root != own").select("node", "leader").distinct()
-        paired = pairs.join(texts, "node").join(texts.select(F.col("node").alias("leader"), F.col("text").alias("other")), "leader").select("node", "leader", "text", "other")
-        found = written(map_arrow(paired, _verify_rows(k, threshold), "node long, leader long, similarity double").where("similarity > 0").select("node", "leader"), "links")
-        # Leaders have met every node of another class in their bucket; the others go on without them.
-        left = named.select("bucket", "node").join(led.select("bucket"), "bucket", "left_semi")
-        left = left.join(led.select("bucket", F.col("leader").alias("node")), ["bucket", "node"], "left_anti")
-        if links is None:
-            # From the second round on, a bucket is a pair of shared sketches, with several leaders at once.
-            other = left.join(sketch, "node").select("node", "bucket", F.explode("sketch").alias("other")).where("bucket != other")
-            left = other.select(F.xxhash64(F.least("bucket", "other"), F.greatest("bucket", "other")).alias("bucket"), "node").distinct()
-            links, leaders = found, LEADERS
-            roots = components(links)
-        elif not found.isEmpty():
-            links = links.union(found)
+        paired = pairs.join(other, "leader").join(texts, "node").where(agreed).select("node", "leader", "text", "other")
+        checked = written(map_arrow(paired, _verify_rows(k, threshold), "node long, leader long, similarity double"), "checked")
+        n, found = checked.agg(F.count("*"), F.count_if(F.col("similarity") > 0)).head()
+        made = checked.select("node", "leader", (F.col("similarity") > 0).cast("int").alias("linked"))
+        history = made if history is None else history.union(made)
+        if found:
+            links = history.where("linked = 1").select("node", "leader")
             roots = components(links)
-        # Nodes alone in their bucket have nobody left to meet.
-        shared = left.groupBy("bucket").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a < b").select("bucket")
-        buckets = written(left.join(shared, "bucket"), "buckets")
+        return found / n if n else 0.0
+
+    # Leaders of the largest class of each bucket: stars that grow.
+    buckets, first = buckets.where(F.col("band") < FIRST).select("bucket", "node"), True
+    while True:
+        named = rooted(buckets)
+        led = classes_of(named).groupBy("bucket").agg(F.max(F.struct("n", "score", "leader", "root")).alias("of"))
+        share = compare(named, led.select("bucket", "of.leader", F.col("of.root").alias("own")))
+        if not first and share < WORTHWHILE:
+            break
+        buckets, first = everything, False
+    # What is left: by pairs of shared sketches, where one node stands for its class in a bucket. Several leaders at a
+    # time meet the others and leave, until every class has met every other one of its bucket.
+    named = rooted(everything)
+    left = named.join(classes_of(named).select("bucket").distinct(), "bucket", "left_semi").select("bucket", "node")
+    both = left.join(sketch, "node").select("node", "bucket", F.explode("sketch").alias("with")).where("bucket != with")
+    left = both.select(F.xxhash64(F.least("bucket", "with"), F.greatest("bucket", "with")).alias("bucket"), "node").distinct()
+    while True:
+        classes = written(classes_of(rooted(left)).select("bucket", F.col("leader").alias("node"), "root", "n"), "classes")
+        if classes.isEmpty():
+            return links
+        slot = F.pmod(F.xxhash64("node"), F.lit(LEADERS))
+        led = classes.groupBy("bucket", slot).agg(F.min(F.struct("n", "node", "root")).alias("of")).select("bucket", F.col("of.node").alias("leader"), F.col("of.root").alias("own"))
+        compare(classes, led)
+        left = classes.select("bucket", "node").join(led.select("bucket", F.col("leader").alias("node")), ["bucket", "node"], "left_anti")
 
 
 def near_duplicates(docs: DataFrame, *, k: int = K, keep: int = KEEP, sketches: int = SKETCHES, threshold: float = THRESHOLD) -> DataFrame:
@@ -236,12 +285,12 @@ def near_duplicates(docs: DataFrame, *, k: int = K, keep: int = KEEP, sketches:
     )
     nodes = written(nodes, "nodes")
     sketch = nodes.select("node", "sketch")
-    buckets = sketch.select(F.explode("sketch").alias("bucket"), "node")
+    buckets = sketch.select("node", F.posexplode("sketch").alias("band", "bucket"))
     shared = buckets.groupBy("bucket").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a < b").select("bucket")
-    buckets = written(buckets.join(shared, "bucket").distinct(), "buckets")
-    wanted = buckets.select("node").distinct().join(nodes, "node").select("node", "digest", F.col("doc_id").alias("rep"))
-    texts = docs.join(wanted, docs["doc_id"].eqNullSafe(wanted["rep"])).select("node", "text", "digest")
-    texts = written(map_arrow(texts, _same_digest, "node long, text string").dropDuplicates(["node"]), "texts")
+    buckets = written(buckets.join(shared, "bucket"), "buckets")
+    wanted = buckets.select("node").distinct().join(nodes, "node").select("node", "digest", F.col("doc_id").alias("rep"), "sketch")
+    texts = docs.join(wanted, docs["doc_id"].eqNullSafe(wanted["rep"])).select("node", "text", "digest", "sketch")
+    texts = written(map_arrow(texts, _same_digest, "node long, text string, sketch array<bigint>").dropDuplicates(["node"]), "texts")
     links = _links(buckets, sketch, texts, k, threshold)
     if links is None:
         classes = nodes.select("digest", F.col("doc_id").alias("class_id"), F.col("n").alias("class_size"))
