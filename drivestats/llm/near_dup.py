@@ -11,9 +11,9 @@ Texts with the same words form one node. Nodes that share a sketch are
 compared with a leader of the bucket, never all with each other; first in the
 buckets of a few sketches, which brings most copies into one class, then in
 those buckets that still hold several classes. The leader is of the largest
-class there, the node that linked with most of what it met so far. What is left
-goes by pairs of shared sketches: there one node stands for its class, and
-classes meet until none has another left in its bucket. There is no cap on
+class there, the node that linked with most of what it met so far. In what
+is left one node stands for its class in a bucket, and classes meet until none
+has another left there. There is no cap on
 rounds, buckets or partners. Classes are the connected components of the
 links. A text that is near to one member of a large class but to none of
 those that stood for it in the shared buckets stays apart: comparing it with
@@ -50,7 +50,7 @@ FIRST = 6
 AGREED = 4
 #: Rounds with leaders of large classes go on while this share of their comparisons link.
 WORTHWHILE = 0.05
-#: Leaders a bucket and round, in the rounds by pairs of sketches.
+#: Leaders a bucket and round, in the rounds where classes meet.
 LEADERS = 16
 CHUNK_CHARS = 500_000
 MEMBERS = "doc_id long, digest binary, sketch array<bigint>"
@@ -207,7 +207,7 @@ def components(links: DataFrame) -> DataFrame:
         edges = small.select("u", F.col("m").alias("v")).union(small.where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))).distinct()
 
 
-def _links(buckets: DataFrame, sketch: DataFrame, texts: DataFrame, k: int, threshold: float) -> DataFrame | None:
+def _links(buckets: DataFrame, texts: DataFrame, k: int, threshold: float) -> DataFrame | None:
     """(node, leader) of verified links; buckets: (bucket, node, band); texts: (node, text, sketch)."""
     links = roots = history = None
     other = texts.select(F.col("node").alias("leader"), F.col("text").alias("other"), F.col("sketch").alias("other_sketch"))
@@ -259,12 +259,9 @@ def _links(buckets: DataFrame, sketch: DataFrame, texts: DataFrame, k: int, thre
         if not first and share < WORTHWHILE:
             break
         buckets, first = everything, False
-    # What is left: by pairs of shared sketches, where one node stands for its class in a bucket. Several leaders at a
-    # time meet the others and leave, until every class has met every other one of its bucket.
-    named = rooted(everything)
-    left = named.join(classes_of(named).select("bucket").distinct(), "bucket", "left_semi").select("bucket", "node")
-    both = left.join(sketch, "node").select("node", "bucket", F.explode("sketch").alias("with")).where("bucket != with")
-    left = both.select(F.xxhash64(F.least("bucket", "with"), F.greatest("bucket", "with")).alias("bucket"), "node").distinct()
+    # What is left: one node stands for its class in a bucket. Several leaders at a time meet the others and leave,
+    # until every class has met every other one of its bucket.
+    left = everything
     while True:
         classes = written(classes_of(rooted(left)).select("bucket", F.col("leader").alias("node"), "root", "n"), "classes")
         if classes.isEmpty():
@@ -291,7 +288,7 @@ def near_duplicates(docs: DataFrame, *, k: int = K, keep: int = KEEP, sketches:
     wanted = buckets.select("node").distinct().join(nodes, "node").select("node", "digest", F.col("doc_id").alias("rep"), "sketch")
     texts = docs.join(wanted, docs["doc_id"].eqNullSafe(wanted["rep"])).select("node", "text", "digest", "sketch")
     texts = written(map_arrow(texts, _same_digest, "node long, text string, sketch array<bigint>").dropDuplicates(["node"]), "texts")
-    links = _links(buckets, sketch, texts, k, threshold)
+    links = _links(buckets, texts, k, threshold)
     if links is None:
         classes = nodes.select("digest", F.col("doc_id").alias("class_id"), F.col("n").alias("class_size"))
     else:
