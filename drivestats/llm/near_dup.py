@@ -13,8 +13,8 @@ buckets of a few sketches, which brings most copies into one class, then in
 those buckets that still hold several classes. The leader is of the largest
 class there, the node that linked with most of what it met so far. In what
 is left one node stands for its class in a bucket, and classes meet until none
-has another left there. There is no cap on
-rounds, buckets or partners. Classes are the connected components of the
+has another left there or a round of meetings links nothing. There is no cap on
+buckets or partners. Classes are the connected components of the
 links. A text that is near to one member of a large class but to none of
 those that stood for it in the shared buckets stays apart: comparing it with
 every member would grow with the square of the class (figures in the README).
@@ -260,7 +260,7 @@ def _links(buckets: DataFrame, texts: DataFrame, k: int, threshold: float) -> Da
             break
         buckets, first = everything, False
     # What is left: one node stands for its class in a bucket. Several leaders at a time meet the others and leave,
-    # until every class has met every other one of its bucket.
+    # until a round links nothing or every class has met every other one of its bucket.
     left = everything
     while True:
         classes = written(classes_of(rooted(left)).select("bucket", F.col("leader").alias("node"), "root", "n"), "classes")
@@ -268,7 +268,8 @@ def _links(buckets: DataFrame, texts: DataFrame, k: int, threshold: float) -> Da
             return links
         slot = F.pmod(F.xxhash64("node"), F.lit(LEADERS))
         led = classes.groupBy("bucket", slot).agg(F.min(F.struct("n", "node", "root")).alias("of")).select("bucket", F.col("of.node").alias("leader"), F.col("of.root").alias("own"))
-        compare(classes, led)
+        if not compare(classes, led):
+            return links
         left = classes.select("bucket", "node").join(led.select("bucket", F.col("leader").alias("node")), ["bucket", "node"], "left_anti")
 
 
