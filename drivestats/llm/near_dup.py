@@ -51,7 +51,7 @@ AGREED = 4
 #: Rounds with leaders of large classes go on while this share of their comparisons link.
 WORTHWHILE = 0.05
 #: Leaders a bucket and round, in the rounds where classes meet.
-LEADERS = 16
+LEADERS = 4
 CHUNK_CHARS = 500_000
 MEMBERS = "doc_id long, digest binary, sketch array<bigint>"
 
