@@ -27,7 +27,8 @@ SPELLINGS = [
     ("https:", "http:"),
     ("&", " and "),
 ]
-COPYRIGHT_LINE = r"(?m)^[^\p{L}\p{N}\n]*(copyright|\(c\)|©)[^\n]*$"
+#: Lines that name an owner or a year; wrapped lines that only speak of copyright stay.
+COPYRIGHT_LINE = r"(?m)^[^\p{L}\p{N}\n]*(copyright[ \t]*(\(c\)|©|:|by |[0-9]{4})|\(c\)[ \t]*[0-9]{4}|©)[^\n]*$"
 
 # Published licence texts and notices.
 KNOWN = [

@@ -51,7 +51,8 @@ def ngram_spans(bounds: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
 def span_sums(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Sums of the rows of ``values`` in each span (0 where empty)."""
     upto = np.concatenate([np.zeros((1, *values.shape[1:])), np.cumsum(values, axis=0, dtype=np.float64)])
-    return upto[ends] - upto[starts]
+    last = len(values)  # an empty text at the end starts beyond the last n-gram
+    return upto[np.minimum(ends, last)] - upto[np.minimum(starts, last)]
 
 
 def spread(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
