@@ -38,8 +38,19 @@ def hash_fraction(cols: Iterable[Column], fraction: float) -> Column:
     return F.pmod(F.xxhash64(*cols), F.lit(1_000_000)) < int(fraction * 1_000_000)
 
 
-def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    return df.mapInArrow(fn, schema)
+#: Rows that a task turns into Python objects at a time.
+BATCH_ROWS = 1000
+
+
+def small_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        for first in range(0, b.num_rows, BATCH_ROWS):
+            yield b.slice(first, BATCH_ROWS)
+
+
+def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
+    """``mapInArrow`` over batches of at most ``BATCH_ROWS`` rows, which bounds what a worker holds as Python objects."""
+    return df.mapInArrow(lambda batches: fn(small_batches(batches)), schema)
 
 
 def text_chunks(texts: list[str], max_chars: int) -> Iterator[tuple[int, list[str]]]:

@@ -197,7 +197,7 @@ def _accepted(names: list[str], text_at: int, model: LanguageModel):
 
 def with_language(docs: DataFrame, model: LanguageModel) -> DataFrame:
     """The rows of ``docs``, all columns, whose language is neither undetermined nor ambiguous."""
-    return docs.mapInArrow(_accepted(docs.columns, docs.columns.index("text"), model), docs.schema)
+    return map_arrow(docs, _accepted(docs.columns, docs.columns.index("text"), model), docs.schema)
 
 
 def held_out(doc_id: Column) -> Column:

@@ -110,7 +110,7 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, deleted: str | None
     runs = runs.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), "__runs")
     joined = docs.join(runs, docs["doc_id"].cast("long").eqNullSafe(F.col("__id")) & (F.xxhash64(docs["text"]) == F.col("__hash")), "left").drop("__id", "__hash")
     schema = docs.select(*docs.columns, F.lit(0).cast("long").alias("__lines_deleted")).schema
-    out = joined.mapInArrow(_without_lines(docs.columns, docs.columns.index("text")), schema)
+    out = map_arrow(joined, _without_lines(docs.columns, docs.columns.index("text")), schema)
     return out.withColumnRenamed("__lines_deleted", deleted) if deleted else out.drop("__lines_deleted")
 
 
