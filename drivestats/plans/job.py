@@ -32,7 +32,7 @@ class RunResult:
 def validate_load_type(load_type: str) -> str:
     """L1: only FULL_LOAD and INCREMENTAL are accepted."""
     if load_type not in gold.LOAD_TYPES:
-        raise ValueError(f"Invalid value: {load_type} provided for load type; expected one of {gold.LOAD_TYPES}")
+        raise ValueError(f"unknown load type {load_type!r}: use one of {', '.join(gold.LOAD_TYPES)}")
     return load_type
 
 

@@ -39,7 +39,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """
     d = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
-        # Only for local runs: a cluster names a shared folder in its config.
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        # Local runs only: all tasks run on this machine.
         d = os.path.join(tempfile.gettempdir(), "drivestats-checkpoints")
         spark.sparkContext.setCheckpointDir(d)
         d = spark.sparkContext.getCheckpointDir() or d
