@@ -1,8 +1,7 @@
 """Command line / spark-submit entry point for one refresh.
 
     spark-submit --py-files drivestats.zip -m drivestats hourly INCREMENTAL \\
-        --source s3a://silver/driving_position --target s3a://gold/driving_hourly_stat \\
-        --database gold --table driving_hourly_stat
+        --source <positions folder> --target <statistics folder> --database <db> --table <table>
 
 Uses the session the cluster provides (``getOrCreate``); prints the run result
 as one JSON line.
@@ -18,7 +17,7 @@ import sys
 from pyspark.sql import SparkSession
 
 from drivestats.plans.grains import GRAINS
-from drivestats.plans.job import run
+from drivestats.plans.job import APPEND, REBUILD, run
 from drivestats.sources.gold import LOAD_TYPES
 
 
@@ -31,8 +30,10 @@ def parse_args(argv: list[str]) -> argparse.Namespace:
     p.add_argument("--database")
     p.add_argument("--table")
     p.add_argument("--sample-seconds", type=float, default=1.0)
-    p.add_argument("--strategy", choices=("auto", "sorted", "window"), default="auto")
+    p.add_argument("--strategy", choices=("sorted", "window"), default="sorted")
     p.add_argument("--reprocess-latest", action="store_true")
+    p.add_argument("--late-rows", choices=(APPEND, REBUILD), default=APPEND)
+    p.add_argument("--zone", default="UTC", help="zone whose wall clock zoned timestamps take")
     return p.parse_args(argv)
 
 
@@ -51,6 +52,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
         sample_seconds=args.sample_seconds,
         strategy=args.strategy,
         reprocess_latest=args.reprocess_latest,
+        late_rows=args.late_rows,
+        zone=args.zone,
     )
     out = {
         "grain": res.grain,
@@ -58,6 +61,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
         "watermark": res.watermark.isoformat() if res.watermark else None,
         "wrote": res.wrote,
         "new_partitions": len(res.partitions),
+        "rows_read": res.rows_read,
+        "rows_rejected": res.rows_rejected,
         "table": res.table,
     }
     print(json.dumps(out))

@@ -26,9 +26,10 @@ MeasureFn = Callable[[Cols, Cols], Column]
 
 @dataclass(frozen=True)
 class Measure:
+    """A whole number (bigint) per pair: sums are then exact in any order of addition."""
+
     name: str
     fn: MeasureFn
-    dtype: str  # "double" or "long"
 
 
 @dataclass(frozen=True)
@@ -54,8 +55,20 @@ def speed_2dp(sp: Column) -> Column:
     return F.round(sp, 2)
 
 
+# Fixed value: distances are summed in whole micrometres, rounded half-up per
+# pair. A bigint holds 9.2e12 m of them in one trip bucket (more is an overflow
+# error under Spark's default ANSI mode).
+UM_PER_M = 1_000_000
+
+
 def _distance(prev: Cols, cur: Cols) -> Column:
-    return haversine_m(prev["latitude"], prev["longitude"], cur["latitude"], cur["longitude"])
+    metres = haversine_m(prev["latitude"], prev["longitude"], cur["latitude"], cur["longitude"])
+    return F.floor(metres * float(UM_PER_M) + 0.5)
+
+
+def whole_metres(um: Column) -> Column:
+    """Micrometres to metres, rounded half-up, in whole numbers only."""
+    return F.floor((um + UM_PER_M // 2) / F.lit(UM_PER_M).cast("decimal(10,0)")).cast("long")
 
 
 def _flag(cond: Column) -> Column:
@@ -63,7 +76,7 @@ def _flag(cond: Column) -> Column:
 
 
 def distance_measure() -> Measure:
-    return Measure("distance_m", _distance, "double")
+    return Measure("distance_um", _distance)
 
 
 def event_measures(t: EventThresholds = DEFAULT_THRESHOLDS) -> list[Measure]:
@@ -74,13 +87,11 @@ def event_measures(t: EventThresholds = DEFAULT_THRESHOLDS) -> list[Measure]:
         Measure(
             "sudden_start_count",
             lambda p, c: _flag((p["s"] <= t.start_from_below) & (delta(p, c) >= t.sudden_start)),
-            "long",
         ),
         Measure(
             "sudden_stop_count",
             lambda p, c: _flag((c["s"] <= t.stop_below) & (delta(p, c) <= t.sudden_stop)),
-            "long",
         ),
-        Measure("acceleration_count", lambda p, c: _flag(delta(p, c) >= t.acceleration), "long"),
-        Measure("deceleration_count", lambda p, c: _flag(delta(p, c) <= t.deceleration), "long"),
+        Measure("acceleration_count", lambda p, c: _flag(delta(p, c) >= t.acceleration)),
+        Measure("deceleration_count", lambda p, c: _flag(delta(p, c) <= t.deceleration)),
     ]

@@ -9,28 +9,32 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StringType, TimestampNTZType, TimestampType
 
-# Fixed value: the text layout of string timestamps in the positions table.
-TS_FORMAT = "yyyy-MM-dd HH:mm:ss"
-# The same layout with variable-width fields: it also accepts unpadded values
-# ("2024-1-5 3:07:09"), as a lenient parser does, but rejects impossible dates
-# instead of rolling them over.
-TS_PARSE_FORMAT = "yyyy-M-d H:m:s"
+# Fixed value: string timestamps are ``yyyy-MM-dd HH:mm:ss``, fields unpadded or
+# not; what follows the seconds (a fraction, a zone) is ignored.
+TS_TEXT = r"^\s*(\d{4}-\d{1,2}-\d{1,2} \d{1,2}:[0-5]?\d:[0-5]?\d)(?!\d)"
 
 PARTITION_PARTS = ("year", "month", "day", "hour")
 
 
-def normalized_ts(col: str, dtype: DataType) -> Column:
+def normalized_ts(col: str, dtype: DataType, zone: str = "UTC") -> Column:
     """``ts`` as ``timestamp_ntz``; unparseable strings become null (not an error).
 
-    Strings are parsed in the session time zone and cast back in the same zone,
-    which keeps the wall-clock value; the library pins the session to UTC, so
-    no daylight-saving gap can shift it.
+    Text keeps its wall clock: it is read field by field, so no time zone and
+    no daylight-saving gap can shift it. Impossible dates are null. Zoned
+    timestamps become the wall clock of ``zone``; the session zone plays no part.
     """
     c = F.col(col)
     if isinstance(dtype, StringType):
-        return F.try_to_timestamp(c, F.lit(TS_PARSE_FORMAT)).cast(TimestampNTZType())
-    if isinstance(dtype, (TimestampType, TimestampNTZType)):
-        return c.cast(TimestampNTZType())
+        fields = F.split(F.regexp_extract(c, TS_TEXT, 1), "[- :]")
+        year, month, day, hour, minute, second = [F.get(fields, F.lit(i)).try_cast("int") for i in range(6)]
+        return F.try_make_timestamp_ntz(year, month, day, hour, minute, second)
+    if isinstance(dtype, TimestampNTZType):
+        return c
+    if isinstance(dtype, TimestampType):
+        seconds = F.unix_micros(c).cast("decimal(24,0)") / F.lit(1_000_000).cast("decimal(7,0)")
+        epoch = F.make_timestamp_ntz(*[F.lit(v) for v in (1970, 1, 1, 0, 0, 0)])
+        utc = epoch + F.make_dt_interval(secs=seconds.cast("decimal(18,6)"))
+        return utc if zone == "UTC" else F.convert_timezone(F.lit("UTC"), F.lit(zone), utc)
     raise TypeError(f"unsupported type for {col}: {dtype.simpleString()}")
 
 

@@ -4,43 +4,35 @@ This is the operator behind trip distance and speed events: every sample is
 paired with its predecessor in ``order`` inside its group (trip bucket), a
 measure is evaluated per pair, and the measures are summed per group.
 
-Two physical plans with identical results, and a rule to choose between them:
-
-``sorted`` (skew-safe)
+``sorted`` (default, one plan at every size)
     ``repartitionByRange(keys + order)`` samples the full sort key, so a hot
     group (one trip bucket holding a third of all rows, a default trip id, a
     repeated counter) is cut into many contiguous slices on many tasks. Each
     sorted slice is scanned once by a vectorised Arrow helper that adds the
     predecessor's values and marks the first/last row of every group in the
-    slice. Pair measures run as Catalyst expressions and are summed per
-    (group, slice) together with the group's first and last values in that
-    slice (plain declarative aggregates, hash-aggregated map-side). A group
-    spanning slices loses only the pair across each slice edge; a window over
-    the per-slice rows, ordered by slice, restores it. That window holds one
-    row per slice of a group, so its size is bounded by the shuffle partition
-    count whatever the data. One shuffle of the sample rows (the range
-    exchange); everything after it moves per-slice rows only.
-
-``window``
+    slice; only the keys and the carried columns cross to it. Pair measures run
+    as Catalyst expressions and are summed per (group, slice) together with the
+    group's first and last values in that slice (plain declarative aggregates,
+    hash-aggregated map-side). A group spanning slices loses only the pair
+    across each slice edge; a window over the per-slice rows, ordered by slice,
+    restores it. That window holds one row per slice of a group, so its size is
+    bounded by the shuffle partition count whatever the data. One shuffle of
+    the sample rows (the range exchange); everything after it moves per-slice
+    rows only.
+
+``window`` (only where the caller asks for it)
     ``lag`` over ``Window.partitionBy(keys).orderBy(order)`` on rows
     hash-partitioned by the keys: one shuffle and no Python, but a whole group
-    is sorted in one task, so it is only safe when every group is bounded.
-
-``auto`` (default; what the plans use)
-    Measure first, then plan: one partial-aggregated job finds the largest
-    group and the total row count (a single row reaches the driver). If the
-    largest group is within ``max_group_rows`` the window plan is used,
-    otherwise the sorted one: the skew counterpart of a size-checked
-    broadcast. The same numbers size the shuffle: about ``rows_per_task`` rows
-    per partition (at most ``DEFAULT_MAX_PARTITIONS`` partitions), so slices
-    and tasks grow with the data instead of with a fixed setting (below the
-    session's partition count, adaptive coalescing keeps sizing it).
+    is sorted in one task, so it needs a caller who knows that every group is
+    small.
+
+Both give the same results to the last digit: measures are whole numbers, so
+their sums do not depend on the order of addition, on slice edges or on retries.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
 
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
@@ -53,37 +45,31 @@ from drivestats.operators import _slice_scan
 # Executors get the helper by value: no need to ship the package to run it.
 cloudpickle.register_pickle_by_value(_slice_scan)
 
-STRATEGIES = ("auto", "sorted", "window")
-
-# Largest group the window strategy may sort in one task. Above it the sorted
-# strategy splits the group over many tasks.
-DEFAULT_MAX_GROUP_ROWS = 10_000_000
-# Target rows per task of the pair shuffle (a few hundred MB of sample rows).
-DEFAULT_ROWS_PER_TASK = 4_000_000
-# Upper bound on the pair shuffle's width: past it, tasks grow instead of the
-# number of shuffle blocks (map tasks x partitions).
-DEFAULT_MAX_PARTITIONS = 100_000
-
-
-# Session settings that override the defaults above (cluster tuning without code).
-CONF_MAX_GROUP_ROWS = "spark.drivestats.maxGroupRows"
-CONF_ROWS_PER_TASK = "spark.drivestats.rowsPerTask"
-CONF_MAX_PARTITIONS = "spark.drivestats.maxPartitions"
+STRATEGIES = ("sorted", "window")
 
+# Session settings: the width of the shuffle itself, or the input bytes one of its tasks gets.
+CONF_PARTITIONS = "spark.drivestats.pairPartitions"
+CONF_BYTES_PER_TASK = "spark.drivestats.bytesPerTask"
+DEFAULT_BYTES_PER_TASK = 128 * 1024 * 1024
 
-def _conf_int(df: DataFrame, key: str, default: int) -> int:
-    value = df.sparkSession.conf.get(key, None)
-    return int(value) if value else default
 
+def shuffle_width(df: DataFrame) -> int | None:
+    """Partitions of the sample shuffle; None leaves it to the session and adaptive coalescing.
 
-@dataclass(frozen=True)
-class PairPlan:
-    strategy: str
-    partitions: int | None  # None: the session's shuffle partitions, adaptively coalesced
-
-
-def _zero(m: Measure) -> Column:
-    return F.lit(0.0) if m.dtype == "double" else F.lit(0).cast("long")
+    ``spark.drivestats.pairPartitions`` if set. Else the input size that the
+    planner knows (file sizes, no job) over ``spark.drivestats.bytesPerTask``,
+    where that is more than the session's shuffle partitions.
+    """
+    conf = df.sparkSession.conf
+    fixed = conf.get(CONF_PARTITIONS, None)
+    if fixed:
+        return int(fixed)
+    unknown = int(df.sparkSession._jsparkSession.sessionState().conf().defaultSizeInBytes())
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size())]
+    known = sum(size for size in sizes if size < unknown)
+    needed = -(-known // int(conf.get(CONF_BYTES_PER_TASK, None) or DEFAULT_BYTES_PER_TASK))
+    return needed if needed > int(conf.get("spark.sql.shuffle.partitions")) else None
 
 
 def _row_measures(measures: Sequence[Measure], carry: Sequence[str]) -> list[Column]:
@@ -92,62 +78,26 @@ def _row_measures(measures: Sequence[Measure], carry: Sequence[str]) -> list[Col
     return [F.sum(m.fn(prev, cur)).alias(f"_rows_{m.name}") for m in measures]
 
 
-def group_sizes(df: DataFrame, keys: Sequence[str]) -> tuple[int, int]:
-    """(rows in the biggest group, total rows): partial-aggregated counts, one row back."""
-    row = df.groupBy(*keys).count().agg(F.max("count").alias("m"), F.sum("count").alias("n")).first()
-    if row is None or row["n"] is None:
-        return 0, 0
-    return int(row["m"]), int(row["n"])
-
-
-def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
-    return group_sizes(df, keys)[0]
-
-
-def plan_pairs(
-    df: DataFrame,
-    keys: Sequence[str],
-    max_group_rows: int | None = None,
-    rows_per_task: int | None = None,
-) -> PairPlan:
-    """Strategy and shuffle width from the measured group sizes.
-
-    Limits not given here come from the session (``spark.drivestats.*``), then
-    from the module defaults.
-    """
-    if max_group_rows is None:
-        max_group_rows = _conf_int(df, CONF_MAX_GROUP_ROWS, DEFAULT_MAX_GROUP_ROWS)
-    if rows_per_task is None:
-        rows_per_task = _conf_int(df, CONF_ROWS_PER_TASK, DEFAULT_ROWS_PER_TASK)
-    max_partitions = _conf_int(df, CONF_MAX_PARTITIONS, DEFAULT_MAX_PARTITIONS)
-    biggest, total = group_sizes(df, keys)
-    strategy = "window" if biggest <= max_group_rows else "sorted"
-    needed = min(-(-total // max(1, rows_per_task)), max_partitions)
-    default = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return PairPlan(strategy, needed if needed > default else None)
-
-
-def choose_strategy(df: DataFrame, keys: Sequence[str], max_group_rows: int | None = None) -> str:
-    """``window`` when every group fits one task comfortably, else ``sorted``."""
-    return plan_pairs(df, keys, max_group_rows).strategy
-
-
 def shuffle_for_pairs(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
     strategy: str = "sorted",
-    partitions: int | None = None,
+    companions: Sequence[str] = (),
 ) -> DataFrame:
     """The one shuffle of the rows that ``ordered_pair_sums`` performs.
 
     Exposed so that other aggregates over the same rows can be planned on the
     same exchange: identical exchange subtrees are computed once (exchange
-    reuse), so the source is scanned and shuffled once for all of them.
+    reuse), so the source is scanned and shuffled once for all of them. For
+    that every branch must need the same columns of it: ``companions``, which
+    only some branches read, end the range key.
     """
-    width = [partitions] if partitions else []
+    n = shuffle_width(df)
+    width = [n] if n else []
     if strategy == "sorted":
-        return df.repartitionByRange(*width, *[F.col(c).asc_nulls_first() for c in [*keys, *order]])
+        last = [c for c in companions if c not in keys and c not in order]
+        return df.repartitionByRange(*width, *[F.col(c).asc_nulls_first() for c in [*keys, *order, *last]])
     if strategy == "window":
         return df.repartition(*width, *keys)
     raise ValueError(f"unknown strategy {strategy!r}; expected one of {STRATEGIES}")
@@ -159,11 +109,9 @@ def ordered_pair_sums(
     order: Sequence[str],
     carry: Sequence[str],
     measures: Sequence[Measure],
-    strategy: str = "auto",
+    strategy: str = "sorted",
     counts: Mapping[str, str] | None = None,
     distinct_counts: Mapping[str, str] | None = None,
-    max_group_rows: int | None = None,
-    rows_per_task: int | None = None,
 ) -> DataFrame:
     """One row per group: ``keys``, one column per measure, and the companions.
 
@@ -171,19 +119,15 @@ def ordered_pair_sums(
     non-null values (distinct values) are counted per group, from the same
     single shuffle of the rows:
 
-    * window strategy: the rows are already hash-partitioned by the keys, and
-      everything is computed in the one aggregate after the lag window with no
-      further exchange. The first distinct count is a plain
-      ``count(DISTINCT)``: a single distinct aggregate is planned as hash
-      aggregation keyed by (keys, value), which the partitioning satisfies.
-      Each further one is a sum of first-occurrence flags from a window
-      partitioned by (keys, value) (a local sort). Several distinct aggregates
-      in one ``agg`` would go through Expand, which forgets the partitioning
-      and adds two exchanges.
     * sorted strategy: one companion aggregate over the reused range exchange
-      (Expand + map-side partial aggregation keyed by the distinct value, so a
-      hot group is split by value before its reduced exchanges), merged with
-      the pair sums by a union, which keeps null keys as groups.
+      (``group_counts``), merged with the pair sums by a union, which keeps
+      null keys as groups.
+    * window strategy: the rows are already hash-partitioned by the keys, and
+      everything is computed on that partitioning with no further exchange of
+      the rows. The first distinct count is a plain ``count(DISTINCT)``: a
+      single distinct aggregate is planned as hash aggregation keyed by (keys,
+      value), which the partitioning satisfies. Each further one is a sum of
+      first-occurrence flags from a window partitioned by (keys, value).
 
     ``order`` is ascending with nulls first; ties on the whole order key carry
     identical values (``carry`` is part of it), so tie order cannot change any
@@ -195,36 +139,46 @@ def ordered_pair_sums(
     missing = [c for c in carry if c not in order]
     if missing:
         raise ValueError(f"carried columns must be part of the order key: {missing}")
-    if strategy not in STRATEGIES:
-        raise ValueError(f"unknown strategy {strategy!r}; expected one of {STRATEGIES}")
-    partitions = None
-    if strategy == "auto":
-        chosen = plan_pairs(df, keys, max_group_rows, rows_per_task)
-        strategy, partitions = chosen.strategy, chosen.partitions
-    shuffled = shuffle_for_pairs(df, keys, order, strategy, partitions)
+    companions = [*distinct_counts.values(), *counts.values()]
+    shuffled = shuffle_for_pairs(df, keys, order, strategy, companions)
     if strategy == "window":
         return _by_window(shuffled, keys, order, carry, measures, counts, distinct_counts)
     out = _by_sorted_slices(shuffled, keys, order, carry, measures)
     if not counts and not distinct_counts:
         return out
-    side = shuffled.groupBy(*keys).agg(
-        *[F.count_distinct(c).alias(n) for n, c in distinct_counts.items()],
-        *[F.count(c).alias(n) for n, c in counts.items()],
-    )
-    merged = out.unionByName(side, allowMissingColumns=True)
+    merged = out.unionByName(group_counts(shuffled, keys, counts, distinct_counts), allowMissingColumns=True)
     cols = [m.name for m in measures] + list(distinct_counts) + list(counts)
     return merged.groupBy(*keys).agg(*[F.max(c).alias(c) for c in cols])
 
 
-def _measure_totals(measures: Sequence[Measure], boundary=None) -> list[Column]:
-    """Final measure columns: in-slice (or in-group) sums plus restored edge pairs."""
-    out = []
-    for m in measures:
-        total = F.coalesce(F.col(f"_rows_{m.name}"), _zero(m))
-        if boundary is not None:
-            total = total + boundary(m)
-        out.append(total.cast(m.dtype).alias(m.name))
-    return out
+def group_counts(
+    df: DataFrame, keys: Sequence[str], counts: Mapping[str, str], distinct_counts: Mapping[str, str]
+) -> DataFrame:
+    """Non-null and distinct counts per group, one row per group.
+
+    The rows are first counted per (keys, distinct values) with map-side
+    partial aggregation, which splits a hot group by those values. Several
+    distinct counts multiply the rows they read (Expand): they read these
+    combinations, of which a trip has one or a few, and not every sample.
+    """
+    keys = list(keys)
+    if len(distinct_counts) < 2:
+        combos, total = df, F.count
+    else:
+        per_combo = [F.count(c).alias(f"_n_{n}") for n, c in counts.items()]
+        combos = df.groupBy(*keys, *dict.fromkeys(distinct_counts.values()))
+        combos = combos.agg(*per_combo) if per_combo else combos.agg(F.lit(1).alias("_one"))
+        counts, total = {n: f"_n_{n}" for n in counts}, F.sum
+    return combos.groupBy(*keys).agg(
+        *[F.count_distinct(c).alias(n) for n, c in distinct_counts.items()],
+        *[total(c).alias(n) for n, c in counts.items()],
+    )
+
+
+def _measure_totals(measures: Sequence[Measure], parts: Sequence[str]) -> list[Column]:
+    """Final measure columns: the sums of all ``parts`` (in-group or in-slice pairs, edge pairs)."""
+    zero = F.lit(0).cast("long")
+    return [sum((F.coalesce(F.col(f"{p}{m.name}"), zero) for p in parts), zero).alias(m.name) for m in measures]
 
 
 def _by_window(shuffled, keys, order, carry, measures, counts, distinct_counts) -> DataFrame:
@@ -244,12 +198,12 @@ def _by_window(shuffled, keys, order, carry, measures, counts, distinct_counts)
         *[F.sum(f"_first_{n}").cast("long").alias(n) for n, _ in flagged],
         *[F.count(c).alias(n) for n, c in counts.items()],
     )
-    return agg.select(*keys, *_measure_totals(measures), *distinct_counts, *counts)
+    return agg.select(*keys, *_measure_totals(measures, ["_rows_"]), *distinct_counts, *counts)
 
 
 def _by_sorted_slices(shuffled, keys, order, carry, measures) -> DataFrame:
     sort_key = [F.col(c).asc_nulls_first() for c in keys + order]
-    ranged = shuffled.sortWithinPartitions(*sort_key).withColumn("_slice", F.spark_partition_id())
+    ranged = shuffled.sortWithinPartitions(*sort_key).select(*keys, *carry, F.spark_partition_id().alias("_slice"))
     fields = list(ranged.schema.fields)
     by_name = {f.name: f for f in fields}
     out_schema = StructType(
@@ -280,4 +234,4 @@ def _by_sorted_slices(shuffled, keys, order, carry, measures) -> DataFrame:
         *[F.sum(f"_rows_{m.name}").alias(f"_rows_{m.name}") for m in measures],
         *[F.sum(m.fn(prev, head)).alias(f"_edge_{m.name}") for m in measures],
     )
-    return out.select(*keys, *_measure_totals(measures, lambda m: F.coalesce(F.col(f"_edge_{m.name}"), _zero(m))))
+    return out.select(*keys, *_measure_totals(measures, ["_rows_", "_edge_"]))

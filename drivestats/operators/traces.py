@@ -5,20 +5,24 @@ is a whole bucket in one row, so here the trace is kept as rows: element i of
 the array is the row with ``seq = i`` (1-based), and the array size is the
 bucket's largest ``seq``. Nothing holds a bucket whole:
 
-* bounded buckets (``window``): ``row_number()`` over the bucket;
-* hot buckets (``sorted``): the range exchange cuts a bucket into slices; the
-  position inside a slice is a ``row_number()`` over (bucket, slice), and the
-  slice's offset is the running row count of the bucket's earlier slices, a
-  window over one row per slice (bounded by the partition count), joined back
-  on (bucket, slice).
+* ``sorted`` (default): the range exchange cuts a hot bucket into slices. Rows
+  are numbered inside the sorted slice where they are. Only the first bucket of
+  a slice can have begun in an earlier one, so one number per slice, the rows
+  of that bucket before the slice, completes the positions. These numbers are
+  at most one row per shuffle partition, which bounds the broadcast; the
+  samples move once.
+* ``window``: ``row_number()`` over the bucket, for callers who know that every
+  bucket is small.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, LongType, StructField, StructType
 
-from drivestats.operators.pairs import plan_pairs, shuffle_for_pairs
+from drivestats.operators import _slice_scan
+from drivestats.operators.pairs import shuffle_for_pairs
 from drivestats.operators.trips import bucket_samples, with_bucket_keys
 from drivestats.plans.grains import Grain
 
@@ -26,48 +30,33 @@ TRACE_ORDER = ("ct", "ts", "latitude", "longitude", "sp")
 TRACE_COLUMNS = ("ct", "ts", "latitude", "longitude", "sp")
 
 
-def trace_points(
-    positions: DataFrame,
-    grain: Grain,
-    strategy: str = "auto",
-    max_group_rows: int | None = None,
-) -> DataFrame:
+def trace_points(positions: DataFrame, grain: Grain, strategy: str = "sorted") -> DataFrame:
     """Trip keys, ``seq`` and the sample columns, one row per sample of a complete bucket."""
     keys = list(grain.bucket_keys)
     samples = bucket_samples(positions, grain).select(*keys, *TRACE_COLUMNS)
+    shuffled = shuffle_for_pairs(samples, keys, TRACE_ORDER, strategy)
+    out = _by_window(shuffled, keys) if strategy == "window" else _by_sorted_slices(shuffled, keys)
+    return with_bucket_keys(out, grain).select(*grain.trip_keys, "seq", *TRACE_COLUMNS)
+
+
+def _by_window(shuffled: DataFrame, keys: list[str]) -> DataFrame:
     order = [F.col(c).asc_nulls_first() for c in TRACE_ORDER]
-    partitions = None
-    if strategy == "auto":
-        chosen = plan_pairs(samples, keys, max_group_rows)
-        strategy, partitions = chosen.strategy, chosen.partitions
-    if strategy == "window":
-        shuffled = shuffle_for_pairs(samples, keys, TRACE_ORDER, "window", partitions)
-        out = shuffled.withColumn("seq", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)).cast("long"))
-    elif strategy == "sorted":
-        ranged = shuffle_for_pairs(samples, keys, TRACE_ORDER, "sorted", partitions).withColumn(
-            "_slice", F.spark_partition_id()
-        )
-        positioned = ranged.withColumn(
-            "_pos", F.row_number().over(Window.partitionBy(*keys, "_slice").orderBy(*order))
-        )
-        per_slice = ranged.groupBy(*keys, "_slice").agg(F.count(F.lit(1)).alias("_n"))
-        earlier = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-        offsets = per_slice.select(*keys, "_slice", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset"))
-        # The offsets table has one row per (bucket, slice), which grows with the
-        # data: joined by sort-merge, never broadcast. The rows side is already
-        # partitioned by (bucket, slice) by the window, so only offsets move.
-        offsets = offsets.hint("merge")
-        if grain.keep_null_trip:
-            on = [positioned[k].eqNullSafe(offsets[k]) for k in keys] + [positioned["_slice"] == offsets["_slice"]]
-            joined = positioned.join(offsets, on).select(
-                *[positioned[k] for k in keys], *TRACE_COLUMNS, (offsets["_offset"] + positioned["_pos"]).alias("seq")
-            )
-        else:
-            joined = positioned.join(offsets, [*keys, "_slice"]).select(
-                *keys, *TRACE_COLUMNS, (F.col("_offset") + F.col("_pos")).alias("seq")
-            )
-        out = joined.withColumn("seq", F.col("seq").cast("long"))
-    else:
-        raise ValueError(f"unknown strategy {strategy!r}")
-    out = with_bucket_keys(out, grain)
-    return out.select(*grain.trip_keys, "seq", *TRACE_COLUMNS)
+    return shuffled.withColumn("seq", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)).cast("long"))
+
+
+def _by_sorted_slices(shuffled: DataFrame, keys: list[str]) -> DataFrame:
+    sort_key = [F.col(c).asc_nulls_first() for c in [*keys, *TRACE_ORDER]]
+    ranged = shuffled.sortWithinPartitions(*sort_key).withColumn("_slice", F.spark_partition_id())
+    added = [StructField("_pos", LongType()), StructField("_head", BooleanType()), StructField("_edge", BooleanType())]
+    rows = ranged.mapInArrow(_slice_scan.slice_positions(keys), StructType([*ranged.schema.fields, *added]))
+    earlier = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (
+        rows.where("_edge")
+        .select("_slice", "_head", F.sum("_pos").over(earlier).alias("_offset"))
+        .where("_head AND _offset IS NOT NULL")
+        .select("_slice", "_offset")
+    )
+    start = F.when(F.col("_head"), F.coalesce(F.col("_offset"), F.lit(0).cast("long"))).otherwise(F.lit(0).cast("long"))
+    return rows.join(F.broadcast(offsets), "_slice", "left").select(
+        *keys, *TRACE_COLUMNS, (start + F.col("_pos")).alias("seq")
+    )

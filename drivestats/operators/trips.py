@@ -17,13 +17,15 @@ from pyspark.sql import functions as F
 from drivestats.functions.motion import (
     CARRIED,
     DEFAULT_THRESHOLDS,
+    UM_PER_M,
     EventThresholds,
     Measure,
     distance_measure,
     event_measures,
     speed_2dp,
+    whole_metres,
 )
-from drivestats.operators.pairs import ordered_pair_sums
+from drivestats.operators.pairs import group_counts, ordered_pair_sums
 from drivestats.plans.grains import Grain
 
 # Order of samples inside a trip bucket. ``ct`` (the sample counter) leads, as
@@ -38,18 +40,23 @@ EVENT_COLUMNS = {
 }
 
 
-def bucket_samples(positions: DataFrame, grain: Grain) -> DataFrame:
-    """Normalised positions restricted to rows with a complete bucket key.
+def complete_key(grain: Grain) -> Column:
+    """Whether a normalised sample has every key of a trip bucket.
 
-    Hourly and daily drop rows with a null date, hour or trip id (the
-    reference's inner join does). Monthly keeps null trip ids, drops null dates.
+    Hourly and daily need a date, hour and trip id (the reference's inner join
+    drops the rest). Monthly keeps null trip ids, drops null dates.
     """
     cond = F.lit(True)
     for k in grain.time_keys:
         cond = cond & F.col(k).isNotNull()
     if not grain.keep_null_trip:
         cond = cond & F.col("trip_id").isNotNull()
-    return positions.where(cond)
+    return cond
+
+
+def bucket_samples(positions: DataFrame, grain: Grain) -> DataFrame:
+    """Normalised positions restricted to rows with a complete bucket key."""
+    return positions.where(complete_key(grain))
 
 
 # Activity per trip bucket: output name -> counted column.
@@ -57,12 +64,6 @@ ACTIVITY_DISTINCT = {"user_count": "user_id", "vehicle_count": "vehicle_id"}
 ACTIVITY_COUNTS = {"total_driving_time": "ct", "size_of_latitude": "latitude"}
 
 
-def activity_aggs() -> list[Column]:
-    return [F.count_distinct(c).alias(n) for n, c in ACTIVITY_DISTINCT.items()] + [
-        F.count(c).alias(n) for n, c in ACTIVITY_COUNTS.items()
-    ]
-
-
 _DATE_PARTS = {"year": F.year, "month": F.month, "day": F.dayofmonth}
 
 
@@ -77,19 +78,11 @@ def with_bucket_keys(df: DataFrame, grain: Grain, rest: list[Column] | None = No
 def trip_activity(positions: DataFrame, grain: Grain) -> DataFrame:
     """A1 without arrays: distinct users and vehicles, sample and point counts.
 
-    Two distinct counts compile to Expand + two-level aggregation keyed by the
-    distinct value first, so a hot bucket is split by user / vehicle and
-    pre-aggregated before any shuffle.
+    Samples are counted per (bucket, user, vehicle) first, map-side, so a hot
+    bucket is split and the distinct counts read few rows (``group_counts``).
     """
-    keys = list(grain.bucket_keys)
-    return with_bucket_keys(bucket_samples(positions, grain).groupBy(*keys).agg(*activity_aggs()), grain)
-
-
-def _pair_input(positions: DataFrame, grain: Grain) -> DataFrame:
-    # Only the non-derivable key parts travel through the sample shuffle.
-    return bucket_samples(positions, grain).select(
-        *grain.bucket_keys, "user_id", "vehicle_id", "ct", "ts", "latitude", "longitude", speed_2dp(F.col("sp")).alias("s")
-    )
+    counted = group_counts(bucket_samples(positions, grain), grain.bucket_keys, ACTIVITY_COUNTS, ACTIVITY_DISTINCT)
+    return with_bucket_keys(counted, grain)
 
 
 def _measures(with_distance: bool, with_events: bool, thresholds: EventThresholds) -> list[Measure]:
@@ -105,9 +98,11 @@ def _renamed(columns: list[str]) -> list[Column]:
     """Measure columns under their table names; distance also rounded per bucket (P8)."""
     cols = []
     for c in columns:
-        cols.append(F.col(c).alias(EVENT_COLUMNS.get(c, c)))
-        if c == "distance_m":
-            cols.append(F.round("distance_m").cast("long").alias("total_distance"))
+        if c == "distance_um":
+            cols.append((F.col(c) / float(UM_PER_M)).alias("distance_m"))
+            cols.append(whole_metres(F.col(c)).alias("total_distance"))
+        else:
+            cols.append(F.col(c).alias(EVENT_COLUMNS.get(c, c)))
     return cols
 
 
@@ -118,8 +113,7 @@ def trip_metrics(
     with_distance: bool = True,
     with_events: bool | None = None,
     thresholds: EventThresholds = DEFAULT_THRESHOLDS,
-    strategy: str = "auto",
-    max_group_rows: int | None = None,
+    strategy: str = "sorted",
 ) -> DataFrame:
     """Everything known about each trip bucket.
 
@@ -138,22 +132,26 @@ def trip_metrics(
         if not with_activity:
             raise ValueError("nothing to compute")
         return trip_activity(positions, grain)
+    # Only what the measures read travels through the sample shuffle. Without
+    # events the speed is not needed: ties on the rest are at one place.
+    order = [c for c in SAMPLE_ORDER if with_events or c != "s"]
+    companions = list(ACTIVITY_DISTINCT.values()) if with_activity else []
+    samples = bucket_samples(positions, grain).withColumn("s", speed_2dp(F.col("sp")))
     out = ordered_pair_sums(
-        _pair_input(positions, grain),
+        samples.select(*grain.bucket_keys, *companions, *order),
         keys=grain.bucket_keys,
-        order=SAMPLE_ORDER,
-        carry=CARRIED,
+        order=order,
+        carry=[c for c in CARRIED if c in order],
         measures=measures,
         strategy=strategy,
         counts=ACTIVITY_COUNTS if with_activity else None,
         distinct_counts=ACTIVITY_DISTINCT if with_activity else None,
-        max_group_rows=max_group_rows,
     )
     rest = _renamed([c for c in out.columns if c not in grain.bucket_keys])
     return with_bucket_keys(out, grain, rest)
 
 
-def trip_distance(positions: DataFrame, grain: Grain, strategy: str = "auto") -> DataFrame:
+def trip_distance(positions: DataFrame, grain: Grain, strategy: str = "sorted") -> DataFrame:
     """U1 + P8: trip keys and ``total_distance`` (long metres)."""
     out = trip_metrics(positions, grain, with_activity=False, with_events=False, strategy=strategy)
     return out.select(*grain.trip_keys, "total_distance")
@@ -163,7 +161,7 @@ def trip_driving_events(
     positions: DataFrame,
     grain: Grain,
     thresholds: EventThresholds = DEFAULT_THRESHOLDS,
-    strategy: str = "auto",
+    strategy: str = "sorted",
 ) -> DataFrame:
     """U2: trip keys and the four event counts."""
     out = trip_metrics(

@@ -7,6 +7,9 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from drivestats.functions.timeparts import PARTITION_PARTS
+
+# The column names of the published tables.
 EVENT_TOTALS = (
     "total_sudden_start_count",
     "total_sudden_stop_count",
@@ -32,6 +35,17 @@ class Grain:
     def trip_keys(self) -> tuple[str, ...]:
         return (*self.time_keys, "trip_id")
 
+    @property
+    def output_schema(self) -> str:
+        """The published table's columns and types as DDL text."""
+
+        def ddl(c: str) -> str:
+            if c.startswith("avg_"):
+                return "DOUBLE"
+            return {"date": "DATE", "year_month": "STRING"}.get(c, "INT" if c in PARTITION_PARTS else "BIGINT")
+
+        return ", ".join(f"`{c}` {ddl(c)}" for c in self.output_cols)
+
     @property
     def derived_keys(self) -> tuple[str, ...]:
         """Time keys that are functions of ``date`` (day, month next to date)."""

@@ -6,27 +6,35 @@ import datetime as dt
 import logging
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from drivestats.functions.motion import DEFAULT_THRESHOLDS, EventThresholds
-from drivestats.functions.timeparts import partition_after
-from drivestats.operators.partitions import latest_partition, latest_partition_time
+from drivestats.functions.timeparts import partition_after, partition_start
+from drivestats.operators.partitions import has_new_data, latest_partition_time, partition_paths
+from drivestats.operators.trips import complete_key
 from drivestats.plans.grains import Grain, grain as as_grain
 from drivestats.plans.stats import build_stats
 from drivestats.sources import gold
-from drivestats.sources.positions import check_positions, read_positions
+from drivestats.sources.positions import check_positions, normalize, read_positions
 
 log = logging.getLogger("drivestats")
 
 
+# What an incremental run does with samples of time buckets that are already published.
+APPEND, REBUILD = "append", "rebuild"
+
+
 @dataclass
 class RunResult:
     grain: str
     load_type: str  # effective load type after the fallback
     watermark: dt.datetime | None
     wrote: bool
-    partitions: list[dict] = field(default_factory=list)
+    partitions: list[str] = field(default_factory=list)  # paths of the partitions added or rebuilt
     table: str | None = None
+    rows_read: int = 0  # source rows after the watermark
+    rows_rejected: int = 0  # of these, rows without a complete bucket key (unreadable ts, no trip id)
 
 
 def validate_load_type(load_type: str) -> str:
@@ -46,9 +54,10 @@ def run(
     table: str | None = None,
     sample_seconds: float = 1.0,
     thresholds: EventThresholds = DEFAULT_THRESHOLDS,
-    strategy: str = "auto",
+    strategy: str = "sorted",
     reprocess_latest: bool = False,
-    max_group_rows: int | None = None,
+    late_rows: str = APPEND,
+    zone: str = "UTC",
 ) -> RunResult:
     """Refresh the ``grain`` table at ``target_path`` from positions at ``source``.
 
@@ -57,47 +66,83 @@ def run(
     * L3 the watermark is the newest published partition; an empty target
       also means a full load.
     * P3 read only source partitions strictly after it (``reprocess_latest``
-      re-reads the newest partition too and overwrites it dynamically).
-    * L4 stop when nothing is new; otherwise one lazy plan, one write, then
-      catalog registration of the table and its new partitions.
+      reads the newest partition too).
+    * L4 stop when nothing is new; otherwise one lazy plan and one write. Either
+      way the catalog entry is made equal to the storage at the end.
+
+    Source partitions follow arrival, time buckets follow the samples' own
+    time, so new partitions may hold samples of buckets already published.
+    ``late_rows="append"`` (default, as the reference does) adds their
+    statistics as a further row of the bucket. ``late_rows="rebuild"``, which
+    ``reprocess_latest`` implies, finds the buckets that the new rows touch,
+    builds them again from every source row that falls in them and replaces
+    only those; it scans the source's key columns once more.
+
+    A full load without a single usable row leaves the target as it is.
     """
     g = as_grain(grain)
     load_type = validate_load_type(load_type)
+    if late_rows not in (APPEND, REBUILD):
+        raise ValueError(f"unknown late_rows {late_rows!r}: use {APPEND} or {REBUILD}")
     if load_type == gold.INCREMENTAL and not gold.target_exists(spark, target_path, database, table):
         log.info("no history for %s at %s: switching to FULL_LOAD", g.name, target_path)
         load_type = gold.FULL_LOAD
 
     watermark = None
     if load_type == gold.INCREMENTAL:
-        watermark = latest_partition_time(gold.read_gold(spark, target_path), g.output_parts)
+        before = gold.published_partitions(spark, target_path, g.output_parts)
+        watermark = latest_partition_time(before, g.output_parts)
         if watermark is None:
             load_type = gold.FULL_LOAD
 
-    positions = read_positions(spark, source) if isinstance(source, str) else check_positions(source)
+    source_rows = read_positions(spark, source) if isinstance(source, str) else check_positions(source)
     read_from = watermark
     if watermark is not None and reprocess_latest:
         read_from = watermark - dt.timedelta(microseconds=1)
-    if read_from is not None:
-        positions = positions.where(partition_after(g.source_parts, read_from))
 
-    if positions.isEmpty():
+    result = RunResult(g.name, load_type, watermark, wrote=False)
+    if has_new_data(source_rows, read_from, g.source_parts):
+        new_rows = source_rows if read_from is None else source_rows.where(partition_after(g.source_parts, read_from))
+        samples = normalize(new_rows, zone)
+        read = samples.agg(F.count(F.lit(1)).alias("n"), F.count_if(~complete_key(g)).alias("bad")).first()
+        result.rows_read, result.rows_rejected = read["n"], read["bad"]
+        if result.rows_rejected:
+            log.warning("%d of %d rows for %s have no complete bucket key", read["bad"], read["n"], g.name)
+        result.wrote = read["n"] > read["bad"]
+    if result.wrote:
+        rebuild = watermark is not None and (reprocess_latest or late_rows == REBUILD)
+        if rebuild:
+            touched = samples.where(complete_key(g)).select(*g.output_parts).distinct()
+            # One row per time bucket, held by the driver: what broadcasts is bounded by the calendar.
+            touched = spark.createDataFrame(touched.collect(), touched.schema)
+            samples = rows_of_buckets(normalize(source_rows, zone), touched, g)
+        stats = build_stats(
+            samples, g, sample_seconds=sample_seconds, thresholds=thresholds, strategy=strategy, normalized=True
+        )
+        gold.write_stats(stats, target_path, g.output_parts, load_type, dynamic_overwrite=rebuild)
+        changed = touched if rebuild else gold.published_partitions(spark, target_path, g.output_parts)
+        if watermark is not None and not rebuild:
+            changed = changed.subtract(before)
+        result.partitions = sorted(r["path"] for r in partition_paths(changed, g.output_parts).collect())
+    else:
         log.info("no new source data for %s after %s", g.name, watermark)
-        name = None
-        if table and watermark is not None:
-            newest = latest_partition(gold.read_gold(spark, target_path), g.output_parts).first().asDict()
-            if gold.ensure_registered(spark, target_path, database, table, g.output_parts, newest):
-                log.warning("catalog for %s lacked published partitions; re-registered", table)
-            name = gold.table_name(database, table)
-        return RunResult(g.name, load_type, watermark, wrote=False, table=name)
-
-    stats = build_stats(
-        positions, g, sample_seconds=sample_seconds, thresholds=thresholds, strategy=strategy,
-        max_group_rows=max_group_rows,
-    )
-    gold.write_stats(stats, target_path, g.output_parts, load_type, dynamic_overwrite=reprocess_latest and watermark is not None)
-
-    added = gold.new_partitions(spark, target_path, g.output_parts, read_from) if load_type == gold.INCREMENTAL else []
-    name = None
-    if table:
-        name = gold.register_table(spark, target_path, database, table, g.output_parts, load_type, added)
-    return RunResult(g.name, load_type, watermark, wrote=True, partitions=added, table=name)
+
+    if table and gold.path_exists(spark, target_path):
+        result.table = gold.register_table(spark, target_path, database, table, g.output_parts, g.output_schema)
+    return result
+
+
+def rows_of_buckets(samples: DataFrame, buckets: DataFrame, g: Grain) -> DataFrame:
+    """The normalised samples whose own time falls in one of ``buckets`` (rows of output parts).
+
+    ``buckets`` holds a row per time bucket, a bounded number. The first and the
+    last of them also bound ``ts``, which reaches the scan as a pushed filter.
+    """
+    ends = buckets.select(partition_start(g.output_parts).alias("t")).agg(F.min("t").alias("lo"), F.max("t").alias("hi")).first()
+    # No partition is longer than 31 days; the join decides exactly.
+    inside = F.col("ts").between(_ntz(ends["lo"]), _ntz(ends["hi"] + dt.timedelta(days=31)))
+    return samples.where(inside).join(F.broadcast(buckets), list(g.output_parts), "left_semi")
+
+
+def _ntz(t: dt.datetime) -> Column:
+    return F.lit(t.isoformat(sep=" ")).cast("timestamp_ntz")

@@ -4,14 +4,55 @@ Written independently of the Spark plans: a plain window over each whole trip
 bucket (no slicing), partition-start timestamps instead of tuple predicates,
 ``ORDER BY ... LIMIT 1`` instead of ``max(struct)``. Arithmetic is spelled in
 the same operation order as the Spark expressions so both engines do the same
-floating-point steps; every output column is cast to the Spark type.
+floating-point steps; every output column is cast to the Spark type. Key sets,
+column lists, thresholds and constants are spelled out here and not taken from
+the package, so a wrong one there shows.
 """
 
 from __future__ import annotations
 
-from drivestats.functions.geo import DEG_TO_RAD, EARTH_RADIUS_M
-from drivestats.functions.motion import DEFAULT_THRESHOLDS as T
-from drivestats.plans.grains import DAILY, HOURLY, MONTHLY, MONTHLY_CALENDAR, Grain
+from typing import NamedTuple
+
+
+class Table(NamedTuple):
+    """One published table, in literals."""
+
+    time_keys: tuple[str, ...]
+    parts: tuple[str, ...]
+    output_cols: tuple[str, ...]
+    with_events: bool = True
+    keep_null_trip: bool = False
+    year_month: str | None = None
+
+    @property
+    def trip_keys(self) -> tuple[str, ...]:
+        return (*self.time_keys, "trip_id")
+
+
+_EVENT_OUTPUT = (
+    "total_sudden_start_count, total_sudden_stop_count, total_acceleration_count, total_deceleration_count, "
+    "avg_distance, avg_driving_time, avg_sudden_start_count, avg_sudden_stop_count, avg_acceleration_count, "
+    "avg_deceleration_count"
+)
+_TOTALS = "trip_count, user_count, vehicle_count, total_driving_time, total_distance"
+
+
+def _columns(text: str) -> tuple[str, ...]:
+    return tuple(text.split(", "))
+
+
+HOURLY = Table(
+    ("date", "hour"), ("year", "month", "day", "hour"), _columns(f"date, year, month, day, hour, {_TOTALS}, {_EVENT_OUTPUT}")
+)
+DAILY = Table(
+    ("date", "day"), ("year", "month", "day"),
+    _columns(f"date, year, month, day, year_month, {_TOTALS}, {_EVENT_OUTPUT}"), year_month="unpadded",
+)
+MONTHLY = Table(
+    ("date", "month"), ("year", "month"), _columns(f"year_month, year, month, {_TOTALS}, avg_distance"),
+    with_events=False, keep_null_trip=True, year_month="unpadded",
+)
+MONTHLY_CALENDAR = MONTHLY._replace(time_keys=("year", "month"), year_month="padded")
 
 _PARTS = """CAST(year(ts) AS INTEGER) AS year, CAST(month(ts) AS INTEGER) AS month,
        CAST(day(ts) AS INTEGER) AS day, CAST(hour(ts) AS INTEGER) AS hour"""
@@ -53,15 +94,15 @@ def _norm(pos_cte: str) -> str:
 FROM {pos_cte}"""
 
 
-def _key_filter(g: Grain) -> str:
+def _key_filter(g: Table) -> str:
     conds = [f"{k} IS NOT NULL" for k in g.time_keys]
     if not g.keep_null_trip:
         conds.append("trip_id IS NOT NULL")
     return " AND ".join(conds)
 
 
-_K = repr(DEG_TO_RAD) + "e0" if "e" not in repr(DEG_TO_RAD) else repr(DEG_TO_RAD)
-_D = f"{2.0 * EARTH_RADIUS_M!r}e0"
+_K = "0.017453292519943295e0"  # degrees to radians
+_D = "12742017.6e0"  # diameter of the Earth in metres
 
 
 def _f(x: float) -> str:
@@ -76,14 +117,14 @@ _DIST = f"""CASE WHEN p_lat IS NOT NULL AND p_lon IS NOT NULL AND latitude IS NO
        END"""
 
 _EVENTS = {
-    "total_sudden_start_count": f"p_s <= {_f(T.start_from_below)} AND s - p_s >= {_f(T.sudden_start)}",
-    "total_sudden_stop_count": f"s <= {_f(T.stop_below)} AND s - p_s <= {_f(T.sudden_stop)}",
-    "total_acceleration_count": f"s - p_s >= {_f(T.acceleration)}",
-    "total_deceleration_count": f"s - p_s <= {_f(T.deceleration)}",
+    "total_sudden_start_count": "p_s <= 5.0e0 AND s - p_s >= 20.0e0",
+    "total_sudden_stop_count": "s <= 5.0e0 AND s - p_s <= -20.0e0",
+    "total_acceleration_count": "s - p_s >= 10.0e0",
+    "total_deceleration_count": "s - p_s <= -10.0e0",
 }
 
 
-def trip_sql(norm: str, g: Grain, activity=True, distance=True, events=None) -> str:
+def trip_sql(norm: str, g: Table, activity=True, distance=True, events=None) -> str:
     """Trip-bucket rows for grain ``g`` over the normalised positions query ``norm``."""
     events = g.with_events if events is None else events
     keys = ", ".join(g.trip_keys)
@@ -96,7 +137,9 @@ def trip_sql(norm: str, g: Grain, activity=True, distance=True, events=None) ->
             "CAST(count(latitude) AS BIGINT) AS size_of_latitude",
         ]
     if distance:
-        cols.append(f"CAST(round(coalesce(sum({_DIST}), 0.0e0)) AS BIGINT) AS total_distance")
+        # Whole micrometres per pair, whole metres per bucket, both half-up.
+        um = f"coalesce(sum(CAST(floor({_DIST} * 1000000.0e0 + 0.5e0) AS BIGINT)), 0)"
+        cols.append(f"CAST(({um} + 500000) // 1000000 AS BIGINT) AS total_distance")
     if events:
         cols += [f"CAST(sum(CASE WHEN {cond} THEN 1 ELSE 0 END) AS BIGINT) AS {name}" for name, cond in _EVENTS.items()]
     return f"""SELECT {keys}, {', '.join(cols)}
@@ -110,7 +153,7 @@ FROM (
 GROUP BY {keys}"""
 
 
-def traces_sql(norm: str, g: Grain) -> str:
+def traces_sql(norm: str, g: Table) -> str:
     keys = ", ".join(g.trip_keys)
     return f"""SELECT {keys},
        CAST(row_number() OVER (PARTITION BY {keys}
@@ -124,7 +167,7 @@ def _avg(total: str) -> str:
     return f"CASE WHEN trip_count = 0 THEN NULL ELSE CAST({total} AS DOUBLE) / CAST(trip_count AS DOUBLE) END"
 
 
-def stats_sql(pos: str, g: Grain, sample_seconds: float = 1.0) -> str:
+def stats_sql(pos: str, g: Table, sample_seconds: float = 1.0) -> str:
     norm = _norm(f"({pos})")
     trips = trip_sql(norm, g)
     keys = ", ".join(g.time_keys)
@@ -194,11 +237,38 @@ def partition_paths_sql(stats: str, parts: tuple[str, ...]) -> str:
     return f"SELECT DISTINCT {pieces} AS path FROM ({stats})"
 
 
+def odd_positions() -> str:
+    """Fixture E with gaps: what ``drivestats.sources.fixtures.positions_odd`` builds, read back.
+
+    Texts of the fourth kind are not timestamps; all others keep the wall clock in seconds.
+    """
+    return f"""SELECT trip_id, user_id, vehicle_id,
+       CASE WHEN ct % 7 <> 4 THEN CAST(date_trunc('second', ts) AS TIMESTAMP) END AS ts,
+       CASE WHEN ct % 11 <> 0 THEN latitude END AS latitude, longitude,
+       CASE WHEN ct % 13 <> 0 THEN ct END AS ct, sp
+FROM ({positions_e()})"""
+
+
+def load_control_sql(pos: str) -> str:
+    """The steps of ``load_control_daily``: what each run reads, writes and finds."""
+    day = "make_timestamp(year, month, day, 0, 0, 0.0)"
+    old = f"{day} <= TIMESTAMP '{HISTORY_CUTOFF_DAILY}'"
+    return f"""WITH p AS (SELECT *, {day} AS part, {old} AS old FROM ({pos}))
+SELECT 1 AS step, 'FULL_LOAD' AS load_type, true AS wrote, CAST(NULL AS TIMESTAMP) AS watermark,
+       count(*) AS rows_read, count(DISTINCT part) AS n_partitions FROM p WHERE old
+UNION ALL
+SELECT 2, 'INCREMENTAL', count(*) FILTER (NOT old) > 0, max(part) FILTER (old),
+       count(*) FILTER (NOT old), count(DISTINCT part) FILTER (NOT old) FROM p
+UNION ALL
+SELECT 3, 'INCREMENTAL', false, max(part), 0, 0 FROM p"""
+
+
 # Fixed watermarks used by the incremental queries (partition-aligned).
 WATERMARK_HOURLY = "2024-01-15 11:00:00"
 WATERMARK_DAILY = "2024-01-20 00:00:00"
 WATERMARK_MONTHLY = "1998-06-01 00:00:00"
 HISTORY_CUTOFF_DAILY = "1998-06-30 00:00:00"
+CRASH_CUTOFF_DAILY = "1999-03-31 00:00:00"
 
 
 def oracle_sql() -> dict[str, str]:
@@ -207,7 +277,7 @@ def oracle_sql() -> dict[str, str]:
     daily_l = stats_sql(l, DAILY)
     monthly_l = stats_sql(l, MONTHLY)
     norm_e, norm_l = _norm(f"({e})"), _norm(f"({l})")
-    hourly_keep_null = Grain(**{**HOURLY.__dict__, "keep_null_trip": True})
+    hourly_keep_null = HOURLY._replace(keep_null_trip=True)
     norm_e_null = _norm(f"({e_null})")
     keys = ", ".join(HOURLY.trip_keys)
     joined = f"""SELECT a.*, v.total_sudden_start_count, v.total_sudden_stop_count,
@@ -218,13 +288,13 @@ JOIN ({trip_sql(norm_e_null, hourly_keep_null, activity=False, distance=False, e
     daily_e = stats_sql(e, DAILY)
     return {
         "positions_normalized": _norm(f"({e})"),
-        "incremental_rows_hourly": incremental_rows_sql(e, HOURLY.source_parts, WATERMARK_HOURLY),
-        "incremental_rows_daily": incremental_rows_sql(e, DAILY.source_parts, WATERMARK_DAILY),
-        "incremental_rows_monthly": incremental_rows_sql(l, MONTHLY.source_parts, WATERMARK_MONTHLY),
+        "incremental_rows_hourly": incremental_rows_sql(e, HOURLY.parts, WATERMARK_HOURLY),
+        "incremental_rows_daily": incremental_rows_sql(e, DAILY.parts, WATERMARK_DAILY),
+        "incremental_rows_monthly": incremental_rows_sql(l, MONTHLY.parts, WATERMARK_MONTHLY),
         "has_new_data": has_new_data_sql(l),
-        "latest_partition_hourly": latest_partition_sql(hourly_e, HOURLY.output_parts),
-        "latest_partition_daily": latest_partition_sql(daily_e, DAILY.output_parts),
-        "latest_partition_monthly": latest_partition_sql(monthly_l, MONTHLY.output_parts),
+        "latest_partition_hourly": latest_partition_sql(hourly_e, HOURLY.parts),
+        "latest_partition_daily": latest_partition_sql(daily_e, DAILY.parts),
+        "latest_partition_monthly": latest_partition_sql(monthly_l, MONTHLY.parts),
         "trip_activity_hourly": trip_sql(norm_e, HOURLY, distance=False, events=False),
         "trip_activity_daily": trip_sql(norm_e, DAILY, distance=False, events=False),
         "trip_activity_monthly": trip_sql(norm_l, MONTHLY, distance=False, events=False),
@@ -240,11 +310,24 @@ JOIN ({trip_sql(norm_e_null, hourly_keep_null, activity=False, distance=False, e
         "monthly_stats_calendar": stats_sql(l, MONTHLY_CALENDAR),
         "hourly_stats_sliced": hourly_e,
         "daily_stats_sliced": daily_l,
+        "hourly_stats_window": hourly_e,
+        "daily_stats_window": daily_l,
         "daily_stats_minutes": stats_sql(l, DAILY, sample_seconds=60.0),
-        "partition_paths_hourly": partition_paths_sql(hourly_e, HOURLY.output_parts),
-        "partition_paths_daily": partition_paths_sql(daily_e, DAILY.output_parts),
-        "partition_paths_monthly": partition_paths_sql(monthly_l, MONTHLY.output_parts),
+        "partition_paths_hourly": partition_paths_sql(hourly_e, HOURLY.parts),
+        "partition_paths_daily": partition_paths_sql(daily_e, DAILY.parts),
+        "partition_paths_monthly": partition_paths_sql(monthly_l, MONTHLY.parts),
         "publish_full_daily": daily_l,
         "publish_incremental_daily": daily_l,
         "catalog_daily": daily_l,
+        "publish_late_daily": daily_l,
+        "catalog_late_daily": daily_l,
+        "catalog_incremental_daily": daily_l,
+        "catalog_after_crash_daily": daily_l,
+        "catalog_reload_daily": f"""SELECT DISTINCT 'year=' || year || '/month=' || month || '/day=' || day AS partition
+FROM ({daily_l}) WHERE date <= DATE '{HISTORY_CUTOFF_DAILY[:10]}'""",
+        "load_control_daily": load_control_sql(l),
+        "latest_partition_sql_daily": latest_partition_sql(daily_l, DAILY.parts),
+        "positions_odd_normalized": _norm(f"({odd_positions()})"),
+        "hourly_stats_odd": stats_sql(odd_positions(), HOURLY),
+        "trip_traces_hourly": traces_sql(norm_e, HOURLY),
     }

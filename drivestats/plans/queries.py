@@ -12,18 +12,19 @@ import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from drivestats.functions.timeparts import partition_after
 from drivestats.operators.traces import trace_points
-from drivestats.operators.partitions import latest_partition, new_data_by_month, partition_paths
+from drivestats.operators.partitions import latest_partition, latest_partition_sql, new_data_by_month, partition_paths
 from drivestats.operators.trips import join_trip_events, trip_activity, trip_distance, trip_driving_events
 from drivestats.plans import oracle
 from drivestats.plans.grains import DAILY, HOURLY, MONTHLY, MONTHLY_CALENDAR
-from drivestats.plans.job import run
+from drivestats.plans.job import REBUILD, run
 from drivestats.plans.stats import build_stats
 from drivestats.session import work_path
 from drivestats.sources import gold
-from drivestats.sources.fixtures import positions_e, positions_l
+from drivestats.sources.fixtures import positions_e, positions_l, positions_late, positions_odd
 from drivestats.sources.positions import normalize
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -75,11 +76,77 @@ def publish_incremental_daily(spark: SparkSession, d: str) -> DataFrame:
     return gold.read_gold(spark, path)
 
 
+def _target(spark: SparkSession, name: str) -> tuple[str, dict[str, str]]:
+    """A fresh path and the catalog entry of the same number."""
+    path = work_path(spark, name)
+    return path, {"database": "drivestats_gold", "table": f"{name}_{path.rsplit('-', 1)[-1]}"}
+
+
+def _until(pos: DataFrame, cutoff: str) -> DataFrame:
+    return pos.where(~partition_after(DAILY.source_parts, _ts(cutoff)))
+
+
 def catalog_daily(spark: SparkSession, d: str) -> DataFrame:
-    path = work_path(spark, "catalog_daily")
-    table = "daily_stat_" + path.rsplit("-", 1)[-1]
-    run(spark, DAILY, gold.FULL_LOAD, positions_l(spark, d), path, database="drivestats_gold", table=table)
-    return gold.read_table(spark, "drivestats_gold", table)
+    path, entry = _target(spark, "catalog_daily")
+    run(spark, DAILY, gold.FULL_LOAD, positions_l(spark, d), path, **entry)
+    return gold.read_table(spark, **entry)
+
+
+def _publish_late(spark: SparkSession, d: str, name: str) -> tuple[str, dict[str, str]]:
+    path, entry = _target(spark, name)
+    pos = positions_late(spark, d)
+    run(spark, DAILY, gold.FULL_LOAD, _until(pos, oracle.HISTORY_CUTOFF_DAILY), path, **entry)
+    run(spark, DAILY, gold.INCREMENTAL, pos, path, late_rows=REBUILD, **entry)
+    return path, entry
+
+
+def publish_late_daily(spark: SparkSession, d: str) -> DataFrame:
+    """New partitions with samples of days long published: the touched days are built again."""
+    return gold.read_gold(spark, _publish_late(spark, d, "publish_late_daily")[0], DAILY.output_schema)
+
+
+def catalog_late_daily(spark: SparkSession, d: str) -> DataFrame:
+    return gold.read_table(spark, **_publish_late(spark, d, "catalog_late_daily")[1])
+
+
+def catalog_incremental_daily(spark: SparkSession, d: str) -> DataFrame:
+    path, entry = _target(spark, "catalog_incremental_daily")
+    pos = positions_l(spark, d)
+    run(spark, DAILY, gold.FULL_LOAD, _until(pos, oracle.HISTORY_CUTOFF_DAILY), path, **entry)
+    run(spark, DAILY, gold.INCREMENTAL, pos, path, **entry)
+    return gold.read_table(spark, **entry)
+
+
+def catalog_after_crash_daily(spark: SparkSession, d: str) -> DataFrame:
+    """The second run writes and dies before it registers (here: knows no table); the third has new data."""
+    path, entry = _target(spark, "catalog_after_crash_daily")
+    pos = positions_l(spark, d)
+    run(spark, DAILY, gold.FULL_LOAD, _until(pos, oracle.HISTORY_CUTOFF_DAILY), path, **entry)
+    run(spark, DAILY, gold.INCREMENTAL, _until(pos, oracle.CRASH_CUTOFF_DAILY), path)
+    run(spark, DAILY, gold.INCREMENTAL, pos, path, **entry)
+    return gold.read_table(spark, **entry)
+
+
+def catalog_reload_daily(spark: SparkSession, d: str) -> DataFrame:
+    """The partitions listed after a second full load that holds fewer days."""
+    path, entry = _target(spark, "catalog_reload_daily")
+    pos = positions_l(spark, d)
+    run(spark, DAILY, gold.FULL_LOAD, pos, path, **entry)
+    run(spark, DAILY, gold.FULL_LOAD, _until(pos, oracle.HISTORY_CUTOFF_DAILY), path, **entry)
+    return spark.sql(f"SHOW PARTITIONS {gold.table_name(**entry)}")
+
+
+def load_control_daily(spark: SparkSession, d: str) -> DataFrame:
+    """L2 (no history: full load), an incremental run, L4 (nothing new: stop)."""
+    path = work_path(spark, "load_control_daily")
+    pos = positions_l(spark, d)
+    results = [
+        run(spark, DAILY, gold.INCREMENTAL, p, path) for p in (_until(pos, oracle.HISTORY_CUTOFF_DAILY), pos, pos)
+    ]
+    rows = [(i, r.load_type, r.wrote, r.watermark, r.rows_read, len(r.partitions)) for i, r in enumerate(results, 1)]
+    return spark.createDataFrame(
+        rows, "step int, load_type string, wrote boolean, watermark timestamp_ntz, rows_read long, n_partitions long"
+    )
 
 
 def registry() -> dict[str, Query]:
@@ -112,10 +179,11 @@ def registry() -> dict[str, Query]:
         "daily_stats": daily_stats,
         "monthly_stats": monthly_stats,
         "monthly_stats_calendar": monthly_stats_calendar,
-        # The same statistics forced onto the range-sliced (hot-bucket) plan,
-        # so the oracle check covers the path ``auto`` takes under skew.
+        # Both strategies by name.
         "hourly_stats_sliced": lambda s, d: build_stats(e(s, d), HOURLY, strategy="sorted"),
         "daily_stats_sliced": lambda s, d: build_stats(l(s, d), DAILY, strategy="sorted"),
+        "hourly_stats_window": lambda s, d: build_stats(e(s, d), HOURLY, strategy="window"),
+        "daily_stats_window": lambda s, d: build_stats(l(s, d), DAILY, strategy="window"),
         "daily_stats_minutes": daily_stats_minutes,
         "partition_paths_hourly": lambda s, d: partition_paths(hourly_stats(s, d), HOURLY.output_parts),
         "partition_paths_daily": lambda s, d: partition_paths(build_stats(e(s, d), DAILY), DAILY.output_parts),
@@ -123,4 +191,16 @@ def registry() -> dict[str, Query]:
         "publish_full_daily": publish_full_daily,
         "publish_incremental_daily": publish_incremental_daily,
         "catalog_daily": catalog_daily,
+        "publish_late_daily": publish_late_daily,
+        "catalog_late_daily": catalog_late_daily,
+        "catalog_incremental_daily": catalog_incremental_daily,
+        "catalog_after_crash_daily": catalog_after_crash_daily,
+        "catalog_reload_daily": catalog_reload_daily,
+        "load_control_daily": load_control_daily,
+        "latest_partition_sql_daily": lambda s, d: latest_partition_sql(daily_stats(s, d), DAILY.output_parts),
+        "positions_odd_normalized": lambda s, d: normalize(positions_odd(s, d)).withColumns(
+            {"user_id": F.col("user_id").cast("long"), "vehicle_id": F.col("vehicle_id").cast("long")}
+        ),
+        "hourly_stats_odd": lambda s, d: build_stats(positions_odd(s, d), HOURLY),
+        "trip_traces_hourly": lambda s, d: trace_points(normalize(e(s, d)), HOURLY),
     }

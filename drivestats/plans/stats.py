@@ -16,20 +16,18 @@ def build_stats(
     grain: str | Grain,
     sample_seconds: float = 1.0,
     thresholds: EventThresholds = DEFAULT_THRESHOLDS,
-    strategy: str = "auto",
+    strategy: str = "sorted",
     normalized: bool = False,
-    max_group_rows: int | None = None,
 ) -> DataFrame:
     """Hourly / daily / monthly statistics from raw (or normalised) positions.
 
-    One lazy plan: normalise, trip-bucket pass (one scan and one shuffle of the
-    samples, partial aggregation), rollup (shuffle of trip-bucket rows only),
-    shaping. With ``strategy="auto"`` one small job first measures the largest
-    trip bucket to pick the window or the range-sliced plan.
+    One lazy plan, the same at every size: normalise, trip-bucket pass (one
+    shuffle of the samples, partial aggregation), rollup (shuffle of trip-bucket
+    rows only), shaping. Building it starts no job.
     Each table is built from positions, never from a finer table: trip buckets
     are not additive across time buckets.
     """
     g = as_grain(grain)
     pos = positions if normalized else normalize(positions)
-    trips = trip_metrics(pos, g, thresholds=thresholds, strategy=strategy, max_group_rows=max_group_rows)
+    trips = trip_metrics(pos, g, thresholds=thresholds, strategy=strategy)
     return rollup_stats(trips, g, sample_seconds=sample_seconds)

@@ -69,3 +69,36 @@ def positions_e(spark: SparkSession, sf_dir: str, null_trip_for_errors: bool = F
 
 def positions_l(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lineitem_positions(_table(spark, sf_dir, "lineitem"))
+
+
+def positions_odd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fixture E as a careless producer would send it: ``ts`` as text in several shapes,
+    some of it no timestamp, ids of other types, missing latitudes and counters."""
+    ct = F.col("ct")
+    second = F.date_format("ts", "yyyy-MM-dd HH:mm:ss")
+    text = (
+        F.when(ct % 7 == 0, F.concat(second, F.lit(".123")))
+        .when(ct % 7 == 1, F.concat(second, F.lit("Z")))
+        .when(ct % 7 == 2, F.concat(second, F.lit(" +09:00")))
+        .when(ct % 7 == 3, F.date_format("ts", "yyyy-M-d H:m:s"))
+        .when(ct % 7 == 4, F.concat(F.lit("at "), second))
+        .otherwise(second)
+    )
+    e = positions_e(spark, sf_dir)
+    return e.withColumns(
+        {
+            "ts": text,
+            "user_id": F.col("user_id").cast("string"),
+            "vehicle_id": F.col("vehicle_id").cast("decimal(20,0)"),
+            "latitude": F.when(ct % 11 != 0, F.col("latitude")),
+            "ct": F.when(ct % 13 != 0, ct),
+        }
+    )
+
+
+def positions_late(spark: SparkSession, sf_dir: str, days: int = 400) -> DataFrame:
+    """Fixture L in which every fifth order arrives ``days`` after its samples' own time."""
+    arrival = F.when(F.col("ct") % 50 < 10, F.col("ts") + F.make_dt_interval(F.lit(days))).otherwise(F.col("ts"))
+    late = positions_l(spark, sf_dir)
+    parts = ["year", "month", "day", "hour"]
+    return late.select(*[c for c in late.columns if c not in parts], *_with_source_parts(arrival))

@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import datetime as dt
 import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-
-from drivestats.functions.timeparts import partition_after
+from pyspark.sql import functions as F
 
 FULL_LOAD = "FULL_LOAD"
 INCREMENTAL = "INCREMENTAL"
@@ -16,12 +14,6 @@ LOAD_TYPES = (FULL_LOAD, INCREMENTAL)
 
 _IDENT = re.compile(r"^[A-Za-z_][A-Za-z0-9_]*$")
 
-# Upper bound on write tasks: the output is one row per time bucket, so more
-# tasks than this would mostly be empty (a five-year hourly full load has
-# about 44k partition directories, some 40 per task at this width).
-MAX_WRITE_TASKS = 1024
-
-
 def _ident(name: str) -> str:
     if not _IDENT.match(name):
         raise ValueError(f"invalid identifier {name!r}")
@@ -54,9 +46,29 @@ def target_exists(spark: SparkSession, path: str, database: str | None = None, t
     return catalog_ok and path_exists(spark, path)
 
 
-def read_gold(spark: SparkSession, path: str) -> DataFrame:
-    """S2: the published table, partition columns discovered from the layout."""
-    return spark.read.parquet(path)
+def read_gold(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
+    """S2: the published table, partition columns discovered from the layout.
+
+    With ``schema`` (``Grain.output_schema``) nothing is inferred from files, so
+    a table without rows reads as an empty one.
+    """
+    return spark.read.schema(schema).parquet(path) if schema else spark.read.parquet(path)
+
+
+def published_partitions(spark: SparkSession, path: str, parts: Sequence[str]) -> DataFrame:
+    """One row of ``parts`` per partition that holds files, from the directory tree.
+
+    The binary file source lists files and reads their partition values; as no
+    content is selected, no file is opened. The rows are held by the driver:
+    one per published time bucket (some 44,000 for five years of hours), however
+    many samples they sum up.
+    """
+    files = spark.read.format("binaryFile").load(path)
+    schema = ", ".join(f"{p} int" for p in parts)
+    if not set(parts) <= set(files.columns):
+        return spark.createDataFrame([], schema)
+    found = files.select(*[F.col(p).cast("int").alias(p) for p in parts]).distinct().orderBy(*parts)
+    return spark.createDataFrame(found.collect(), schema)
 
 
 def write_stats(
@@ -70,81 +82,38 @@ def write_stats(
 
     Output rows are one per time bucket, so hash-clustering them by the
     partition columns writes exactly one file per partition. The partition
-    count is given explicitly: the data is tiny and adaptive coalescing would
-    otherwise hand every partition directory (thousands on a full load) to a
-    single task. ``dynamic_overwrite`` replaces only the partitions present in
-    ``df`` (for re-processing a partition that was already published).
+    count (the session's) is given explicitly: the data is tiny and adaptive
+    coalescing would otherwise hand every partition directory (thousands on a
+    full load) to a single task. ``dynamic_overwrite`` replaces only the
+    partitions present in ``df``.
     """
     mode = "overwrite" if (load_type == FULL_LOAD or dynamic_overwrite) else "append"
-    n = min(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), MAX_WRITE_TASKS)
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     writer = df.repartition(n, *parts).write.mode(mode).partitionBy(*parts)
-    if dynamic_overwrite:
-        writer = writer.option("partitionOverwriteMode", "dynamic")
-    writer.parquet(path)
-
-
-def new_partitions(spark: SparkSession, path: str, parts: Sequence[str], watermark: dt.datetime | None) -> list[dict]:
-    """Partition values published after ``watermark``.
-
-    Only partition columns are selected, so the scan is answered from the
-    directory layout; the result (one entry per new time partition) is the
-    catalog DDL's input and is small by construction.
-    """
-    df = read_gold(spark, path).select(*parts)
-    if watermark is not None:
-        df = df.where(partition_after(parts, watermark))
-    return [r.asDict() for r in df.distinct().collect()]
+    # Said each time: a session default of "dynamic" would leave old partitions behind a full load.
+    writer.option("partitionOverwriteMode", "dynamic" if dynamic_overwrite else "static").parquet(path)
 
 
 def register_table(
-    spark: SparkSession,
-    path: str,
-    database: str | None,
-    table: str,
-    parts: Sequence[str],
-    load_type: str,
-    added: Sequence[dict] | None = None,
+    spark: SparkSession, path: str, database: str | None, table: str, parts: Sequence[str], schema: str
 ) -> str:
-    """S6: external Parquet table over ``path`` with its partitions registered.
+    """S6: external Parquet table over ``path`` whose partitions are those of the storage.
 
-    A full load re-discovers all partitions; an incremental load adds the new
-    ones (``added``) and leaves the rest. Works with the in-memory catalog and
-    with a Hive metastore.
+    One statement adds what the catalog lacks and drops what is gone, whichever
+    run wrote or removed it: a run that died before registering is made up for
+    by the next. The schema is declared, so an empty folder registers as well.
+    Works with the in-memory catalog and with a Hive metastore.
     """
     if database:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {_ident(database)}")
     name = table_name(database, table)
     loc = path.replace("'", "\\'")
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING parquet LOCATION '{loc}'")
-    if load_type == FULL_LOAD or added is None:
-        spark.catalog.recoverPartitions(f"{database}.{table}" if database else table)
-    else:
-        for spec in added:
-            kv = ", ".join(f"{_ident(c)}={int(spec[c])}" for c in parts)
-            spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS PARTITION ({kv})")
+    by = ", ".join(_ident(c) for c in parts)
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({schema}) USING parquet PARTITIONED BY ({by}) LOCATION '{loc}'")
+    spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
     spark.catalog.refreshTable(f"{database}.{table}" if database else table)
     return name
 
 
-def ensure_registered(
-    spark: SparkSession, path: str, database: str | None, table: str, parts: Sequence[str], newest: dict
-) -> bool:
-    """Repair after a run that wrote data but died before registering it.
-
-    If the catalog lacks the newest published partition, re-discover all
-    partitions (idempotent). Returns whether a repair was needed.
-    """
-    qualified = f"{database}.{table}" if database else table
-    if not spark.catalog.tableExists(qualified):
-        register_table(spark, path, database, table, parts, FULL_LOAD)
-        return True
-    spec = ", ".join(f"{_ident(c)}={int(newest[c])}" for c in parts)
-    if spark.sql(f"SHOW PARTITIONS {table_name(database, table)} PARTITION ({spec})").isEmpty():
-        spark.catalog.recoverPartitions(qualified)
-        spark.catalog.refreshTable(qualified)
-        return True
-    return False
-
-
 def read_table(spark: SparkSession, database: str | None, table: str) -> DataFrame:
     return spark.table(f"{database}.{table}" if database else table)

@@ -11,18 +11,22 @@ from pyspark.sql.types import (
     DoubleType,
     IntegerType,
     LongType,
+    MapType,
     StringType,
     StructField,
     StructType,
     TimestampNTZType,
+    VariantType,
 )
 
 from drivestats.functions.timeparts import normalized_ts, partition_after
 
 POSITION_COLUMNS = ("trip_id", "user_id", "vehicle_id", "ts", "latitude", "longitude", "ct", "sp")
 
-# Declared schema of the silver table. ``ts`` may also be a string
-# ``yyyy-MM-dd HH:mm:ss``; both are accepted by ``normalize``.
+# Declared schema of the silver table. ``ts`` may also be a string or a zoned
+# timestamp, and the ids of any type that can be grouped: they are only grouped
+# and counted.
+ID_COLUMNS = ("trip_id", "user_id", "vehicle_id")
 POSITIONS_SCHEMA = StructType(
     [
         StructField("trip_id", StringType()),
@@ -53,6 +57,8 @@ def check_positions(df: DataFrame) -> DataFrame:
         if f.name == "ts" or f.name not in fields:
             continue
         got = fields[f.name]
+        if f.name in ID_COLUMNS and not isinstance(got, (MapType, VariantType)):
+            continue
         numeric_ok = isinstance(f.dataType, (LongType, IntegerType, DoubleType)) and got.typeName() in (
             "integer", "long", "short", "byte", "double", "float", "decimal",
         )
@@ -78,15 +84,15 @@ def read_positions(
     return df
 
 
-def normalize(df: DataFrame) -> DataFrame:
+def normalize(df: DataFrame, zone: str = "UTC") -> DataFrame:
     """Project the eight sample columns and derive ``date`` and the time parts.
 
-    ``ts`` becomes ``timestamp_ntz`` (no session time zone involved);
-    unparseable strings give a null ``ts`` and so a null ``date``. The source
+    ``ts`` becomes ``timestamp_ntz`` (no session time zone involved; zoned
+    timestamps take the wall clock of ``zone``); unparseable strings give a null ``ts`` and so a null ``date``. The source
     partition columns are replaced by parts computed from ``ts``.
     """
     ts_type = df.schema["ts"].dataType
-    base = df.select(*[c for c in POSITION_COLUMNS if c != "ts"], normalized_ts("ts", ts_type).alias("ts"))
+    base = df.select(*[c for c in POSITION_COLUMNS if c != "ts"], normalized_ts("ts", ts_type, zone).alias("ts"))
     ts = F.col("ts")
     return base.select(
         *POSITION_COLUMNS,

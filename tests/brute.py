@@ -38,11 +38,11 @@ def pair_sums(rows, keys, order):
     out = {}
     for g, rs in groups.items():
         rs.sort(key=lambda r: tuple(_key(r[c]) for c in order))
-        dist, ss, sp, ac, dc = 0.0, 0, 0, 0, 0
+        dist, ss, sp, ac, dc = 0, 0, 0, 0, 0
         for p, c in zip(rs, rs[1:]):
             d = hav((p["latitude"], p["longitude"]), (c["latitude"], c["longitude"]))
             if d is not None:
-                dist += d
+                dist += math.floor(d * 1_000_000.0 + 0.5)  # whole micrometres per pair
             if p["s"] is not None and c["s"] is not None:
                 delta = c["s"] - p["s"]
                 ss += p["s"] <= 5.0 and delta >= 20.0
@@ -50,7 +50,7 @@ def pair_sums(rows, keys, order):
                 ac += delta >= 10.0
                 dc += delta <= -10.0
         out[g] = {
-            "distance_m": dist,
+            "distance_um": dist,
             "sudden_start_count": ss,
             "sudden_stop_count": sp,
             "acceleration_count": ac,

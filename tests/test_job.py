@@ -10,12 +10,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from drivestats.functions.timeparts import partition_after
+from drivestats.operators.partitions import latest_partition_time
 from drivestats.plans.grains import DAILY, HOURLY, MONTHLY
 from drivestats.plans.job import run, validate_load_type
 from drivestats.plans.stats import build_stats
 from drivestats.session import work_path
 from drivestats.sources import gold
 from drivestats.sources.fixtures import positions_e
+from drivestats.sources.positions import POSITIONS_SCHEMA
 from tests.oracle_compare import _rows
 
 
@@ -126,12 +128,12 @@ def test_catalog_repaired_after_unregistered_write(spark, silver):
     assert spark.table("ds_test.daily_repair").count() == 30
 
 
-@pytest.mark.parametrize("strategy", ["sorted", "auto"])
+@pytest.mark.parametrize("strategy", ["sorted", "window"])
 def test_history_plus_incremental_equals_full_sliced(spark, silver, strategy):
     target = work_path(spark, f"t_inc_sliced_{strategy}")
     src = spark.read.parquet(silver)
     history = src.where(~partition_after(HOURLY.source_parts, dt.datetime(2024, 1, 9, 13)))
-    kw = {"strategy": strategy, "max_group_rows": 5} if strategy == "auto" else {"strategy": strategy}
+    kw = {"strategy": strategy}
     run(spark, HOURLY, "FULL_LOAD", history, target, **kw)
     run(spark, HOURLY, "INCREMENTAL", silver, target, **kw)
     same_rows(gold.read_gold(spark, target), build_stats(src, HOURLY, strategy="window"))
@@ -157,3 +159,62 @@ def test_incremental_filter_pushed_to_flat_parquet(spark, sf_dir):
     plan = df._jdf.queryExecution().executedPlan().toString()
     pushed = plan.split("PushedFilters: [")[1]  # the plan string truncates long filter lists
     assert "Or(GreaterThan(year,2024),And(EqualTo(year,2024),Or(GreaterThan(month,1)" in pushed
+
+
+def _day(d, ct, arrived=None):
+    """One sample at noon of January ``d``, in the source partition of day ``arrived``."""
+    return ("t", 1, 1, dt.datetime(2024, 1, d, 12, 0, ct), 35.0 + ct * 0.001, 139.0, ct, 10.0, 2024, 1, arrived or d, 12)
+
+
+def _source(spark, rows):
+    return spark.createDataFrame(rows, POSITIONS_SCHEMA)
+
+
+@pytest.mark.parametrize("mode", [{"reprocess_latest": True}, {"late_rows": "rebuild"}])
+def test_late_samples_rebuild_their_bucket(spark, mode):
+    """A sample of 1 January that arrives on the 4th: the published day is built again, not replaced by it."""
+    target = work_path(spark, "t_late")
+    history = [_day(d, ct) for d in (1, 2, 3) for ct in (0, 1)]
+    late = [_day(1, 2, arrived=4), _day(4, 0)]
+    run(spark, DAILY, "FULL_LOAD", _source(spark, history), target)
+    res = run(spark, DAILY, "INCREMENTAL", _source(spark, history + late), target, **mode)
+    assert res.wrote and "year=2024/month=1/day=1/" in res.partitions
+    same_rows(gold.read_gold(spark, target), build_stats(_source(spark, history + late), DAILY))
+
+
+def test_late_samples_of_an_unpublished_day_reach_the_catalog(spark):
+    target = work_path(spark, "t_late_day")
+    entry = {"database": "ds_test", "table": "late_day"}
+    history = [_day(d, 0) for d in (1, 3)]
+    run(spark, DAILY, "FULL_LOAD", _source(spark, history), target, **entry)
+    run(spark, DAILY, "INCREMENTAL", _source(spark, [*history, _day(2, 0, arrived=4), _day(4, 0)]), target, **entry)
+    assert sorted(r["day"] for r in spark.table("ds_test.late_day").collect()) == [1, 2, 3, 4]
+
+
+def test_unusable_rows_are_counted_and_empty_nothing(spark):
+    """A full load without one usable row leaves the published table as it is."""
+    target = work_path(spark, "t_unusable")
+    entry = {"database": "ds_test", "table": "unusable"}
+    bad = [(None, *_day(1, 0)[1:])]
+    res = run(spark, DAILY, "FULL_LOAD", _source(spark, bad), target, **entry)
+    assert (res.wrote, res.rows_read, res.rows_rejected, res.table) == (False, 1, 1, None)
+    res = run(spark, DAILY, "FULL_LOAD", _source(spark, [_day(1, 0), *bad]), target, **entry)
+    assert (res.wrote, res.rows_read, res.rows_rejected) == (True, 2, 1)
+    assert not run(spark, DAILY, "FULL_LOAD", _source(spark, bad), target, **entry).wrote
+    assert spark.table("ds_test.unusable").count() == 1
+
+
+def test_watermark_opens_no_parquet_file(spark):
+    """The published partitions come from the directory tree: files that are no Parquet do not matter."""
+    target = work_path(spark, "t_tree")
+    spark.createDataFrame([(2024, 1, 5, "x"), (2024, 2, 1, "y")], "year int, month int, day int, t string").write.partitionBy(
+        "year", "month", "day"
+    ).text(target)
+    found = gold.published_partitions(spark, target, DAILY.output_parts)
+    assert [tuple(r) for r in found.collect()] == [(2024, 1, 5), (2024, 2, 1)]
+    assert latest_partition_time(found, DAILY.output_parts) == dt.datetime(2024, 2, 1)
+
+
+def test_unknown_late_rows(spark):
+    with pytest.raises(ValueError):
+        run(spark, DAILY, "FULL_LOAD", _source(spark, []), "unused", late_rows="drop")

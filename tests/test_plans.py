@@ -6,9 +6,11 @@ import re
 
 import pytest
 
+from drivestats.operators.trips import trip_metrics
 from drivestats.plans.grains import DAILY, HOURLY, MONTHLY
 from drivestats.plans.stats import build_stats
 from drivestats.sources.fixtures import positions_e, positions_l
+from drivestats.sources.positions import normalize
 
 
 def plan(df) -> str:
@@ -61,23 +63,40 @@ def test_scan_is_pruned(spark, sf_dir):
             }
 
 
-def test_auto_picks_window_for_bounded_buckets(spark, sf_dir):
-    p = plan(build_stats(positions_e(spark, sf_dir), HOURLY))
-    assert "MapInArrow" not in p and "rangepartitioning" not in p
+def test_construction_starts_no_job(spark, sf_dir):
+    spark.sparkContext.setJobGroup("construction", "plans only")
+    try:
+        pos = positions_l(spark, sf_dir)
+        before = set(spark.sparkContext.statusTracker().getJobIdsForGroup("construction"))
+        build_stats(pos, DAILY)
+        assert set(spark.sparkContext.statusTracker().getJobIdsForGroup("construction")) == before
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
-def test_auto_picks_sorted_above_threshold(spark, sf_dir):
-    p = plan(build_stats(positions_e(spark, sf_dir), HOURLY, max_group_rows=2))
-    assert "MapInArrow" in p
+def test_unrounded_distances_do_not_depend_on_the_plan(spark):
+    """Sums of whole numbers: both strategies give the same distances on sf0.1."""
+    pos = normalize(positions_l(spark, "/root/testdata/sf0.1"))
+    a, b = (
+        trip_metrics(pos, DAILY, with_activity=False, with_events=False, strategy=s).select("date", "trip_id", "distance_m")
+        for s in ("sorted", "window")
+    )
+    assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
+
+
+def test_one_plan_at_every_size(spark, sf_dir):
+    assert "MapInArrow" in plan(build_stats(positions_e(spark, sf_dir), HOURLY))
 
 
 def test_joins_never_broadcast_growing_sides(spark, sf_dir):
     from drivestats.operators.traces import trace_points
     from drivestats.plans.queries import registry
-    from drivestats.sources.positions import normalize
 
     p = plan(registry()["trip_events_joined"](spark, sf_dir))
     assert "SortMergeJoin" in p and "Broadcast" not in p
-    t = plan(trace_points(normalize(positions_l(spark, sf_dir)), DAILY, strategy="sorted"))
-    assert "SortMergeJoin" in t and "Broadcast" not in t
-    assert sum("ReusedExchange" in x for x in t.splitlines()) == 1  # one range exchange feeds both sides
+    t = plan(trace_points(normalize(positions_l(spark, sf_dir)), DAILY))
+    # The samples move once, by range; what is broadcast is one row per slice.
+    lines = t.splitlines()
+    assert sum("Exchange rangepartitioning" in x and "ReusedExchange" not in x for x in lines) == 1
+    assert sum("ReusedExchange" in x for x in lines) == 1  # one range exchange feeds both sides
+    assert "SortMergeJoin" not in t and "BroadcastHashJoin [_slice" in t

@@ -170,12 +170,12 @@ def test_latest_partition_dataframe_and_sql_agree(spark):
     assert latest_partition_time(stats.where(F.lit(False)), HOURLY.output_parts) is None
 
 
-def test_hot_trip_bucket_auto_switches_and_matches(spark, sf_dir):
-    """Every user's samples under one trip id per day: auto must take the sliced plan."""
+def test_hot_trip_bucket_matches(spark, sf_dir):
+    """Every user's samples under one trip id per day."""
     from drivestats.sources.fixtures import positions_e
 
     hot = positions_e(spark, sf_dir).withColumn("trip_id", F.concat(F.lit("fleet-"), F.to_date("ts").cast("string")))
-    got = build_stats(hot, DAILY, max_group_rows=10)
+    got = build_stats(hot, DAILY)
     want = build_stats(hot, DAILY, strategy="window")
     cols = sorted(got.columns)
     assert sorted(map(tuple, got.select(*cols).collect())) == sorted(map(tuple, want.select(*cols).collect()))
@@ -218,7 +218,7 @@ def test_trace_points_sliced_equals_window(spark, sf_dir, grain):
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
         a = trace_points(p, grain, strategy="window")
-        b = trace_points(p, grain, max_group_rows=1)
+        b = trace_points(p, grain)
         key = lambda r: tuple((x is None, str(x)) for x in r)
         ra, rb = sorted(map(tuple, a.collect()), key=key), sorted(map(tuple, b.collect()), key=key)
         assert ra == rb and len(ra) > 0
@@ -251,3 +251,42 @@ def test_has_new_data_and_partition_paths(spark):
     assert months == {(2024, 1): True, (2024, 2): False}
     paths = {r["path"] for r in partition_paths(build_stats(p, HOURLY), HOURLY.output_parts).collect()}
     assert paths == {"year=2024/month=1/day=31/hour=23/", "year=2024/month=2/day=1/hour=5/"}
+
+
+def test_text_after_the_seconds_is_ignored(spark):
+    texts = ["2024-01-01 10:00:00.123", "2024-01-01 10:00:00Z", "2024-01-01 10:00:00 +09:00", "2024-3-10 02:30:00"]
+    bad = ["at 2024-01-01 10:00:00", "2024-02-30 10:00:00", "2024-01-01 10:60:00", "2024-01-01 10:00:000", "", None]
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")  # 02:30 does not exist there on 10 March
+    try:
+        rows = [("a", 1, 1, t, 35.0, 139.0, i, 10.0) for i, t in enumerate(texts + bad)]
+        got = [r["ts"] for r in normalize(pos(spark, rows)).orderBy("ct").collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    ten = dt.datetime(2024, 1, 1, 10)
+    assert got == [ten, ten, ten, dt.datetime(2024, 3, 10, 2, 30)] + [None] * len(bad)
+
+
+def test_zoned_timestamps_take_the_named_zone(spark):
+    base = pos(spark, samples("a", 1, "2024-01-05 20:00:00", 1))
+    instant = F.timestamp_micros(F.lit(1704484800_000_000))  # 2024-01-05 20:00:00 UTC
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        zoned = base.withColumn("ts", instant)
+        assert normalize(zoned).first()["hour"] == 20
+        tokyo = normalize(zoned, zone="Asia/Tokyo").first()
+        assert (tokyo["day"], tokyo["hour"]) == (6, 5)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_ids_of_any_type(spark):
+    from drivestats.sources.positions import check_positions
+
+    p = pos(spark, samples("1", 1, "2024-01-05 10:00:00", 3))
+    other = p.withColumns({"trip_id": F.lit(7).cast("bigint"), "user_id": F.lit("u"), "vehicle_id": F.lit("v")})
+    r = build_stats(check_positions(other), HOURLY).first()
+    assert (r["trip_count"], r["user_count"], r["vehicle_count"]) == (1, 1, 1)
+    with pytest.raises(TypeError):
+        check_positions(p.withColumn("sp", F.lit("fast")))
