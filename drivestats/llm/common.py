@@ -17,15 +17,36 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written as Parquet in the shared checkpoint folder and read back.
+#: Shuffle files of a query go when it ends, not when the driver happens to collect its garbage.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def written_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``df`` written as Parquet in the shared checkpoint folder and read back, and where that is.
 
     Cuts the lineage: what follows reads files that every executor can reach,
-    so a lost executor costs no recomputation of what came before.
+    so a lost executor costs no recomputation of what came before. Nothing
+    reads the shuffles of the write again, so their files go with it.
     """
-    path = work_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path, before = work_path(spark, name), spark.conf.get(SHUFFLE_CLEANUP, "false")
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.select("*").write.parquet(path)  # a new frame: the setting holds for frames made under it
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``written_at`` without the path, for tables that stay until the folder is cleared."""
+    return written_at(df, name)[0]
+
+
+def removed(spark: SparkSession, path: str) -> None:
+    """Deletes a table of ``written_at`` that nothing reads any more (a round's table, once the next one is written)."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def id_remainder(doc_id: Column, modulus: int) -> Column:

@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from drivestats.llm.common import map_arrow, text_chunks, written
+from drivestats.llm.common import map_arrow, removed, text_chunks, written, written_at
 from drivestats.llm.textvec import U, kgrams, mix64, word_hashes
 
 K, KEEP, SKETCHES, THRESHOLD = 5, 6, 40, 0.8
@@ -189,12 +189,16 @@ def components(links: DataFrame) -> DataFrame:
     """(node, root) for every node of ``links`` (node, leader): connected components by alternating stars.
 
     Each round hangs all neighbours of a node on its smallest one; no group is
-    gathered in one place, and lineage is cut after every round.
+    gathered in one place, and lineage is cut after every round. A round's
+    table goes when the next one is written.
     """
     edges = links.select(F.greatest("node", "leader").alias("u"), F.least("node", "leader").alias("v")).where("u > v").distinct()
-    before = None
+    before = old = None
     while True:
-        edges = written(edges, "stars")
+        edges, path = written_at(edges, "stars")
+        if old:
+            removed(links.sparkSession, old)
+        old = path
         state = tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).head())
         if state == before:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).union(edges.select("v", "v").distinct())
@@ -207,10 +211,12 @@ def components(links: DataFrame) -> DataFrame:
         edges = small.select("u", F.col("m").alias("v")).union(small.where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))).distinct()
 
 
-def _links(buckets: DataFrame, texts: DataFrame, k: int, threshold: float) -> DataFrame | None:
-    """(node, leader) of verified links; buckets: (bucket, node, band); texts: (node, text, sketch)."""
-    links = roots = history = None
-    other = texts.select(F.col("node").alias("leader"), F.col("text").alias("other"), F.col("sketch").alias("other_sketch"))
+def _roots(buckets: DataFrame, texts: DataFrame, k: int, threshold: float) -> DataFrame | None:
+    """(node, root) by verified links, none without a link; buckets: (bucket, node, band); texts: (node, text, sketch)."""
+    roots = history = None
+    text, sketch = texts.select("node", "text"), texts.select("node", "sketch")
+    other = texts.select(F.col("node").alias("leader"), F.col("text").alias("other"))
+    other_sketch = texts.select(F.col("node").alias("leader"), F.col("sketch").alias("other_sketch"))
     agreed = F.size(F.filter(F.zip_with("sketch", "other_sketch", lambda a, b: a == b), lambda e: e)) >= AGREED
     everything = buckets.select("bucket", "node")
 
@@ -238,16 +244,17 @@ def _links(buckets: DataFrame, texts: DataFrame, k: int, threshold: float) -> Da
 
     def compare(named: DataFrame, led: DataFrame) -> float:
         """Compares nodes with the leaders of their bucket that are of another class; the share that links."""
-        nonlocal links, roots, history
+        nonlocal roots, history
         pairs = named.join(led, "bucket").where("root != own").select("node", "leader").distinct()
-        paired = pairs.join(other, "leader").join(texts, "node").where(agreed).select("node", "leader", "text", "other")
+        # Sketches first: whole texts move only for the pairs that agree.
+        pairs = pairs.join(other_sketch, "leader").join(sketch, "node").where(agreed).select("node", "leader")
+        paired = pairs.join(other, "leader").join(text, "node").select("node", "leader", "text", "other")
         checked = written(map_arrow(paired, _verify_rows(k, threshold), "node long, leader long, similarity double"), "checked")
         n, found = checked.agg(F.count("*"), F.count_if(F.col("similarity") > 0)).head()
         made = checked.select("node", "leader", (F.col("similarity") > 0).cast("int").alias("linked"))
         history = made if history is None else history.union(made)
         if found:
-            links = history.where("linked = 1").select("node", "leader")
-            roots = components(links)
+            roots = components(history.where("linked = 1").select("node", "leader"))
         return found / n if n else 0.0
 
     # Leaders of the largest class of each bucket: stars that grow.
@@ -261,15 +268,18 @@ def _links(buckets: DataFrame, texts: DataFrame, k: int, threshold: float) -> Da
         buckets, first = everything, False
     # What is left: one node stands for its class in a bucket. Several leaders at a time meet the others and leave,
     # until a round links nothing or every class has met every other one of its bucket.
-    left = everything
+    left, old = everything, None
     while True:
-        classes = written(classes_of(rooted(left)).select("bucket", F.col("leader").alias("node"), "root", "n"), "classes")
+        classes, path = written_at(classes_of(rooted(left)).select("bucket", F.col("leader").alias("node"), "root", "n"), "classes")
+        if old:
+            removed(buckets.sparkSession, old)
+        old = path
         if classes.isEmpty():
-            return links
+            return roots
         slot = F.pmod(F.xxhash64("node"), F.lit(LEADERS))
         led = classes.groupBy("bucket", slot).agg(F.min(F.struct("n", "node", "root")).alias("of")).select("bucket", F.col("of.node").alias("leader"), F.col("of.root").alias("own"))
         if not compare(classes, led):
-            return links
+            return roots
         left = classes.select("bucket", "node").join(led.select("bucket", F.col("leader").alias("node")), ["bucket", "node"], "left_anti")
 
 
@@ -289,11 +299,11 @@ def near_duplicates(docs: DataFrame, *, k: int = K, keep: int = KEEP, sketches:
     wanted = buckets.select("node").distinct().join(nodes, "node").select("node", "digest", F.col("doc_id").alias("rep"), "sketch")
     texts = docs.join(wanted, docs["doc_id"].eqNullSafe(wanted["rep"])).select("node", "text", "digest", "sketch")
     texts = written(map_arrow(texts, _same_digest, "node long, text string, sketch array<bigint>").dropDuplicates(["node"]), "texts")
-    links = _links(buckets, texts, k, threshold)
-    if links is None:
+    roots = _roots(buckets, texts, k, threshold)
+    if roots is None:
         classes = nodes.select("digest", F.col("doc_id").alias("class_id"), F.col("n").alias("class_size"))
     else:
-        rooted = nodes.join(components(links), "node", "left").withColumn("root", F.coalesce("root", "node"))
+        rooted = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
         classes = rooted.groupBy("root").agg(F.min("doc_id").alias("class_id"), F.sum("n").alias("class_size"))
         classes = rooted.select("digest", "root").join(classes, "root").select("digest", "class_id", "class_size")
     grouped = members.where("digest IS NOT NULL").select("doc_id", "digest").join(classes, "digest").select("doc_id", "class_id", "class_size")
