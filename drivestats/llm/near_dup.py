@@ -186,7 +186,7 @@ def _same_digest(batches):
 
 
 def components(links: DataFrame) -> DataFrame:
-    """(node, root) for every node of ``links`` (node, leader): connected components by alternating stars.
+    """(node, root) for the nodes of ``links`` (node, leader) that are not roots themselves: connected components by alternating stars.
 
     Each round hangs all neighbours of a node on its smallest one; no group is
     gathered in one place, and lineage is cut after every round. A round's
@@ -201,18 +201,18 @@ def components(links: DataFrame) -> DataFrame:
         old = path
         state = tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).head())
         if state == before:
-            return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).union(edges.select("v", "v").distinct())
+            return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
         before = state
         both = edges.union(edges.select("v", "u"))
         least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u")
         edges = small.select("u", F.col("m").alias("v")).union(small.where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))).distinct()
 
 
 def _roots(buckets: DataFrame, texts: DataFrame, k: int, threshold: float) -> DataFrame | None:
-    """(node, root) by verified links, none without a link; buckets: (bucket, node, band); texts: (node, text, sketch)."""
+    """(node, root) by verified links for nodes that are not roots, none without a link; buckets: (bucket, node, band); texts: (node, text, sketch)."""
     roots = history = None
     text, sketch = texts.select("node", "text"), texts.select("node", "sketch")
     other = texts.select(F.col("node").alias("leader"), F.col("text").alias("other"))
@@ -226,7 +226,7 @@ def _roots(buckets: DataFrame, texts: DataFrame, k: int, threshold: float) -> Da
         return buckets.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
 
     def classes_of(named: DataFrame) -> DataFrame:
-        """The classes in each bucket that holds more than one, with their size there and the node that stands for them.
+        """The classes in each bucket, with their size there and the node that stands for them.
 
         That is the node with the best share of links in what it was compared
         with so far (the text that others were copied from, in a group of
@@ -238,9 +238,7 @@ def _roots(buckets: DataFrame, texts: DataFrame, k: int, threshold: float) -> Da
         else:
             named = named.withColumn("score", F.lit(0.0))
         best = F.max(F.struct(F.coalesce("score", F.lit(0.0)).alias("score"), F.xxhash64("bucket", "node").alias("h"), "node"))
-        classes = named.groupBy("bucket", "root").agg(F.count("*").alias("n"), best.alias("best")).select("bucket", "root", "n", F.col("best.score").alias("score"), F.col("best.node").alias("leader"))
-        mixed = classes.groupBy("bucket").agg(F.count("*").alias("classes")).where("classes > 1").select("bucket")
-        return classes.join(mixed, "bucket")
+        return named.groupBy("bucket", "root").agg(F.count("*").alias("n"), best.alias("best")).select("bucket", "root", "n", F.col("best.score").alias("score"), F.col("best.node").alias("leader"))
 
     def compare(named: DataFrame, led: DataFrame) -> float:
         """Compares nodes with the leaders of their bucket that are of another class; the share that links."""
@@ -261,7 +259,7 @@ def _roots(buckets: DataFrame, texts: DataFrame, k: int, threshold: float) -> Da
     buckets, first = buckets.where(F.col("band") < FIRST).select("bucket", "node"), True
     while True:
         named = rooted(buckets)
-        led = classes_of(named).groupBy("bucket").agg(F.max(F.struct("n", "score", "leader", "root")).alias("of"))
+        led = classes_of(named).groupBy("bucket").agg(F.max(F.struct("n", "score", "leader", "root")).alias("of"), F.count("*").alias("classes")).where("classes > 1")
         share = compare(named, led.select("bucket", "of.leader", F.col("of.root").alias("own")))
         if not first and share < WORTHWHILE:
             break
@@ -270,7 +268,9 @@ def _roots(buckets: DataFrame, texts: DataFrame, k: int, threshold: float) -> Da
     # until a round links nothing or every class has met every other one of its bucket.
     left, old = everything, None
     while True:
-        classes, path = written_at(classes_of(rooted(left)).select("bucket", F.col("leader").alias("node"), "root", "n"), "classes")
+        classes = classes_of(rooted(left))
+        mixed = classes.groupBy("bucket").agg(F.count("*").alias("classes")).where("classes > 1").select("bucket")
+        classes, path = written_at(classes.join(mixed, "bucket").select("bucket", F.col("leader").alias("node"), "root", "n"), "classes")
         if old:
             removed(buckets.sparkSession, old)
         old = path
