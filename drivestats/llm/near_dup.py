@@ -8,16 +8,14 @@ agree on a sketch only if they share these k-mers in the same order, which
 makes agreement sensitive to edit distance rather than to the set of k-mers.
 
 Texts with the same words form one node. Nodes that share a sketch are
-compared with a leader of the bucket, never all with each other; first in the
-buckets of a few sketches, which brings most copies into one class, then in
-those buckets that still hold several classes. The leader is of the largest
-class there, the node that linked with most of what it met so far. In what
-is left one node stands for its class in a bucket, and classes meet until none
-has another left there or a round of meetings links nothing. There is no cap on
-buckets or partners. Classes are the connected components of the
-links. A text that is near to one member of a large class but to none of
-those that stood for it in the shared buckets stays apart: comparing it with
-every member would grow with the square of the class (figures in the README).
+compared with a leader of the bucket first: in the buckets of a few sketches,
+which brings most copies into one class, then in all that still hold several
+classes. The leader is of the largest class there, the node that linked with
+most of what it met so far. Then all nodes of different classes that agree on
+enough sketches are compared, in blocks of bounded size, so classes are the
+connected components of all links between candidates, whatever else the table
+holds. There is no cap on buckets or partners; what the leaders leave apart
+costs a comparison for each candidate pair (figures in the README).
 
 A link is a similarity of at least ``threshold``: of the k-mers of both
 texts, the share that a longest common subsequence aligns, matched / (a + b -
@@ -48,12 +46,10 @@ K, KEEP, SKETCHES, THRESHOLD = 5, 6, 40, 0.8
 FIRST = 6
 #: Sketches on which nodes have to agree to be compared: two texts at the threshold agree on about ten of forty.
 AGREED = 4
-#: Rounds with leaders of large classes go on while this share of their comparisons link.
-WORTHWHILE = 0.05
-#: Leaders a bucket and round, in the rounds where classes meet.
-LEADERS = 4
+#: Nodes of a bucket, and texts, that a block holds on each side where all remaining pairs are compared.
+BUCKET_BLOCK, TEXT_BLOCK = 1000, 128
 CHUNK_CHARS = 500_000
-MEMBERS = "doc_id long, digest binary, sketch array<bigint>"
+MEMBERS = "doc_id long, digest binary, sketch array<bigint>, kmers int"
 
 
 def kmers(words: np.ndarray, k: int = K) -> np.ndarray:
@@ -104,17 +100,18 @@ def _member_rows(k: int, keep: int, sketches: int):
             doc_ids, texts = b.column(0).to_pylist(), [t or "" for t in b.column(1).to_pylist()]
             for first, chunk in text_chunks(texts, CHUNK_CHARS):
                 h, bounds = word_hashes(chunk)
-                ids, digests, signatures = [], [], []
+                ids, digests, signatures, sizes = [], [], [], []
                 for doc_id, a, z in zip(doc_ids[first:], bounds[:-1].tolist(), bounds[1:].tolist()):
                     ids.append(doc_id)
                     digests.append(_digest(h[a:z]) if z > a else None)
                     labelled = occurrence_labelled(kmers(h[a:z], k)) if z > a else None
+                    sizes.append(len(labelled) if z > a else 0)
                     # Long texts by parts of the seeds: the matrix of ranks stays small.
                     step = max(1, 4_000_000 // max(1, z - a))
                     signatures.append(
                         np.concatenate([order_minhash(labelled, seeds[i : i + step], keep) for i in range(0, sketches, step)]).view(np.int64).tolist() if z > a else None
                     )
-                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(digests, pa.binary()), pa.array(signatures, pa.list_(pa.int64()))], ["doc_id", "digest", "sketch"])
+                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(digests, pa.binary()), pa.array(signatures, pa.list_(pa.int64())), pa.array(sizes, pa.int32())], ["doc_id", "digest", "sketch", "kmers"])
 
     return make
 
@@ -175,6 +172,34 @@ def _verify_rows(k: int, threshold: float):
     return check
 
 
+def _verify_blocks(k: int, threshold: float):
+    def check(pairs, texts):
+        """The links among ``pairs`` (node, root, leader, other_root, i, j) that join classes not yet joined in this block."""
+        nodes, words = texts.column("node").to_pylist(), texts.column("text").to_pylist()
+        of: dict[int, np.ndarray] = {}
+        for first, chunk in text_chunks(words, CHUNK_CHARS):
+            h, bounds = word_hashes(chunk)
+            for node, a, z in zip(nodes[first:], bounds[:-1].tolist(), bounds[1:].tolist()):
+                of[node] = kmers(h[a:z], k)
+        up: dict[int, int] = {}
+
+        def top(x: int) -> int:
+            while (y := up.get(x, x)) != x:
+                up[x] = x = up.get(y, y)
+            return x
+
+        out: list[list[int]] = [[], []]
+        for node, root, leader, other in zip(*(pairs.column(c).to_pylist() for c in ("node", "root", "leader", "other_root"))):
+            a, b = top(root), top(other)
+            if a != b and similarity(of[node], of[leader], threshold) > 0:
+                up[a] = b
+                out[0].append(node)
+                out[1].append(leader)
+        return pa.table([pa.array(c, pa.int64()) for c in out], names=["node", "leader"])
+
+    return check
+
+
 def _same_digest(batches):
     for b in batches:
         texts = b.column(1).to_pylist()
@@ -212,13 +237,13 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def _roots(buckets: DataFrame, texts: DataFrame, k: int, threshold: float) -> DataFrame | None:
-    """(node, root) by verified links for nodes that are not roots, none without a link; buckets: (bucket, node, band); texts: (node, text, sketch)."""
+    """(node, root) by verified links for nodes that are not roots, none without a link; buckets: (bucket, node, band, kmers); texts: (node, text, sketch)."""
     roots = history = None
     text, sketch = texts.select("node", "text"), texts.select("node", "sketch")
     other = texts.select(F.col("node").alias("leader"), F.col("text").alias("other"))
     other_sketch = texts.select(F.col("node").alias("leader"), F.col("sketch").alias("other_sketch"))
     agreed = F.size(F.filter(F.zip_with("sketch", "other_sketch", lambda a, b: a == b), lambda e: e)) >= AGREED
-    everything = buckets.select("bucket", "node")
+    everything = buckets
 
     def rooted(buckets: DataFrame) -> DataFrame:
         if roots is None:
@@ -240,47 +265,65 @@ def _roots(buckets: DataFrame, texts: DataFrame, k: int, threshold: float) -> Da
         best = F.max(F.struct(F.coalesce("score", F.lit(0.0)).alias("score"), F.xxhash64("bucket", "node").alias("h"), "node"))
         return named.groupBy("bucket", "root").agg(F.count("*").alias("n"), best.alias("best")).select("bucket", "root", "n", F.col("best.score").alias("score"), F.col("best.node").alias("leader"))
 
-    def compare(named: DataFrame, led: DataFrame) -> float:
-        """Compares nodes with the leaders of their bucket that are of another class; the share that links."""
+    def compare(named: DataFrame, led: DataFrame) -> None:
+        """Compares nodes with the leaders of their bucket that are of another class."""
         nonlocal roots, history
         pairs = named.join(led, "bucket").where("root != own").select("node", "leader").distinct()
         # Sketches first: whole texts move only for the pairs that agree.
         pairs = pairs.join(other_sketch, "leader").join(sketch, "node").where(agreed).select("node", "leader")
         paired = pairs.join(other, "leader").join(text, "node").select("node", "leader", "text", "other")
         checked = written(map_arrow(paired, _verify_rows(k, threshold), "node long, leader long, similarity double"), "checked")
-        n, found = checked.agg(F.count("*"), F.count_if(F.col("similarity") > 0)).head()
         made = checked.select("node", "leader", (F.col("similarity") > 0).cast("int").alias("linked"))
         history = made if history is None else history.union(made)
-        if found:
-            roots = components(history.where("linked = 1").select("node", "leader"))
-        return found / n if n else 0.0
+        links = history.where("linked = 1").select("node", "leader")
+        if not links.isEmpty():
+            roots = components(links)
 
-    # Leaders of the largest class of each bucket: stars that grow.
-    buckets, first = buckets.where(F.col("band") < FIRST).select("bucket", "node"), True
-    while True:
-        named = rooted(buckets)
+    # Leaders of the largest class of each bucket: stars that grow, so that few pairs are left to compare.
+    for buckets in (everything.where(F.col("band") < FIRST), everything):
+        named = rooted(buckets.select("bucket", "node"))
         led = classes_of(named).groupBy("bucket").agg(F.max(F.struct("n", "score", "leader", "root")).alias("of"), F.count("*").alias("classes")).where("classes > 1")
-        share = compare(named, led.select("bucket", "of.leader", F.col("of.root").alias("own")))
-        if not first and share < WORTHWHILE:
-            break
-        buckets, first = everything, False
-    # What is left: one node stands for its class in a bucket. Several leaders at a time meet the others and leave,
-    # until a round links nothing or every class has met every other one of its bucket.
-    left, old = everything, None
-    while True:
-        classes = classes_of(rooted(left))
-        mixed = classes.groupBy("bucket").agg(F.count("*").alias("classes")).where("classes > 1").select("bucket")
-        classes, path = written_at(classes.join(mixed, "bucket").select("bucket", F.col("leader").alias("node"), "root", "n"), "classes")
-        if old:
-            removed(buckets.sparkSession, old)
-        old = path
-        if classes.isEmpty():
-            return roots
-        slot = F.pmod(F.xxhash64("node"), F.lit(LEADERS))
-        led = classes.groupBy("bucket", slot).agg(F.min(F.struct("n", "node", "root")).alias("of")).select("bucket", F.col("of.node").alias("leader"), F.col("of.root").alias("own"))
-        if not compare(classes, led):
-            return roots
-        left = classes.select("bucket", "node").join(led.select("bucket", F.col("leader").alias("node")), ["bucket", "node"], "left_anti")
+        compare(named, led.select("bucket", "of.leader", F.col("of.root").alias("own")))
+    # All that are still of different classes, each pair once.
+    pairs = written(_candidates(rooted(everything), threshold), "pairs")
+    n = pairs.select(F.explode(F.array("node", "leader")).alias("node")).distinct().count()
+    if not n:
+        return roots
+    links = written(_linked(pairs, text, -(-n // TEXT_BLOCK), k, threshold), "links")
+    links = history.where("linked = 1").select("node", "leader").union(links)
+    return roots if links.isEmpty() else components(links)
+
+
+def _candidates(named: DataFrame, threshold: float) -> DataFrame:
+    """(node, root, leader, other_root): pairs of different roots that agree on enough sketches and are near enough in length.
+
+    Large buckets are cut into blocks, and each pair of blocks is joined by itself.
+    """
+    mixed = named.groupBy("bucket").agg(F.min("root").alias("a"), F.max("root").alias("b"), F.ceil(F.count("*") / BUCKET_BLOCK).alias("blocks")).where("a < b").drop("a", "b")
+    held = named.join(mixed, "bucket").select("bucket", "node", "root", "kmers", "blocks", F.pmod(F.xxhash64("node"), F.col("blocks")).alias("block"))
+    held = written(held, "mixed")
+    a = held.select("bucket", "node", "root", "kmers", F.col("block").alias("i"), F.explode(F.expr("sequence(block, blocks - 1)")).alias("j"))
+    b = held.select(
+        "bucket", F.col("node").alias("leader"), F.col("root").alias("other_root"), F.col("kmers").alias("other_kmers"), F.col("block").alias("j"), F.explode(F.expr("sequence(0L, block)")).alias("i")
+    )
+    near = F.least("kmers", "other_kmers") >= F.lit(threshold) * F.greatest("kmers", "other_kmers") - 1e-6
+    pairs = a.join(b, ["bucket", "i", "j"]).where((F.col("root") != F.col("other_root")) & near & F.expr("i < j OR node < leader"))
+    # A pair meets in the order of its blocks, which differs between buckets.
+    swap = "node > leader"
+    pairs = pairs.selectExpr("least(node, leader) AS node", f"IF({swap}, other_root, root) AS root", "greatest(node, leader) AS leader", f"IF({swap}, root, other_root) AS other_root")
+    return pairs.groupBy("node", "root", "leader", "other_root").agg(F.count("*").alias("agreed")).where(F.col("agreed") >= AGREED).drop("agreed")
+
+
+def _linked(pairs: DataFrame, text: DataFrame, blocks: int, k: int, threshold: float) -> DataFrame:
+    """(node, leader) of links among ``pairs``, enough of them to connect what all of them would.
+
+    Texts are dealt into ``blocks`` by hash and move once for each pair of
+    blocks with a candidate, not for each candidate.
+    """
+    a, b = (F.pmod(F.xxhash64(c), F.lit(blocks)) for c in ("node", "leader"))
+    pairs = pairs.withColumns({"i": F.least(a, b), "j": F.greatest(a, b)})
+    needed = pairs.select(F.col("i").alias("of_i"), F.col("j").alias("of_j"), F.explode(F.array("node", "leader")).alias("node")).distinct().join(text, "node")
+    return pairs.groupBy("i", "j").cogroup(needed.groupBy("of_i", "of_j")).applyInArrow(_verify_blocks(k, threshold), "node long, leader long")
 
 
 def near_duplicates(docs: DataFrame, *, k: int = K, keep: int = KEEP, sketches: int = SKETCHES, threshold: float = THRESHOLD) -> DataFrame:
@@ -288,12 +331,11 @@ def near_duplicates(docs: DataFrame, *, k: int = K, keep: int = KEEP, sketches:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     members = written(map_arrow(docs, _member_rows(k, keep, sketches), MEMBERS), "members")
     nodes = (
-        members.where("digest IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("doc_id"), F.first("sketch").alias("sketch"), F.count("*").alias("n"))
-        .select(F.monotonically_increasing_id().alias("node"), "digest", "doc_id", "sketch", "n")
+        members.where("digest IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("doc_id"), F.first("sketch").alias("sketch"), F.first("kmers").alias("kmers"), F.count("*").alias("n"))
+        .select(F.monotonically_increasing_id().alias("node"), "digest", "doc_id", "sketch", "kmers", "n")
     )
     nodes = written(nodes, "nodes")
-    sketch = nodes.select("node", "sketch")
-    buckets = sketch.select("node", F.posexplode("sketch").alias("band", "bucket"))
+    buckets = nodes.select("node", "kmers", F.posexplode("sketch").alias("band", "bucket"))
     shared = buckets.groupBy("bucket").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a < b").select("bucket")
     buckets = written(buckets.join(shared, "bucket"), "buckets")
     wanted = buckets.select("node").distinct().join(nodes, "node").select("node", "digest", F.col("doc_id").alias("rep"), "sketch")

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from drivestats.llm import decontaminate, html_extract, language_id, licenses, line_dedup, near_dup, packing, quality, token_files, toxicity
 from drivestats.llm.common import table
+from drivestats.llm.textvec import word_hashes
 from drivestats.llm.tokens import TextEncoder, default_tokenizer
 from drivestats.session import work_path
 
@@ -115,6 +116,32 @@ def test_near_duplicates_against_brute_force(spark, odd, empty):
     assert near_dup.near_duplicates(empty).count() == 0
 
 
+def all_pairs_classes(rows):
+    """doc_id -> smallest id of its class, by the similarity of all pairs."""
+    h, bounds = word_hashes([text for _, text in rows])
+    grams = [near_dup.kmers(h[a:z]) for a, z in zip(bounds[:-1], bounds[1:])]
+    root = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            if root[i] != root[j] and near_dup.similarity(grams[i], grams[j], near_dup.THRESHOLD) > 0:
+                root = [root[j] if r == root[i] else r for r in root]
+    return {d: min(e for (e, _), s in zip(rows, root) if s == r) for (d, _), r in zip(rows, root)}
+
+
+def test_near_duplicates_of_few_links(spark):
+    # Copies of five texts with three words changed each: most pairs lie just under the threshold, so classes hang together by few links.
+    rows = []
+    for seed in range(5):
+        base, rng = words(seed, 200).split(), random.Random(seed)
+        for _ in range(60):
+            edited = list(base)
+            for _ in range(3):
+                edited[rng.randrange(200)] = f"e{rng.randrange(10**6)}"
+            rows.append((len(rows), " ".join(edited)))
+    want = all_pairs_classes(rows)
+    assert {r.doc_id: r.class_id for r in near_dup.near_duplicates(make(spark, rows)).collect()} == want
+
+
 def test_alignment_is_a_longest_common_subsequence():
     rng = np.random.default_rng(1)
     for _ in range(200):
