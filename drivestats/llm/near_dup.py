@@ -6,6 +6,9 @@ words is one k-mer). For each of ``sketches`` hash functions the ``keep``
 smallest labelled k-mers are taken and hashed in text order, so two texts
 agree on a sketch only if they share these k-mers in the same order, which
 makes agreement sensitive to edit distance rather than to the set of k-mers.
+Texts of few k-mers, which sketches miss, also meet exactly: by a shared k-mer
+among the rarest of each, as many as a pair at the threshold can't all differ
+in (prefix filtering).
 
 Texts with the same words form one node. Nodes that share a sketch are
 compared with a leader of the bucket first: in the buckets of a few sketches,
@@ -46,10 +49,12 @@ K, KEEP, SKETCHES, THRESHOLD = 5, 6, 40, 0.8
 FIRST = 6
 #: Sketches on which nodes have to agree to be compared: two texts at the threshold agree on about ten of forty.
 AGREED = 4
+#: Texts with up to so many k-mers are candidates by prefixes; a pair with one text of at most ``SHORT * threshold`` is never missed.
+SHORT = 80
 #: Nodes of a bucket, and texts, that a block holds on each side where all remaining pairs are compared.
 BUCKET_BLOCK, TEXT_BLOCK = 1000, 128
 CHUNK_CHARS = 500_000
-MEMBERS = "doc_id long, digest binary, sketch array<bigint>, kmers int"
+MEMBERS = "doc_id long, digest binary, sketch array<bigint>, kmers int, short array<bigint>"
 
 
 def kmers(words: np.ndarray, k: int = K) -> np.ndarray:
@@ -100,18 +105,19 @@ def _member_rows(k: int, keep: int, sketches: int):
             doc_ids, texts = b.column(0).to_pylist(), [t or "" for t in b.column(1).to_pylist()]
             for first, chunk in text_chunks(texts, CHUNK_CHARS):
                 h, bounds = word_hashes(chunk)
-                ids, digests, signatures, sizes = [], [], [], []
+                ids, digests, signatures, sizes, short = [], [], [], [], []
                 for doc_id, a, z in zip(doc_ids[first:], bounds[:-1].tolist(), bounds[1:].tolist()):
                     ids.append(doc_id)
                     digests.append(_digest(h[a:z]) if z > a else None)
                     labelled = occurrence_labelled(kmers(h[a:z], k)) if z > a else None
                     sizes.append(len(labelled) if z > a else 0)
+                    short.append(labelled.view(np.int64).tolist() if 0 < sizes[-1] <= SHORT else None)
                     # Long texts by parts of the seeds: the matrix of ranks stays small.
                     step = max(1, 4_000_000 // max(1, z - a))
                     signatures.append(
                         np.concatenate([order_minhash(labelled, seeds[i : i + step], keep) for i in range(0, sketches, step)]).view(np.int64).tolist() if z > a else None
                     )
-                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(digests, pa.binary()), pa.array(signatures, pa.list_(pa.int64())), pa.array(sizes, pa.int32())], ["doc_id", "digest", "sketch", "kmers"])
+                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(digests, pa.binary()), pa.array(signatures, pa.list_(pa.int64())), pa.array(sizes, pa.int32()), pa.array(short, pa.list_(pa.int64()))], ["doc_id", "digest", "sketch", "kmers", "short"])
 
     return make
 
@@ -237,7 +243,7 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def _roots(buckets: DataFrame, texts: DataFrame, k: int, threshold: float) -> DataFrame | None:
-    """(node, root) by verified links for nodes that are not roots, none without a link; buckets: (bucket, node, band, kmers); texts: (node, text, sketch)."""
+    """(node, root) by verified links for nodes that are not roots, none without a link; buckets: (bucket, node, band, kmers, weight); texts: (node, text, sketch)."""
     roots = history = None
     text, sketch = texts.select("node", "text"), texts.select("node", "sketch")
     other = texts.select(F.col("node").alias("leader"), F.col("text").alias("other"))
@@ -295,14 +301,14 @@ def _roots(buckets: DataFrame, texts: DataFrame, k: int, threshold: float) -> Da
 
 
 def _candidates(named: DataFrame, threshold: float) -> DataFrame:
-    """(node, root, leader, other_root): pairs of different roots that agree on enough sketches and are near enough in length.
+    """(node, root, leader, other_root): pairs of different roots that agree on enough sketches, or meet in a prefix, and are near enough in length.
 
     Large buckets are cut into blocks, and each pair of blocks is joined by itself.
     """
     mixed = named.groupBy("bucket").agg(F.min("root").alias("a"), F.max("root").alias("b"), F.ceil(F.count("*") / BUCKET_BLOCK).alias("blocks")).where("a < b").drop("a", "b")
-    held = named.join(mixed, "bucket").select("bucket", "node", "root", "kmers", "blocks", F.pmod(F.xxhash64("node"), F.col("blocks")).alias("block"))
+    held = named.join(mixed, "bucket").select("bucket", "node", "root", "kmers", "weight", "blocks", F.pmod(F.xxhash64("node"), F.col("blocks")).alias("block"))
     held = written(held, "mixed")
-    a = held.select("bucket", "node", "root", "kmers", F.col("block").alias("i"), F.explode(F.expr("sequence(block, blocks - 1)")).alias("j"))
+    a = held.select("bucket", "node", "root", "kmers", "weight", F.col("block").alias("i"), F.explode(F.expr("sequence(block, blocks - 1)")).alias("j"))
     b = held.select(
         "bucket", F.col("node").alias("leader"), F.col("root").alias("other_root"), F.col("kmers").alias("other_kmers"), F.col("block").alias("j"), F.explode(F.expr("sequence(0L, block)")).alias("i")
     )
@@ -310,8 +316,8 @@ def _candidates(named: DataFrame, threshold: float) -> DataFrame:
     pairs = a.join(b, ["bucket", "i", "j"]).where((F.col("root") != F.col("other_root")) & near & F.expr("i < j OR node < leader"))
     # A pair meets in the order of its blocks, which differs between buckets.
     swap = "node > leader"
-    pairs = pairs.selectExpr("least(node, leader) AS node", f"IF({swap}, other_root, root) AS root", "greatest(node, leader) AS leader", f"IF({swap}, root, other_root) AS other_root")
-    return pairs.groupBy("node", "root", "leader", "other_root").agg(F.count("*").alias("agreed")).where(F.col("agreed") >= AGREED).drop("agreed")
+    pairs = pairs.selectExpr("least(node, leader) AS node", f"IF({swap}, other_root, root) AS root", "greatest(node, leader) AS leader", f"IF({swap}, root, other_root) AS other_root", "weight")
+    return pairs.groupBy("node", "root", "leader", "other_root").agg(F.sum("weight").alias("agreed")).where(F.col("agreed") >= AGREED).drop("agreed")
 
 
 def _linked(pairs: DataFrame, text: DataFrame, blocks: int, k: int, threshold: float) -> DataFrame:
@@ -326,16 +332,30 @@ def _linked(pairs: DataFrame, text: DataFrame, blocks: int, k: int, threshold: f
     return pairs.groupBy("i", "j").cogroup(needed.groupBy("of_i", "of_j")).applyInArrow(_verify_blocks(k, threshold), "node long, leader long")
 
 
+def _prefixes(nodes: DataFrame, band: int, threshold: float) -> DataFrame:
+    """(node, kmers, band, bucket, weight) of the rarest k-mers of short texts; one in common makes two of them a candidate.
+
+    A pair at the threshold shares at least that part of the k-mers of each
+    text, so it shares one of the first n - ceil(threshold * n) + 1 of each in
+    any order that is the same for all texts.
+    """
+    own = nodes.select("node", "kmers", F.explode("short").alias("bucket"))
+    counts = own.groupBy("bucket").agg(F.count("*").alias("texts"))
+    rare = own.join(counts, "bucket").groupBy("node", "kmers").agg(F.sort_array(F.collect_list(F.struct("texts", "bucket"))).alias("rare"))
+    first = rare.select("node", "kmers", F.explode(F.slice("rare", F.lit(1), F.col("kmers") - F.ceil(threshold * F.col("kmers") - 1e-9).cast("int") + 1)).alias("of"))
+    return first.select("node", "kmers", F.lit(band).alias("band"), F.col("of.bucket").alias("bucket"), F.lit(AGREED).alias("weight"))
+
+
 def near_duplicates(docs: DataFrame, *, k: int = K, keep: int = KEEP, sketches: int = SKETCHES, threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, class_id, class_size) for every row of ``docs``; class_size counts documents."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     members = written(map_arrow(docs, _member_rows(k, keep, sketches), MEMBERS), "members")
     nodes = (
-        members.where("digest IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("doc_id"), F.first("sketch").alias("sketch"), F.first("kmers").alias("kmers"), F.count("*").alias("n"))
-        .select(F.monotonically_increasing_id().alias("node"), "digest", "doc_id", "sketch", "kmers", "n")
+        members.where("digest IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("doc_id"), F.first("sketch").alias("sketch"), F.first("kmers").alias("kmers"), F.first("short").alias("short"), F.count("*").alias("n"))
+        .select(F.monotonically_increasing_id().alias("node"), "digest", "doc_id", "sketch", "kmers", "short", "n")
     )
     nodes = written(nodes, "nodes")
-    buckets = nodes.select("node", "kmers", F.posexplode("sketch").alias("band", "bucket"))
+    buckets = nodes.select("node", "kmers", F.posexplode("sketch").alias("band", "bucket")).withColumn("weight", F.lit(1)).union(_prefixes(nodes, sketches, threshold))
     shared = buckets.groupBy("bucket").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a < b").select("bucket")
     buckets = written(buckets.join(shared, "bucket"), "buckets")
     wanted = buckets.select("node").distinct().join(nodes, "node").select("node", "digest", F.col("doc_id").alias("rep"), "sketch")

@@ -142,6 +142,20 @@ def test_near_duplicates_of_few_links(spark):
     assert {r.doc_id: r.class_id for r in near_dup.near_duplicates(make(spark, rows)).collect()} == want
 
 
+def test_near_duplicates_of_short_texts(spark):
+    # A word more or less at the end, and one changed near the end: pairs at or just over the threshold.
+    rows = []
+    for n in range(8, 40):
+        for i in range(4):
+            base = words(1000 * n + i, n).split()
+            edited = list(base)
+            edited[-1 - i] = "changed"
+            rows += [(len(rows), " ".join(base)), (len(rows) + 1, " ".join(base + ["more"] * (i + 1))), (len(rows) + 2, " ".join(edited))]
+    want = all_pairs_classes(rows)
+    assert want[1] == 0
+    assert {r.doc_id: r.class_id for r in near_dup.near_duplicates(make(spark, rows)).collect()} == want
+
+
 def test_alignment_is_a_longest_common_subsequence():
     rng = np.random.default_rng(1)
     for _ in range(200):
