@@ -7,9 +7,10 @@ matters: a configuration is a multiset of lengths that fits a sequence, and
 the linear program asks for the fewest configurations that cover the
 histogram. Multiplicative weights solve it: each step prices lengths by how
 little they are covered so far, finds the best configuration by a knapsack
-dynamic program, and uses it. The fractional solution is rounded down; what
-is left is packed by filling one sequence after another as exactly as a
-subset-sum program can.
+dynamic program, and uses it. The fractional solution is rounded down, once
+all of it and once only its full configurations; what is left is packed by
+filling one sequence after another, from the longest length left, as exactly
+as a subset-sum program over all copies can, and the shorter plan is taken.
 
 The histogram has at most ``capacity`` entries at any size of the input; it
 and the plan (configurations and how often each is used) are all that the
@@ -98,28 +99,45 @@ def _fill(left: np.ndarray, capacity: int) -> dict[int, int]:
     lengths = np.flatnonzero(left)[::-1].tolist()
     first = lengths[0]
     room = capacity - first
-    items = [(l, i) for l in lengths if l <= room for i in range(min(int(left[l]) - (l == first), room // l, 3))]
+    # As many copies as fit, by binary splitting: 1, 2, 4, ... and what remains.
+    items: list[tuple[int, int]] = []
+    for l in lengths:
+        copies, part = min(int(left[l]) - (l == first), room // l), 1
+        while copies > 0:
+            items.append((l, min(part, copies)))
+            copies -= part
+            part *= 2
     mask = (1 << (room + 1)) - 1
     reach = [1]
-    for l, _ in items:
-        reach.append((reach[-1] | reach[-1] << l) & mask)
+    for l, n in items:
+        reach.append((reach[-1] | reach[-1] << l * n) & mask)
         if reach[-1] >> room:
             break
     at = reach[-1].bit_length() - 1
     out = {first: 1}
     for i in range(len(reach) - 1, 0, -1):
         if not reach[i - 1] >> at & 1:
-            l = items[i - 1][0]
-            out[l] = out.get(l, 0) + 1
-            at -= l
+            l, n = items[i - 1]
+            out[l] = out.get(l, 0) + n
+            at -= l * n
     return out
 
 
 def pack_histogram(demand: dict[int, int], capacity: int, **solver) -> Plan:
     """Configurations and whole numbers of times that pack exactly ``demand`` (length to count)."""
-    left = np.zeros(capacity + 1, np.int64)
+    # The fullest configurations first: those in excess of demand are the least useful.
+    counts = np.zeros(capacity + 1, np.int64)
     for l, n in demand.items():
-        left[l] = n
+        counts[l] = n
+    solution = sorted(solve_configurations(counts.astype(float), capacity, **solver), key=lambda c: -sum(l * a for l, a in c[0].items()))
+    exact = [c for c in solution if sum(l * a for l, a in c[0].items()) == capacity]
+    # Configurations with room to spare are all that some lengths allow, and a loss where filling finds better ones.
+    return min((_rounded(chosen, counts, capacity) for chosen in (exact, solution)), key=lambda plan: sum(times for _, times in plan))
+
+
+def _rounded(solution: list[tuple[dict[int, int], float]], counts: np.ndarray, capacity: int) -> Plan:
+    """The whole times of each configuration of ``solution``, as far as ``counts`` go, and fillings of what is left."""
+    left = counts.copy()
     plan: Plan = []
 
     def use(config: dict[int, int], times: int) -> None:
@@ -129,11 +147,8 @@ def pack_histogram(demand: dict[int, int], capacity: int, **solver) -> Plan:
             for l, a in config.items():
                 left[l] -= a * times
 
-    # The fullest configurations first: those in excess of demand are the least useful.
-    solution = sorted(solve_configurations(left.astype(float), capacity, **solver), key=lambda c: -sum(l * a for l, a in c[0].items()))
     for config, times in solution:
-        if sum(l * a for l, a in config.items()) == capacity:
-            use(config, int(times))
+        use(config, int(times))
     while left.any():
         config = _fill(left, capacity)
         # Alike sequences at once while much is left; one by one towards the end.

@@ -116,6 +116,21 @@ def test_near_duplicates_against_brute_force(spark, odd, empty):
     assert near_dup.near_duplicates(empty).count() == 0
 
 
+@pytest.mark.parametrize(
+    "demand, least",
+    [({100: 1000}, 100), ({200: 1000}, 200), ({1: 5000}, 5), ({100: 3, 101: 4}, 1), ({1000: 10, 1: 240}, 10), ({600: 30, 100: 120}, 30), ({700: 50, 1: 16200}, 50), ({341: 300, 342: 300}, 225), ({300: 7}, 3)],
+)
+def test_packing_of_few_lengths(demand, least):
+    plan = packing.pack_histogram(demand, 1024)
+    got: dict[int, int] = {}
+    for config, times in plan:
+        assert sum(l * a for l, a in config.items()) <= 1024
+        for l, a in config.items():
+            got[l] = got.get(l, 0) + a * times
+    assert got == demand
+    assert sum(t for _, t in plan) <= least + 1
+
+
 def all_pairs_classes(rows):
     """doc_id -> smallest id of its class, by the similarity of all pairs."""
     h, bounds = word_hashes([text for _, text in rows])
