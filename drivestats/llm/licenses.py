@@ -2,7 +2,8 @@
 
 A text is made canonical (lower case, copyright lines dropped, equivalent
 spellings made one, punctuation and white space as single blanks) and its
-digest joined with the digests of known licence texts. Both the whole document
+digest joined with the digests of known licence texts (published ones in full,
+with and without title and appendix, and one-line notices). Both the whole document
 and each of its lines are looked up, as notices stand in lines of their own.
 
 Defined cases: null texts and texts without a letter or digit match nothing;
@@ -13,6 +14,9 @@ columns are not read, whatever their names.
 
 from __future__ import annotations
 
+import pkgutil
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -69,6 +73,55 @@ KNOWN = [
         "IN THE SOFTWARE.",
     ),
 ]
+#: Published texts in ``license_texts``, and the title lines that are left out of some copies or, for short ones, put before the text.
+FULL = {
+    "Apache-2.0": ["Apache License\nVersion 2.0, January 2004\nhttp://www.apache.org/licenses/"],
+    "BSD-2-Clause": ["BSD 2-Clause License", "The BSD 2-Clause License", "Simplified BSD License", "BSD-2-Clause"],
+    "BSD-3-Clause": ["BSD 3-Clause License", "The BSD 3-Clause License", "New BSD License", "BSD-3-Clause", "BSD License"],
+    "CC0-1.0": ["Creative Commons Legal Code\nCC0 1.0 Universal"],
+    "GPL-2.0": ["GNU GENERAL PUBLIC LICENSE\nVersion 2, June 1991"],
+    "GPL-3.0": ["GNU GENERAL PUBLIC LICENSE\nVersion 3, 29 June 2007"],
+    "LGPL-2.1": ["GNU LESSER GENERAL PUBLIC LICENSE\nVersion 2.1, February 1999"],
+    "LGPL-3.0": ["GNU LESSER GENERAL PUBLIC LICENSE\nVersion 3, 29 June 2007"],
+    "MPL-1.1": ["MOZILLA PUBLIC LICENSE\nVersion 1.1"],
+    "MPL-2.0": ["Mozilla Public License Version 2.0"],
+    "Unlicense": ["The Unlicense", "Unlicense"],
+}
+#: Title lines of the short texts of ``KNOWN``.
+TITLES = {"ISC": ["ISC License", "The ISC License", "ISC License (ISC)"], "MIT": ["MIT License", "The MIT License", "The MIT License (MIT)"]}
+#: Lines after which some copies leave out how to apply the licence, and the line that others fill in there.
+TERMS_END, PLACEHOLDER = r"(?m)^[ \t]*END OF TERMS AND CONDITIONS[ \t]*$", r"(?m)^.*Copyright \[yyyy\] \[name of copyright owner\].*$"
+
+
+def _variants(license_id: str, text: str, titles: list[str]) -> list[tuple[str, str]]:
+    """The text as published copies have it: with and without its title, its appendix, and 'All rights reserved.' of the owner."""
+    bodies = [text]
+    for title in titles:
+        spaced = r"\s*" + r"\s+".join(re.escape(w) for w in title.split()) + r"[\s-]*"
+        if m := re.match(spaced, text):
+            bodies.append(text[m.end() :])
+    if re.search(TERMS_END, text):
+        bodies += [b[: re.search(TERMS_END, b).end()] for b in list(bodies)]
+        bodies += [b[: re.search(TERMS_END, b).start()] for b in list(bodies[: len(bodies) // 2])]
+    if re.search(PLACEHOLDER, text):
+        bodies += [re.sub(PLACEHOLDER, "", b) for b in list(bodies)]
+    if len(text) < 2000:
+        bodies = [f"{t}\n{r}\n{b}".strip() for b in bodies for t in ["", *titles] for r in ("", "All rights reserved.")]
+    return [(license_id, b) for b in dict.fromkeys(bodies)]
+
+
+def _published() -> list[tuple[str, str]]:
+    out = []
+    for license_id, titles in FULL.items():
+        text = pkgutil.get_data(__package__, f"license_texts/{license_id}.txt").decode("utf-8")
+        out += _variants(license_id, text, titles)
+    for license_id, text in KNOWN:
+        if license_id in TITLES and len(text) > 300:
+            out += [v for v in _variants(license_id, text, TITLES[license_id]) if v[1] != text]
+    return out
+
+
+KNOWN += _published()
 
 
 def canonical(text: Column) -> Column:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 import re
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -253,6 +254,25 @@ def test_licenses(spark, odd, empty):
     assert licenses.scan(empty, licenses.known_licenses(spark)).count() == 0
 
 
+def test_licenses_published_in_full(spark):
+    mit = next(t for i, t in licenses.KNOWN if i == "MIT" and len(t) > 300)
+    isc = next(t for i, t in licenses.KNOWN if i == "ISC")
+    full = {i: (Path(licenses.__file__).parent / "license_texts" / f"{i}.txt").read_text() for i in licenses.FULL}
+    apache = full["Apache-2.0"]
+    rows = [
+        ("MIT", "MIT License\n\nCopyright (c) 2020 Someone\n\n" + mit.replace(". ", ".\n\n")),
+        ("ISC", "ISC License\n\nCopyright (c) 2020, Someone\n\n" + isc),
+        ("BSD-3-Clause", "BSD 3-Clause License\n\nCopyright (c) 2020, Someone\nAll rights reserved.\n\n" + full["BSD-3-Clause"]),
+        ("Apache-2.0", apache.replace("[yyyy] [name of copyright owner]", "2020 Someone")),
+        ("Apache-2.0", apache.split("END OF TERMS")[0] + "END OF TERMS AND CONDITIONS\n"),
+        ("GPL-3.0", full["GPL-3.0"].split("2007", 1)[1]),
+        *full.items(),
+        (None, mit + " And more."),
+    ]
+    got = {r.doc_id: r.license_id for r in licenses.scan(make(spark, list(enumerate(t for _, t in rows))), licenses.known_licenses(spark)).collect()}
+    assert got == {i: want for i, (want, _) in enumerate(rows)}
+
+
 PAGE = "<html><head><title>t</title><script>var a='</p>'</script></head><body>{top}<p>{own}<p>More of {own} &amp; so&nbsp;on<br>here{bottom}</body></html>"
 
 
