@@ -10,7 +10,9 @@ What is kept: where a page marks its article (``article``, ``main`` or an
 element that names itself content), the blocks inside it, without those in
 elements that by tag, role or class are menus, headers, footers, sidebars,
 notices, adverts, forms or comments. Elsewhere all blocks of the body but
-those and but the shared ones. Shared blocks inside a marked article stay: on
+those and but the shared ones. A form around the body, and an element that has
+such a word only as a part of a name (has-sidebar), are doubtful: their blocks
+go if they are shared. Elements that hold the page's only article are kept. Shared blocks inside a marked article stay: on
 hosts with copies of articles, differencing alone would delete the copied
 text (see README for how often).
 
@@ -69,32 +71,46 @@ TOKEN = re.compile(r"""<!--.*?(?:--!?>|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*
 ATTRIBUTE = re.compile(r"""(?:^|\s)(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
 WORD = re.compile(r"[a-z]+")
 #: What a block lies in: 0 the body, 1 an element that names itself content, 2 main, 3 article; -1 what is left out.
-BODY, NAMED, MAIN, ARTICLE, LEFT_OUT = 0, 1, 2, 3, -1
+#: With ``DOUBTFUL`` added, inside a wrapper that may be left out: differencing decides.
+BODY, NAMED, MAIN, ARTICLE, LEFT_OUT, DOUBTFUL = 0, 1, 2, 3, -1, 10
 
 
-def _place(tag: str, attributes: str, parent: int) -> int:
-    """Where blocks in this element lie, given where the element lies."""
+def _place(tag: str, attributes: str, parent: int, holds: bool) -> int:
+    """Where blocks in this element lie, given where the element lies and whether it holds the only article and is kept for it."""
     if parent == LEFT_OUT:
         return LEFT_OUT
     words: set[str] = set()
     roles: set[str] = set()
+    names: set[str] = set()
     if attributes and "=" in attributes:
         for name, value in ATTRIBUTE.findall(attributes):
             own = set(WORD.findall(value.lower()))
             words |= own
+            names.update(v.strip("0123456789_-") for v in value.strip("\"'").lower().split())
             if name.lower() == "role":
                 roles |= own
     if tag in ("html", "body"):
         return parent
-    # A header inside an article holds its title; elsewhere it is the site's.
-    if tag in OUTSIDE and not (tag == "header" and parent == ARTICLE):
-        return LEFT_OUT
-    if words & OUTSIDE_WORDS and tag not in HEADINGS and not (tag == "header" and parent == ARTICLE and not words & OUTSIDE_WORDS - {"header"}):
-        return LEFT_OUT
+    base = parent % DOUBTFUL
+    marked = tag == "article" or tag == "main" or "main" in roles
+    doubtful = False
+    if not holds:
+        # A header inside an article holds its title; elsewhere it is the site's.
+        titled = tag == "header" and base == ARTICLE
+        # The body of a page may stand in a form.
+        if tag in OUTSIDE and not titled and not (tag == "form" and base == BODY):
+            return LEFT_OUT
+        if tag not in HEADINGS and not (titled and not words & OUTSIDE_WORDS - {"header"}):
+            if names & OUTSIDE_WORDS and not (tag == "form" and base == BODY):
+                return LEFT_OUT
+            # A part of a name, as in has-sidebar or comment-open, is no more than a hint.
+            doubtful = tag == "form" or bool(words & OUTSIDE_WORDS)
     if tag == "article":
-        return max(parent, ARTICLE)
-    if tag == "main" or "main" in roles:
-        return max(parent, MAIN)
+        return max(base, ARTICLE)
+    if marked:
+        return max(base, MAIN)
+    if doubtful or parent >= DOUBTFUL:
+        return base + DOUBTFUL
     if tag in ("div", "section", "td") and words & MAIN_WORDS:
         return max(parent, NAMED)
     return parent
@@ -102,8 +118,19 @@ def _place(tag: str, attributes: str, parent: int) -> int:
 
 def blocks_of(page: str) -> list[tuple[int, str]]:
     """(place, text) of the blocks of a page, in page order."""
+    blocks, holders = _parsed(page, set())
+    # Articles stand in what is left out (comments, teasers) and stay so, but not where the page has no other.
+    if holders and not any(place % DOUBTFUL >= MAIN for place, _ in blocks if place != LEFT_OUT):
+        blocks, _ = _parsed(page, holders)
+    return blocks
+
+
+def _parsed(page: str, kept: set[int]) -> tuple[list[tuple[int, str]], set[int]]:
+    """The blocks, with the elements ``kept`` (by the place of their tag) never left out; and the elements that are or hold articles that are left out."""
     out: list[tuple[int, str]] = []
+    holders: set[int] = set()
     stack: list[tuple[str, int]] = []
+    opened: list[int] = []
     parts: list[str] = []
     place = BODY
 
@@ -139,10 +166,10 @@ def blocks_of(page: str) -> list[tuple[int, str]]:
                 if stack[i][0] == tag:
                     if tag not in INLINE or stack[i][1] != (stack[i - 1][1] if i else BODY):
                         flush()
-                        del stack[i:]
+                        del stack[i:], opened[i:]
                         place = stack[-1][1] if stack else BODY
                     else:
-                        del stack[i]
+                        del stack[i], opened[i]
                     break
                 if tag in INLINE and stack[i][0] not in INLINE:
                     break
@@ -159,24 +186,27 @@ def blocks_of(page: str) -> list[tuple[int, str]]:
                     if stack[i][0] in scope:
                         break
                     if stack[i][0] in own:
-                        del stack[i:]
+                        del stack[i:], opened[i:]
                         break
             # A paragraph ends, with what is left open in it, where another block starts.
             for i in range(len(stack) - 1, -1, -1):
                 if stack[i][0] == "p":
-                    del stack[i:]
+                    del stack[i:], opened[i:]
                     break
                 if stack[i][0] not in INLINE:
                     break
             place = stack[-1][1] if stack else BODY
-        new = _place(tag, attributes, place)
+        new = _place(tag, attributes, place, m.start() in kept)
+        if new == LEFT_OUT and (tag == "article" or tag == "main" or _place(tag, attributes, BODY, True) == MAIN):
+            holders.update(opened, (m.start(),))
         if new != place:
             flush()
         if not attributes.rstrip().endswith("/") or tag not in ("path", "use"):
             stack.append((tag, new))
+            opened.append(m.start())
             place = new
     flush()
-    return out
+    return out, holders
 
 
 def shared_blocks(a: list[int], b: list[int]) -> list[bool]:
@@ -240,10 +270,14 @@ def _template_rows(batches):
 
 def main_text(blocks: list[tuple[int, str]], shared: list[bool]) -> str:
     """The article's blocks, joined; ``shared`` marks those of the template."""
-    best = max((place for place, _ in blocks), default=BODY)
-    if best > BODY:
-        return "\n\n".join(text for place, text in blocks if place == best or place > BODY and best == MAIN)
-    return "\n\n".join(text for (place, text), s in zip(blocks, shared) if place == BODY and not s)
+    best = max((place % DOUBTFUL for place, _ in blocks if place != LEFT_OUT), default=BODY)
+    wanted = {NAMED, MAIN} if best == MAIN else {best}
+    out = []
+    for (place, text), s in zip(blocks, shared):
+        doubted = place >= DOUBTFUL or best == BODY
+        if place != LEFT_OUT and place % DOUBTFUL in wanted and not (doubted and s):
+            out.append(text)
+    return "\n\n".join(out)
 
 
 def _text_rows(batches):

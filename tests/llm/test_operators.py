@@ -289,6 +289,33 @@ def test_html_marked_article_and_differencing(spark):
     assert html_extract.extract(pages.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize(
+    "page, want",
+    [
+        ("<form id='aspnetForm'><nav>menu</nav><article><p>One<p>two</article></form>", "One\n\ntwo"),
+        ("<form id='aspnetForm'><input><p>One<p>two</form>", "One\n\ntwo"),
+        ("<div class='layout has-sidebar'><article><p>One</article><aside>side</aside></div>", "One"),
+        ("<div id='page' class='no-sidebar'><main><p>One</main></div>", "One"),
+        ("<div id='page' class='no-sidebar'><p>One</div>", "One"),
+        ("<article><div class='has-sidebar'><p>One</div></article>", "One"),
+        ("<article class='post comment-open'><p>One</article>", "One"),
+        ("<article class='hentry category-social'><p>One</article><div class='comments'><article>reply</article></div>", "One"),
+        ("<div class='modal'><div role='main'><p>One</div><nav>menu</nav></div>", "One"),
+        ("<div class='sidebar'>side</div><p>One<div class='comments'>reply</div>", "One"),
+        ("<article><header class='header'><h1>Title</h1></header><p>One<form><p>write</form><div class='share'>x</div></article>", "Title\n\nOne"),
+    ],
+)
+def test_html_wrappers(page, want):
+    blocks = html_extract.blocks_of(f"<html><body>{page}</body></html>")
+    assert html_extract.main_text(blocks, [False] * len(blocks)) == want
+
+
+def test_html_doubtful_blocks_by_differencing():
+    blocks = html_extract.blocks_of("<article><p>One</p><div class='related-posts'><p>same everywhere</p><p>own</p></div></article>")
+    assert html_extract.main_text(blocks, [False, True, False]) == "One\n\nown"
+    assert html_extract.main_text(blocks[:1], [True]) == "One"
+
+
 def test_pages_against_their_articles(spark):
     import html
 
