@@ -1,15 +1,14 @@
-"""Deletion of repeated runs of lines by winnowing over line hashes (operator 8).
+"""Deletion of repeated runs of lines by digests of windows of whole lines (operator 8).
 
 Lines are compared with white space collapsed; lines without a word are passed
 over. A run of lines counts when it has at least ``min_words`` words. Windows
 are the shortest spans of whole lines with that many words that start, or end,
-at a line; the smallest line hash in a window is its fingerprint, and any
-repeated run that counts holds a whole window, hence a fingerprint, at the
-same place in each copy. Places with the same fingerprint are joined and
-extended over their windows, which must agree in every line; the first place
-(by doc_id, then place) stays and the lines of later ones go. Windows from
-both directions together cover every line of a repeated run, so runs of any
-length go whole.
+at a line. All of them are joined by the digest of the whole window, and by
+the smallest line hash in it, which adds nothing to the digest; none is
+selected or extended. The first place (by doc_id, then place) stays and the
+lines of later ones go, also where a later window overlaps the first one in a
+run that repeats itself. Windows from both directions together cover every
+line of a repeated run, so runs of any length go whole.
 
 Joins are on fingerprint and window: each place is compared with the first
 one of its window only, so a run in very many documents costs one row each.
