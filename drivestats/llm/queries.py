@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from drivestats.llm import decontaminate, html_extract, language_id, licenses, line_dedup, near_dup, packing, quality, token_files, toxicity
+from drivestats.llm import (
+    decontaminate, drift_kmeans, html_extract, language_id, licenses, line_dedup, near_dup, packing, quality, resampling, token_files, toxicity,
+)
 from drivestats.llm.common import table
 from drivestats.llm.tokens import default_tokenizer
 from drivestats.session import work_path
@@ -60,15 +62,26 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), default_tokenizer())
 
 
+def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return drift_kmeans.cluster(table(spark, sf_dir, "embeddings"))
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
         for f in (
             op1_html_extract, op2_language_id, op3_quality, op4_near_duplicates, op5_decontaminate,
-            op6_token_files, op7_licenses, op8_line_dedup, op9_toxicity, op10_packing,
+            op6_token_files, op7_licenses, op8_line_dedup, op9_toxicity, op10_packing, op12_resampling, op13_clustering,
         )
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_quality": quality.ORACLE, "op5_decontaminate": decontaminate.ORACLE, "op7_licenses": licenses.oracle(), "op8_line_dedup": line_dedup.ORACLE}
+    return {
+        "op3_quality": quality.ORACLE, "op5_decontaminate": decontaminate.ORACLE, "op7_licenses": licenses.oracle(), "op8_line_dedup": line_dedup.ORACLE,
+        "op12_resampling": resampling.ORACLE, "op13_clustering": drift_kmeans.oracle(),
+    }
