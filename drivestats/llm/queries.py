@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from drivestats.llm import (
-    decontaminate, drift_kmeans, html_extract, language_id, licenses, line_dedup, near_dup, packing, quality, resampling, token_files, toxicity,
+    decontaminate, drift_kmeans, embedding_dedup, html_extract, language_id, licenses, line_dedup, near_dup, packing, quality, resampling, token_files, toxicity,
 )
 from drivestats.llm.common import table
 from drivestats.llm.tokens import default_tokenizer
@@ -62,6 +62,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), default_tokenizer())
 
 
+def op11_embedding_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -75,7 +79,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         f.__name__: f
         for f in (
             op1_html_extract, op2_language_id, op3_quality, op4_near_duplicates, op5_decontaminate,
-            op6_token_files, op7_licenses, op8_line_dedup, op9_toxicity, op10_packing, op12_resampling, op13_clustering,
+            op6_token_files, op7_licenses, op8_line_dedup, op9_toxicity, op10_packing, op11_embedding_duplicates, op12_resampling, op13_clustering,
         )
     }
 
