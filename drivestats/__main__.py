@@ -17,7 +17,8 @@ import sys
 from pyspark.sql import SparkSession
 
 from drivestats.plans.grains import GRAINS
-from drivestats.plans.job import APPEND, REBUILD, run
+from drivestats.operators.pairs import STRATEGIES
+from drivestats.plans.job import LATE_ROWS, APPEND, run
 from drivestats.sources.gold import LOAD_TYPES
 
 
@@ -30,9 +31,9 @@ def parse_args(argv: list[str]) -> argparse.Namespace:
     p.add_argument("--database")
     p.add_argument("--table")
     p.add_argument("--sample-seconds", type=float, default=1.0)
-    p.add_argument("--strategy", choices=("sorted", "window"), default="sorted")
+    p.add_argument("--strategy", choices=STRATEGIES, default=STRATEGIES[0])
     p.add_argument("--reprocess-latest", action="store_true")
-    p.add_argument("--late-rows", choices=(APPEND, REBUILD), default=APPEND)
+    p.add_argument("--late-rows", choices=LATE_ROWS, default=APPEND)
     p.add_argument("--zone", default="UTC", help="zone whose wall clock zoned timestamps take")
     return p.parse_args(argv)
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -64,6 +64,21 @@ def partition_after(parts: Sequence[str], watermark: dt.datetime) -> Column:
     return chain(0)
 
 
+def in_partitions(parts: Sequence[str], wanted: Sequence[Mapping[str, int]]) -> Column:
+    """Whether the partition columns are those of one of ``wanted``: nested equalities, so it prunes directories."""
+
+    def level(i: int, rows: list) -> Column:
+        values = dict.fromkeys(r[parts[i]] for r in rows)
+        if i == len(parts) - 1:
+            return F.col(parts[i]).isin(*values)
+        out = F.lit(False)
+        for v in values:
+            out = out | ((F.col(parts[i]) == v) & level(i + 1, [r for r in rows if r[parts[i]] == v]))
+        return out
+
+    return level(0, list(wanted)) if wanted else F.lit(False)
+
+
 def partition_start(parts: Sequence[str]) -> Column:
     """Start of the partition as ``timestamp_ntz`` (missing parts = start of unit)."""
     vals = {p: F.col(p) if p in parts else F.lit(1 if p in ("month", "day") else 0) for p in PARTITION_PARTS}

@@ -4,7 +4,16 @@ This is the operator behind trip distance and speed events: every sample is
 paired with its predecessor in ``order`` inside its group (trip bucket), a
 measure is evaluated per pair, and the measures are summed per group.
 
-``sorted`` (default, one plan at every size)
+``blocks`` (default, one plan at every size)
+    Rows are hashed by (group, block); a block is a whole group, or a
+    consecutive part of one with very many rows (``operators/blocks.py``). The
+    predecessor is a ``lag`` inside the block, and sums, counts and the block's
+    first and last values come from the same partitioning with no further
+    exchange. A group cut into blocks loses only the pair across each edge; a
+    window over the per-block rows restores it. All of it runs in the JVM: one
+    shuffle of the rows, no Python worker, no range sampling.
+
+``sorted`` (by name)
     ``repartitionByRange(keys + order)`` samples the full sort key, so a hot
     group (one trip bucket holding a third of all rows, a default trip id, a
     repeated counter) is cut into many contiguous slices on many tasks. Each
@@ -26,7 +35,7 @@ measure is evaluated per pair, and the measures are summed per group.
     is sorted in one task, so it needs a caller who knows that every group is
     small.
 
-Both give the same results to the last digit: measures are whole numbers, so
+All give the same results to the last digit: measures are whole numbers, so
 their sums do not depend on the order of addition, on slice edges or on retries.
 """
 
@@ -41,11 +50,12 @@ from pyspark.sql.types import BooleanType, StructField, StructType
 
 from drivestats.functions.motion import Measure
 from drivestats.operators import _slice_scan
+from drivestats.operators.blocks import in_blocks, rows_of_large_groups
 
 # Executors get the helper by value: no need to ship the package to run it.
 cloudpickle.register_pickle_by_value(_slice_scan)
 
-STRATEGIES = ("sorted", "window")
+STRATEGIES = ("blocks", "sorted", "window")
 
 # Session settings: the width of the shuffle itself, or the input bytes one of its tasks gets.
 CONF_PARTITIONS = "spark.drivestats.pairPartitions"
@@ -82,7 +92,7 @@ def shuffle_for_pairs(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
-    strategy: str = "sorted",
+    strategy: str = "blocks",
     companions: Sequence[str] = (),
 ) -> DataFrame:
     """The one shuffle of the rows that ``ordered_pair_sums`` performs.
@@ -98,6 +108,8 @@ def shuffle_for_pairs(
     if strategy == "sorted":
         last = [c for c in companions if c not in keys and c not in order]
         return df.repartitionByRange(*width, *[F.col(c).asc_nulls_first() for c in [*keys, *order, *last]])
+    if strategy == "blocks":
+        return in_blocks(df, keys, order).repartition(*width, *keys, "_block")
     if strategy == "window":
         return df.repartition(*width, *keys)
     raise ValueError(f"unknown strategy {strategy!r}; expected one of {STRATEGIES}")
@@ -109,7 +121,7 @@ def ordered_pair_sums(
     order: Sequence[str],
     carry: Sequence[str],
     measures: Sequence[Measure],
-    strategy: str = "sorted",
+    strategy: str = "blocks",
     counts: Mapping[str, str] | None = None,
     distinct_counts: Mapping[str, str] | None = None,
 ) -> DataFrame:
@@ -119,6 +131,9 @@ def ordered_pair_sums(
     non-null values (distinct values) are counted per group, from the same
     single shuffle of the rows:
 
+    * blocks strategy: as the window strategy, per (group, block); counts add up
+      over the blocks. Distinct counts of a group that was cut come from a
+      distinct aggregate over the rows of such groups only.
     * sorted strategy: one companion aggregate over the reused range exchange
       (``group_counts``), merged with the pair sums by a union, which keeps
       null keys as groups.
@@ -143,6 +158,9 @@ def ordered_pair_sums(
     shuffled = shuffle_for_pairs(df, keys, order, strategy, companions)
     if strategy == "window":
         return _by_window(shuffled, keys, order, carry, measures, counts, distinct_counts)
+    if strategy == "blocks":
+        large = rows_of_large_groups(df, keys)
+        return _by_blocks(shuffled, large, keys, order, carry, measures, counts, distinct_counts)
     out = _by_sorted_slices(shuffled, keys, order, carry, measures)
     if not counts and not distinct_counts:
         return out
@@ -156,23 +174,21 @@ def group_counts(
 ) -> DataFrame:
     """Non-null and distinct counts per group, one row per group.
 
-    The rows are first counted per (keys, distinct values) with map-side
-    partial aggregation, which splits a hot group by those values. Several
-    distinct counts multiply the rows they read (Expand): they read these
-    combinations, of which a trip has one or a few, and not every sample.
+    One aggregate per distinct column, so no row is multiplied (a single
+    distinct count is hash aggregation keyed by (keys, value), partial before
+    the shuffle, which splits a hot group by its values); their results, a row
+    per group each, are merged by a union, which keeps null keys as groups.
     """
     keys = list(keys)
-    if len(distinct_counts) < 2:
-        combos, total = df, F.count
-    else:
-        per_combo = [F.count(c).alias(f"_n_{n}") for n, c in counts.items()]
-        combos = df.groupBy(*keys, *dict.fromkeys(distinct_counts.values()))
-        combos = combos.agg(*per_combo) if per_combo else combos.agg(F.lit(1).alias("_one"))
-        counts, total = {n: f"_n_{n}" for n in counts}, F.sum
-    return combos.groupBy(*keys).agg(
-        *[F.count_distinct(c).alias(n) for n, c in distinct_counts.items()],
-        *[total(c).alias(n) for n, c in counts.items()],
-    )
+    plain = [F.count(c).alias(n) for n, c in counts.items()]
+    distinct = [F.count_distinct(c).alias(n) for n, c in distinct_counts.items()]
+    parts = [df.groupBy(*keys).agg(*plain, *distinct[:1])] + [df.groupBy(*keys).agg(d) for d in distinct[1:]]
+    if len(parts) == 1:
+        return parts[0].select(*keys, *distinct_counts, *counts)
+    merged = parts[0]
+    for p in parts[1:]:
+        merged = merged.unionByName(p, allowMissingColumns=True)
+    return merged.groupBy(*keys).agg(*[F.max(c).alias(c) for c in [*distinct_counts, *counts]])
 
 
 def _measure_totals(measures: Sequence[Measure], parts: Sequence[str]) -> list[Column]:
@@ -181,26 +197,68 @@ def _measure_totals(measures: Sequence[Measure], parts: Sequence[str]) -> list[C
     return [sum((F.coalesce(F.col(f"{p}{m.name}"), zero) for p in parts), zero).alias(m.name) for m in measures]
 
 
-def _by_window(shuffled, keys, order, carry, measures, counts, distinct_counts) -> DataFrame:
-    # Rows are already hash-partitioned by the keys: every window below and
-    # the aggregate after them add local sorts only, no exchange.
+def _with_neighbours(shuffled, keys, order, carry, distinct_counts) -> tuple[DataFrame, list[Column]]:
+    """Each row with its predecessor's values, and the distinct counts as aggregates over such rows.
+
+    The rows are hash-partitioned by the keys (or some of them): the windows
+    add local sorts only, no exchange. The first distinct count is a plain one,
+    hash aggregation keyed by (keys, value); the others are sums of flags.
+    """
     w = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_first() for c in order])
-    hashed = list(distinct_counts.items())[:1]
-    flagged = list(distinct_counts.items())[1:]
     flags = []
-    for name, c in flagged:
+    for name, c in list(distinct_counts.items())[1:]:
         first = F.row_number().over(Window.partitionBy(*keys, c).orderBy(c)) == 1
         flags.append(F.when(first & F.col(c).isNotNull(), 1).otherwise(0).alias(f"_first_{name}"))
-    rows = shuffled.select("*", *[F.lag(c).over(w).alias(f"prev_{c}") for c in carry], *flags)
-    agg = rows.groupBy(*keys).agg(
-        *_row_measures(measures, carry),
-        *[F.count_distinct(c).alias(n) for n, c in hashed],
-        *[F.sum(f"_first_{n}").cast("long").alias(n) for n, _ in flagged],
-        *[F.count(c).alias(n) for n, c in counts.items()],
-    )
+    rows = shuffled.select("*", *[F.lag(c).over(w).alias(f"prev_{c}") for c in carry], *_ends(w), *flags)
+    distinct = [F.count_distinct(c).alias(n) for n, c in list(distinct_counts.items())[:1]]
+    return rows, distinct + [F.sum(f"_first_{n}").cast("long").alias(n) for n in list(distinct_counts)[1:]]
+
+
+def _ends(w) -> list[Column]:
+    return [(F.row_number().over(w) == 1).alias("_first"), F.lead(F.lit(1)).over(w).isNull().alias("_last")]
+
+
+def _by_window(shuffled, keys, order, carry, measures, counts, distinct_counts) -> DataFrame:
+    rows, distinct = _with_neighbours(shuffled, keys, order, carry, distinct_counts)
+    plain = [F.count(c).alias(n) for n, c in counts.items()]
+    agg = rows.groupBy(*keys).agg(*_row_measures(measures, carry), *distinct, *plain)
     return agg.select(*keys, *_measure_totals(measures, ["_rows_"]), *distinct_counts, *counts)
 
 
+def _by_blocks(shuffled, large, keys, order, carry, measures, counts, distinct_counts) -> DataFrame:
+    rows, distinct = _with_neighbours(shuffled, [*keys, "_block"], order, carry, distinct_counts)
+    plain = [F.count(c).alias(n) for n, c in counts.items()]
+    per_block = rows.groupBy(*keys, "_block").agg(*_row_measures(measures, carry), *_end_values(carry), *distinct, *plain)
+    if distinct_counts:
+        whole = large.groupBy(*keys).agg(*[F.count_distinct(c).alias(f"_whole_{n}") for n, c in distinct_counts.items()])
+        per_block = per_block.unionByName(whole, allowMissingColumns=True)
+    w = Window.partitionBy(*keys).orderBy("_block")
+    return _stitched(per_block, w, keys, carry, measures, counts, distinct_counts)
+
+
+def _end_values(carry: Sequence[str]) -> list[Column]:
+    """The carried values of the first and of the last row (one row each is flagged)."""
+    heads = [F.max(F.when(F.col("_first"), F.col(c))).alias(f"_head_{c}") for c in carry]
+    return heads + [F.max(F.when(F.col("_last"), F.col(c))).alias(f"_tail_{c}") for c in carry]
+
+
+def _stitched(parts, w, keys, carry, measures, counts, distinct_counts) -> DataFrame:
+    """Sums of the consecutive parts of each group, and of the pairs between one part's last row and the next one's first.
+
+    The window holds one row per part of a group.
+    """
+    rows = parts.select("*", *[F.lag(f"_tail_{c}").over(w).alias(f"_ptail_{c}") for c in carry])
+    prev = {c: F.col(f"_ptail_{c}") for c in carry}
+    head = {c: F.col(f"_head_{c}") for c in carry}
+    out = rows.groupBy(*keys).agg(
+        *[F.sum(f"_rows_{m.name}").alias(f"_rows_{m.name}") for m in measures],
+        *[F.sum(m.fn(prev, head)).alias(f"_edge_{m.name}") for m in measures],
+        *[F.coalesce(F.max(f"_whole_{n}"), F.sum(n)).alias(n) for n in distinct_counts],
+        *[F.sum(n).alias(n) for n in counts],
+    )
+    return out.select(*keys, *_measure_totals(measures, ["_rows_", "_edge_"]), *distinct_counts, *counts)
+
+
 def _by_sorted_slices(shuffled, keys, order, carry, measures) -> DataFrame:
     sort_key = [F.col(c).asc_nulls_first() for c in keys + order]
     ranged = shuffled.sortWithinPartitions(*sort_key).select(*keys, *carry, F.spark_partition_id().alias("_slice"))
@@ -214,24 +272,7 @@ def _by_sorted_slices(shuffled, keys, order, carry, measures) -> DataFrame:
     rows = ranged.mapInArrow(_slice_scan.slice_neighbours(keys, carry), out_schema)
 
     # One row per (group, slice): in-slice pair sums plus the values of the
-    # group's first and last row in that slice. Exactly one row of each
-    # (group, slice) is flagged first and one last, so max(when(...)) picks it.
-    per_slice = rows.groupBy(*keys, "_slice").agg(
-        *_row_measures(measures, carry),
-        *[F.max(F.when(F.col("_first"), F.col(c))).alias(f"_head_{c}") for c in carry],
-        *[F.max(F.when(F.col("_last"), F.col(c))).alias(f"_tail_{c}") for c in carry],
-    )
-    # A group's slices are consecutive in the range order: the pair lost at a
-    # slice edge is (previous slice's tail, this slice's head). The window
-    # holds one row per slice of a group, at most the partition count.
-    w = Window.partitionBy(*keys).orderBy("_slice")
-    stitched = per_slice.select(
-        "*", *[F.lag(f"_tail_{c}").over(w).alias(f"_ptail_{c}") for c in carry]
-    )
-    prev = {c: F.col(f"_ptail_{c}") for c in carry}
-    head = {c: F.col(f"_head_{c}") for c in carry}
-    out = stitched.groupBy(*keys).agg(
-        *[F.sum(f"_rows_{m.name}").alias(f"_rows_{m.name}") for m in measures],
-        *[F.sum(m.fn(prev, head)).alias(f"_edge_{m.name}") for m in measures],
-    )
-    return out.select(*keys, *_measure_totals(measures, ["_rows_", "_edge_"]))
+    # group's first and last row in that slice. Slices are consecutive in the
+    # range order, at most the partition count of them.
+    per_slice = rows.groupBy(*keys, "_slice").agg(*_row_measures(measures, carry), *_end_values(carry))
+    return _stitched(per_slice, Window.partitionBy(*keys).orderBy("_slice"), keys, carry, measures, {}, {})

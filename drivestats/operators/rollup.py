@@ -14,7 +14,7 @@ def driving_minutes(samples: Column, sample_seconds: float = 1.0) -> Column:
     return F.round(samples * F.lit(float(sample_seconds)) / 60.0).cast("long")
 
 
-def rollup_stats(trips: DataFrame, grain: Grain, sample_seconds: float = 1.0) -> DataFrame:
+def rollup_stats(trips: DataFrame, grain: Grain, sample_seconds: float = 1.0, samples: str | None = None) -> DataFrame:
     """One row per time bucket with totals, partition parts, averages and keys.
 
     ``trip_count`` is ``count(trip_id)``: after the trip-bucket aggregate a trip
@@ -22,7 +22,8 @@ def rollup_stats(trips: DataFrame, grain: Grain, sample_seconds: float = 1.0) ->
     without a distinct aggregate. User and vehicle counts are sums of the
     per-bucket distinct counts (the reference's definition). Every aggregate
     here is partial-aggregated map-side, so a hot time bucket costs one row per
-    task in the shuffle.
+    task in the shuffle. ``samples`` names a column of ``trips`` that is summed
+    and added at the end.
     """
     keys = list(grain.time_keys)
     aggs = [
@@ -34,6 +35,8 @@ def rollup_stats(trips: DataFrame, grain: Grain, sample_seconds: float = 1.0) ->
     ]
     if grain.with_events:
         aggs += [F.sum(c).alias(c) for c in EVENT_TOTALS]
+    if samples:
+        aggs.append(F.sum(samples).alias(samples))
     out = trips.groupBy(*keys).agg(*aggs)
 
     cols = {c: F.col(c) for c in out.columns}
@@ -50,4 +53,4 @@ def rollup_stats(trips: DataFrame, grain: Grain, sample_seconds: float = 1.0) ->
     if grain.year_month:
         shape = year_month_unpadded if grain.year_month == "unpadded" else year_month_padded
         cols["year_month"] = shape(cols["year"], cols["month"])
-    return out.select(*[cols[c].alias(c) for c in grain.output_cols])
+    return out.select(*[cols[c].alias(c) for c in [*grain.output_cols, *([samples] if samples else [])]])

@@ -113,14 +113,16 @@ def trip_metrics(
     with_distance: bool = True,
     with_events: bool | None = None,
     thresholds: EventThresholds = DEFAULT_THRESHOLDS,
-    strategy: str = "sorted",
+    strategy: str = "blocks",
+    samples: str | None = None,
 ) -> DataFrame:
     """Everything known about each trip bucket.
 
     Columns: trip keys, then (activity) ``user_count``, ``vehicle_count``,
     ``total_driving_time`` (sample count), ``size_of_latitude``, then
     ``distance_m`` and ``total_distance`` (metres rounded per bucket, P8), then
-    the four ``total_*_count`` event columns.
+    the four ``total_*_count`` event columns. ``samples`` names a further
+    column for the number of all samples, counters or not.
 
     Activity (distinct counts) and motion (ordered pairs) come from one scan
     and one shuffle of the samples (see ``ordered_pair_sums`` counts).
@@ -136,22 +138,25 @@ def trip_metrics(
     # events the speed is not needed: ties on the rest are at one place.
     order = [c for c in SAMPLE_ORDER if with_events or c != "s"]
     companions = list(ACTIVITY_DISTINCT.values()) if with_activity else []
-    samples = bucket_samples(positions, grain).withColumn("s", speed_2dp(F.col("sp")))
+    rows = bucket_samples(positions, grain).withColumn("s", speed_2dp(F.col("sp")))
+    counts = dict(ACTIVITY_COUNTS) if with_activity else {}
+    if samples:
+        counts[samples] = grain.bucket_keys[0]  # a time key: never null here
     out = ordered_pair_sums(
-        samples.select(*grain.bucket_keys, *companions, *order),
+        rows.select(*grain.bucket_keys, *companions, *order),
         keys=grain.bucket_keys,
         order=order,
         carry=[c for c in CARRIED if c in order],
         measures=measures,
         strategy=strategy,
-        counts=ACTIVITY_COUNTS if with_activity else None,
+        counts=counts,
         distinct_counts=ACTIVITY_DISTINCT if with_activity else None,
     )
     rest = _renamed([c for c in out.columns if c not in grain.bucket_keys])
     return with_bucket_keys(out, grain, rest)
 
 
-def trip_distance(positions: DataFrame, grain: Grain, strategy: str = "sorted") -> DataFrame:
+def trip_distance(positions: DataFrame, grain: Grain, strategy: str = "blocks") -> DataFrame:
     """U1 + P8: trip keys and ``total_distance`` (long metres)."""
     out = trip_metrics(positions, grain, with_activity=False, with_events=False, strategy=strategy)
     return out.select(*grain.trip_keys, "total_distance")
@@ -161,7 +166,7 @@ def trip_driving_events(
     positions: DataFrame,
     grain: Grain,
     thresholds: EventThresholds = DEFAULT_THRESHOLDS,
-    strategy: str = "sorted",
+    strategy: str = "blocks",
 ) -> DataFrame:
     """U2: trip keys and the four event counts."""
     out = trip_metrics(

@@ -326,6 +326,14 @@ JOIN ({trip_sql(norm_e_null, hourly_keep_null, activity=False, distance=False, e
         "catalog_reload_daily": f"""SELECT DISTINCT 'year=' || year || '/month=' || month || '/day=' || day AS partition
 FROM ({daily_l}) WHERE date <= DATE '{HISTORY_CUTOFF_DAILY[:10]}'""",
         "load_control_daily": load_control_sql(l),
+        "watermark_ahead_daily": daily_l,
+        "late_only_twice_daily": daily_l,
+        "rebuild_expired_daily": daily_l,
+        "repeated_run_daily": daily_l,
+        "several_grains_hourly": hourly_e,
+        "several_grains_daily": daily_e,
+        "several_grains_monthly": stats_sql(e, MONTHLY),
+        "several_grains_monthly_calendar": stats_sql(e, MONTHLY_CALENDAR),
         "latest_partition_sql_daily": latest_partition_sql(daily_l, DAILY.parts),
         "positions_odd_normalized": _norm(f"({odd_positions()})"),
         "hourly_stats_odd": stats_sql(odd_positions(), HOURLY),

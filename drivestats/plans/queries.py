@@ -9,9 +9,9 @@ from __future__ import annotations
 
 import dataclasses
 import datetime as dt
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from drivestats.functions.timeparts import partition_after
@@ -19,11 +19,12 @@ from drivestats.operators.traces import trace_points
 from drivestats.operators.partitions import latest_partition, latest_partition_sql, new_data_by_month, partition_paths
 from drivestats.operators.trips import join_trip_events, trip_activity, trip_distance, trip_driving_events
 from drivestats.plans import oracle
-from drivestats.plans.grains import DAILY, HOURLY, MONTHLY, MONTHLY_CALENDAR
-from drivestats.plans.job import REBUILD, run
+from drivestats.plans.grains import DAILY, GRAINS, HOURLY, MONTHLY, MONTHLY_CALENDAR
+from drivestats.plans.job import MERGE, REBUILD, run, run_full_many
 from drivestats.plans.stats import build_stats
 from drivestats.session import work_path
 from drivestats.sources import gold
+from drivestats.sources.commits import CommitLog
 from drivestats.sources.fixtures import positions_e, positions_l, positions_late, positions_odd
 from drivestats.sources.positions import normalize
 
@@ -149,6 +150,72 @@ def load_control_daily(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def _arrives(pos: DataFrame, parts: Sequence[str], at: Column) -> DataFrame:
+    """``pos`` with the source partition of another time."""
+    values = {"year": F.year(at), "month": F.month(at), "day": F.dayofmonth(at), "hour": F.hour(at)}
+    return pos.withColumns({p: values[p] for p in parts})
+
+
+def watermark_ahead_daily(spark: SparkSession, d: str) -> DataFrame:
+    """Samples dated ahead of their arrival (a clock a year fast, here: early arrivals) do not hide what arrives later.
+
+    Every seventh order arrives 300 days before its samples' own time, so the history publishes days far
+    beyond the partitions read; the incremental run reads on from the partitions.
+    """
+    path = work_path(spark, "watermark_ahead_daily")
+    pos = positions_l(spark, d)
+    early = F.when(F.col("ct") % 70 < 10, F.col("ts") - F.make_dt_interval(F.lit(300))).otherwise(F.col("ts"))
+    pos = _arrives(pos, oracle.DAILY.parts, early)
+    run(spark, DAILY, gold.FULL_LOAD, _until(pos, oracle.HISTORY_CUTOFF_DAILY), path, late_rows=MERGE)
+    run(spark, DAILY, gold.INCREMENTAL, pos, path, late_rows=MERGE)
+    return gold.read_gold(spark, path, DAILY.output_schema)
+
+
+def late_only_twice_daily(spark: SparkSession, d: str) -> DataFrame:
+    """A source partition of late samples only, refreshed twice: taken in once, the mark moves past it."""
+    path = work_path(spark, "late_only_twice_daily")
+    pos = positions_l(spark, d)
+    last = pos.agg(F.max("ts")).first()[0] + dt.timedelta(days=10)
+    late = F.when(F.col("ct") % 50 < 10, F.lit(last.isoformat(sep=" ")).cast("timestamp_ntz")).otherwise(F.col("ts"))
+    pos = _arrives(pos, oracle.DAILY.parts, late)
+    run(spark, DAILY, gold.FULL_LOAD, pos.where("ct % 50 >= 10"), path, late_rows=MERGE)
+    for _ in range(2):
+        run(spark, DAILY, gold.INCREMENTAL, pos, path, late_rows=MERGE)
+    return gold.read_gold(spark, path, DAILY.output_schema)
+
+
+def rebuild_expired_daily(spark: SparkSession, d: str) -> DataFrame:
+    """Late samples of days whose source partitions are gone: merged into the state, nothing published is lost."""
+    path = work_path(spark, "rebuild_expired_daily")
+    pos = positions_late(spark, d)
+    run(spark, DAILY, gold.FULL_LOAD, _until(pos, oracle.HISTORY_CUTOFF_DAILY), path, late_rows=MERGE)
+    kept = pos.where(partition_after(DAILY.source_parts, _ts(oracle.HISTORY_CUTOFF_DAILY)))
+    run(spark, DAILY, gold.INCREMENTAL, kept, path, late_rows=MERGE)
+    return gold.read_gold(spark, path, DAILY.output_schema)
+
+
+def repeated_run_daily(spark: SparkSession, d: str) -> DataFrame:
+    """A run that dies after its record and before publishing is finished by the next; runs that repeat add nothing."""
+    path = work_path(spark, "repeated_run_daily")
+    pos = positions_l(spark, d)
+    run(spark, DAILY, gold.FULL_LOAD, _until(pos, oracle.HISTORY_CUTOFF_DAILY), path)
+    run(spark, DAILY, gold.INCREMENTAL, _until(pos, oracle.CRASH_CUTOFF_DAILY), path)
+    commits = CommitLog(spark, path)
+    # As if it had died: the marker is gone, so is half of what it published.
+    commits.delete(commits.run_path(2, "published"))
+    commits.delete(f"{path}/year=1999/month=1")
+    for _ in range(2):
+        run(spark, DAILY, gold.INCREMENTAL, pos, path)
+    return gold.read_gold(spark, path, DAILY.output_schema)
+
+
+def several_grains(spark: SparkSession, d: str, name: str) -> DataFrame:
+    """The table of one grain out of a full load of all of them from one pass over the samples."""
+    root = work_path(spark, "several_grains")
+    run_full_many(spark, positions_e(spark, d), {g.name: f"{root}/{g.name}" for g in (HOURLY, DAILY, MONTHLY, MONTHLY_CALENDAR)})
+    return gold.read_gold(spark, f"{root}/{name}", GRAINS[name].output_schema)
+
+
 def registry() -> dict[str, Query]:
     e, l = positions_e, positions_l
     return {
@@ -179,7 +246,7 @@ def registry() -> dict[str, Query]:
         "daily_stats": daily_stats,
         "monthly_stats": monthly_stats,
         "monthly_stats_calendar": monthly_stats_calendar,
-        # Both strategies by name.
+        # The other strategies by name; the default is blocks.
         "hourly_stats_sliced": lambda s, d: build_stats(e(s, d), HOURLY, strategy="sorted"),
         "daily_stats_sliced": lambda s, d: build_stats(l(s, d), DAILY, strategy="sorted"),
         "hourly_stats_window": lambda s, d: build_stats(e(s, d), HOURLY, strategy="window"),
@@ -197,6 +264,14 @@ def registry() -> dict[str, Query]:
         "catalog_after_crash_daily": catalog_after_crash_daily,
         "catalog_reload_daily": catalog_reload_daily,
         "load_control_daily": load_control_daily,
+        "watermark_ahead_daily": watermark_ahead_daily,
+        "late_only_twice_daily": late_only_twice_daily,
+        "rebuild_expired_daily": rebuild_expired_daily,
+        "repeated_run_daily": repeated_run_daily,
+        "several_grains_hourly": lambda s, d: several_grains(s, d, "hourly"),
+        "several_grains_daily": lambda s, d: several_grains(s, d, "daily"),
+        "several_grains_monthly": lambda s, d: several_grains(s, d, "monthly"),
+        "several_grains_monthly_calendar": lambda s, d: several_grains(s, d, "monthly_calendar"),
         "latest_partition_sql_daily": lambda s, d: latest_partition_sql(daily_stats(s, d), DAILY.output_parts),
         "positions_odd_normalized": lambda s, d: normalize(positions_odd(s, d)).withColumns(
             {"user_id": F.col("user_id").cast("long"), "vehicle_id": F.col("vehicle_id").cast("long")}

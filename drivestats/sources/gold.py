@@ -40,9 +40,7 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 def target_exists(spark: SparkSession, path: str, database: str | None = None, table: str | None = None) -> bool:
     """S7: the catalog entry (when a table name is given) and the data both exist."""
-    catalog_ok = True
-    if table:
-        catalog_ok = spark.catalog.tableExists(f"{database}.{table}" if database else table)
+    catalog_ok = not table or table_exists(spark, database, table)
     return catalog_ok and path_exists(spark, path)
 
 
@@ -88,10 +86,36 @@ def write_stats(
     partitions present in ``df``.
     """
     mode = "overwrite" if (load_type == FULL_LOAD or dynamic_overwrite) else "append"
+    _write(df, path, parts, mode, dynamic_overwrite)
+
+
+def write_partitioned(df: DataFrame, path: str, parts: Sequence[str], dynamic: bool) -> None:
+    """The whole of ``path``, or with ``dynamic`` the partitions present in ``df``, replaced by ``df``."""
+    _write(df, path, parts, "overwrite", dynamic)
+
+
+def _write(df: DataFrame, path: str, parts: Sequence[str], mode: str, dynamic: bool) -> None:
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     writer = df.repartition(n, *parts).write.mode(mode).partitionBy(*parts)
     # Said each time: a session default of "dynamic" would leave old partitions behind a full load.
-    writer.option("partitionOverwriteMode", "dynamic" if dynamic_overwrite else "static").parquet(path)
+    writer.option("partitionOverwriteMode", "dynamic" if dynamic else "static").parquet(path)
+
+
+def table_exists(spark: SparkSession, database: str | None, table: str) -> bool:
+    return spark.catalog.tableExists(f"{database}.{table}" if database else table)
+
+
+# Partitions named in one statement.
+BATCH = 200
+
+
+def add_partitions(spark: SparkSession, database: str | None, table: str, paths: Sequence[str]) -> None:
+    """S6, incremental: registers the given ``key=value/...`` partitions, listing nothing."""
+    name = table_name(database, table)
+    for i in range(0, len(paths), BATCH):
+        specs = " ".join(f"PARTITION ({', '.join(p.strip('/').split('/'))})" for p in paths[i : i + BATCH])
+        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {specs}")
+    spark.catalog.refreshTable(f"{database}.{table}" if database else table)
 
 
 def register_table(

@@ -25,7 +25,7 @@ EXPECTED = {
 }
 
 
-@pytest.mark.parametrize("strategy", ["window", "sorted"])
+@pytest.mark.parametrize("strategy", ["window", "sorted", "blocks"])
 @pytest.mark.parametrize("build", sorted(EXPECTED))
 def test_expected_totals(spark, build, strategy):
     grain, fixture = build

@@ -128,7 +128,7 @@ def test_catalog_repaired_after_unregistered_write(spark, silver):
     assert spark.table("ds_test.daily_repair").count() == 30
 
 
-@pytest.mark.parametrize("strategy", ["sorted", "window"])
+@pytest.mark.parametrize("strategy", ["blocks", "sorted"])
 def test_history_plus_incremental_equals_full_sliced(spark, silver, strategy):
     target = work_path(spark, f"t_inc_sliced_{strategy}")
     src = spark.read.parquet(silver)

@@ -10,6 +10,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from drivestats.functions.motion import CARRIED, distance_measure, event_measures
+from drivestats.operators.blocks import CONF_BLOCK_ROWS, in_blocks
 from drivestats.operators.pairs import ordered_pair_sums
 from tests.brute import pair_sums
 
@@ -28,8 +29,8 @@ def _run(spark, rows, strategy):
 def _check(spark, rows):
     dicts = [dict(zip(["g", "ct", "latitude", "longitude", "s"], r)) for r in rows]
     want = pair_sums(dicts, KEYS, ORDER)
-    assert _run(spark, rows, "sorted") == _run(spark, rows, "window")
-    for strategy in ("sorted", "window"):
+    assert _run(spark, rows, "sorted") == _run(spark, rows, "window") == _run(spark, rows, "blocks")
+    for strategy in ("blocks", "sorted", "window"):
         got = _run(spark, rows, strategy)
         assert set(got) == set(want), strategy
         for g, w in want.items():
@@ -104,6 +105,29 @@ def test_random_inputs_match_model(spark, rows):
     _check(spark, rows)
 
 
+def test_hot_group_is_cut_into_blocks(spark):
+    """A group with most rows, a counter and one whole sample repeated in it: many blocks, none of them large, the same sums."""
+    rnd = random.Random(11)
+    rows = [("hot", rnd.choice([None, i, i, 7]), 35.0 + rnd.random(), 139.0, round(rnd.uniform(0, 60), 2)) for i in range(3000)]
+    rows += [("hot", 7, 35.5, 139.5, 20.0)] * 900 + [(None, 7, 35.5, 139.5, float(i % 40)) for i in range(700)]
+    rows += [(f"c{j}", i, 35.0 + rnd.random(), 139.0, round(rnd.uniform(0, 60), 2)) for j in range(20) for i in range(5)]
+    spark.conf.set(CONF_BLOCK_ROWS, "100")
+    try:
+        df = spark.createDataFrame(rows, SCHEMA).repartition(6, "ct", "s", "latitude")
+        blocks = in_blocks(df, KEYS, ORDER).groupBy("g", "_block").count().collect()
+        assert {r["g"] for r in blocks if r["_block"] > 0} == {"hot", None}
+        assert sum(r["g"] == "hot" for r in blocks) > 20 and sum(r["g"] is None for r in blocks) > 3
+        _check(spark, rows)
+        users = df.withColumns({"u": F.pmod(F.xxhash64("latitude"), F.lit(97)), "v": F.pmod(F.col("ct"), F.lit(5))})
+        counted = [
+            sorted(map(tuple, ordered_pair_sums(users, KEYS, ORDER, CARRIED, MEASURES, strategy=s, counts={"n": "ct"}, distinct_counts={"us": "u", "vs": "v"}).collect()), key=str)
+            for s in ("blocks", "window")
+        ]
+        assert counted[0] == counted[1]
+    finally:
+        spark.conf.unset(CONF_BLOCK_ROWS)
+
+
 def test_shuffle_width(spark, tmp_path):
     """Width from the settings or from file sizes the planner knows, never from a job or a cap."""
     from drivestats.operators.pairs import CONF_BYTES_PER_TASK, CONF_PARTITIONS, shuffle_width

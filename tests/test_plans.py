@@ -7,6 +7,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from drivestats.operators.blocks import CONF_BLOCK_ROWS
 from drivestats.operators.trips import trip_metrics
 from drivestats.plans.grains import DAILY, HOURLY, MONTHLY
 from drivestats.plans.stats import build_stats
@@ -26,17 +27,17 @@ def test_sorted_stats_plan(spark, sf_dir, grain):
     src = positions_e if grain is HOURLY else positions_l
     p = plan(build_stats(src(spark, sf_dir), grain, strategy="sorted"))
     # One scan and one range exchange of the sample rows, shared (reused) by
-    # the activity and motion aggregates; one Arrow pass; no row-at-a-time
+    # the motion aggregate and the two distinct counts; one Arrow pass; no row-at-a-time
     # Python, no global sort, no join.
     lines = p.splitlines()
     assert sum("Exchange rangepartitioning" in x and "ReusedExchange" not in x for x in lines) == 1
-    assert sum("ReusedExchange" in x for x in lines) == 1
+    assert sum("ReusedExchange" in x for x in lines) == 2
     assert sum("FileScan" in x for x in lines) == 1
     assert p.count("MapInArrow") == 1
     assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p
     assert "SortMergeJoin" not in p and "BroadcastHashJoin" not in p and "CartesianProduct" not in p
-    # Distinct counts are split by value before shuffling (Expand + partial agg).
-    assert "Expand" in p
+    # Each distinct count is an aggregate of its own, split by value before shuffling.
+    assert "Expand" not in p
 
 
 def test_window_strategy_has_no_python(spark, sf_dir):
@@ -53,10 +54,12 @@ def test_window_strategy_has_no_python(spark, sf_dir):
 
 
 def test_scan_is_pruned(spark, sf_dir):
-    for strategy in ("window", "sorted"):
+    for strategy in ("blocks", "window", "sorted"):
         df = build_stats(positions_l(spark, sf_dir), DAILY, strategy=strategy)
         scans = re.findall(r"FileScan parquet \[([^\]]*)\]", plan(df))
         assert scans
+        if strategy == "blocks":  # the count per bucket reads keys only; the adaptive plan has dropped it
+            assert len(scans) == 1
         for s in scans:
             cols = {c.split("#")[0] for c in s.split(",")}
             assert cols == {
@@ -80,13 +83,36 @@ def test_unrounded_distances_do_not_depend_on_the_plan(spark):
     pos = normalize(positions_l(spark, "/root/testdata/sf0.1"))
     a, b = (
         trip_metrics(pos, DAILY, with_activity=False, with_events=False, strategy=s).select("date", "trip_id", "distance_m")
-        for s in ("sorted", "window")
+        for s in ("blocks", "window")
     )
     assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
 
 
-def test_one_plan_at_every_size(spark, sf_dir):
-    assert "MapInArrow" in plan(build_stats(positions_e(spark, sf_dir), HOURLY))
+@pytest.mark.parametrize("grain", [HOURLY, DAILY, MONTHLY])
+def test_default_plan_stays_in_the_jvm(spark, sf_dir, grain):
+    """One scan and one shuffle of the samples, no Python, no range sampling, no Expand; no large bucket leaves no join."""
+    src = positions_e if grain is HOURLY else positions_l
+    p = plan(build_stats(src(spark, sf_dir), grain))
+    lines = p.splitlines()
+    assert not re.search("Python|Arrow|Pandas|rangepartitioning|Expand|Join", p), p
+    assert sum("FileScan" in x for x in lines) == 1
+    # Samples by (bucket, block), per-block rows by bucket, bucket rows by time bucket.
+    exchanges = [x for x in lines if "Exchange hashpartitioning" in x]
+    assert len(exchanges) == 3 and sum("_block" in x for x in exchanges) == 1, exchanges
+
+
+def test_large_buckets_are_cut(spark, sf_dir):
+    """With few rows a block every bucket is cut: still no Python, the samples move by (bucket, block), the same results."""
+    df = build_stats(positions_l(spark, sf_dir), DAILY)
+    want = sorted(map(tuple, df.collect()))
+    spark.conf.set(CONF_BLOCK_ROWS, "2")
+    try:
+        cut = build_stats(positions_l(spark, sf_dir), DAILY)
+        p = plan(cut)
+        assert sorted(map(tuple, cut.collect())) == want
+    finally:
+        spark.conf.unset(CONF_BLOCK_ROWS)
+    assert "BroadcastHashJoin" in p and "_block" in p and not re.search("Python|Arrow|SortMergeJoin|Cartesian|NestedLoop", p)
 
 
 def test_joins_never_broadcast_growing_sides(spark, sf_dir):

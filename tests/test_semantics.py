@@ -43,7 +43,7 @@ def rows_by(df, *keys):
     return {tuple(r[k] for k in keys): r.asDict() for r in df.collect()}
 
 
-@pytest.mark.parametrize("strategy", ["sorted", "window"])
+@pytest.mark.parametrize("strategy", ["blocks", "sorted", "window"])
 def test_trip_across_hour_edge_counts_in_both_hours(spark, strategy):
     p = pos(spark, samples("t", 1, "2024-03-01 10:59:58", 4))
     hourly = rows_by(build_stats(p, HOURLY, strategy=strategy), "hour")
@@ -181,7 +181,7 @@ def test_hot_trip_bucket_matches(spark, sf_dir):
     assert sorted(map(tuple, got.select(*cols).collect())) == sorted(map(tuple, want.select(*cols).collect()))
 
 
-@pytest.mark.parametrize("strategy", ["window", "sorted"])
+@pytest.mark.parametrize("strategy", ["window", "sorted", "blocks"])
 def test_input_order_and_partitioning_do_not_matter(spark, sf_dir, strategy):
     from drivestats.sources.fixtures import positions_e
 

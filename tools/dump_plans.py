@@ -27,7 +27,7 @@ def final_plan(df) -> str:
 def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     spark = build_session("local[8]", **{"spark.ui.showConsoleProgress": "false"})
-    for strategy in ("window", "sorted"):
+    for strategy in ("blocks", "window", "sorted"):
         df = build_stats(positions_e(spark, sf_dir), HOURLY, strategy=strategy)
         print(f"## hourly_stats, strategy={strategy}\n")
         print(final_plan(df))
