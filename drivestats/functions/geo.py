@@ -26,3 +26,12 @@ def haversine_m(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Colum
     dist = F.lit(2.0 * EARTH_RADIUS_M) * F.asin(F.least(F.lit(1.0), F.sqrt(h)))
     complete = lat1.isNotNull() & lon1.isNotNull() & lat2.isNotNull() & lon2.isNotNull()
     return F.when(complete, dist)
+
+
+def haversine_sql(lat1: str, lon1: str, lat2: str, lon2: str) -> str:
+    """``haversine_m`` as SQL text over column names: one call to build, however often it is used."""
+    rad = f"{DEG_TO_RAD!r}D"
+    half_dlat, half_dlon = f"(({lat2} - {lat1}) * {rad} / 2.0D)", f"(({lon2} - {lon1}) * {rad} / 2.0D)"
+    h = f"sin({half_dlat}) * sin({half_dlat}) + cos({lat1} * {rad}) * cos({lat2} * {rad}) * sin({half_dlon}) * sin({half_dlon})"
+    complete = " AND ".join(f"{c} IS NOT NULL" for c in (lat1, lon1, lat2, lon2))
+    return f"CASE WHEN {complete} THEN {2.0 * EARTH_RADIUS_M!r}D * asin(least(1.0D, sqrt({h}))) END"

@@ -33,31 +33,32 @@ def block_rows(df: DataFrame) -> int:
 
 def same_key(keys: Sequence[str]) -> Column:
     """Null-safe equality of ``keys`` with their renamed copies (``_k_...``)."""
-    cond = F.lit(True)
-    for k in keys:
-        cond = cond & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
-    return cond
+    return F.expr(" AND ".join(f"`{k}` <=> `_k_{k}`" for k in keys))
 
 
-def renamed_keys(keys: Sequence[str]) -> list[Column]:
-    return [F.col(k).alias(f"_k_{k}") for k in keys]
+def renamed_keys(keys: Sequence[str]) -> list[str]:
+    return [f"`{k}` AS `_k_{k}`" for k in keys]
 
 
 def rows_of_large_groups(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The rows of ``df`` whose group has more than ``blockRows`` of them."""
     keys = list(keys)
-    large = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > block_rows(df)).select(*renamed_keys(keys))
+    large = df.groupBy(*keys).count().where(f"count > {block_rows(df)}").selectExpr(*renamed_keys(keys))
     return df.join(F.broadcast(large), same_key(keys), "left_semi")  # at most rows / blockRows groups
 
 
 def _cuts(large: DataFrame, keys: Sequence[str], order: Sequence[str], n: int) -> DataFrame:
     """Per large group, its cuts in chunks of about the square root of their number."""
-    sampled = large.where(F.rand(17) < PER_CUT / n).groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(*order))).alias("_s"))
-    every = F.filter("_s", lambda x, i: i % PER_CUT == PER_CUT - 1)
-    cuts = sampled.select(*renamed_keys(keys), every.alias("_s")).where(F.size("_s") > 0)
-    wide = cuts.withColumn("_wide", F.ceil(F.sqrt(F.size("_s"))).cast("int"))
-    chunks = F.expr("transform(sequence(0, (size(_s) - 1) div _wide), i -> slice(_s, CAST(i AS INT) * _wide + 1, _wide))")
-    return wide.select(*[f"_k_{k}" for k in keys], "_wide", chunks.alias("_chunks")).withColumn("_heads", F.expr("transform(_chunks, c -> c[0])"))
+    tuples = f"sort_array(collect_list({_tuple(order)}))"
+    sampled = large.where(F.rand(17) < PER_CUT / n).groupBy(*keys).agg(F.expr(f"filter({tuples}, (x, i) -> i % {PER_CUT} = {PER_CUT - 1}) AS _s"))
+    chunks = "transform(sequence(0, (size(_s) - 1) div _wide), i -> slice(_s, CAST(i AS INT) * _wide + 1, _wide))"
+    cuts = sampled.where("size(_s) > 0").selectExpr(*renamed_keys(keys), "_s", "CAST(ceil(sqrt(size(_s))) AS INT) AS _wide")
+    cuts = cuts.selectExpr(*[f"`_k_{k}`" for k in keys], "_wide", f"{chunks} AS _chunks")
+    return cuts.selectExpr("*", "transform(_chunks, c -> c[0]) AS _heads")
+
+
+def _tuple(order: Sequence[str]) -> str:
+    return f"struct({', '.join(f'`{c}`' for c in order)})"
 
 
 def in_blocks(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -65,13 +66,12 @@ def in_blocks(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataF
     keys, order, n = list(keys), list(order), block_rows(df)
     cuts = _cuts(rows_of_large_groups(df.select(*dict.fromkeys([*keys, *order])), keys), keys, order, n)
     joined = df.join(F.broadcast(cuts), same_key(keys), "left")
-    row = f"struct({', '.join(f'`{c}`' for c in order)})"
+    row = _tuple(order)
 
     def cuts_before(op: str) -> str:
         heads = f"size(filter(_heads, h -> h {op} {row}))"
         return f"IF({heads} = 0, 0, ({heads} - 1) * _wide + size(filter(element_at(_chunks, greatest({heads}, 1)), x -> x {op} {row})))"
 
-    low, high = F.expr(cuts_before("<")), F.expr(cuts_before("<="))
-    spread = F.pmod(F.xxhash64(F.spark_partition_id()), high - low + 1).cast("int")
-    block = F.when(F.col("_wide").isNull(), F.lit(0)).otherwise(low + spread)
-    return joined.select(*df.columns, block.alias("_block"))
+    low, high = cuts_before("<"), cuts_before("<=")
+    block = f"CAST(IF(_wide IS NULL, 0, {low} + pmod(xxhash64(spark_partition_id()), {high} - {low} + 1)) AS INT)"
+    return joined.selectExpr(*[f"`{c}`" for c in df.columns], f"{block} AS _block")

@@ -44,7 +44,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, StructField, StructType
 
@@ -83,9 +83,14 @@ def shuffle_width(df: DataFrame) -> int | None:
 
 
 def _row_measures(measures: Sequence[Measure], carry: Sequence[str]) -> list[Column]:
-    prev = {c: F.col(f"prev_{c}") for c in carry}
-    cur = {c: F.col(c) for c in carry}
-    return [F.sum(m.fn(prev, cur)).alias(f"_rows_{m.name}") for m in measures]
+    prev, cur = {c: f"`prev_{c}`" for c in carry}, {c: f"`{c}`" for c in carry}
+    return [F.expr(f"sum({m.fn(prev, cur)}) AS `_rows_{m.name}`") for m in measures]
+
+
+def over(keys: Sequence[str], order: Sequence[str]) -> str:
+    """Window text: rows of one group in ascending order, nulls first."""
+    by = ", ".join(f"`{c}`" for c in order)
+    return f"OVER (PARTITION BY {', '.join(f'`{k}`' for k in keys)} ORDER BY {by})"
 
 
 def shuffle_for_pairs(
@@ -193,8 +198,7 @@ def group_counts(
 
 def _measure_totals(measures: Sequence[Measure], parts: Sequence[str]) -> list[Column]:
     """Final measure columns: the sums of all ``parts`` (in-group or in-slice pairs, edge pairs)."""
-    zero = F.lit(0).cast("long")
-    return [sum((F.coalesce(F.col(f"{p}{m.name}"), zero) for p in parts), zero).alias(m.name) for m in measures]
+    return [F.expr(" + ".join(f"coalesce(`{p}{m.name}`, 0L)" for p in parts) + f" AS `{m.name}`") for m in measures]
 
 
 def _with_neighbours(shuffled, keys, order, carry, distinct_counts) -> tuple[DataFrame, list[Column]]:
@@ -204,57 +208,51 @@ def _with_neighbours(shuffled, keys, order, carry, distinct_counts) -> tuple[Dat
     add local sorts only, no exchange. The first distinct count is a plain one,
     hash aggregation keyed by (keys, value); the others are sums of flags.
     """
-    w = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_first() for c in order])
-    flags = []
+    w = over(keys, order)
+    columns = ["*", *[f"lag(`{c}`) {w} AS `prev_{c}`" for c in carry], f"row_number() {w} = 1 AS _first", f"lead(1) {w} IS NULL AS _last"]
     for name, c in list(distinct_counts.items())[1:]:
-        first = F.row_number().over(Window.partitionBy(*keys, c).orderBy(c)) == 1
-        flags.append(F.when(first & F.col(c).isNotNull(), 1).otherwise(0).alias(f"_first_{name}"))
-    rows = shuffled.select("*", *[F.lag(c).over(w).alias(f"prev_{c}") for c in carry], *_ends(w), *flags)
-    distinct = [F.count_distinct(c).alias(n) for n, c in list(distinct_counts.items())[:1]]
-    return rows, distinct + [F.sum(f"_first_{n}").cast("long").alias(n) for n in list(distinct_counts)[1:]]
+        columns.append(f"IF(row_number() {over([*keys, c], [c])} = 1 AND `{c}` IS NOT NULL, 1, 0) AS `_first_{name}`")
+    distinct = [F.expr(f"count(DISTINCT `{c}`) AS `{n}`") for n, c in list(distinct_counts.items())[:1]]
+    return shuffled.selectExpr(*columns), distinct + [F.expr(f"sum(`_first_{n}`) AS `{n}`") for n in list(distinct_counts)[1:]]
 
 
-def _ends(w) -> list[Column]:
-    return [(F.row_number().over(w) == 1).alias("_first"), F.lead(F.lit(1)).over(w).isNull().alias("_last")]
+def _plain(counts: Mapping[str, str]) -> list[Column]:
+    return [F.expr(f"count(`{c}`) AS `{n}`") for n, c in counts.items()]
 
 
 def _by_window(shuffled, keys, order, carry, measures, counts, distinct_counts) -> DataFrame:
     rows, distinct = _with_neighbours(shuffled, keys, order, carry, distinct_counts)
-    plain = [F.count(c).alias(n) for n, c in counts.items()]
-    agg = rows.groupBy(*keys).agg(*_row_measures(measures, carry), *distinct, *plain)
+    agg = rows.groupBy(*keys).agg(*_row_measures(measures, carry), *distinct, *_plain(counts))
     return agg.select(*keys, *_measure_totals(measures, ["_rows_"]), *distinct_counts, *counts)
 
 
 def _by_blocks(shuffled, large, keys, order, carry, measures, counts, distinct_counts) -> DataFrame:
     rows, distinct = _with_neighbours(shuffled, [*keys, "_block"], order, carry, distinct_counts)
-    plain = [F.count(c).alias(n) for n, c in counts.items()]
-    per_block = rows.groupBy(*keys, "_block").agg(*_row_measures(measures, carry), *_end_values(carry), *distinct, *plain)
+    per_block = rows.groupBy(*keys, "_block").agg(*_row_measures(measures, carry), *_end_values(carry), *distinct, *_plain(counts))
     if distinct_counts:
-        whole = large.groupBy(*keys).agg(*[F.count_distinct(c).alias(f"_whole_{n}") for n, c in distinct_counts.items()])
+        whole = large.groupBy(*keys).agg(*[F.expr(f"count(DISTINCT `{c}`) AS `_whole_{n}`") for n, c in distinct_counts.items()])
         per_block = per_block.unionByName(whole, allowMissingColumns=True)
-    w = Window.partitionBy(*keys).orderBy("_block")
-    return _stitched(per_block, w, keys, carry, measures, counts, distinct_counts)
+    return _stitched(per_block, over(keys, ["_block"]), keys, carry, measures, counts, distinct_counts)
 
 
 def _end_values(carry: Sequence[str]) -> list[Column]:
     """The carried values of the first and of the last row (one row each is flagged)."""
-    heads = [F.max(F.when(F.col("_first"), F.col(c))).alias(f"_head_{c}") for c in carry]
-    return heads + [F.max(F.when(F.col("_last"), F.col(c))).alias(f"_tail_{c}") for c in carry]
+    ends = [F.expr(f"max(IF(_first, `{c}`, NULL)) AS `_head_{c}`") for c in carry]
+    return ends + [F.expr(f"max(IF(_last, `{c}`, NULL)) AS `_tail_{c}`") for c in carry]
 
 
-def _stitched(parts, w, keys, carry, measures, counts, distinct_counts) -> DataFrame:
+def _stitched(parts, w: str, keys, carry, measures, counts, distinct_counts) -> DataFrame:
     """Sums of the consecutive parts of each group, and of the pairs between one part's last row and the next one's first.
 
     The window holds one row per part of a group.
     """
-    rows = parts.select("*", *[F.lag(f"_tail_{c}").over(w).alias(f"_ptail_{c}") for c in carry])
-    prev = {c: F.col(f"_ptail_{c}") for c in carry}
-    head = {c: F.col(f"_head_{c}") for c in carry}
+    rows = parts.selectExpr("*", *[f"lag(`_tail_{c}`) {w} AS `_ptail_{c}`" for c in carry])
+    prev, head = {c: f"`_ptail_{c}`" for c in carry}, {c: f"`_head_{c}`" for c in carry}
     out = rows.groupBy(*keys).agg(
-        *[F.sum(f"_rows_{m.name}").alias(f"_rows_{m.name}") for m in measures],
-        *[F.sum(m.fn(prev, head)).alias(f"_edge_{m.name}") for m in measures],
-        *[F.coalesce(F.max(f"_whole_{n}"), F.sum(n)).alias(n) for n in distinct_counts],
-        *[F.sum(n).alias(n) for n in counts],
+        *[F.expr(f"sum(`_rows_{m.name}`) AS `_rows_{m.name}`") for m in measures],
+        *[F.expr(f"sum({m.fn(prev, head)}) AS `_edge_{m.name}`") for m in measures],
+        *[F.expr(f"coalesce(max(`_whole_{n}`), sum(`{n}`)) AS `{n}`") for n in distinct_counts],
+        *[F.expr(f"sum(`{n}`) AS `{n}`") for n in counts],
     )
     return out.select(*keys, *_measure_totals(measures, ["_rows_", "_edge_"]), *distinct_counts, *counts)
 
@@ -275,4 +273,4 @@ def _by_sorted_slices(shuffled, keys, order, carry, measures) -> DataFrame:
     # group's first and last row in that slice. Slices are consecutive in the
     # range order, at most the partition count of them.
     per_slice = rows.groupBy(*keys, "_slice").agg(*_row_measures(measures, carry), *_end_values(carry))
-    return _stitched(per_slice, Window.partitionBy(*keys).orderBy("_slice"), keys, carry, measures, {}, {})
+    return _stitched(per_slice, over(keys, ["_slice"]), keys, carry, measures, {}, {})

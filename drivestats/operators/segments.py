@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from drivestats.functions.motion import CARRIED, DEFAULT_THRESHOLDS, EventThresholds, distance_measure, event_measures, speed_2dp
 from drivestats.operators.blocks import in_blocks
-from drivestats.operators.pairs import _measure_totals, _row_measures, _stitched, shuffle_width
+from drivestats.operators.pairs import _measure_totals, _row_measures, _stitched, over, shuffle_width
 from drivestats.operators.trips import ACTIVITY_COUNTS, ACTIVITY_DISTINCT, SAMPLE_ORDER, _renamed, bucket_samples, with_bucket_keys
 from drivestats.plans.grains import Grain
 
@@ -82,13 +82,9 @@ def bucket_segments(positions: DataFrame, grain: Grain, thresholds: EventThresho
     return out.withColumns(parts) if parts else out
 
 
-def _by_bucket(keys: Sequence[str]):
-    return Window.partitionBy(*keys).orderBy("first", "last")
-
-
 def overlapping(segments: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The buckets in which a segment begins before an earlier one ends."""
-    before = F.max("last").over(_by_bucket(keys).rowsBetween(Window.unboundedPreceding, -1))
+    before = F.max("last").over(Window.partitionBy(*keys).orderBy("first", "last").rowsBetween(Window.unboundedPreceding, -1))
     return segments.withColumn("_before", before).where(F.col("first") < F.col("_before")).select(*keys).distinct()
 
 
@@ -108,7 +104,7 @@ def merged(segments: DataFrame, grain: Grain, thresholds: EventThresholds = DEFA
     if samples:
         segments = segments.withColumnRenamed("samples", samples)
     parts = segments.select(*keys, "first", "last", *ends, *[f"_rows_{m.name}" for m in measures], *counts)
-    sums = _stitched(parts, _by_bucket(keys), keys, carry, measures, counts, {})
+    sums = _stitched(parts, over(keys, ["first", "last"]), keys, carry, measures, counts, {})
     out = sums
     for (name, _), ids in zip(ACTIVITY_DISTINCT.items(), SETS):
         counted = segments.select(*keys, F.explode(ids).alias("_id")).groupBy(*keys).agg(F.count_distinct("_id").alias(name))
