@@ -8,7 +8,7 @@ the smallest loss over the bits, each bit weighted by how well its classifier
 does on the training texts; a small lead over the second codeword marks the
 text as ambiguous.
 
-Training uses at most about ``max_texts`` texts of each language, chosen by a
+Training uses at most ``max_texts`` texts of each language, chosen by a
 hash of the id. The model has ``2 ** bits`` x codeword-length weights, whatever
 the input.
 
@@ -21,7 +21,6 @@ their names.
 from __future__ import annotations
 
 import itertools
-import re
 from dataclasses import dataclass
 
 import numpy as np
@@ -30,7 +29,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from drivestats.llm.common import hash_fraction, id_remainder, map_arrow, text_chunks
+from drivestats.llm.common import bounded_sample, id_remainder, map_arrow, text_chunks
 from drivestats.llm.ngrams import letter_codes, ngram_buckets, ngram_spans, span_sums, spread
 
 BITS, ORDERS, MAX_TEXTS = 15, (1, 2, 3), 1500
@@ -113,14 +112,11 @@ def _losses(margins: np.ndarray, model: LanguageModel) -> np.ndarray:
 def train(docs: DataFrame, usable: Column, *, max_texts: int = MAX_TEXTS) -> LanguageModel:
     """A model of the non-null languages of the ``usable`` rows of ``docs`` (doc_id, text, lang)."""
     known = docs.where(usable & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    sizes = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}
-    languages = sorted(sizes)
+    languages = sorted(r["lang"] for r in known.select("lang").distinct().collect())
     code = codewords(len(languages))
     if not languages:
         return LanguageModel([], code, np.zeros((1 << BITS, 1), np.float32), np.ones(1))
-    # One threshold for each language, so that about max_texts of it are taken.
-    chosen = [(F.col("lang") == lang) & hash_fraction([F.col("doc_id")], min(1.0, max_texts / n)) for lang, n in sizes.items()]
-    sample = known.where(F.reduce(F.array(*chosen), F.lit(False), lambda a, b: a | b)).select("lang", "text")
+    sample = bounded_sample(known.select("doc_id", "lang", "text"), [F.col("doc_id"), F.col("text")], max_texts, "lang").select("lang", "text")
     rows = map_arrow(sample, _training_counts(languages), "lang long, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
     counts = np.zeros((len(languages), 1 << BITS))
     counts[rows["lang"], rows["bucket"]] = rows["n"]
@@ -162,7 +158,7 @@ def _predictions(model: LanguageModel):
             texts = [t or "" for t in b.column(1).to_pylist()]
             langs, scores, unsure = [], [], []
             for _, chunk in text_chunks(texts, CHUNK_CHARS):
-                some = [re.search(r"[^\W\d_]", t) is not None for t in chunk]
+                some = [any(map(str.isalpha, t)) for t in chunk]
                 if model.languages:
                     losses = _losses(_margins(chunk, model), model)
                     p = np.exp(losses.min(1, keepdims=True) - losses)

@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from drivestats.llm.common import hash_fraction, map_arrow
+from drivestats.llm.common import bounded_sample, map_arrow
 from drivestats.llm.tokens import encoder
 
 MAGIC = b"TOKZ"
@@ -39,13 +39,10 @@ READ_SCHEMA = "doc_id long, start long, n_tokens long, ids_crc32 long"
 
 
 def train_dictionary(docs: DataFrame, tokenizer: str, end_id: int, dictionary_bytes: int, sample_docs: int, sample_chars: int) -> bytes:
-    """A dictionary trained on at most about ``sample_docs`` serialized documents of at most ``sample_chars`` characters."""
+    """A dictionary trained on at most ``sample_docs`` serialized documents of at most ``sample_chars`` characters."""
     import zstandard
 
-    short = docs.select("doc_id", "text").where(F.length("text") <= sample_chars)
-    n = docs.count()
-    if n > sample_docs:
-        short = short.where(hash_fraction([F.col("doc_id")], sample_docs / n))
+    short = bounded_sample(docs.select("doc_id", "text").where(F.length("text") <= sample_chars), [F.col("doc_id"), F.col("text")], sample_docs)
 
     def serialize(batches):
         enc = encoder(tokenizer)

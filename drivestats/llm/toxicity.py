@@ -6,7 +6,7 @@ other training texts it occurs; the most telling ones, by the likelihood ratio
 of their counts, are the features, with the ratio as their value. A logistic
 regression with a quadratic penalty is fitted on them.
 
-Training uses at most about ``max_texts`` labelled texts, chosen by a hash of
+Training uses at most ``max_texts`` labelled texts, chosen by a hash of
 the id; counts are summed on executors, and the driver fits the regression on
 the features of those texts alone. Whole texts are scored.
 
@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from drivestats.llm.common import hash_fraction, id_remainder, map_arrow, text_chunks, written
+from drivestats.llm.common import bounded_sample, id_remainder, map_arrow, text_chunks, written
 from drivestats.llm.ngrams import letter_codes, ngram_buckets, ngram_spans, spread
 
 BITS, ORDERS = 18, (3, 4, 5)
@@ -136,14 +136,16 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column, *, max_texts: int
     """A model of the ``usable`` rows of ``docs`` (doc_id, text) with a label (doc_id, toxic)."""
     marked = labels.where("toxic IN (0, 1)").select(F.col("doc_id").alias("label_id"), F.col("toxic").cast("long").alias("toxic"))
     n = marked.count()
-    if n > max_texts:
-        marked = marked.where(hash_fraction([F.col("label_id")], max_texts / n))
     own = docs.where(usable).select("doc_id", "text")
     if n > max_texts:
-        own = own.where(hash_fraction([F.col("doc_id").cast(labels.schema["doc_id"].dataType)], max_texts / n))
+        # At most max_texts ids; their rows are found by id, and bounded again in case an id has very many.
+        ids = bounded_sample(marked.where("label_id IS NOT NULL").select("label_id"), [F.col("label_id")], max_texts)
+        marked = written(marked.join(F.broadcast(ids), "label_id", "left_semi").distinct(), "toxicity_ids")
+        own = own.join(F.broadcast(marked.select(F.col("label_id").alias("doc_id")).distinct()), "doc_id", "left_semi")
     sample = own.join(marked.distinct(), own["doc_id"] == marked["label_id"]).select("toxic", F.coalesce("text", F.lit("")).alias("text"))
     # Copies of a text with the same label teach no more than one.
     sample = written(sample.dropDuplicates(["toxic", "text"]), "toxicity_sample")
+    sample = bounded_sample(sample, [F.col("toxic"), F.col("text")], max_texts)
     counts = map_arrow(sample, _text_counts, "bucket long, toxic long, other long").groupBy("bucket").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other")).toPandas()
     totals = counts[counts["bucket"] == -1]
     n_p, n_q = float(totals["toxic"].sum()), float(totals["other"].sum())
