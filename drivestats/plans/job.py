@@ -60,7 +60,7 @@ def run(
     spark: SparkSession,
     grain: str | Grain,
     load_type: str,
-    source: str | DataFrame,
+    source: str | Sequence[str] | DataFrame,
     target_path: str,
     database: str | None = None,
     table: str | None = None,
@@ -122,7 +122,7 @@ def run(
         elif late_rows == MERGE and not (last and last.has_state):
             raise ValueError("late_rows='merge' needs the segment state: make a full load with it first")
 
-    source_rows = read_positions(spark, source) if isinstance(source, str) else check_positions(source)
+    source_rows = check_positions(source) if isinstance(source, DataFrame) else read_positions(spark, source)
     read_from = watermark
     if watermark is not None and reprocess_latest:
         read_from = watermark - dt.timedelta(microseconds=1)
@@ -396,7 +396,7 @@ def _ntz(t: dt.datetime) -> Column:
 
 
 def run_full_many(
-    spark: SparkSession, source: str | DataFrame, targets: dict[str, str], sample_seconds: float = 1.0, zone: str = "UTC"
+    spark: SparkSession, source: str | Sequence[str] | DataFrame, targets: dict[str, str], sample_seconds: float = 1.0, zone: str = "UTC"
 ) -> dict[str, RunResult]:
     """Full loads of several grains from one scan and one shuffle of the samples.
 
@@ -405,7 +405,7 @@ def run_full_many(
     as by ``run``, so later incremental runs go on from its mark.
     """
     grains = [as_grain(name) for name in targets]
-    source_rows = read_positions(spark, source) if isinstance(source, str) else check_positions(source)
+    source_rows = check_positions(source) if isinstance(source, DataFrame) else read_positions(spark, source)
     seen = _Seen(grains, source_rows, zone)
     path = work_path(spark, "segments")
     trip_segments(seen.samples).write.parquet(path)

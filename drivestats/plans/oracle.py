@@ -249,6 +249,13 @@ def odd_positions() -> str:
 FROM ({positions_e()})"""
 
 
+def mixed_positions() -> str:
+    """Fixture E as ``positions_mixed_normalized`` spoils it: no vehicle in one folder's older files, whole seconds in the other."""
+    return f"""SELECT trip_id, user_id, CASE WHEN ct % 6 <> 0 THEN vehicle_id END AS vehicle_id,
+       CASE WHEN ct % 3 > 0 THEN CAST(date_trunc('second', ts) AS TIMESTAMP) ELSE ts END AS ts, latitude, longitude, ct, sp
+FROM ({positions_e()})"""
+
+
 def load_control_sql(pos: str) -> str:
     """The steps of ``load_control_daily``: what each run reads, writes and finds."""
     day = "make_timestamp(year, month, day, 0, 0, 0.0)"
@@ -326,13 +333,12 @@ JOIN ({trip_sql(norm_e_null, hourly_keep_null, activity=False, distance=False, e
         "catalog_reload_daily": f"""SELECT DISTINCT 'year=' || year || '/month=' || month || '/day=' || day AS partition
 FROM ({daily_l}) WHERE date <= DATE '{HISTORY_CUTOFF_DAILY[:10]}'""",
         "load_control_daily": load_control_sql(l),
+        "positions_mixed_normalized": _norm(f"({mixed_positions()})"),
         "watermark_ahead_daily": daily_l,
         "late_only_twice_daily": daily_l,
         "rebuild_expired_daily": daily_l,
         "repeated_run_daily": daily_l,
         "several_grains_hourly": hourly_e,
-        "several_grains_daily": daily_e,
-        "several_grains_monthly": stats_sql(e, MONTHLY),
         "several_grains_monthly_calendar": stats_sql(e, MONTHLY_CALENDAR),
         "latest_partition_sql_daily": latest_partition_sql(daily_l, DAILY.parts),
         "positions_odd_normalized": _norm(f"({odd_positions()})"),

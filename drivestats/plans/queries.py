@@ -26,7 +26,7 @@ from drivestats.session import work_path
 from drivestats.sources import gold
 from drivestats.sources.commits import CommitLog
 from drivestats.sources.fixtures import positions_e, positions_l, positions_late, positions_odd
-from drivestats.sources.positions import normalize
+from drivestats.sources.positions import normalize, read_positions
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -209,6 +209,18 @@ def repeated_run_daily(spark: SparkSession, d: str) -> DataFrame:
     return gold.read_gold(spark, path, DAILY.output_schema)
 
 
+def positions_mixed_normalized(spark: SparkSession, d: str) -> DataFrame:
+    """Silver data of several producers: narrower numbers, text ids and times, further and missing columns, read as one table."""
+    root, pos, ct = work_path(spark, "positions_mixed"), positions_e(spark, d), F.col("ct")
+    narrow = pos.where(ct % 3 == 0).withColumns({"user_id": F.col("user_id").cast("int"), "ct": ct.cast("int"), "sp": F.col("sp").cast("double")})
+    narrow.drop("vehicle_id").where(ct % 2 == 0).write.parquet(f"{root}/a/part=1")
+    pos.where((ct % 3 == 0) & (ct % 2 == 1)).withColumn("driver", F.lit("x")).write.parquet(f"{root}/a/part=2")
+    text = {"user_id": F.col("user_id").cast("string"), "ts": F.date_format("ts", "yyyy-MM-dd HH:mm:ss")}
+    pos.where(ct % 3 > 0).withColumns(text).write.parquet(f"{root}/b")
+    out = normalize(read_positions(spark, [f"{root}/a", f"{root}/b"]))
+    return out.withColumn("user_id", F.col("user_id").cast("long"))
+
+
 def several_grains(spark: SparkSession, d: str, name: str) -> DataFrame:
     """The table of one grain out of a full load of all of them from one pass over the samples."""
     root = work_path(spark, "several_grains")
@@ -264,13 +276,12 @@ def registry() -> dict[str, Query]:
         "catalog_after_crash_daily": catalog_after_crash_daily,
         "catalog_reload_daily": catalog_reload_daily,
         "load_control_daily": load_control_daily,
+        "positions_mixed_normalized": positions_mixed_normalized,
         "watermark_ahead_daily": watermark_ahead_daily,
         "late_only_twice_daily": late_only_twice_daily,
         "rebuild_expired_daily": rebuild_expired_daily,
         "repeated_run_daily": repeated_run_daily,
         "several_grains_hourly": lambda s, d: several_grains(s, d, "hourly"),
-        "several_grains_daily": lambda s, d: several_grains(s, d, "daily"),
-        "several_grains_monthly": lambda s, d: several_grains(s, d, "monthly"),
         "several_grains_monthly_calendar": lambda s, d: several_grains(s, d, "monthly_calendar"),
         "latest_partition_sql_daily": lambda s, d: latest_partition_sql(daily_stats(s, d), DAILY.output_parts),
         "positions_odd_normalized": lambda s, d: normalize(positions_odd(s, d)).withColumns(

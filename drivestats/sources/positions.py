@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
+    DataType,
     DoubleType,
     IntegerType,
     LongType,
@@ -67,18 +68,56 @@ def check_positions(df: DataFrame) -> DataFrame:
     return df
 
 
+def _read_declared(spark: SparkSession, path: str) -> DataFrame:
+    """One folder, by the declared schema and not by what one file happens to hold.
+
+    Files may have narrower numbers (int, float), more columns, or lack an
+    id, coordinate or speed column that others have (null there). The ids and
+    ``ts`` take the type they have in the file that Spark looks at. A column
+    that this file lacks has to have a value in some other one.
+    """
+    found = {f.name: f.dataType for f in spark.read.parquet(path).schema.fields}
+    lacking = [c for c in POSITION_COLUMNS if c not in found]
+    declared = [
+        StructField(f.name, _declared_type(f, found[f.name]) if f.name in found else f.dataType)
+        for f in POSITIONS_SCHEMA.fields
+        if f.name in found or f.name in lacking
+    ]
+    df = spark.read.schema(StructType(declared)).parquet(path)
+    absent = [c for c in lacking if df.where(F.col(c).isNotNull()).select(c).isEmpty()]
+    return check_positions(df.drop(*absent))
+
+
+def _declared_type(field: StructField, found: DataType) -> DataType:
+    """The type to read: the widest of the found one's kind; text, times, decimals and other ids as they are."""
+    if field.name in ID_COLUMNS:
+        return LongType() if found.typeName() in ("byte", "short", "integer", "long") else found
+    narrower = {"long": ("byte", "short", "integer"), "integer": ("byte", "short"), "double": ("float",)}
+    return field.dataType if found.typeName() in narrower.get(field.dataType.typeName(), ()) else found
+
+
 def read_positions(
     spark: SparkSession,
-    path: str,
+    path: str | Sequence[str],
     watermark: dt.datetime | None = None,
     source_parts: Sequence[str] = ("year", "month", "day", "hour"),
 ) -> DataFrame:
     """Scan the silver table; with a watermark keep only partitions after it (P3).
 
     The predicate only references partition columns, so on a Hive-partitioned
-    layout it prunes directories before any file is opened.
+    layout it prunes directories before any file is opened. Several folders
+    are read as one table: ids whose type differs between them become text, a
+    ``ts`` that differs becomes ``timestamp_ntz``.
     """
-    df = check_positions(spark.read.parquet(path))
+    tables = [_read_declared(spark, p) for p in ([path] if isinstance(path, str) else path)]
+    for c in ID_COLUMNS:
+        if len({t.schema[c].dataType.simpleString() for t in tables}) > 1:
+            tables = [t.withColumn(c, F.col(c).cast("string")) for t in tables]
+    if len({t.schema["ts"].dataType.simpleString() for t in tables}) > 1:
+        tables = [t.withColumn("ts", normalized_ts("ts", t.schema["ts"].dataType)) for t in tables]
+    df = tables[0]
+    for t in tables[1:]:
+        df = df.unionByName(t, allowMissingColumns=True)
     if watermark is not None:
         df = df.where(partition_after(source_parts, watermark))
     return df

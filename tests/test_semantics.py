@@ -290,3 +290,21 @@ def test_ids_of_any_type(spark):
     assert (r["trip_count"], r["user_count"], r["vehicle_count"]) == (1, 1, 1)
     with pytest.raises(TypeError):
         check_positions(p.withColumn("sp", F.lit("fast")))
+
+
+def test_declared_schema_over_mixed_files(spark, tmp_path):
+    """Files of one folder with narrower numbers, more and missing columns; a misnamed column is an error, not nulls."""
+    from drivestats.sources.positions import read_positions
+
+    root = str(tmp_path / "mixed")
+    full = "'t' AS trip_id, 1L AS user_id, 2L AS vehicle_id, timestamp_ntz'2024-01-01 10:00:00' AS ts, 35.0D AS latitude, 139.0D AS longitude, {} AS ct, {} AS sp"
+    spark.range(1).selectExpr(*full.format("1", "CAST(1.5 AS float)").split(", ")).drop("vehicle_id").coalesce(1).write.parquet(f"{root}/year=2024/month=1/day=1/hour=9")
+    spark.range(1).selectExpr(*full.format("2L", "2.5D").split(", "), "'x' AS driver").write.parquet(f"{root}/year=2024/month=1/day=1/hour=10")
+    spark.range(1).selectExpr(*full.format("3L", "3.5D").split(", ")).withColumn("user_id", F.lit(7)).write.parquet(f"{root}/year=2024/month=1/day=1/hour=11")
+    df = read_positions(spark, root)
+    assert {f.name: f.dataType.simpleString() for f in df.schema}["ct"] == "bigint" and "driver" not in df.columns
+    assert sorted(tuple(r) for r in df.select("ct", "sp", "user_id", "vehicle_id", "hour").collect()) == [(1, 1.5, 1, None, 9), (2, 2.5, 1, 2, 10), (3, 3.5, 7, 2, 11)]
+    bad = str(tmp_path / "bad")
+    spark.range(1).selectExpr(*full.format("1L", "1.5D").split(", ")).withColumnRenamed("sp", "speed").write.parquet(bad)
+    with pytest.raises(ValueError):
+        read_positions(spark, bad)
