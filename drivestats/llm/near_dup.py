@@ -54,7 +54,7 @@ SHORT = 80
 #: Nodes of a bucket, and texts, that a block holds on each side where all remaining pairs are compared.
 BUCKET_BLOCK, TEXT_BLOCK = 1000, 128
 CHUNK_CHARS = 500_000
-MEMBERS = "doc_id long, digest binary, sketch array<bigint>, kmers int, short array<bigint>"
+MEMBERS = "doc_id long, text_hash long, digest binary, sketch array<bigint>, kmers int, short array<bigint>"
 
 
 def kmers(words: np.ndarray, k: int = K) -> np.ndarray:
@@ -106,6 +106,7 @@ def _member_rows(k: int, keep: int, sketches: int):
             for first, chunk in text_chunks(texts, CHUNK_CHARS):
                 h, bounds = word_hashes(chunk)
                 ids, digests, signatures, sizes, short = [], [], [], [], []
+                hashes = b.column(2).slice(first, len(chunk))
                 for doc_id, a, z in zip(doc_ids[first:], bounds[:-1].tolist(), bounds[1:].tolist()):
                     ids.append(doc_id)
                     digests.append(_digest(h[a:z]) if z > a else None)
@@ -117,7 +118,7 @@ def _member_rows(k: int, keep: int, sketches: int):
                     signatures.append(
                         np.concatenate([order_minhash(labelled, seeds[i : i + step], keep) for i in range(0, sketches, step)]).view(np.int64).tolist() if z > a else None
                     )
-                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(digests, pa.binary()), pa.array(signatures, pa.list_(pa.int64())), pa.array(sizes, pa.int32()), pa.array(short, pa.list_(pa.int64()))], ["doc_id", "digest", "sketch", "kmers", "short"])
+                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), hashes, pa.array(digests, pa.binary()), pa.array(signatures, pa.list_(pa.int64())), pa.array(sizes, pa.int32()), pa.array(short, pa.list_(pa.int64()))], ["doc_id", "text_hash", "digest", "sketch", "kmers", "short"])
 
     return make
 
@@ -208,7 +209,7 @@ def _verify_blocks(k: int, threshold: float):
 
 def _same_digest(batches):
     for b in batches:
-        texts = b.column(1).to_pylist()
+        texts = [t or "" for t in b.column(1).to_pylist()]
         same = []
         for first, chunk in text_chunks(texts, CHUNK_CHARS):
             h, bounds = word_hashes(chunk)
@@ -348,8 +349,13 @@ def _prefixes(nodes: DataFrame, band: int, threshold: float) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, *, k: int = K, keep: int = KEEP, sketches: int = SKETCHES, threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, class_id, class_size) for every row of ``docs``; class_size counts documents."""
+    return _classes(docs, k, keep, sketches, threshold).select("doc_id", "class_id", "class_size")
+
+
+def _classes(docs: DataFrame, k: int, keep: int, sketches: int, threshold: float) -> DataFrame:
+    """(doc_id, text_hash, class, class_id, class_size) for every row; ``class`` names the class, null for texts without a word."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    members = written(map_arrow(docs, _member_rows(k, keep, sketches), MEMBERS), "members")
+    members = written(map_arrow(docs.select("doc_id", "text", F.xxhash64("text")), _member_rows(k, keep, sketches), MEMBERS), "members")
     nodes = (
         members.where("digest IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("doc_id"), F.first("sketch").alias("sketch"), F.first("kmers").alias("kmers"), F.first("short").alias("short"), F.count("*").alias("n"))
         .select(F.monotonically_increasing_id().alias("node"), "digest", "doc_id", "sketch", "kmers", "short", "n")
@@ -363,17 +369,27 @@ def near_duplicates(docs: DataFrame, *, k: int = K, keep: int = KEEP, sketches:
     texts = written(map_arrow(texts, _same_digest, "node long, text string, sketch array<bigint>").dropDuplicates(["node"]), "texts")
     roots = _roots(buckets, texts, k, threshold)
     if roots is None:
-        classes = nodes.select("digest", F.col("doc_id").alias("class_id"), F.col("n").alias("class_size"))
+        classes = nodes.select("digest", F.col("node").alias("class"), F.col("doc_id").alias("class_id"), F.col("n").alias("class_size"))
     else:
         rooted = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
         classes = rooted.groupBy("root").agg(F.min("doc_id").alias("class_id"), F.sum("n").alias("class_size"))
-        classes = rooted.select("digest", "root").join(classes, "root").select("digest", "class_id", "class_size")
-    grouped = members.where("digest IS NOT NULL").select("doc_id", "digest").join(classes, "digest").select("doc_id", "class_id", "class_size")
-    return grouped.union(members.where("digest IS NULL").select("doc_id", F.col("doc_id").alias("class_id"), F.lit(1).cast("long").alias("class_size")))
+        classes = rooted.select("digest", "root").join(classes, "root").select("digest", F.col("root").alias("class"), "class_id", "class_size")
+    grouped = members.where("digest IS NOT NULL").select("doc_id", "text_hash", "digest").join(classes, "digest").drop("digest")
+    alone = members.where("digest IS NULL").select("doc_id", "text_hash", F.lit(None).cast("long").alias("class"), F.col("doc_id").alias("class_id"), F.lit(1).cast("long").alias("class_size"))
+    return grouped.unionByName(alone)
 
 
-def keep_one(docs: DataFrame, **parameters) -> DataFrame:
-    """``docs`` with one document of each class, the one with the smallest id; texts without a word all stay."""
-    kept = near_duplicates(docs, **parameters).where("doc_id <=> class_id").select(F.col("doc_id").alias("__kept")).distinct()
-    joined = docs.join(kept, docs["doc_id"].cast("long").eqNullSafe(F.col("__kept")), "left_semi")
+def keep_one(docs: DataFrame, *, k: int = K, keep: int = KEEP, sketches: int = SKETCHES, threshold: float = THRESHOLD) -> DataFrame:
+    """``docs`` with one document of each class; texts without a word all stay.
+
+    It is the one with the smallest id, and of the texts under that id the one
+    with the smallest hash; null ids come last. Rows of one id and text are
+    one document and stay once.
+    """
+    classes = _classes(docs, k, keep, sketches, threshold)
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash")).alias("best")
+    kept = classes.where("class IS NOT NULL").groupBy("class").agg(best).select("best.doc_id", "best.text_hash")
+    kept = kept.union(classes.where("class IS NULL").select("doc_id", "text_hash")).distinct()
+    kept = kept.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"))
+    joined = docs.join(kept, docs["doc_id"].cast("long").eqNullSafe(F.col("__id")) & (F.xxhash64(docs["text"].cast("string")) == F.col("__hash")), "left_semi")
     return joined.dropDuplicates(["doc_id", "text"])

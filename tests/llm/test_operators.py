@@ -117,6 +117,14 @@ def test_near_duplicates_against_brute_force(spark, odd, empty):
     assert near_dup.near_duplicates(empty).count() == 0
 
 
+def test_keep_one_by_row(spark):
+    """An id with two texts keeps the one that is no copy; of a class without ids one text stays; equal rows stay once."""
+    a, b, c = words(1, 60), words(2, 60), words(3, 60)
+    rows = [(3, a), (5, b), (5, a), (None, c), (None, c + " more"), (None, None), (8, b), (8, b), (9, "")]
+    got = near_dup.keep_one(make(spark, rows)).collect()
+    assert sorted(((r.doc_id or 0, r.text or "") for r in got)) == sorted([(3, a), (5, b), (0, next(r.text for r in got if r.doc_id is None and r.text)), (0, ""), (9, "")])
+
+
 @pytest.mark.parametrize(
     "demand, least",
     [({100: 1000}, 100), ({200: 1000}, 200), ({1: 5000}, 5), ({100: 3, 101: 4}, 1), ({1000: 10, 1: 240}, 10), ({600: 30, 100: 120}, 30), ({700: 50, 1: 16200}, 50), ({341: 300, 342: 300}, 225), ({300: 7}, 3)],
