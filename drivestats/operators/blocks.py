@@ -10,13 +10,13 @@ block or ends an earlier one. Rows equal to several cuts may be in any block
 between them, in which their values are the same; they are dealt by input
 split, so that a repeated row does not make a block of its own.
 
-What is broadcast is one cut per ``blockRows`` rows of large groups, and nothing
-where there are none: the adaptive plan then drops the join and its inputs.
+What is broadcast is one row a large group, with one cut per ``blockRows`` rows,
+and nothing where there are none: the adaptive plan then drops the join and its inputs.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -47,13 +47,16 @@ def rows_of_large_groups(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.join(F.broadcast(large), same_key(keys), "left_semi")  # at most rows / blockRows groups
 
 
-def _cuts(large: DataFrame, keys: Sequence[str], order: Sequence[str], n: int) -> DataFrame:
-    """Per large group, its cuts in chunks of about the square root of their number."""
-    tuples = f"sort_array(collect_list({_tuple(order)}))"
-    sampled = large.where(F.rand(17) < PER_CUT / n).groupBy(*keys).agg(F.expr(f"filter({tuples}, (x, i) -> i % {PER_CUT} = {PER_CUT - 1}) AS _s"))
-    chunks = "transform(sequence(0, (size(_s) - 1) div _wide), i -> slice(_s, CAST(i AS INT) * _wide + 1, _wide))"
-    cuts = sampled.where("size(_s) > 0").selectExpr(*renamed_keys(keys), "_s", "CAST(ceil(sqrt(size(_s))) AS INT) AS _wide")
-    cuts = cuts.selectExpr(*[f"`_k_{k}`" for k in keys], "_wide", f"{chunks} AS _chunks")
+def _cuts(large: DataFrame, keys: Sequence[str], order: Sequence[str], n: int, distinct: Mapping[str, str]) -> DataFrame:
+    """Per large group, its cuts in chunks of about the square root of their number, and its distinct counts."""
+    marked = large.withColumn("_pick", F.rand(17) < PER_CUT / n)
+    tuples = f"sort_array(collect_list(IF(_pick, {_tuple(order)}, NULL)))"
+    whole = [f"_whole_{name}" for name in distinct]
+    counted = [F.expr(f"count(DISTINCT `{c}`) AS `_whole_{name}`") for name, c in distinct.items()]
+    cuts = marked.groupBy(*keys).agg(F.expr(f"filter({tuples}, (x, i) -> i % {PER_CUT} = {PER_CUT - 1}) AS _s"), *counted)
+    cuts = cuts.selectExpr(*renamed_keys(keys), *whole, "_s", "CAST(greatest(ceil(sqrt(size(_s))), 1) AS INT) AS _wide")
+    chunks = "IF(size(_s) = 0, array(), transform(sequence(0, greatest(size(_s) - 1, 0) div _wide), i -> slice(_s, CAST(i AS INT) * _wide + 1, _wide)))"
+    cuts = cuts.selectExpr(*[f"`_k_{k}`" for k in keys], *whole, "_wide", f"{chunks} AS _chunks")
     return cuts.selectExpr("*", "transform(_chunks, c -> c[0]) AS _heads")
 
 
@@ -61,11 +64,16 @@ def _tuple(order: Sequence[str]) -> str:
     return f"struct({', '.join(f'`{c}`' for c in order)})"
 
 
-def in_blocks(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """``df`` with ``_block``: 0 in groups that stay whole, else ascending with ``order``."""
-    keys, order, n = list(keys), list(order), block_rows(df)
-    cuts = _cuts(rows_of_large_groups(df.select(*dict.fromkeys([*keys, *order])), keys), keys, order, n)
-    joined = df.join(F.broadcast(cuts), same_key(keys), "left")
+def in_blocks(df: DataFrame, keys: Sequence[str], order: Sequence[str], distinct: Mapping[str, str] | None = None) -> DataFrame:
+    """``df`` with ``_block``: 0 in groups that stay whole, else ascending with ``order``.
+
+    ``distinct`` maps names to columns whose distinct values are counted in the
+    large groups, where blocks can't add them up: ``_whole_<name>``, null in
+    the other groups.
+    """
+    keys, order, n, distinct = list(keys), list(order), block_rows(df), dict(distinct or {})
+    large = rows_of_large_groups(df.select(*dict.fromkeys([*keys, *order, *distinct.values()])), keys)
+    joined = df.join(F.broadcast(_cuts(large, keys, order, n, distinct)), same_key(keys), "left")
     row = _tuple(order)
 
     def cuts_before(op: str) -> str:
@@ -73,5 +81,5 @@ def in_blocks(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataF
         return f"IF({heads} = 0, 0, ({heads} - 1) * _wide + size(filter(element_at(_chunks, greatest({heads}, 1)), x -> x {op} {row})))"
 
     low, high = cuts_before("<"), cuts_before("<=")
-    block = f"CAST(IF(_wide IS NULL, 0, {low} + pmod(xxhash64(spark_partition_id()), {high} - {low} + 1)) AS INT)"
-    return joined.selectExpr(*[f"`{c}`" for c in df.columns], f"{block} AS _block")
+    block = f"CAST(IF(_wide IS NULL OR size(_heads) = 0, 0, {low} + pmod(xxhash64(spark_partition_id()), {high} - {low} + 1)) AS INT)"
+    return joined.selectExpr(*[f"`{c}`" for c in df.columns], *[f"`_whole_{name}`" for name in distinct], f"{block} AS _block")

@@ -50,7 +50,7 @@ from pyspark.sql.types import BooleanType, StructField, StructType
 
 from drivestats.functions.motion import Measure
 from drivestats.operators import _slice_scan
-from drivestats.operators.blocks import in_blocks, rows_of_large_groups
+from drivestats.operators.blocks import in_blocks
 
 # Executors get the helper by value: no need to ship the package to run it.
 cloudpickle.register_pickle_by_value(_slice_scan)
@@ -97,10 +97,10 @@ def shuffle_for_pairs(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
-    strategy: str = "blocks",
+    strategy: str = "sorted",
     companions: Sequence[str] = (),
 ) -> DataFrame:
-    """The one shuffle of the rows that ``ordered_pair_sums`` performs.
+    """The one shuffle of the rows that ``ordered_pair_sums`` performs by slices or windows.
 
     Exposed so that other aggregates over the same rows can be planned on the
     same exchange: identical exchange subtrees are computed once (exchange
@@ -113,8 +113,6 @@ def shuffle_for_pairs(
     if strategy == "sorted":
         last = [c for c in companions if c not in keys and c not in order]
         return df.repartitionByRange(*width, *[F.col(c).asc_nulls_first() for c in [*keys, *order, *last]])
-    if strategy == "blocks":
-        return in_blocks(df, keys, order).repartition(*width, *keys, "_block")
     if strategy == "window":
         return df.repartition(*width, *keys)
     raise ValueError(f"unknown strategy {strategy!r}; expected one of {STRATEGIES}")
@@ -160,12 +158,13 @@ def ordered_pair_sums(
     if missing:
         raise ValueError(f"carried columns must be part of the order key: {missing}")
     companions = [*distinct_counts.values(), *counts.values()]
+    if strategy == "blocks":
+        width = [n] if (n := shuffle_width(df)) else []
+        placed = in_blocks(df, keys, order, distinct_counts).repartition(*width, *keys, "_block")
+        return _by_blocks(placed, keys, order, carry, measures, counts, distinct_counts)
     shuffled = shuffle_for_pairs(df, keys, order, strategy, companions)
     if strategy == "window":
         return _by_window(shuffled, keys, order, carry, measures, counts, distinct_counts)
-    if strategy == "blocks":
-        large = rows_of_large_groups(df, keys)
-        return _by_blocks(shuffled, large, keys, order, carry, measures, counts, distinct_counts)
     out = _by_sorted_slices(shuffled, keys, order, carry, measures)
     if not counts and not distinct_counts:
         return out
@@ -226,12 +225,10 @@ def _by_window(shuffled, keys, order, carry, measures, counts, distinct_counts)
     return agg.select(*keys, *_measure_totals(measures, ["_rows_"]), *distinct_counts, *counts)
 
 
-def _by_blocks(shuffled, large, keys, order, carry, measures, counts, distinct_counts) -> DataFrame:
+def _by_blocks(shuffled, keys, order, carry, measures, counts, distinct_counts) -> DataFrame:
     rows, distinct = _with_neighbours(shuffled, [*keys, "_block"], order, carry, distinct_counts)
-    per_block = rows.groupBy(*keys, "_block").agg(*_row_measures(measures, carry), *_end_values(carry), *distinct, *_plain(counts))
-    if distinct_counts:
-        whole = large.groupBy(*keys).agg(*[F.expr(f"count(DISTINCT `{c}`) AS `_whole_{n}`") for n, c in distinct_counts.items()])
-        per_block = per_block.unionByName(whole, allowMissingColumns=True)
+    whole = [F.expr(f"max(`_whole_{n}`) AS `_whole_{n}`") for n in distinct_counts]
+    per_block = rows.groupBy(*keys, "_block").agg(*_row_measures(measures, carry), *_end_values(carry), *distinct, *whole, *_plain(counts))
     return _stitched(per_block, over(keys, ["_block"]), keys, carry, measures, counts, distinct_counts)
 
 
