@@ -54,36 +54,38 @@ def id_remainder(doc_id: Column, modulus: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % modulus
 
 
-def bounded_sample(df: DataFrame, by: list[Column], most: int, group: str | None = None) -> DataFrame:
-    """At most ``most`` rows of ``df`` (per value of ``group``), those with the smallest 64-bit hashes of ``by``.
+def bounded_sample(df: DataFrame, by: list[Column], most: int, group: str | None = None, counted: DataFrame | None = None) -> DataFrame:
+    """At most ``most`` rows of ``df`` (per value of ``group``), those with the smallest 64-bit hashes of ``by``, as a written table.
 
     Rows equal in ``by`` count once, so neither null ids nor a row that holds
     a third of the table can swell the sample. It is ``most`` rows at any size
     of ``df``, or all distinct ones where there are fewer: a bound on the hash
-    that lets too few through is widened. The driver sees hashes of the sample
-    only, and one row per group.
+    that lets too few through is widened. ``counted`` may stand for ``df``
+    where rows are counted, if that reads fewer columns; it may have more rows.
+    The driver sees hashes of the sample only, and one row per group.
     """
     rows = df.withColumn("__hash", F.xxhash64(*by))
     of = F.col(group) if group else F.lit(0)
-    sizes = {r[0]: r[1] for r in rows.groupBy(of.alias("of")).count().collect()}
-    if not sizes:
-        return df
-    share = {g: min(1.0, 2 * most / n) for g, n in sizes.items()}
+    counted = df if counted is None else counted
+    sizes = {r[0]: r[1] for r in counted.groupBy(of.alias("of")).count().collect()}
 
     def below(bounds: dict) -> Column:
-        # In one pass for all groups; a bound of a group is the largest hash it takes.
+        # One pass for all groups; the bound of a group is the largest hash it takes.
         chosen = [(of.eqNullSafe(F.lit(g))) & (F.col("__hash") <= F.lit(b)) for g, b in bounds.items()]
-        return F.reduce(F.array(*chosen), F.lit(False), lambda a, b: a | b)
+        return F.reduce(F.array(*chosen), F.lit(False), lambda a, b: a | b) if chosen else F.lit(False)
 
-    found: dict = {g: set() for g in sizes}
-    todo = dict(share)
-    while todo:
+    taken, found = None, {g: set() for g in sizes}
+    todo = {g: min(1.0, 2 * most / n) for g, n in sizes.items() if n}
+    while todo or taken is None:
         bounds = {g: min(2**63 - 1, -(2**63) + int(2**64 * s)) for g, s in todo.items()}
-        for g, h in rows.where(below(bounds)).select(of.alias("of"), "__hash").distinct().collect():
+        some = written(rows.where(below(bounds)).dropDuplicates([*([group] if group else []), "__hash"]), "sample")
+        for g, h in some.select(of.alias("of"), "__hash").collect():
             found[g].add(h)
+        taken = some if taken is None else taken.union(some)
         todo = {g: min(1.0, s * 64) for g, s in todo.items() if len(found[g]) < most and s < 1}
     last = {g: sorted(hashes)[:most][-1] for g, hashes in found.items() if hashes}
-    return rows.where(below(last)).dropDuplicates([*([group] if group else []), "__hash"]).drop("__hash")
+    # A wider table holds the rows of a narrower one again.
+    return taken.where(below(last)).dropDuplicates([*([group] if group else []), "__hash"]).drop("__hash")
 
 
 #: Rows that a task turns into Python objects at a time.

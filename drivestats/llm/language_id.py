@@ -112,11 +112,12 @@ def _losses(margins: np.ndarray, model: LanguageModel) -> np.ndarray:
 def train(docs: DataFrame, usable: Column, *, max_texts: int = MAX_TEXTS) -> LanguageModel:
     """A model of the non-null languages of the ``usable`` rows of ``docs`` (doc_id, text, lang)."""
     known = docs.where(usable & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    languages = sorted(r["lang"] for r in known.select("lang").distinct().collect())
+    named = docs.where(usable & F.col("lang").isNotNull()).select("lang")
+    sample = bounded_sample(known.select("doc_id", "lang", "text"), [F.col("doc_id"), F.col("text")], max_texts, "lang", named).select("lang", "text")
+    languages = sorted(r["lang"] for r in sample.select("lang").distinct().collect())
     code = codewords(len(languages))
     if not languages:
         return LanguageModel([], code, np.zeros((1 << BITS, 1), np.float32), np.ones(1))
-    sample = bounded_sample(known.select("doc_id", "lang", "text"), [F.col("doc_id"), F.col("text")], max_texts, "lang").select("lang", "text")
     rows = map_arrow(sample, _training_counts(languages), "lang long, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
     counts = np.zeros((len(languages), 1 << BITS))
     counts[rows["lang"], rows["bucket"]] = rows["n"]

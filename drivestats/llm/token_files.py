@@ -42,7 +42,7 @@ def train_dictionary(docs: DataFrame, tokenizer: str, end_id: int, dictionary_by
     """A dictionary trained on at most ``sample_docs`` serialized documents of at most ``sample_chars`` characters."""
     import zstandard
 
-    short = bounded_sample(docs.select("doc_id", "text").where(F.length("text") <= sample_chars), [F.col("doc_id"), F.col("text")], sample_docs)
+    short = bounded_sample(docs.select("doc_id", "text").where(F.length("text") <= sample_chars), [F.col("doc_id"), F.col("text")], sample_docs, counted=docs.select("doc_id"))
 
     def serialize(batches):
         enc = encoder(tokenizer)
