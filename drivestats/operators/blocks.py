@@ -64,12 +64,12 @@ def _tuple(order: Sequence[str]) -> str:
     return f"struct({', '.join(f'`{c}`' for c in order)})"
 
 
-def in_blocks(df: DataFrame, keys: Sequence[str], order: Sequence[str], distinct: Mapping[str, str] | None = None) -> DataFrame:
+def in_blocks(df: DataFrame, keys: Sequence[str], order: Sequence[str], distinct: Mapping[str, str] | None = None, cut: str | None = None) -> DataFrame:
     """``df`` with ``_block``: 0 in groups that stay whole, else ascending with ``order``.
 
     ``distinct`` maps names to columns whose distinct values are counted in the
     large groups, where blocks can't add them up: ``_whole_<name>``, null in
-    the other groups.
+    the other groups. ``cut`` names a flag for rows of large groups.
     """
     keys, order, n, distinct = list(keys), list(order), block_rows(df), dict(distinct or {})
     large = rows_of_large_groups(df.select(*dict.fromkeys([*keys, *order, *distinct.values()])), keys)
@@ -82,4 +82,4 @@ def in_blocks(df: DataFrame, keys: Sequence[str], order: Sequence[str], distinct
 
     low, high = cuts_before("<"), cuts_before("<=")
     block = f"CAST(IF(_wide IS NULL OR size(_heads) = 0, 0, {low} + pmod(xxhash64(spark_partition_id()), {high} - {low} + 1)) AS INT)"
-    return joined.selectExpr(*[f"`{c}`" for c in df.columns], *[f"`_whole_{name}`" for name in distinct], f"{block} AS _block")
+    return joined.selectExpr(*[f"`{c}`" for c in df.columns], *[f"`_whole_{name}`" for name in distinct], *([f"_wide IS NOT NULL AS `{cut}`"] if cut else []), f"{block} AS _block")

@@ -5,7 +5,10 @@ is a whole bucket in one row, so here the trace is kept as rows: element i of
 the array is the row with ``seq = i`` (1-based), and the array size is the
 bucket's largest ``seq``. Nothing holds a bucket whole:
 
-* ``sorted`` (default): the range exchange cuts a hot bucket into slices. Rows
+* ``blocks`` (default): rows are numbered inside their block (``operators/blocks.py``). Only buckets that were cut
+  have rows before a block; their block sizes, added up in order, complete the positions. That is one row per
+  ``blockRows`` samples of large buckets, which bounds the broadcast; the samples move once, in the JVM.
+* ``sorted``: the range exchange cuts a hot bucket into slices. Rows
   are numbered inside the sorted slice where they are. Only the first bucket of
   a slice can have begun in an earlier one, so one number per slice, the rows
   of that bucket before the slice, completes the positions. These numbers are
@@ -22,7 +25,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, LongType, StructField, StructType
 
 from drivestats.operators import _slice_scan
-from drivestats.operators.pairs import shuffle_for_pairs
+from drivestats.operators.blocks import in_blocks, renamed_keys, same_key
+from drivestats.operators.pairs import over, shuffle_for_pairs, shuffle_width
 from drivestats.operators.trips import bucket_samples, with_bucket_keys
 from drivestats.plans.grains import Grain
 
@@ -30,15 +34,30 @@ TRACE_ORDER = ("ct", "ts", "latitude", "longitude", "sp")
 TRACE_COLUMNS = ("ct", "ts", "latitude", "longitude", "sp")
 
 
-def trace_points(positions: DataFrame, grain: Grain, strategy: str = "sorted") -> DataFrame:
+def trace_points(positions: DataFrame, grain: Grain, strategy: str = "blocks") -> DataFrame:
     """Trip keys, ``seq`` and the sample columns, one row per sample of a complete bucket."""
     keys = list(grain.bucket_keys)
     samples = bucket_samples(positions, grain).select(*keys, *TRACE_COLUMNS)
-    shuffled = shuffle_for_pairs(samples, keys, TRACE_ORDER, strategy)
-    out = _by_window(shuffled, keys) if strategy == "window" else _by_sorted_slices(shuffled, keys)
+    if strategy == "blocks":
+        out = _by_blocks(samples, keys)
+    else:
+        shuffled = shuffle_for_pairs(samples, keys, TRACE_ORDER, strategy)
+        out = _by_window(shuffled, keys) if strategy == "window" else _by_sorted_slices(shuffled, keys)
     return with_bucket_keys(out, grain).select(*grain.trip_keys, "seq", *TRACE_COLUMNS)
 
 
+def _by_blocks(samples: DataFrame, keys: list[str]) -> DataFrame:
+    width = [n] if (n := shuffle_width(samples)) else []
+    shuffled = in_blocks(samples, keys, TRACE_ORDER, cut="_cut").repartition(*width, *keys, "_block")
+    blocks = [*keys, "_block"]
+    rows = shuffled.selectExpr("*", f"row_number() {over(blocks, TRACE_ORDER)} AS _pos")
+    # From the same shuffle: a row's block is not worked out twice.
+    sizes = shuffled.where("_cut").groupBy(*blocks).count()
+    earlier = over(keys, ["_block"]).removesuffix(")") + " ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    offsets = sizes.selectExpr(*renamed_keys(blocks), f"sum(count) {earlier} AS _offset")
+    return rows.join(F.broadcast(offsets), same_key(blocks), "left").selectExpr(*[f"`{c}`" for c in [*keys, *TRACE_COLUMNS]], "coalesce(_offset, 0L) + _pos AS seq")
+
+
 def _by_window(shuffled: DataFrame, keys: list[str]) -> DataFrame:
     order = [F.col(c).asc_nulls_first() for c in TRACE_ORDER]
     return shuffled.withColumn("seq", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)).cast("long"))

@@ -155,10 +155,9 @@ def run(
         log.info("no new source data for %s after %s", g.name, watermark)
 
     if result.wrote:
-        changed = commits.staged(run_no, "rows", f"{g.output_schema}, `{SAMPLES}` BIGINT")
-        result.partitions = sorted(r["path"] for r in partition_paths(changed, g.output_parts).collect())
+        result.partitions = _changed(commits, run_no, g)
     if table and gold.path_exists(spark, target_path):
-        result.table = _register(spark, commits, last, result, g, target_path, database, table)
+        result.table = _register(spark, commits, last, g, target_path, database, table)
     elif last and commits.published(last.run) is None:
         commits.mark_published(last.run, None)
     if result.wrote and load_type == gold.FULL_LOAD:
@@ -192,13 +191,20 @@ def _publish(commits: CommitLog, commit: Commit, g: Grain, target: str) -> None:
         gold.write_partitioned(state, commits.state_path, STATE_PARTS, dynamic)
 
 
-def _register(spark, commits: CommitLog, last: Commit | None, result: RunResult, g: Grain, target: str, database, table) -> str:
-    """S6: the changed partitions if the entry held all others before, else all of the storage."""
+def _changed(commits: CommitLog, run_no: int, g: Grain) -> list[str]:
+    """Paths of the partitions that a run staged: bounded by the calendar."""
+    staged = commits.staged(run_no, "rows", f"{g.output_schema}, `{SAMPLES}` BIGINT")
+    return sorted(r["path"] for r in partition_paths(staged, g.output_parts).collect())
+
+
+def _register(spark, commits: CommitLog, last: Commit | None, g: Grain, target: str, database, table) -> str:
+    """S6: the partitions of the newest run if the entry held all others before, else all of the storage."""
     name = gold.table_name(database, table)
-    known = last is not None and all((commits.published(n) or {}).get("table") == name for n in commits.runs()[-2:] if n < last.run)
+    before = [n for n in commits.runs() if last and n < last.run]
+    known = bool(before) and (commits.published(before[-1]) or {}).get("table") == name
     here = commits.published(last.run) if last else None
-    if known and here is None and result.load_type == gold.INCREMENTAL and len(commits.runs()) > 1 and gold.table_exists(spark, database, table):
-        gold.add_partitions(spark, database, table, result.partitions)
+    if known and here is None and last.load_type == gold.INCREMENTAL and gold.table_exists(spark, database, table):
+        gold.add_partitions(spark, database, table, _changed(commits, last.run, g) if last.has_rows else [])
     elif here is None or here.get("table") != name or not gold.table_exists(spark, database, table):
         gold.register_table(spark, target, database, table, g.output_parts, g.output_schema)
     if last and (here is None or here.get("table") != name):
@@ -426,7 +432,7 @@ def run_full_many(
             _publish(commits, commit, g, target)
             commits.mark_published(run_no, None)
             commits.forget(before=run_no)
-            result.partitions = sorted(r["path"] for r in partition_paths(staged, g.output_parts).collect())
+            result.partitions = _changed(commits, run_no, g)
         out[name] = result
     CommitLog(spark, path).delete(path)
     return out

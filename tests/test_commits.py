@@ -164,6 +164,19 @@ def test_catalog_by_the_change(spark, monkeypatch):
     assert len(repairs) == 2 and spark.table("ds_test.delta_daily").count() == 6
 
 
+def test_partitions_of_a_finished_run_reach_the_catalog(spark, monkeypatch):
+    """The run that finishes another one's publishing, and has nothing new itself, registers what that one wrote."""
+    target, entry = work_path(spark, "finished"), {"database": "ds_test", "table": "finished_daily"}
+    run(spark, DAILY, "FULL_LOAD", source(spark, HISTORY), target, **entry)
+    rows = [*HISTORY, sample(4, 0), sample(5, 0)]
+    with monkeypatch.context() as m:
+        m.setattr(job, "_publish", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError):
+            run(spark, DAILY, "INCREMENTAL", source(spark, rows), target, **entry)
+    assert not run(spark, DAILY, "INCREMENTAL", source(spark, rows), target, **entry).wrote
+    assert spark.table("ds_test.finished_daily").count() == 5
+
+
 def test_newest_partition_lists_one_directory_a_level(spark):
     target = work_path(spark, "newest")
     spark.createDataFrame([(y, m, d, "x") for y in (2022, 2023, 2024) for m in (1, 11, 2) for d in (3, 10)], "year int, month int, day int, t string").write.partitionBy(

@@ -204,6 +204,26 @@ def test_bucket_grain_properties(spark, sf_dir):
     assert hourly[2] >= 1 and daily[2] >= 1
 
 
+@pytest.mark.parametrize("block_rows", [None, "40"])
+def test_trace_points_by_blocks(spark, sf_dir, block_rows):
+    """Whole buckets, and one bucket of most rows with repeated samples, cut into many blocks: numbered as by the window, without Python."""
+    from drivestats.operators.blocks import CONF_BLOCK_ROWS
+    from drivestats.operators.traces import trace_points
+    from drivestats.sources.fixtures import positions_e
+
+    p = normalize(positions_e(spark, sf_dir)).withColumns({"trip_id": F.when(F.col("ct") % 5 != 0, F.lit("hot")), "ct": F.col("ct") % 50})
+    p = p.union(p.where("ct = 7"))
+    want = sorted(map(str, trace_points(p, MONTHLY, strategy="window").collect()))
+    if block_rows:
+        spark.conf.set(CONF_BLOCK_ROWS, block_rows)
+    try:
+        got = trace_points(p, MONTHLY)
+        assert sorted(map(str, got.collect())) == want
+        assert "Python" not in got._jdf.queryExecution().toString() and "InArrow" not in got._jdf.queryExecution().toString()
+    finally:
+        spark.conf.unset(CONF_BLOCK_ROWS)
+
+
 @pytest.mark.parametrize("grain", [DAILY, MONTHLY])
 def test_trace_points_sliced_equals_window(spark, sf_dir, grain):
     """Row-form traces: the hot-bucket plan (forced into many slices) numbers samples exactly as the window."""
