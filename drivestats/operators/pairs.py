@@ -232,6 +232,22 @@ def _by_blocks(shuffled, keys, order, carry, measures, counts, distinct_counts)
     return _stitched(per_block, over(keys, ["_block"]), keys, carry, measures, counts, distinct_counts)
 
 
+def stitched_in_blocks(parts: DataFrame, keys, order, carry, measures, counts) -> DataFrame:
+    """``_stitched`` for groups that may have very many parts: those of a block first, then the blocks of a group."""
+    placed = in_blocks(parts, keys, order)
+    placed = placed.repartition(*keys, "_block")
+    w = over([*keys, "_block"], order)
+    rows = placed.selectExpr("*", *[f"lag(`_tail_{c}`) {w} AS `_ptail_{c}`" for c in carry], f"row_number() {w} = 1 AS _first", f"lead(1) {w} IS NULL AS _last")
+    prev, head = {c: f"`_ptail_{c}`" for c in carry}, {c: f"`_head_{c}`" for c in carry}
+    per_block = rows.groupBy(*keys, "_block").agg(
+        *[F.expr(f"coalesce(sum(`_rows_{m.name}`), 0L) + coalesce(sum({m.fn(prev, head)}), 0L) AS `_rows_{m.name}`") for m in measures],
+        *[F.expr(f"max(IF(_first, `_head_{c}`, NULL)) AS `_head_{c}`") for c in carry],
+        *[F.expr(f"max(IF(_last, `_tail_{c}`, NULL)) AS `_tail_{c}`") for c in carry],
+        *[F.expr(f"sum(`{n}`) AS `{n}`") for n in counts],
+    )
+    return _stitched(per_block, over(keys, ["_block"]), keys, carry, measures, counts, {})
+
+
 def _end_values(carry: Sequence[str]) -> list[Column]:
     """The carried values of the first and of the last row (one row each is flagged)."""
     ends = [F.expr(f"max(IF(_first, `{c}`, NULL)) AS `_head_{c}`") for c in carry]

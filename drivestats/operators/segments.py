@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from drivestats.functions.motion import CARRIED, DEFAULT_THRESHOLDS, EventThresholds, distance_measure, event_measures, speed_2dp
 from drivestats.operators.blocks import in_blocks
-from drivestats.operators.pairs import _measure_totals, _row_measures, _stitched, over, shuffle_width
+from drivestats.operators.pairs import _row_measures, shuffle_width, stitched_in_blocks
 from drivestats.operators.trips import ACTIVITY_COUNTS, ACTIVITY_DISTINCT, SAMPLE_ORDER, _renamed, bucket_samples, with_bucket_keys
 from drivestats.plans.grains import Grain
 
@@ -91,8 +91,9 @@ def overlapping(segments: DataFrame, keys: Sequence[str]) -> DataFrame:
 def merged(segments: DataFrame, grain: Grain, thresholds: EventThresholds = DEFAULT_THRESHOLDS, samples: str | None = None) -> DataFrame:
     """One row per trip bucket of ``grain``, as ``trips.trip_metrics`` has it, from segments that do not overlap.
 
-    The window and the sets' values are rows per segment of a bucket; ids are
-    counted as (bucket, id) pairs, never as one set of a whole bucket.
+    Segments are stitched in blocks, so a bucket of very many of them is not
+    one task's; ids are counted as (bucket, id) pairs, never as one set of a
+    whole bucket.
     """
     keys = list(grain.bucket_keys)
     if not grain.keep_null_trip:
@@ -104,7 +105,7 @@ def merged(segments: DataFrame, grain: Grain, thresholds: EventThresholds = DEFA
     if samples:
         segments = segments.withColumnRenamed("samples", samples)
     parts = segments.select(*keys, "first", "last", *ends, *[f"_rows_{m.name}" for m in measures], *counts)
-    sums = _stitched(parts, over(keys, ["first", "last"]), keys, carry, measures, counts, {})
+    sums = stitched_in_blocks(parts, keys, ["first", "last"], carry, measures, counts)
     out = sums
     for (name, _), ids in zip(ACTIVITY_DISTINCT.items(), SETS):
         counted = segments.select(*keys, F.explode(ids).alias("_id")).groupBy(*keys).agg(F.count_distinct("_id").alias(name))

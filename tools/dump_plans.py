@@ -1,4 +1,4 @@
-"""Print the final (adaptive) physical plans of the flagship query under both strategies.
+"""Print the final (adaptive) physical plans of the flagship query under each strategy.
 
     python tools/dump_plans.py /root/testdata/sf0.01 > /tmp/plans.txt
 """
