@@ -74,18 +74,20 @@ def bounded_sample(df: DataFrame, by: list[Column], most: int, group: str | None
         chosen = [(of.eqNullSafe(F.lit(g))) & (F.col("__hash") <= F.lit(b)) for g, b in bounds.items()]
         return F.reduce(F.array(*chosen), F.lit(False), lambda a, b: a | b) if chosen else F.lit(False)
 
-    taken, found = None, {g: set() for g in sizes}
+    taken, widened, found = None, False, {g: set() for g in sizes}
     todo = {g: min(1.0, 2 * most / n) for g, n in sizes.items() if n}
     while todo or taken is None:
         bounds = {g: min(2**63 - 1, -(2**63) + int(2**64 * s)) for g, s in todo.items()}
         some = written(rows.where(below(bounds)).dropDuplicates([*([group] if group else []), "__hash"]), "sample")
         for g, h in some.select(of.alias("of"), "__hash").collect():
             found[g].add(h)
-        taken = some if taken is None else taken.union(some)
+        taken, widened = (some, False) if taken is None else (taken.union(some), True)
         todo = {g: min(1.0, s * 64) for g, s in todo.items() if len(found[g]) < most and s < 1}
     last = {g: sorted(hashes)[:most][-1] for g, hashes in found.items() if hashes}
-    # A wider table holds the rows of a narrower one again.
-    return taken.where(below(last)).dropDuplicates([*([group] if group else []), "__hash"]).drop("__hash")
+    out = taken.where(below(last))
+    if widened:  # a wider table holds the rows of a narrower one again
+        out = written(out.dropDuplicates([*([group] if group else []), "__hash"]), "sample")
+    return out.drop("__hash")
 
 
 #: Rows that a task turns into Python objects at a time.
