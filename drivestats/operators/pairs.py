@@ -237,8 +237,8 @@ def _by_blocks(shuffled, keys, order, carry, measures, counts, distinct_counts)
 
 def stitched_in_blocks(parts: DataFrame, keys, order, carry, measures, counts) -> DataFrame:
     """``_stitched`` for groups that may have very many parts: those of a block first, then the blocks of a group."""
-    placed = in_blocks(parts, keys, order)
-    placed = placed.repartition(*keys, "_block")
+    width = [n] if (n := shuffle_width(parts)) else []
+    placed = in_blocks(parts, keys, order).repartition(*width, *keys, "_block")
     w = over([*keys, "_block"], order)
     rows = placed.selectExpr("*", *[f"lag(`_tail_{c}`) {w} AS `_ptail_{c}`" for c in carry], f"row_number() {w} = 1 AS _first", f"lead(1) {w} IS NULL AS _last")
     prev, head = {c: f"`_ptail_{c}`" for c in carry}, {c: f"`_head_{c}`" for c in carry}

@@ -50,17 +50,19 @@ def _segments(samples: DataFrame, keys: Sequence[str], split_on: Sequence[str],
     n = shuffle_width(samples)
     placed = in_blocks(samples, keys, SAMPLE_ORDER).repartition(*([n] if n else []), *keys, "_block")
     w = Window.partitionBy(*keys, "_block").orderBy(*[F.col(c).asc_nulls_first() for c in SAMPLE_ORDER])
-    new = F.row_number().over(w) == 1
+    new, ends = F.row_number().over(w) == 1, F.lead(F.lit(1)).over(w).isNull()
     for c in split_on:
         new = new | ~F.col(c).eqNullSafe(F.lag(c).over(w))
+        ends = ends | ~F.col(c).eqNullSafe(F.lead(c).over(w))
     if at_gaps:
         new = new | F.coalesce(F.col("ct") > F.lag("ct").over(w) + 1, F.lit(True))
-    rows = placed.select("*", *[F.lag(c).over(w).alias(f"prev_{c}") for c in CARRIED], new.cast("int").alias("_new"))
-    rows = rows.withColumn("_segment", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+        ends = ends | F.coalesce(F.lead("ct").over(w) > F.col("ct") + 1, F.lit(True))
+    rows = placed.select("*", *[F.lag(c).over(w).alias(f"prev_{c}") for c in CARRIED], new.cast("int").alias("_new"), (new & ends).alias("_alone"))
     # The pair that leads into a segment is not of it.
     for c in CARRIED:
         rows = rows.withColumn(f"prev_{c}", F.when(F.col("_new") == 0, F.col(f"prev_{c}")))
-    return rows.groupBy(*keys, *split_on, "_block", "_segment").agg(
+    runs = rows.where("NOT _alone").withColumn("_segment", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    runs = runs.groupBy(*keys, *split_on, "_block", "_segment").agg(
         F.min(_ordered("first")).alias("first"),
         F.max(_ordered("last")).alias("last"),
         *_row_measures(_measures(thresholds), CARRIED),
@@ -68,6 +70,19 @@ def _segments(samples: DataFrame, keys: Sequence[str], split_on: Sequence[str],
         F.count(F.lit(1)).alias("samples"),
         *[F.collect_set(c).alias(n) for n, c in SETS.items()],
     ).drop("_block", "_segment")
+    # A sample that is a segment by itself has nothing to add up, and needs no place in a hash table of sets.
+    pair = {c: f"`prev_{c}`" for c in CARRIED}, {c: f"`{c}`" for c in CARRIED}
+    alone = rows.where("_alone").select(
+        *keys,
+        *split_on,
+        _ordered("first"),
+        _ordered("last"),
+        *[F.expr(f"CAST({m.fn(*pair)} AS BIGINT) AS `_rows_{m.name}`") for m in _measures(thresholds)],
+        *[F.col(c).isNotNull().cast("long").alias(n) for n, c in ACTIVITY_COUNTS.items()],
+        F.lit(1).cast("long").alias("samples"),
+        *[F.array_compact(F.array(c)).alias(n) for n, c in SETS.items()],
+    )
+    return runs.unionByName(alone)
 
 
 def trip_segments(positions: DataFrame, thresholds: EventThresholds = DEFAULT_THRESHOLDS) -> DataFrame:
@@ -83,9 +98,12 @@ def bucket_segments(positions: DataFrame, grain: Grain, thresholds: EventThresho
 
 
 def overlapping(segments: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The buckets in which a segment begins before an earlier one ends."""
-    before = F.max("last").over(Window.partitionBy(*keys).orderBy("first", "last").rowsBetween(Window.unboundedPreceding, -1))
-    return segments.withColumn("_before", before).where(F.col("first") < F.col("_before")).select(*keys).distinct()
+    """The buckets in which a segment begins before an earlier one ends: then one begins before its predecessor ends."""
+    before = F.lag("last").over(Window.partitionBy(*keys).orderBy("first", "last"))
+    ends = segments.select(*keys, "first", "last")
+    if n := shuffle_width(segments):
+        ends = ends.repartition(n, *keys)
+    return ends.withColumn("_before", before).where(F.col("first") < F.col("_before")).select(*keys).distinct()
 
 
 def merged(segments: DataFrame, grain: Grain, thresholds: EventThresholds = DEFAULT_THRESHOLDS, samples: str | None = None) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from drivestats.functions.motion import DEFAULT_THRESHOLDS, EventThresholds
 from drivestats.functions.timeparts import PARTITION_PARTS, in_partitions, partition_after, partition_start
+from drivestats.operators.pairs import shuffle_width
 from drivestats.operators.partitions import has_new_data, partition_paths
 from drivestats.operators.segments import bucket_segments, merged, overlapping, trip_segments
 from drivestats.operators.trips import complete_key
@@ -188,7 +189,7 @@ def _publish(commits: CommitLog, commit: Commit, g: Grain, target: str) -> None:
         gold.write_stats(rows, target, g.output_parts, commit.load_type, dynamic_overwrite=dynamic)
     if commit.has_state and commit.has_rows:
         state = commits.staged(commit.run, "state")
-        gold.write_partitioned(state, commits.state_path, STATE_PARTS, dynamic)
+        gold.write_partitioned(state, commits.state_path, STATE_PARTS, dynamic, [*g.bucket_keys, "first"], shuffle_width(state))
 
 
 def _changed(commits: CommitLog, run_no: int, g: Grain) -> list[str]:

@@ -89,14 +89,23 @@ def write_stats(
     _write(df, path, parts, mode, dynamic_overwrite)
 
 
-def write_partitioned(df: DataFrame, path: str, parts: Sequence[str], dynamic: bool) -> None:
-    """The whole of ``path``, or with ``dynamic`` the partitions present in ``df``, replaced by ``df``."""
-    _write(df, path, parts, "overwrite", dynamic)
+def write_partitioned(df: DataFrame, path: str, parts: Sequence[str], dynamic: bool, order: Sequence[str], width: int | None) -> None:
+    """The whole of ``path``, or with ``dynamic`` the partitions present in ``df``, replaced by ``df``.
+
+    ``df`` has many rows a partition: ranges of ``parts`` and ``order`` cut large partitions and
+    put small ones together, with about a file for each partition and each task.
+    """
+    ranged = df.repartitionByRange(*([width] if width else []), *parts, *[c for c in order if c not in parts])
+    _save(ranged, path, parts, "overwrite", dynamic)
 
 
 def _write(df: DataFrame, path: str, parts: Sequence[str], mode: str, dynamic: bool) -> None:
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    writer = df.repartition(n, *parts).write.mode(mode).partitionBy(*parts)
+    _save(df.repartition(n, *parts), path, parts, mode, dynamic)
+
+
+def _save(df: DataFrame, path: str, parts: Sequence[str], mode: str, dynamic: bool) -> None:
+    writer = df.write.mode(mode).partitionBy(*parts)
     # Said each time: a session default of "dynamic" would leave old partitions behind a full load.
     writer.option("partitionOverwriteMode", "dynamic" if dynamic else "static").parquet(path)
 

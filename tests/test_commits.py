@@ -265,3 +265,43 @@ def test_several_grains_from_one_scan(spark, sf_dir):
     same_rows(gold.read_gold(spark, f"{root}/monthly"), build_stats(pos, MONTHLY))
     # Later runs go on from its mark.
     assert not run(spark, HOURLY, "INCREMENTAL", pos, f"{root}/hourly").wrote
+
+
+def test_lone_samples_are_not_aggregated(spark):
+    """A sample between two gaps is a segment as it is; only longer ones reach the aggregation of sets."""
+    rows = [("t", 1, 2, "2024-01-01 00:00:01", 35.0, 139.0, ct, 5.0, 2024, 1, 1, 0) for ct in (1, 3, 4, 9)]
+    rows += [("t", None, 2, "2024-01-01 00:00:01", None, 139.0, None, None, 2024, 1, 1, 0)] * 2
+    columns = "trip_id string, user_id long, vehicle_id long, ts string, latitude double, longitude double, ct long, sp double, year int, month int, day int, hour int"
+    out = bucket_segments(normalize(spark.createDataFrame(rows, columns)), DAILY)
+    got = sorted(
+        (r["first"]["ct"] or 0, r["last"]["ct"] or 0, r["samples"], r["total_driving_time"], r["size_of_latitude"], r["users"], r["vehicles"], r["_rows_distance_um"], r["_rows_acceleration_count"])
+        for r in out.collect()
+    )
+    none = (0, 0, 1, 0, 0, [], [2], None, 0)
+    assert got == [none, none, (1, 1, 1, 1, 1, [1], [2], None, 0), (3, 4, 2, 2, 2, [1], [2], 0, 0), (9, 9, 1, 1, 1, [1], [2], None, 0)]
+    assert out._jdf.queryExecution().optimizedPlan().toString().startswith("Union")
+
+
+def test_state_shuffles_follow_the_width(spark, tmp_path):
+    """The state of one month is written by several tasks, and its segments are sorted in as many as the input asks for."""
+    from drivestats.operators.pairs import CONF_PARTITIONS
+    from drivestats.sources.gold import write_partitioned
+
+    path = str(tmp_path / "state")
+    df = spark.range(1000).selectExpr("2024 AS year", "1 AS month", "id")
+    write_partitioned(df, path, ["year", "month"], False, ["id"], 4)
+    back = spark.read.parquet(path)
+    assert len(back.inputFiles()) == 4
+    assert back.select("id").distinct().count() == 1000
+    columns = "trip_id string, user_id long, vehicle_id long, ts string, latitude double, longitude double, ct long, sp double, year int, month int, day int, hour int"
+    rows = [("t", 1, 2, "2024-01-01 00:00:01", 35.0, 139.0, ct, 5.0, 2024, 1, 1, 0) for ct in (1, 3, 4, 9)]
+    segments = str(tmp_path / "segments")
+    bucket_segments(normalize(spark.createDataFrame(rows, columns)), DAILY).write.parquet(segments)
+    segments = spark.read.parquet(segments)
+    keys = list(dict.fromkeys([*DAILY.output_parts, *DAILY.bucket_keys]))
+    try:
+        spark.conf.set(CONF_PARTITIONS, "7")
+        for out in (overlapping(segments, keys), merged(segments, DAILY)):
+            assert "7), REPARTITION_BY_NUM" in out._jdf.queryExecution().toString()
+    finally:
+        spark.conf.unset(CONF_PARTITIONS)
