@@ -61,7 +61,7 @@ STRATEGIES = ("blocks", "sorted", "window")
 # A sample of some 20 bytes in a file is about 1,000 in the sorts and the hash table of a task.
 CONF_PARTITIONS = "spark.drivestats.pairPartitions"
 CONF_BYTES_PER_TASK = "spark.drivestats.bytesPerTask"
-DEFAULT_BYTES_PER_TASK = 8 * 1024 * 1024
+DEFAULT_BYTES_PER_TASK = 2 * 1024 * 1024
 
 
 def shuffle_width(df: DataFrame) -> int | None:

@@ -8,6 +8,10 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+# Input bytes of one scan task. Above 200 partitions a shuffle sorts what a task sends in memory, some 180 bytes
+# for a sample that has 12 in its file: the task that sends must be small as well, not only the one that receives.
+CONF_SPLIT_BYTES = "spark.sql.files.maxPartitionBytes"
+
 # Settings the plans assume. AQE re-plans shuffles at runtime (partition
 # coalescing, skew splits); the session time zone is pinned so no date or hour
 # depends on where the driver runs.
@@ -17,6 +21,7 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
+    CONF_SPLIT_BYTES: str(16 * 1024 * 1024),
 }
 
 

@@ -151,6 +151,28 @@ def test_shuffle_width_above_running_tasks(spark, tmp_path):
         spark.conf.unset(CONF_BYTES_PER_TASK)
 
 
+def test_small_tasks_on_both_sides_of_the_sample_shuffle(spark, tmp_path, sf_dir):
+    """9 MB of samples are more than four tasks' worth, and the registered statistics read small splits; the training-data operators don't."""
+    import __spark_entry__ as entry
+    from drivestats.operators.pairs import shuffle_width
+    from drivestats.session import CONF_SPLIT_BYTES
+
+    path = str(tmp_path / "samples")
+    spark.range(0, 1_200_000, 1, 1).select(F.rand(3).alias("s")).write.parquet(path)
+    assert 4 < shuffle_width(spark.read.parquet(path)) < 10
+    before = spark.conf.get(CONF_SPLIT_BYTES)
+    try:
+        spark.conf.unset(CONF_SPLIT_BYTES)
+        own = spark.conf.get(CONF_SPLIT_BYTES)
+        queries = entry.queries()
+        queries["daily_stats"](spark, sf_dir)
+        assert int(spark.conf.get(CONF_SPLIT_BYTES)) <= 16 * 1024 * 1024
+        queries["op3_quality"](spark, sf_dir)
+        assert spark.conf.get(CONF_SPLIT_BYTES) == own
+    finally:
+        spark.conf.set(CONF_SPLIT_BYTES, before)
+
+
 def test_shuffle_width(spark, tmp_path):
     """Width from the settings or from file sizes the planner knows, never from a job or a cap."""
     from drivestats.operators.pairs import CONF_BYTES_PER_TASK, CONF_PARTITIONS, shuffle_width
