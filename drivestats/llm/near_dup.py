@@ -15,10 +15,10 @@ compared with a leader of the bucket first: in the buckets of a few sketches,
 which brings most copies into one class, then in all that still hold several
 classes. The leader is of the largest class there, the node that linked with
 most of what it met so far. Then all nodes of different classes that agree on
-enough sketches are compared, in blocks of bounded size, so classes are the
+enough sketches, and share enough k-mers by where they first meet to reach the
+threshold, are compared, in blocks of bounded size, so classes are the
 connected components of all links between candidates, whatever else the table
-holds. There is no cap on buckets or partners; what the leaders leave apart
-costs a comparison for each candidate pair (figures in the README).
+holds. There is no cap on buckets or partners (figures in the README).
 
 A link is a similarity of at least ``threshold``: of the k-mers of both
 texts, the share that a longest common subsequence aligns, matched / (a + b -
@@ -123,6 +123,17 @@ def _member_rows(k: int, keep: int, sketches: int):
     return make
 
 
+def _labelled_rows(k: int):
+    def make(batches):
+        for b in batches:
+            for first, chunk in text_chunks(b.column(2).to_pylist(), CHUNK_CHARS):
+                h, bounds = word_hashes(chunk)
+                out = [occurrence_labelled(kmers(h[a:z], k)).view(np.int64) for a, z in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(first, len(chunk)), b.column(1).slice(first, len(chunk)), pa.array(out, pa.list_(pa.int64()))], ["node", "root", "labelled"])
+
+    return make
+
+
 def aligned(a: np.ndarray, b: np.ndarray, band: int) -> int:
     """Length of the longest common subsequence whose matches lie at most ``band`` off the diagonal (bit-parallel)."""
     n = min(len(a), len(b))
@@ -292,7 +303,7 @@ def _roots(buckets: DataFrame, texts: DataFrame, k: int, threshold: float) -> Da
         led = classes_of(named).groupBy("bucket").agg(F.max(F.struct("n", "score", "leader", "root")).alias("of"), F.count("*").alias("classes")).where("classes > 1")
         compare(named, led.select("bucket", "of.leader", F.col("of.root").alias("own")))
     # All that are still of different classes, each pair once.
-    pairs = written(_candidates(rooted(everything), threshold), "pairs")
+    pairs = written(_candidates(rooted(everything), texts, k, threshold), "pairs")
     n = pairs.select(F.explode(F.array("node", "leader")).alias("node")).distinct().count()
     if not n:
         return roots
@@ -301,24 +312,53 @@ def _roots(buckets: DataFrame, texts: DataFrame, k: int, threshold: float) -> Da
     return roots if links.isEmpty() else components(links)
 
 
-def _candidates(named: DataFrame, threshold: float) -> DataFrame:
-    """(node, root, leader, other_root): pairs of different roots that agree on enough sketches, or meet in a prefix, and are near enough in length.
+def _candidates(named: DataFrame, texts: DataFrame, k: int, threshold: float) -> DataFrame:
+    """(node, root, leader, other_root): pairs of different roots that agree on enough sketches, or are both short, and can reach the threshold.
 
-    Large buckets are cut into blocks, and each pair of blocks is joined by itself.
+    A pair at the threshold has so many labelled k-mers in common that it
+    meets, in any order that is the same for all texts, early in both
+    (``_met``). Pairs that can't link then cost nothing, in groups of near
+    copies as well, where a text with several edits of its own agrees on
+    sketches with all others.
     """
-    mixed = named.groupBy("bucket").agg(F.min("root").alias("a"), F.max("root").alias("b"), F.ceil(F.count("*") / BUCKET_BLOCK).alias("blocks")).where("a < b").drop("a", "b")
-    held = named.join(mixed, "bucket").select("bucket", "node", "root", "kmers", "weight", "blocks", F.pmod(F.xxhash64("node"), F.col("blocks")).alias("block"))
-    held = written(held, "mixed")
-    a = held.select("bucket", "node", "root", "kmers", "weight", F.col("block").alias("i"), F.explode(F.expr("sequence(block, blocks - 1)")).alias("j"))
-    b = held.select(
-        "bucket", F.col("node").alias("leader"), F.col("root").alias("other_root"), F.col("kmers").alias("other_kmers"), F.col("block").alias("j"), F.explode(F.expr("sequence(0L, block)")).alias("i")
-    )
-    near = F.least("kmers", "other_kmers") >= F.lit(threshold) * F.greatest("kmers", "other_kmers") - 1e-6
-    pairs = a.join(b, ["bucket", "i", "j"]).where((F.col("root") != F.col("other_root")) & near & F.expr("i < j OR node < leader"))
-    # A pair meets in the order of its blocks, which differs between buckets.
+    mixed = named.groupBy("bucket").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a < b").select("bucket")
+    held = named.join(mixed, "bucket").groupBy("node", "root").agg(F.sum("weight").alias("agreed")).where(F.col("agreed") >= AGREED).select("node", "root")
+    rows = map_arrow(held.join(texts, "node").select("node", "root", "text"), _labelled_rows(k), "node long, root long, labelled array<bigint>")
+    pairs = _met(written(rows, "labelled"), threshold)
+    # The sketches decide, as in the rounds before.
+    sketch, other = texts.select("node", "sketch"), texts.select(F.col("node").alias("leader"), F.col("sketch").alias("other_sketch"))
+    agreed = F.size(F.filter(F.zip_with("sketch", "other_sketch", lambda a, b: a == b), lambda e: e)) >= AGREED
+    return pairs.join(other, "leader").join(sketch, "node").where(F.col("short") | agreed).select("node", "root", "leader", "other_root")
+
+
+def _met(labelled: DataFrame, threshold: float) -> DataFrame:
+    """(node, root, leader, other_root, short): the pairs of different roots that share enough of ``labelled`` (node, root, labelled) by where they first meet.
+
+    k-mers are ordered by the number of texts that hold them, those of one
+    class first. If the first one that two texts share is at place p of n and
+    q of m, they share at most min(n - p, m - q). Common k-mers are cut into
+    blocks, and each pair of blocks is joined by itself.
+    """
+    own = labelled.select("node", "root", F.size("labelled").alias("kmers"), F.explode("labelled").alias("bucket"))
+    counts = own.groupBy("bucket").agg((F.min("root") < F.max("root")).alias("shared"), F.count("*").alias("texts"))
+    ranked = own.join(counts, "bucket").groupBy("node", "root", "kmers").agg(F.sort_array(F.collect_list(F.struct("shared", "texts", "bucket"))).alias("ranked"))
+    first = ranked.select("node", "root", "kmers", F.posexplode(F.slice("ranked", F.lit(1), F.col("kmers") - F.ceil(threshold * F.col("kmers") - 1e-9).cast("int") + 1)).alias("place", "of"))
+    first = written(first.where("of.shared").select("node", "root", "kmers", "place", F.col("of.bucket").alias("bucket")), "first")
+    # Both ends and the blocks from what the prefixes hold: a k-mer that is early in one class only makes no pair.
+    early = first.groupBy("bucket").agg(F.min("root").alias("a"), F.max("root").alias("b"), F.ceil(F.count("*") / BUCKET_BLOCK).alias("blocks")).where("a < b").drop("a", "b")
+    rows = first.join(early, "bucket").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
+    a = rows.select("bucket", "node", "root", "kmers", "place", F.col("block").alias("i"), F.explode(F.expr("sequence(block, blocks - 1)")).alias("j"))
+    b = rows.select(
+        "bucket", F.col("node").alias("leader"), F.col("root").alias("other_root"), F.col("kmers").alias("other_kmers"), F.col("place").alias("other_place"),
+        F.col("block").alias("j"), F.explode(F.expr("sequence(0L, block)")).alias("i"),
+    )
+    enough = F.least(F.col("kmers") - F.col("place"), F.col("other_kmers") - F.col("other_place")) >= F.lit(threshold / (1 + threshold)) * (F.col("kmers") + F.col("other_kmers")) - 1e-6
+    pairs = a.join(b, ["bucket", "i", "j"]).where((F.col("root") != F.col("other_root")) & enough & F.expr("i < j OR node < leader"))
+    # A pair meets in the order of its blocks, which differs between k-mers.
     swap = "node > leader"
-    pairs = pairs.selectExpr("least(node, leader) AS node", f"IF({swap}, other_root, root) AS root", "greatest(node, leader) AS leader", f"IF({swap}, root, other_root) AS other_root", "weight")
-    return pairs.groupBy("node", "root", "leader", "other_root").agg(F.sum("weight").alias("agreed")).where(F.col("agreed") >= AGREED).drop("agreed")
+    return pairs.selectExpr(
+        "least(node, leader) AS node", f"IF({swap}, other_root, root) AS root", "greatest(node, leader) AS leader", f"IF({swap}, root, other_root) AS other_root", f"greatest(kmers, other_kmers) <= {SHORT} AS short"
+    ).distinct()
 
 
 def _linked(pairs: DataFrame, text: DataFrame, blocks: int, k: int, threshold: float) -> DataFrame:

@@ -166,6 +166,46 @@ def test_near_duplicates_of_few_links(spark):
     assert {r.doc_id: r.class_id for r in near_dup.near_duplicates(make(spark, rows)).collect()} == want
 
 
+def test_near_duplicates_compare_no_pairs_that_cannot_link(spark, monkeypatch):
+    # Copies with four words of their own each agree on sketches, but no two can reach the threshold; the others of the group can.
+    rows, rng, base = [], random.Random(7), words(7, 150).split()
+    for i in range(80):
+        edited = list(base)
+        for place in rng.sample(range(10, 140, 10), 4 if i < 60 else 2):
+            edited[place] = f"own{i}x{place}"
+        rows.append((i, " ".join(edited)))
+    compared, keep = [], near_dup.written
+
+    def spy(df, name):
+        out = keep(df, name)
+        if name == "pairs":
+            compared.append(out.count())
+        return out
+
+    monkeypatch.setattr(near_dup, "written", spy)
+    got = {r.doc_id: r.class_id for r in near_dup.near_duplicates(make(spark, rows)).collect()}
+    assert got == all_pairs_classes(rows)
+    assert compared and max(compared) < len(rows)
+
+
+def test_pairs_by_where_they_meet(spark):
+    """Every pair that shares enough k-mers is found, whatever the order, and each once."""
+    rng = random.Random(11)
+    sets = {n: rng.sample(range(60), rng.randint(1, 40)) for n in range(150)}
+    for n in range(150, 300):
+        of = list(sets[n - 150])
+        sets[n] = list(dict.fromkeys([*of[: len(of) - rng.randint(0, 2)], 100 + n]))
+    df = spark.createDataFrame([(n, n // 3, s) for n, s in sets.items()], "node long, root long, labelled array<bigint>")
+    got = [(r.node, r.leader) for r in near_dup._met(df, 0.8).collect()]
+    want = set()
+    for b in sets:
+        for a in range(b):
+            common = len(set(sets[a]) & set(sets[b]))
+            if a // 3 != b // 3 and common / (len(sets[a]) + len(sets[b]) - common) >= 0.8:
+                want.add((a, b))
+    assert want and want <= set(got) and len(got) == len(set(got))
+
+
 def test_near_duplicates_of_short_texts(spark):
     # A word more or less at the end, and one changed near the end: pairs at or just over the threshold.
     rows = []
