@@ -19,28 +19,34 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 #: Shuffle files of a query go when it ends, not when the driver happens to collect its garbage.
 SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Rows that the JVM hands to a Python worker at once; both hold them outside the heap.
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
-def written_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+def written_at(df: DataFrame, name: str, batch_rows: int | None = None) -> tuple[DataFrame, str]:
     """``df`` written as Parquet in the shared checkpoint folder and read back, and where that is.
 
     Cuts the lineage: what follows reads files that every executor can reach,
     so a lost executor costs no recomputation of what came before. Nothing
     reads the shuffles of the write again, so their files go with it.
+    ``batch_rows`` is the number of rows that Python workers get at once.
     """
     spark = df.sparkSession
-    path, before = work_path(spark, name), spark.conf.get(SHUFFLE_CLEANUP, "false")
-    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    settings = {SHUFFLE_CLEANUP: "true"} | ({ARROW_ROWS: str(batch_rows)} if batch_rows else {})
+    path, before = work_path(spark, name), {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
     try:
-        df.select("*").write.parquet(path)  # a new frame: the setting holds for frames made under it
+        df.select("*").write.parquet(path)  # a new frame: the settings hold for frames made under them
     finally:
-        spark.conf.set(SHUFFLE_CLEANUP, before)
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
     return spark.read.schema(df.schema).parquet(path), path
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, batch_rows: int | None = None) -> DataFrame:
     """``written_at`` without the path, for tables that stay until the folder is cleared."""
-    return written_at(df, name)[0]
+    return written_at(df, name, batch_rows)[0]
 
 
 def removed(spark: SparkSession, path: str) -> None:

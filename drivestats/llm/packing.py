@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from drivestats.llm.common import map_arrow, written
+from drivestats.llm.common import BATCH_ROWS, map_arrow, written
 from drivestats.llm.tokens import encoder
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, part int, rank long"
@@ -220,7 +220,8 @@ def _placer(plan: Plan, capacity: int, full: int):
 
 def pack(docs: DataFrame, tokenizer: str, *, capacity: int = 1024, end_id: int = 2, **solver) -> DataFrame:
     """One row per piece of ``docs`` (doc_id, text) with its sequence and its offset there."""
-    pieces = written(map_arrow(docs.select("doc_id", "text"), _pieces(tokenizer, end_id, capacity), PIECES), "pieces")
+    cut = map_arrow(docs.select("doc_id", "text"), _pieces(tokenizer, end_id, capacity), PIECES)
+    pieces = written(cut, "pieces", batch_rows=BATCH_ROWS)
     counts = pieces.groupBy("part", "length").agg((F.max("rank") + 1).alias("n"))
     histogram = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}
     full = histogram.pop(capacity, 0)

@@ -23,8 +23,11 @@ STABLE_BELOW = 0x530
 # The pre-tokenizer's contractions, after an apostrophe.
 CONTRACTIONS = ("s", "t", "m", "d", "re", "ve", "ll")
 LETTER, NUMBER, SPACE, OTHER = 0, 1, 2, 3
-CHUNK_CHARS = 1_500_000
-CACHE_PIECES = 3_000_000
+# A chunk's arrays take some 100 bytes a character, the cache some 50 a piece: two workers stand beside an executor's heap.
+CHUNK_CHARS = 800_000
+# The library's own object for a token takes some 100 bytes until the ids are read from it.
+WHOLE_CHARS = 100_000
+CACHE_PIECES = 1_000_000
 
 
 def _classes() -> np.ndarray:
@@ -73,6 +76,13 @@ def piece_spans(cp: np.ndarray, text_starts: np.ndarray, classes: np.ndarray) ->
     return starts[own], ends[own]
 
 
+def _merged(kept: np.ndarray, added: np.ndarray, old: np.ndarray) -> np.ndarray:
+    """``kept`` where ``old`` is set and ``added`` elsewhere, both in order."""
+    out = np.empty(len(old), kept.dtype)
+    out[old], out[~old] = kept, added
+    return out
+
+
 class TextEncoder:
     """Encodes batches of texts; one per worker and tokenizer file."""
 
@@ -112,7 +122,8 @@ class TextEncoder:
 
     def whole(self, texts: list[str]) -> list[np.ndarray]:
         """By the library, text by text."""
-        return [np.array(e.ids, self.dtype) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        made = (self.tokenizer.encode_batch_fast(some, add_special_tokens=False) for _, some in text_chunks(texts, WHOLE_CHARS))
+        return [np.array(e.ids, self.dtype) for encodings in made for e in encodings]
 
     def _pieces_ids(self, pieces: list[str]) -> list[np.ndarray]:
         """The library's ids of each piece. Pieces that start with a blank are encoded together: no other token starts with one."""
@@ -153,12 +164,13 @@ class TextEncoder:
             count = np.array([len(m) for m in made], np.int64)
             at = len(self.ids) + np.concatenate(([0], np.cumsum(count)[:-1]))
             self.ids = np.concatenate([self.ids, *made])
-            keys = np.concatenate([self.keys, distinct[missing]])
-            order = np.argsort(keys, kind="stable")
-            self.keys = keys[order]
-            self.checks = np.concatenate([self.checks, check[first[missing]]])[order]
-            self.at = np.concatenate([self.at, at])[order]
-            self.count = np.concatenate([self.count, count])[order]
+            new = np.searchsorted(self.keys, distinct[missing]) + np.arange(len(missing))
+            old = np.ones(len(self.keys) + len(missing), bool)
+            old[new] = False
+            self.keys = _merged(self.keys, distinct[missing], old)
+            self.checks = _merged(self.checks, check[first[missing]], old)
+            self.at = _merged(self.at, at, old)
+            self.count = _merged(self.count, count, old)
             slot = np.searchsorted(self.keys, distinct)
         own = slot[which]
         wrong = self.checks[own] != check  # two pieces with one key: their texts go through the library whole

@@ -8,11 +8,12 @@ import zlib
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from drivestats.llm import decontaminate, html_extract, language_id, licenses, line_dedup, near_dup, packing, quality, token_files, toxicity
-from drivestats.llm.common import table
+from drivestats.llm.common import ARROW_ROWS, table, written
 from drivestats.llm.textvec import word_hashes
 from drivestats.llm.tokens import TextEncoder, default_tokenizer
 from drivestats.session import work_path
@@ -53,6 +54,35 @@ def test_pieces_are_the_tokenizers(spark):
     assert [x.tolist() for x in enc.encode(texts)] == want
 
 
+def test_encoder_holds_little_at_a_time(monkeypatch):
+    """Memory of a worker: the library gets bounded runs of texts, the cache stays in order whatever comes in."""
+    enc = TextEncoder(default_tokenizer())
+    texts = [words(i, 300) for i in range(300)]
+    want = [e.ids for e in enc.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    given = []
+
+    class Counting:
+        def encode_batch_fast(self, some, **more):
+            given.append(sum(map(len, some)))
+            return real.encode_batch_fast(some, **more)
+
+    real, enc.tokenizer = enc.tokenizer, Counting()
+    monkeypatch.setitem(TextEncoder._chunk.__globals__, "CHUNK_CHARS", 50_000)
+    assert [x.tolist() for x in enc.whole(texts)] == want
+    assert sum(given) == sum(map(len, texts)) and max(given) <= 100_000
+    assert [x.tolist() for x in enc.encode(texts)] == want
+    assert (enc.keys[1:] > enc.keys[:-1]).all() and len(enc.keys) == len(enc.checks) == len(enc.at) == len(enc.count)
+    assert [x.tolist() for x in enc.encode(texts[::-1])] == want[::-1]
+
+
+def test_rows_that_workers_get_at_once(spark):
+    docs = spark.range(40, numPartitions=1)
+    sizes = docs.mapInArrow(lambda batches: (pa.RecordBatch.from_pydict({"id": [b.num_rows]}) for b in batches), "id long")
+    before = spark.conf.get(ARROW_ROWS)
+    assert {r.id for r in written(sizes, "sizes", batch_rows=7).collect()} == {7, 5}
+    assert spark.conf.get(ARROW_ROWS) == before
+
+
 def test_token_files_round_trip(spark, odd, empty):
     enc = TextEncoder(default_tokenizer())
     path = work_path(spark, "t")
