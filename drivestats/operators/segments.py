@@ -61,7 +61,7 @@ def _segments(samples: DataFrame, keys: Sequence[str], split_on: Sequence[str],
     # The pair that leads into a segment is not of it.
     for c in CARRIED:
         rows = rows.withColumn(f"prev_{c}", F.when(F.col("_new") == 0, F.col(f"prev_{c}")))
-    runs = rows.where("NOT _alone").withColumn("_segment", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    runs = (rows.where("NOT _alone") if at_gaps else rows).withColumn("_segment", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
     runs = runs.groupBy(*keys, *split_on, "_block", "_segment").agg(
         F.min(_ordered("first")).alias("first"),
         F.max(_ordered("last")).alias("last"),
@@ -70,7 +70,9 @@ def _segments(samples: DataFrame, keys: Sequence[str], split_on: Sequence[str],
         F.count(F.lit(1)).alias("samples"),
         *[F.collect_set(c).alias(n) for n, c in SETS.items()],
     ).drop("_block", "_segment")
-    # A sample that is a segment by itself has nothing to add up, and needs no place in a hash table of sets.
+    if not at_gaps:
+        return runs
+    # A sample that is a segment by itself, as most are between gaps, has nothing to add up, and needs no place in a hash table of sets.
     pair = {c: f"`prev_{c}`" for c in CARRIED}, {c: f"`{c}`" for c in CARRIED}
     alone = rows.where("_alone").select(
         *keys,
