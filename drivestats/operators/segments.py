@@ -50,13 +50,15 @@ def _segments(samples: DataFrame, keys: Sequence[str], split_on: Sequence[str],
     n = shuffle_width(samples)
     placed = in_blocks(samples, keys, SAMPLE_ORDER).repartition(*([n] if n else []), *keys, "_block")
     w = Window.partitionBy(*keys, "_block").orderBy(*[F.col(c).asc_nulls_first() for c in SAMPLE_ORDER])
-    new, ends = F.row_number().over(w) == 1, F.lead(F.lit(1)).over(w).isNull()
+    if at_gaps:
+        # A block's first sample has no counter before it, its last one none behind.
+        new = F.coalesce(F.col("ct") > F.lag("ct").over(w) + 1, F.lit(True))
+        ends = F.coalesce(F.lead("ct").over(w) > F.col("ct") + 1, F.lit(True))
+    else:
+        new, ends = F.row_number().over(w) == 1, F.lead(F.lit(1)).over(w).isNull()
     for c in split_on:
         new = new | ~F.col(c).eqNullSafe(F.lag(c).over(w))
         ends = ends | ~F.col(c).eqNullSafe(F.lead(c).over(w))
-    if at_gaps:
-        new = new | F.coalesce(F.col("ct") > F.lag("ct").over(w) + 1, F.lit(True))
-        ends = ends | F.coalesce(F.lead("ct").over(w) > F.col("ct") + 1, F.lit(True))
     rows = placed.select("*", *[F.lag(c).over(w).alias(f"prev_{c}") for c in CARRIED], new.cast("int").alias("_new"), (new & ends).alias("_alone"))
     # The pair that leads into a segment is not of it.
     for c in CARRIED:
@@ -73,7 +75,8 @@ def _segments(samples: DataFrame, keys: Sequence[str], split_on: Sequence[str],
     if not at_gaps:
         return runs
     # A sample that is a segment by itself, as most are between gaps, has nothing to add up, and needs no place in a hash table of sets.
-    pair = {c: f"`prev_{c}`" for c in CARRIED}, {c: f"`{c}`" for c in CARRIED}
+    # No pair leads into it, so no predecessor's values are looked up for it.
+    pair = dict.fromkeys(CARRIED, "CAST(NULL AS DOUBLE)"), {c: f"`{c}`" for c in CARRIED}
     alone = rows.where("_alone").select(
         *keys,
         *split_on,

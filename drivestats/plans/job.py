@@ -293,10 +293,12 @@ class _Work:
         g, full = self.g, load_type == gold.FULL_LOAD
         samples, seen = self._observed(new_rows)
         fresh = self._stage(bucket_segments(samples, g, self.thresholds), "state" if full else "fresh")
-        touched, held = self._touched(fresh), 0
+        days = self._stage(fresh.select(*g.output_parts).distinct(), "touched")  # bounded by the calendar
+        touched, held = days.collect(), 0
         if not touched:
             return self._commit(seen, load_type, has_rows=False, has_state=not full)
-        state = fresh
+        # What a full load wrote is of touched partitions throughout.
+        state = of_touched = fresh
         if not full:
             months = [dict(zip(STATE_PARTS, m)) for m in {tuple(r[p] for p in STATE_PARTS) for r in touched}]
             old = self.spark.read.schema(fresh.schema).parquet(self.commits.state_path).where(in_partitions(STATE_PARTS, months))
@@ -313,7 +315,9 @@ class _Work:
                 held = aside.agg(F.sum("samples")).first()[0] or 0
                 fresh = fresh.join(clash, same, "left_anti")
             state = self._stage(old.unionByName(fresh), "state")
-        trips = merged(state.where(in_partitions(g.output_parts, touched)), g, self.thresholds, samples=SAMPLES)
+            # Thousands of days in one condition cost more on every row than all else that is done with it.
+            of_touched = state.join(F.broadcast(days), list(g.output_parts), "left_semi")
+        trips = merged(of_touched, g, self.thresholds, samples=SAMPLES)
         self._stage(rollup_stats(trips, g, self.sample_seconds, samples=SAMPLES), "rows")
         return self._commit(seen, load_type, rows_held=held, has_rows=True, has_state=True)
 

@@ -111,6 +111,23 @@ def test_merge_holds_a_counter_that_came_twice(spark):
     assert spark.read.parquet(CommitLog(spark, target).run_path(2, "held")).count() == 1
 
 
+def test_merge_picks_days_by_a_join(spark, monkeypatch):
+    """No condition that grows with the number of touched days is put to the segments, and a lone one gets no predecessor."""
+    read = []
+    monkeypatch.setattr(job, "merged", lambda segments, *a, **b: read.append(segments) or merged(segments, *a, **b))
+    target = work_path(spark, "days")
+    run(spark, DAILY, "FULL_LOAD", source(spark, HISTORY), target, late_rows="merge")
+    late = [sample(d, 3, arrived=4) for d in (1, 3)]
+    run(spark, DAILY, "INCREMENTAL", source(spark, late), target, late_rows="merge")
+    same_rows(gold.read_gold(spark, target), full(spark, HISTORY + late))
+    whole, some = [df._jdf.queryExecution().optimizedPlan().toString() for df in read]
+    assert "Filter" not in whole and "Join" not in whole
+    assert "Join LeftSemi" in some and "day#" in some and " = 1)" not in some and " IN (" not in some
+    assert sorted({r["day"] for r in read[1].select("day").collect()}) == [1, 3]
+    segments = bucket_segments(normalize(source(spark, HISTORY)), DAILY)._jdf.queryExecution().optimizedPlan().toString()
+    assert segments.count("lag(latitude") == 1 and "row_number" not in segments
+
+
 def test_merge_needs_its_state(spark):
     target = work_path(spark, "no_state")
     run(spark, DAILY, "FULL_LOAD", source(spark, HISTORY), target)
